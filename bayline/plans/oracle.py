@@ -116,6 +116,9 @@ select event_id, "timestamp", timestamp_unix, license_plate, location, status_co
     q["gap_sessions"] = (_with(PE, _sessions_ctes(exit_rule=False))
                          + "select * exclude (last_event_id) from sess")
     q["stream_sessions"] = _with(PE, S) + f"select {SESSION_FIELDS}, n_events from sess"
+    q["stream_gap_sessions"] = (_with(PE, _sessions_ctes(exit_rule=False)) + """
+select license_plate, location, start_time, end_time, duration, cost, n_events from sess
+where status = 'TIMEOUT'""")
     q["decode_events"] = _with(PE) + """
 select event_id, "timestamp", timestamp_unix, license_plate, location, status_code
 from pe where value >= 1.5"""

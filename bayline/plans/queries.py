@@ -166,3 +166,36 @@ QUERIES: dict[str, Query] = {
     "plate_conflicts": q_plate_conflicts,
     "spot_conflicts": q_spot_conflicts,
 }
+
+
+def _replayed(spark, sf_dir, build, output_mode="update"):
+    from bayline.streaming.jobs import replay
+    return spark.read.parquet(replay(spark, _pe(spark, sf_dir), build, output_mode=output_mode))
+
+
+def q_stream_sessions(spark, sf_dir):
+    from bayline.streaming.jobs import sessionize_stream, sessions_from_changelog
+    s = fixture_settings()
+    chg = _replayed(spark, sf_dir, lambda st: sessionize_stream(st, s))
+    return sessions_from_changelog(
+        chg, ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
+
+
+def q_stream_changelog(spark, sf_dir):
+    from bayline.streaming.jobs import sessionize_stream
+    s = fixture_settings()
+    return _replayed(spark, sf_dir, lambda st: sessionize_stream(st, s))
+
+
+def q_stream_gap_sessions(spark, sf_dir):
+    from bayline.streaming.jobs import gap_sessions_stream, sessions_from_changelog
+    s = fixture_settings()
+    chg = _replayed(spark, sf_dir, lambda st: gap_sessions_stream(st, s), output_mode="append")
+    return sessions_from_changelog(chg, ["end_time", "duration", "cost", "n_events"])
+
+
+QUERIES.update({
+    "stream_sessions": q_stream_sessions,
+    "stream_changelog": q_stream_changelog,
+    "stream_gap_sessions": q_stream_gap_sessions,
+})
