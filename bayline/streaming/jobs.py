@@ -104,9 +104,11 @@ def gap_sessions_stream(events: DataFrame, s: Settings) -> DataFrame:
 
 
 def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame], DataFrame],
-           n_slices: int = 4, base: str | None = None, output_mode: str = "update") -> str:
+           n_slices: int = 4, base: str | None = None, output_mode: str = "update",
+           cuts: list[int] | None = None) -> str:
     """Run ``build(stream_of_events)`` over ``events`` cut into ``n_slices``
-    equal time ranges, oldest first; returns the changelog table path.
+    equal time ranges (or at the given ``cuts`` times: slice ``k`` holds
+    ``cuts[k-1] <= t < cuts[k]``), oldest first; returns the changelog path.
 
     Slice ``k`` is appended to the input folder, then the query runs with
     ``availableNow`` and stops; the next slice restarts it from the same
@@ -116,11 +118,17 @@ def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame],
     base = base or scratch_path(spark, "replay")
     inp, ckpt, table = f"{base}/input", f"{base}/checkpoint", f"{base}/changelog"
     ev = valid_events(events)
-    lo, hi = ev.agg(F.min(T_COL), F.max(T_COL)).first()
-    if lo is None:
-        return table
-    width = (hi - lo) // n_slices + 1
-    piece = F.floor((F.col(T_COL) - F.lit(lo)) / F.lit(width)).cast("long")
+    if cuts is not None:
+        piece = F.lit(0)
+        for c in cuts:
+            piece = piece + F.when(F.col(T_COL) >= F.lit(c), 1).otherwise(0)
+        n_slices = len(cuts) + 1
+    else:
+        lo, hi = ev.agg(F.min(T_COL), F.max(T_COL)).first()
+        if lo is None:
+            return table
+        width = (hi - lo) // n_slices + 1
+        piece = F.floor((F.col(T_COL) - F.lit(lo)) / F.lit(width)).cast("long")
     for k in range(n_slices):
         ev.where(piece == k).write.mode("append").parquet(inp)
         stream = spark.readStream.schema(ev.schema).parquet(inp)
