@@ -48,17 +48,6 @@ def read_raw(spark: SparkSession, fmt: str, *, path: str | None = None,
     raise ValueError(f"unknown raw format {fmt!r}")
 
 
-def _parsed(raw: DataFrame) -> DataFrame:
-    cols = raw.columns
-    text = F.col("value").cast("string")
-    seq = (F.col("offset").cast("long") if "offset" in cols
-           else F.xxhash64(F.col("value")))
-    extra = [F.col("partition").cast("long").alias("partition")] if "partition" in cols else []
-    return raw.select(
-        seq.alias("event_id"), *extra, text.alias("raw"),
-        F.from_json(text, EVENT).alias("data"))
-
-
 def _reason():
     d = F.col("data")
     all_null = F.lit(True)
@@ -71,21 +60,38 @@ def _reason():
             .when(d["timestamp_unix"].isNull(), F.lit("missing_time")))
 
 
+def _classified(raw: DataFrame, keep_raw: bool = False) -> DataFrame:
+    """Each message parsed once, with its fields and quarantine reason.
+
+    The fields and the reason leave through ``inline`` of a one-element
+    array: a filter on them cannot be pushed below the parse, so the optimizer
+    does not copy ``from_json`` into the filter once per referenced field.
+    """
+    cols = raw.columns
+    text = F.col("value").cast("string")
+    seq = (F.col("offset").cast("long") if "offset" in cols
+           else F.xxhash64(F.col("value")))
+    p = raw.select(seq.alias("event_id"), text.alias("raw"),
+                   F.from_json(text, EVENT).alias("data"))
+    row = F.struct(
+        F.col("event_id"), *[F.col("data")[f].alias(f) for f in EVENT_FIELDS],
+        _reason().alias("reason"),
+        *([F.col("raw")] if keep_raw else []))
+    return p.select(F.inline(F.array(row)))
+
+
 def decode_events(raw: DataFrame) -> DataFrame:
     """Valid events: ``event_id`` (offset, or a hash of the message) and the
     five event fields. Rows that cannot be keyed or placed in time are left
     out here and reported by :func:`bad_events`."""
-    p = _parsed(raw).withColumn("reason", _reason())
-    return p.where(F.col("reason").isNull()).select(
-        "event_id", *[F.col("data")[f].alias(f) for f in EVENT_FIELDS])
+    return _classified(raw).where(F.col("reason").isNull()).drop("reason")
 
 
 def bad_events(raw: DataFrame, keep_raw: bool = False) -> DataFrame:
     """Quarantined messages with a reason: ``null_value``, ``unparseable``,
     ``missing_plate``, ``missing_location``, ``missing_time``."""
-    p = _parsed(raw).withColumn("reason", _reason())
     cols = ["event_id", "reason"] + (["raw"] if keep_raw else [])
-    return p.where(F.col("reason").isNotNull()).select(*cols)
+    return _classified(raw, keep_raw).where(F.col("reason").isNotNull()).select(*cols)
 
 
 def encode_for_wire(events: DataFrame) -> DataFrame:
