@@ -1,7 +1,9 @@
 """The keyed session fold run by ``applyInPandasWithState``.
 
-State per ``(license_plate, location)`` is three numbers of the open session
-(start, last event time, number of events), never a list of events. Rows of
+State per ``(license_plate, location)`` is four numbers of the open session
+(start, last event time, number of events, id of the first event), never a
+list of events. ``(key, start_time, start_event_id)`` names a session even
+when two sessions of a key start in the same second. Rows of
 one key in one trigger arrive in several Arrow chunks and in no promised
 order; they are concatenated (bounded by the trigger size:
 ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``), sorted by
@@ -35,11 +37,13 @@ OUTPUT = StructType([
     StructField("status", StringType()),
     StructField("last_updated", LongType()),
     StructField("n_events", LongType()),
+    StructField("start_event_id", LongType()),
 ])
 STATE = StructType([
     StructField("start_time", LongType()),
     StructField("last_time", LongType()),
     StructField("n_events", LongType()),
+    StructField("start_event_id", LongType()),
 ])
 OUT_COLS = [f.name for f in OUTPUT.fields]
 
@@ -48,7 +52,7 @@ def _cost(duration: np.ndarray, s: Settings) -> np.ndarray:
     return (np.ceil(duration / float(s.block_seconds)) * s.block_price).astype("int64")
 
 
-def _frame(plate: str, loc: str, start, end, status, n, s: Settings) -> pd.DataFrame:
+def _frame(plate: str, loc: str, start, end, status, n, first_id, s: Settings) -> pd.DataFrame:
     start = np.asarray(start, dtype="int64")
     end = np.asarray(end, dtype="int64")
     dur = end - start
@@ -57,6 +61,7 @@ def _frame(plate: str, loc: str, start, end, status, n, s: Settings) -> pd.DataF
         "start_time": start, "end_time": end, "duration": dur, "cost": _cost(dur, s),
         "status": np.asarray(status, dtype=object), "last_updated": end,
         "n_events": np.asarray(n, dtype="int64"),
+        "start_event_id": np.asarray(first_id, dtype="int64"),
     }, columns=OUT_COLS)
 
 
@@ -67,9 +72,9 @@ def make_fold(s: Settings):
     def fold(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         plate, loc = key
         if state.hasTimedOut:
-            start0, last0, n0 = state.get
+            start0, last0, n0, id0 = state.get
             state.remove()
-            yield _frame(plate, loc, [start0], [last0], [TIMEOUT], [n0], s)
+            yield _frame(plate, loc, [start0], [last0], [TIMEOUT], [n0], [id0], s)
             return
 
         pdf = pd.concat(list(chunks), ignore_index=True)
@@ -78,11 +83,12 @@ def make_fold(s: Settings):
             return
         pdf = pdf.sort_values(["timestamp_unix", "event_id"], kind="mergesort")
         t = pdf["timestamp_unix"].to_numpy(dtype="int64")
+        ids = pdf["event_id"].to_numpy(dtype="int64")
         is_exit = (pdf["status_code"] == EXITING).to_numpy(dtype=bool)
 
         open_ = state.exists
         if open_:
-            start0, last0, n0 = state.get
+            start0, last0, n0, id0 = state.get
         # does event i start a new session?
         brk = np.empty(len(t), dtype=bool)
         brk[1:] = is_exit[:-1] | (np.diff(t) > T)
@@ -92,13 +98,15 @@ def make_fold(s: Settings):
         # per session: first/last row index (rows are sorted)
         bounds = np.flatnonzero(np.r_[True, sid[1:] != sid[:-1]])
         ends = np.r_[bounds[1:], len(t)] - 1
-        starts_t, ends_t = t[bounds], t[ends]
+        starts_t, ends_t, first_ids = t[bounds], t[ends], ids[bounds]
         counts = (ends - bounds + 1).astype("int64")
         closed = is_exit[ends]
         first_is_old = open_ and sid[0] == 0
         if first_is_old:
-            starts_t = starts_t.copy()
-            starts_t[0] = min(start0, starts_t[0])
+            starts_t, ends_t, first_ids = starts_t.copy(), ends_t.copy(), first_ids.copy()
+            if (starts_t[0], first_ids[0]) > (start0, id0):
+                starts_t[0], first_ids[0] = start0, id0
+            ends_t[0] = max(ends_t[0], last0)
             counts[0] += n0
         status = np.where(closed, CLOSED, TIMEOUT).astype(object)
         lone = closed & (counts == 1)
@@ -109,7 +117,7 @@ def make_fold(s: Settings):
         out = []
         if open_ and not first_is_old:
             # the stored session went silent for longer than the limit
-            out.append(_frame(plate, loc, [start0], [last0], [TIMEOUT], [n0], s))
+            out.append(_frame(plate, loc, [start0], [last0], [TIMEOUT], [n0], [id0], s))
         last_open = not closed[-1]
         if last_open:
             keep[-1] = False
@@ -120,15 +128,16 @@ def make_fold(s: Settings):
                 keep[-1] = True
                 state.remove()
             else:
-                state.update((int(starts_t[-1]), int(ends_t[-1]), int(counts[-1])))
+                state.update((int(starts_t[-1]), int(ends_t[-1]), int(counts[-1]),
+                              int(first_ids[-1])))
                 state.setTimeoutTimestamp(timer)
                 out.append(_frame(plate, loc, [starts_t[-1]], [ends_t[-1]], [ACTIVE],
-                                  [counts[-1]], s))
+                                  [counts[-1]], [first_ids[-1]], s))
         else:
             state.remove()
         if keep.any():
             out.append(_frame(plate, loc, starts_t[keep], ends_t[keep], status[keep],
-                              counts[keep], s))
+                              counts[keep], first_ids[keep], s))
         if out:
             yield pd.concat(out, ignore_index=True)
 

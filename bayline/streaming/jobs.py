@@ -82,9 +82,12 @@ def start_changelog(changes: DataFrame, table: str, checkpoint: str, *,
 
 
 def sessions_from_changelog(changelog: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """Latest change of every session (key + ``start_time``), by epoch."""
-    fields = fields or [c for c in changelog.columns if c not in ("epoch_id", *KEY, "start_time")]
-    last = changelog.groupBy(*KEY, "start_time").agg(
+    """Latest change of every session (key, ``start_time`` and, when present,
+    ``start_event_id``), by epoch."""
+    ident = [*KEY, "start_time"] + (["start_event_id"] if "start_event_id" in changelog.columns
+                                    else [])
+    fields = fields or [c for c in changelog.columns if c not in ("epoch_id", *ident)]
+    last = changelog.groupBy(*ident).agg(
         F.max(F.struct(F.col("epoch_id").alias("_e"), *[F.col(c) for c in fields])).alias("l"))
     return last.select(*KEY, "start_time", *[F.col(f"l.{c}").alias(c) for c in fields])
 
