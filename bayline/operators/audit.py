@@ -72,11 +72,10 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
     """
     sess = sessions.select("location", "license_plate", "session_no", "start_time", "end_time")
     B = F.lit(s.bucket_seconds)
-    # start points (kind 0) and end queries (kind 1) on one time line per spot
-    pts = sess.select("location", "license_plate", "session_no",
-                      F.col("start_time").alias("t"), F.lit(0).alias("kind"))
-    pts = pts.unionByName(sess.select("location", "license_plate", "session_no",
-                                      F.col("end_time").alias("t"), F.lit(1).alias("kind")))
+    # start points (kind 0) and end queries (kind 1) on one time line per spot;
+    # both carry the session, so no join back to the sessions is needed
+    pts = sess.select("*", F.col("start_time").alias("t"), F.lit(0).alias("kind"))
+    pts = pts.unionByName(sess.select("*", F.col("end_time").alias("t"), F.lit(1).alias("kind")))
     pts = pts.withColumn("bucket", F.floor(F.col("t") / B).cast("long"))
     w_in = (Window.partitionBy("location", "bucket")
             .orderBy("t", "kind", "license_plate", "session_no")
@@ -90,13 +89,12 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
     per_bucket = per_bucket.select(
         "location", "bucket",
         F.coalesce(F.sum("n_starts").over(w_b), F.lit(0)).alias("starts_before"))
-    ranked_pts = pts.join(per_bucket, ["location", "bucket"]).select(
-        "location", "license_plate", "session_no", "kind",
-        (F.col("starts_before") + F.col("starts_so_far")).cast("long").alias("n"))
-    ranks = ranked_pts.groupBy("location", "license_plate", "session_no").agg(
+    ranked_pts = pts.join(per_bucket, ["location", "bucket"]).withColumn(
+        "n", (F.col("starts_before") + F.col("starts_so_far")).cast("long"))
+    ranked = ranked_pts.groupBy("location", "license_plate", "session_no").agg(
+        F.first("start_time").alias("start_time"), F.first("end_time").alias("end_time"),
         F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("rank"),
         F.max(F.when(F.col("kind") == 1, F.col("n"))).alias("reach"))
-    ranked = sess.join(ranks, ["location", "license_plate", "session_no"])
     a = ranked.where(F.col("reach") > F.col("rank")).select(
         "location",
         F.col("license_plate").alias("plate_a"), F.col("start_time").alias("start_a"),

@@ -57,14 +57,17 @@ def occupancy(changelog: DataFrame, s: Settings) -> DataFrame:
         (F.col("l.status") == ACTIVE).alias("occupied"))
 
 
-def busy_locations(sessions: DataFrame) -> DataFrame:
-    """Distinct spots with at least one open session."""
-    return sessions.where(F.col("status") == ACTIVE).select("location").distinct()
+def busy_locations(sessions: DataFrame, ordered: bool = False) -> DataFrame:
+    """Distinct spots with at least one open session (``ordered``: sorted by
+    spot id as text, A1, A10, A2, like the reference's lists)."""
+    df = sessions.where(F.col("status") == ACTIVE).select("location").distinct()
+    return df.orderBy("location") if ordered else df
 
 
-def free_locations(dim: DataFrame, sessions: DataFrame) -> DataFrame:
+def free_locations(dim: DataFrame, sessions: DataFrame, ordered: bool = False) -> DataFrame:
     """Spots of the dimension with no open session."""
-    return dim.select("location").join(busy_locations(sessions), "location", "left_anti")
+    df = dim.select("location").join(busy_locations(sessions), "location", "left_anti")
+    return df.orderBy("location") if ordered else df
 
 
 def location_info(dim: DataFrame, sessions: DataFrame, as_of: Column, s: Settings) -> DataFrame:
@@ -81,11 +84,14 @@ def location_info(dim: DataFrame, sessions: DataFrame, as_of: Column, s: Setting
         *_live(F.col("o.start_time"), as_of, s))
 
 
-def closed_history(sessions: DataFrame, limit: int) -> DataFrame:
-    """The ``limit`` most recent closed sessions (top-k per task, then a
-    final top-k of those: no full sort)."""
+def closed_history(sessions: DataFrame, limit: int, retention: int | None = None) -> DataFrame:
+    """The ``limit`` most recent closed sessions, newest first (top-k per
+    task, then a final top-k of those: no full sort). ``retention`` caps the
+    history a reader may ask for, as a bounded view store would."""
     if limit < 0:
         raise ValueError("limit must be >= 0")
+    if retention is not None:
+        limit = min(limit, retention)
     return (sessions.where(F.col("status") == CLOSED)
             .select(*SESSION_FIELDS)
             .orderBy(F.col("end_time").desc(), "license_plate", "location", "start_time")
@@ -94,16 +100,21 @@ def closed_history(sessions: DataFrame, limit: int) -> DataFrame:
 
 def statistics(dim: DataFrame, sessions: DataFrame, s: Settings) -> DataFrame:
     """One row: total_locations, busy_count, free_count, active_sessions,
-    closed_sessions_total. Each value is a scalar aggregate (partial
-    aggregation per task), placed side by side in one row."""
-    busy = busy_locations(sessions)
-    # a one-row carrier for the five scalar subqueries
+    closed_sessions_total. Two scalar aggregates (each partially aggregated
+    per task): one over the dimension joined with the busy spots, one over
+    the sessions."""
+    busy = busy_locations(sessions).withColumn("busy", F.lit(1))
+    spots = dim.select("location").join(busy, "location", "left").agg(F.struct(
+        F.count(F.lit(1)).cast("long").alias("total"),
+        F.count("busy").cast("long").alias("busy"))).scalar()
+    counts = sessions.agg(F.struct(
+        F.count(F.when(F.col("status") == ACTIVE, 1)).cast("long").alias("active"),
+        F.count(F.when(F.col("status") == CLOSED, 1)).cast("long").alias("closed"))).scalar()
+    # a one-row carrier for the two scalar subqueries
     return dim.sparkSession.range(1).select(
-        dim.agg(F.count(F.lit(1)).cast("long")).scalar().alias("total_locations"),
-        busy.agg(F.count(F.lit(1)).cast("long")).scalar().alias("busy_count"),
-        free_locations(dim, sessions).agg(F.count(F.lit(1)).cast("long")).scalar().alias("free_count"),
-        sessions.agg(F.count(F.when(F.col("status") == ACTIVE, 1)).cast("long")).scalar()
-        .alias("active_sessions"),
-        sessions.agg(F.count(F.when(F.col("status") == CLOSED, 1)).cast("long")).scalar()
-        .alias("closed_sessions_total"),
+        spots["total"].alias("total_locations"),
+        spots["busy"].alias("busy_count"),
+        (spots["total"] - spots["busy"]).alias("free_count"),
+        counts["active"].alias("active_sessions"),
+        counts["closed"].alias("closed_sessions_total"),
     )

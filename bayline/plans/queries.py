@@ -100,12 +100,13 @@ def q_occupancy(spark, sf_dir):
 
 
 def q_busy_locations(spark, sf_dir):
-    return views.busy_locations(_sessions(spark, sf_dir, fixture_settings()))
+    return views.busy_locations(_sessions(spark, sf_dir, fixture_settings()), ordered=True)
 
 
 def q_free_locations(spark, sf_dir):
     s = settings_for(spark, sf_dir)
-    return views.free_locations(dims.location_dim(spark, s), _sessions(spark, sf_dir, s))
+    return views.free_locations(dims.location_dim(spark, s), _sessions(spark, sf_dir, s),
+                                ordered=True)
 
 
 def q_location_info(spark, sf_dir):
@@ -116,7 +117,7 @@ def q_location_info(spark, sf_dir):
 
 def q_closed_history(spark, sf_dir):
     s = fixture_settings()
-    return views.closed_history(_sessions(spark, sf_dir, s), s.closed_limit)
+    return views.closed_history(_sessions(spark, sf_dir, s), s.closed_limit, s.closed_retention)
 
 
 def q_statistics(spark, sf_dir):

@@ -145,3 +145,34 @@ def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame],
 
 __all__ = ["sessionize_stream", "start_changelog", "sessions_from_changelog",
            "gap_sessions_stream", "replay", "fan_out", "epoch_table_sink", "TIE_COL"]
+
+
+def upsert_views(table: str, views_path: str, build_views) -> BatchSink:
+    """``foreachBatch`` sink: write the batch to the changelog table, then
+    rewrite each view ``build_views(sessions) -> {name: DataFrame}`` computed
+    from the whole table (latest change per session) to
+    ``<views_path>/<name>``. Both writes overwrite, so a retried batch is
+    harmless."""
+    write_epoch = epoch_table_sink(table)
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        write_epoch(batch, epoch_id)
+        spark = batch.sparkSession
+        sessions = sessions_from_changelog(spark.read.parquet(table))
+        for name, df in build_views(sessions).items():
+            df.write.mode("overwrite").parquet(f"{views_path.rstrip('/')}/{name}")
+    return write
+
+
+def live_job(spark: SparkSession, raw_stream: DataFrame, s: Settings, table: str,
+             checkpoint: str, *, extra_sinks: tuple[BatchSink, ...] = (),
+             trigger_seconds: int = 2, name: str = "parking-sessions"):
+    """The whole live job: raw messages -> decode (bad rows left out; read
+    them with :func:`bayline.sources.raw.bad_events`) -> keyed session fold
+    -> one query writing the changelog table and fanning out to
+    ``extra_sinks`` (Kafka, console, views). Wait on it with
+    ``spark.streams.awaitAnyTermination()``."""
+    from bayline.sources.raw import decode_events
+    changes = sessionize_stream(decode_events(raw_stream), s)
+    return start_changelog(changes, table, checkpoint, extra_sinks=extra_sinks,
+                           trigger_seconds=trigger_seconds, name=name)

@@ -94,3 +94,30 @@ def test_changelog_fan_out_and_retry(spark):
     sink(spark.createDataFrame(again.collect(), again.schema), 0)
     assert spark.read.parquet(table).count() == 1
     assert os.path.isdir(ckpt.replace("file:", ""))
+
+
+def test_live_job_over_raw_json_files(spark):
+    """Raw JSON lines -> decode -> fold -> changelog and a view snapshot."""
+    import json
+
+    from bayline.operators import views
+    from bayline.sources import raw
+
+    lines = [json.dumps({"timestamp": "x", "timestamp_unix": OFF + t, "license_plate": "29A-1",
+                         "location": loc, "status_code": st})
+             for t, loc, st in [(0, "A1", "ENTERING"), (5, "B2", "ENTERING"), (9, "A1", "EXITING")]]
+    lines.append("not json")
+    src = scratch_path(spark, "rawjson")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(src)
+    stream = raw.read_raw(spark, "json", path=src, stream=True)
+    table, ckpt, vpath = (scratch_path(spark, n) for n in ("tbl", "ck", "views"))
+    sink = jobs.upsert_views(table, vpath, lambda sess: {"busy": views.busy_locations(sess)})
+    changes = jobs.sessionize_stream(raw.decode_events(stream), S)
+    w = (changes.writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    w.awaitTermination()
+    got = sorted((r.location, r.status) for r in spark.read.parquet(table).collect())
+    assert got == [("A1", "CLOSED"), ("B2", "ACTIVE")]
+    assert [r.location for r in spark.read.parquet(f"{vpath}/busy").collect()] == ["B2"]
+    bad = raw.bad_events(raw.read_raw(spark, "json", path=src, stream=False)).collect()
+    assert [b.reason for b in bad] == ["unparseable"]
