@@ -48,21 +48,19 @@ STATE = StructType([
 OUT_COLS = [f.name for f in OUTPUT.fields]
 
 
-def _cost(duration: np.ndarray, s: Settings) -> np.ndarray:
-    return (np.ceil(duration / float(s.block_seconds)) * s.block_price).astype("int64")
-
-
 def _frame(plate: str, loc: str, start, end, status, n, first_id, s: Settings) -> pd.DataFrame:
     start = np.asarray(start, dtype="int64")
     end = np.asarray(end, dtype="int64")
     dur = end - start
+    cost = (np.ceil(dur / float(s.block_seconds)) * s.block_price).astype("int64")
+    k = len(start)
     return pd.DataFrame({
-        "license_plate": plate, "location": loc,
-        "start_time": start, "end_time": end, "duration": dur, "cost": _cost(dur, s),
-        "status": np.asarray(status, dtype=object), "last_updated": end,
+        "license_plate": [plate] * k, "location": [loc] * k,
+        "start_time": start, "end_time": end, "duration": dur, "cost": cost,
+        "status": status, "last_updated": end,
         "n_events": np.asarray(n, dtype="int64"),
         "start_event_id": np.asarray(first_id, dtype="int64"),
-    }, columns=OUT_COLS)
+    }, columns=OUT_COLS, copy=False)
 
 
 def make_fold(s: Settings):
@@ -77,14 +75,17 @@ def make_fold(s: Settings):
             yield _frame(plate, loc, [start0], [last0], [TIMEOUT], [n0], [id0], s)
             return
 
-        pdf = pd.concat(list(chunks), ignore_index=True)
-        pdf = pdf[pdf["timestamp_unix"].notna()]
-        if pdf.empty:
+        parts = list(chunks)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        if len(pdf) == 0:
             return
-        pdf = pdf.sort_values(["timestamp_unix", "event_id"], kind="mergesort")
+        # valid_events() upstream guarantees a time on every row
         t = pdf["timestamp_unix"].to_numpy(dtype="int64")
         ids = pdf["event_id"].to_numpy(dtype="int64")
-        is_exit = (pdf["status_code"] == EXITING).to_numpy(dtype=bool)
+        codes = pdf["status_code"].to_numpy()
+        order = np.lexsort((ids, t))
+        t, ids, codes = t[order], ids[order], codes[order]
+        is_exit = codes == EXITING
 
         open_ = state.exists
         if open_:
@@ -93,52 +94,52 @@ def make_fold(s: Settings):
         brk = np.empty(len(t), dtype=bool)
         brk[1:] = is_exit[:-1] | (np.diff(t) > T)
         brk[0] = (not open_) or (t[0] - last0 > T)
-        sid = np.cumsum(brk)  # 0 = continues the open session in state
 
         # per session: first/last row index (rows are sorted)
-        bounds = np.flatnonzero(np.r_[True, sid[1:] != sid[:-1]])
+        bounds = np.flatnonzero(brk)
+        first_is_old = open_ and not brk[0]
+        if first_is_old:
+            bounds = np.r_[0, bounds]
         ends = np.r_[bounds[1:], len(t)] - 1
         starts_t, ends_t, first_ids = t[bounds], t[ends], ids[bounds]
         counts = (ends - bounds + 1).astype("int64")
         closed = is_exit[ends]
-        first_is_old = open_ and sid[0] == 0
         if first_is_old:
-            starts_t, ends_t, first_ids = starts_t.copy(), ends_t.copy(), first_ids.copy()
             if (starts_t[0], first_ids[0]) > (start0, id0):
                 starts_t[0], first_ids[0] = start0, id0
             ends_t[0] = max(ends_t[0], last0)
             counts[0] += n0
-        status = np.where(closed, CLOSED, TIMEOUT).astype(object)
         lone = closed & (counts == 1)
         if first_is_old:
             lone[0] = False
         keep = ~lone if drop_lone_exit else np.ones(len(bounds), dtype=bool)
+        status = np.where(closed, CLOSED, TIMEOUT).astype(object)
 
-        out = []
+        o_start, o_end, o_status, o_n, o_id = [], [], [], [], []
         if open_ and not first_is_old:
             # the stored session went silent for longer than the limit
-            out.append(_frame(plate, loc, [start0], [last0], [TIMEOUT], [n0], [id0], s))
-        last_open = not closed[-1]
-        if last_open:
-            keep[-1] = False
+            o_start.append(start0); o_end.append(last0); o_status.append(TIMEOUT)
+            o_n.append(n0); o_id.append(id0)
+        if not closed[-1]:
             wm = state.getCurrentWatermarkMs()
             timer = (int(ends_t[-1]) + T) * 1000
             if wm > 0 and timer < wm:
                 # already silent for longer than the limit at the watermark
-                keep[-1] = True
                 state.remove()
             else:
+                keep[-1] = False
+                status[-1] = ACTIVE
                 state.update((int(starts_t[-1]), int(ends_t[-1]), int(counts[-1]),
                               int(first_ids[-1])))
                 state.setTimeoutTimestamp(timer)
-                out.append(_frame(plate, loc, [starts_t[-1]], [ends_t[-1]], [ACTIVE],
-                                  [counts[-1]], [first_ids[-1]], s))
+                o_start.append(starts_t[-1]); o_end.append(ends_t[-1]); o_status.append(ACTIVE)
+                o_n.append(counts[-1]); o_id.append(first_ids[-1])
         else:
             state.remove()
         if keep.any():
-            out.append(_frame(plate, loc, starts_t[keep], ends_t[keep], status[keep],
-                              counts[keep], first_ids[keep], s))
-        if out:
-            yield pd.concat(out, ignore_index=True)
+            o_start.extend(starts_t[keep]); o_end.extend(ends_t[keep])
+            o_status.extend(status[keep]); o_n.extend(counts[keep]); o_id.extend(first_ids[keep])
+        if o_start:
+            yield _frame(plate, loc, o_start, o_end, o_status, o_n, o_id, s)
 
     return fold
