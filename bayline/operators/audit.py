@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bayline.operators.dims import dim_for_join
+from bayline.operators.pieces import PIECE, with_pieces
 from bayline.operators.sessionize import KEY, with_previous
 from bayline.operators.views import busy_locations
 from bayline.params import ACTIVE, ALLOWED_TRANSITIONS, ENTERING, Settings
@@ -66,30 +67,34 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
     whose start lies in ``[a.start, a.end]``, i.e. ranks ``rank(a)+1 ..
     R(a)`` with ``R(a)`` = number of the spot's sessions starting at or
     before ``a.end``. Ranks and ``R`` come from one piecewise scan over
-    ``(spot, time bucket)`` with bucket totals carried forward, so a busy spot
-    is not one task. The rank range is exploded and joined to the ranked
+    bounded pieces of a spot's time line (:mod:`bayline.operators.pieces`)
+    with piece totals carried forward, so a busy spot is not one task. The rank range is exploded and joined to the ranked
     sessions on ``(spot, rank)``, a key with one row per value.
     """
     sess = sessions.select("location", "license_plate", "session_no", "start_time", "end_time")
-    B = F.lit(s.bucket_seconds)
+    if s.max_piece_rows:
+        # the piece-size check and the scan both read the sessions: write them
+        # once to the shared checkpoint folder instead of computing them twice
+        sess = sess.checkpoint(eager=True)
     # start points (kind 0) and end queries (kind 1) on one time line per spot;
     # both carry the session, so no join back to the sessions is needed
     pts = sess.select("*", F.col("start_time").alias("t"), F.lit(0).alias("kind"))
     pts = pts.unionByName(sess.select("*", F.col("end_time").alias("t"), F.lit(1).alias("kind")))
-    pts = pts.withColumn("bucket", F.floor(F.col("t") / B).cast("long"))
-    w_in = (Window.partitionBy("location", "bucket")
+    order = ["t", "kind", "license_plate", "session_no"]
+    pts = with_pieces(pts, ["location"], "t", order, s)
+    w_in = (Window.partitionBy("location", *PIECE)
             .orderBy("t", "kind", "license_plate", "session_no")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pts = pts.withColumn("starts_so_far",
                          F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).over(w_in))
-    per_bucket = pts.groupBy("location", "bucket").agg(
+    per_bucket = pts.groupBy("location", *PIECE).agg(
         F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).alias("n_starts"))
-    w_b = (Window.partitionBy("location").orderBy("bucket")
+    w_b = (Window.partitionBy("location").orderBy(*PIECE)
            .rowsBetween(Window.unboundedPreceding, -1))
     per_bucket = per_bucket.select(
-        "location", "bucket",
+        "location", *PIECE,
         F.coalesce(F.sum("n_starts").over(w_b), F.lit(0)).alias("starts_before"))
-    ranked_pts = pts.join(per_bucket, ["location", "bucket"]).withColumn(
+    ranked_pts = pts.join(per_bucket, ["location", *PIECE]).withColumn(
         "n", (F.col("starts_before") + F.col("starts_so_far")).cast("long"))
     ranked = ranked_pts.groupBy("location", "license_plate", "session_no").agg(
         F.first("start_time").alias("start_time"), F.first("end_time").alias("end_time"),

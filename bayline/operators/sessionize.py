@@ -14,16 +14,17 @@ Rules (per key ``(license_plate, location)``, events ordered by
 
 Scale. A per-key window would send every event of one key to one task; one
 car on one spot may hold a large share of a stream. The scan is therefore cut
-into ``(key, time bucket)`` pieces of ``bucket_seconds``:
+into bounded ``(key, bucket, sub)`` pieces (:mod:`bayline.operators.pieces`:
+time buckets of ``bucket_seconds``, hot ones cut again by a range split):
 
-1. one shuffle on ``(key, bucket)``; inside a piece ``lag`` and running sums
+1. one shuffle on the piece; inside a piece ``lag`` and running sums
    find the session starts that do not depend on earlier pieces;
 2. each piece is reduced to one summary row (first time, last event, number
    of starts, last start time), in the same partitioning, so no shuffle;
-3. a window over the summaries of one key (one row per non-empty bucket, not
+3. a window over the summaries of one key (one row per non-empty piece, not
    per event) decides whether a piece's first event starts a session and
    carries session number and session start forward;
-4. the summaries join back on ``(key, bucket)``; the event side keeps its
+4. the summaries join back on the piece; the event side keeps its
    partitioning, only the small side moves.
 
 Sessions are then a ``groupBy`` with partial aggregation before the shuffle,
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 
 from bayline.functions.clock import as_of_column
 from bayline.functions.pricing import block_cost, session_status
+from bayline.operators.pieces import PIECE, with_pieces
 from bayline.params import EXITING, TIMEOUT, Settings
 
 KEY = ["license_plate", "location"]
@@ -69,13 +71,10 @@ def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True) ->
     ``session_start``.
     """
     T = F.lit(s.timeout_seconds)
-    ev = valid_events(events).withColumn(
-        "bucket", F.floor(F.col(T_COL) / F.lit(s.bucket_seconds)).cast("long"))
-    # stated here so both uses of the scan below stay one plan (shuffle reuse)
-    ev = ev.where(F.col("bucket").isNotNull())
+    ev = with_pieces(valid_events(events), KEY, T_COL, [T_COL, TIE_COL], s)
     ev = ev.withColumn("is_exit", F.coalesce(F.col("status_code") == F.lit(EXITING), F.lit(False)))
 
-    w_in = Window.partitionBy(*KEY, "bucket").orderBy(T_COL, TIE_COL)
+    w_in = Window.partitionBy(*KEY, *PIECE).orderBy(T_COL, TIE_COL)
     prev_t = F.lag(T_COL).over(w_in)
     prev_exit = F.lag("is_exit").over(w_in)
     ends_prev = (F.col(T_COL) - prev_t > T)
@@ -90,14 +89,14 @@ def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True) ->
         F.max(F.when(F.col("inner_start") == 1, F.col(T_COL))).over(_running(w_in)))
 
     # one row per (key, bucket): same partitioning as the scan, no shuffle
-    summary = inner.groupBy(*KEY, "bucket").agg(
+    summary = inner.groupBy(*KEY, *PIECE).agg(
         F.min(T_COL).alias("first_t"),
         F.max(F.struct(F.col(T_COL).alias("t"), F.col(TIE_COL).alias("id"),
                        F.col("is_exit").alias("x"))).alias("last"),
         F.sum("inner_start").alias("inner_total"),
         F.max(F.when(F.col("inner_start") == 1, F.col(T_COL))).alias("inner_last_start_t"),
     )
-    w_b = Window.partitionBy(*KEY).orderBy("bucket")
+    w_b = Window.partitionBy(*KEY).orderBy(*PIECE)
     before = w_b.rowsBetween(Window.unboundedPreceding, -1)
     prev_last = F.lag("last").over(w_b)
     first_ends = (F.col("first_t") - prev_last["t"] > T)
@@ -110,13 +109,13 @@ def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True) ->
         F.coalesce(F.col("inner_last_start_t"),
                    F.when(F.col("first_start") == 1, F.col("first_t"))))
     carried = carried.select(
-        *KEY, "bucket", "first_start", "first_t",
+        *KEY, *PIECE, "first_start", "first_t",
         F.coalesce(F.sum(F.col("first_start") + F.col("inner_total")).over(before),
                    F.lit(0)).cast("long").alias("carry_no"),
         F.last("bucket_last_start_t", ignorenulls=True).over(before).alias("carry_start_t"),
     )
 
-    out = inner.join(carried, [*KEY, "bucket"], "inner")
+    out = inner.join(carried, [*KEY, *PIECE], "inner")
     starts = (F.col("inner_start") == 1) | (F.col("piece_first") & (F.col("first_start") == 1))
     return out.select(
         *KEY, T_COL, TIE_COL, "status_code", "is_exit", starts.alias("starts"),
@@ -173,21 +172,19 @@ def timed_out(sessions: DataFrame) -> DataFrame:
 def with_previous(events: DataFrame, s: Settings) -> DataFrame:
     """Every valid event with ``has_prev`` and ``prev_status`` (the status of
     the key's previous event), computed piecewise like :func:`session_scan`:
-    ``lag`` inside a ``(key, bucket)`` piece, and for a piece's first event the
+    ``lag`` inside a piece, and for a piece's first event the
     last event of the key's previous non-empty piece."""
-    ev = valid_events(events).withColumn(
-        "bucket", F.floor(F.col(T_COL) / F.lit(s.bucket_seconds)).cast("long"))
-    ev = ev.where(F.col("bucket").isNotNull())
-    w_in = Window.partitionBy(*KEY, "bucket").orderBy(T_COL, TIE_COL)
+    ev = with_pieces(valid_events(events), KEY, T_COL, [T_COL, TIE_COL], s)
+    w_in = Window.partitionBy(*KEY, *PIECE).orderBy(T_COL, TIE_COL)
     inner = ev.select(
         "*", F.lag(T_COL).over(w_in).isNotNull().alias("has_inner_prev"),
         F.lag("status_code").over(w_in).alias("inner_prev_status"))
-    last = inner.groupBy(*KEY, "bucket").agg(
+    last = inner.groupBy(*KEY, *PIECE).agg(
         F.max(F.struct(F.col(T_COL).alias("t"), F.col(TIE_COL).alias("id"),
                        F.col("status_code").alias("status"))).alias("last"))
-    w_b = Window.partitionBy(*KEY).orderBy("bucket")
-    carried = last.select(*KEY, "bucket", F.lag("last").over(w_b).alias("prev_piece_last"))
-    out = inner.join(carried, [*KEY, "bucket"], "inner")
+    w_b = Window.partitionBy(*KEY).orderBy(*PIECE)
+    carried = last.select(*KEY, *PIECE, F.lag("last").over(w_b).alias("prev_piece_last"))
+    out = inner.join(carried, [*KEY, *PIECE], "inner")
     return out.select(
         *KEY, T_COL, TIE_COL, "status_code",
         (F.col("has_inner_prev") | F.col("prev_piece_last").isNotNull()).alias("has_prev"),

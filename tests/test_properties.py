@@ -178,3 +178,50 @@ def test_fold_handles_chunks_out_of_order():
     out = pd.concat(list(fold(("P", "A"), iter(chunks), FakeState())))
     assert out[["start_time", "end_time", "status"]].values.tolist() == [[10_000, 10_100, "CLOSED"]]
     assert np.issubdtype(out["cost"].dtype, np.integer)
+
+
+def test_hot_pieces_are_split_and_results_stay(spark):
+    """One key holds most rows; pieces over max_piece_rows are range-split."""
+    rng = random.Random(11)
+    rows = gen_rows(rng, 30, keys=3)
+    rows += [(100 + i, 10_000 + rng.randrange(50), "HOT", "H1", rng.choice(STATUSES))
+             for i in range(120)]
+    want = brute(rows)
+    for limit, bucket in [(1, 10**9), (3, 60), (7, 1000), (50, 13)]:
+        s = S.with_(bucket_seconds=bucket, max_piece_rows=limit)
+        assert spark_sessions(spark, rows, s) == want, (limit, bucket)
+
+
+def test_split_pieces_are_bounded_and_ordered(spark):
+    from pyspark.sql import functions as F
+
+    from bayline.operators.pieces import with_pieces
+    rows = [(i, 10_000 + i // 4, "HOT", "H1", "PARKED") for i in range(400)]
+    s = S.with_(bucket_seconds=10**9, max_piece_rows=50)
+    df = with_pieces(spark.createDataFrame(rows, EV), ["license_plate", "location"],
+                     "timestamp_unix", ["timestamp_unix", "event_id"], s)
+    per = df.groupBy("sub").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("lo"),
+                                F.max("event_id").alias("hi")).orderBy("sub").collect()
+    assert len(per) > 1 and max(r.n for r in per) <= 100  # sampled bounds: about the limit
+    assert all(a.hi < b.lo for a, b in zip(per, per[1:]))  # contiguous, in order
+
+
+def test_spot_conflicts_split_pieces_equal_brute_force(spark):
+    from bayline.operators import audit
+    rng = random.Random(5)
+    rows = [(i, 10_000 + rng.randrange(2000), f"P{rng.randrange(6)}", "A1",
+             rng.choice(STATUSES)) for i in range(150)]
+    sess = sessionize.parking_sessions(spark.createDataFrame(rows, EV), S).collect()
+    want = set()
+    for x in sess:
+        for y in sess:
+            kx = (x.start_time, x.license_plate, x.session_no)
+            ky = (y.start_time, y.license_plate, y.session_no)
+            if (x.location == y.location and kx < ky and y.start_time <= x.end_time
+                    and x.license_plate != y.license_plate):
+                want.add((x.license_plate, x.start_time, y.license_plate, y.start_time))
+    assert want
+    for limit in (0, 4):
+        s = S.with_(bucket_seconds=300, max_piece_rows=limit)
+        got = audit.spot_conflicts(sessionize.parking_sessions(spark.createDataFrame(rows, EV), s), s)
+        assert {(r.plate_a, r.start_a, r.plate_b, r.start_b) for r in got.collect()} == want
