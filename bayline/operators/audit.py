@@ -10,6 +10,7 @@ from bayline.operators.pieces import PIECE, with_pieces
 from bayline.operators.sessionize import KEY, with_previous
 from bayline.operators.views import busy_locations
 from bayline.params import ACTIVE, ALLOWED_TRANSITIONS, ENTERING, Settings
+from bayline.plans.runtime import ensure_checkpoint_dir
 
 
 def _allowed(prev: F.Column, cur: F.Column, has_prev: F.Column) -> F.Column:
@@ -75,6 +76,7 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
     if s.max_piece_rows:
         # the piece-size check and the scan both read the sessions: write them
         # once to the shared checkpoint folder instead of computing them twice
+        ensure_checkpoint_dir(sess.sparkSession)
         sess = sess.checkpoint(eager=True)
     # start points (kind 0) and end queries (kind 1) on one time line per spot;
     # both carry the session, so no join back to the sessions is needed
