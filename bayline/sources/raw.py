@@ -110,9 +110,16 @@ def read_changelog(spark: SparkSession, fmt: str, *, path: str | None = None,
     """Session changelog back as rows: from the Kafka topic written by
     :func:`bayline.sources.sinks.to_kafka`, or from the changelog table."""
     if fmt == "kafka":
-        raw = read_raw(spark, "kafka", servers=servers, topic=topic, stream=stream)
-        return (raw.select(F.from_json(F.col("value").cast("string"), SESSION).alias("s"),
-                           F.col("offset").alias("event_id"))
-                .select("s.*", "event_id"))
+        return decode_changelog(read_raw(spark, "kafka", servers=servers, topic=topic,
+                                         stream=stream))
     reader = spark.readStream if stream else spark.read
     return reader.format(fmt).load(path)
+
+
+def decode_changelog(raw: DataFrame) -> DataFrame:
+    """Session rows from their wire form (``value`` = JSON of the session
+    fields, nulls left out); ``offset``, when present, orders the changes."""
+    seq = F.col("offset").cast("long") if "offset" in raw.columns else F.lit(None).cast("long")
+    return (raw.select(F.from_json(F.col("value").cast("string"), SESSION).alias("s"),
+                       seq.alias("offset"))
+            .select("s.*", "offset"))
