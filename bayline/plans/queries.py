@@ -182,6 +182,15 @@ def q_stream_sessions(spark, sf_dir):
         chg, ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
 
 
+def q_stream_sessions_ordered(spark, sf_dir):
+    from bayline.streaming.jobs import sessions_from_changelog
+    from bayline.streaming.ordered import ordered_sessionize_stream
+    s = fixture_settings()
+    chg = _replayed(spark, sf_dir, lambda st: ordered_sessionize_stream(st, s))
+    return sessions_from_changelog(
+        chg, ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
+
+
 def q_stream_changelog(spark, sf_dir):
     from bayline.streaming.jobs import sessionize_stream
     s = fixture_settings()
@@ -197,6 +206,7 @@ def q_stream_gap_sessions(spark, sf_dir):
 
 QUERIES.update({
     "stream_sessions": q_stream_sessions,
+    "stream_sessions_ordered": q_stream_sessions_ordered,
     "stream_changelog": q_stream_changelog,
     "stream_gap_sessions": q_stream_gap_sessions,
 })

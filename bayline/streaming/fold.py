@@ -63,10 +63,64 @@ def _frame(plate: str, loc: str, start, end, status, n, first_id, s: Settings) -
     }, columns=OUT_COLS, copy=False)
 
 
-def make_fold(s: Settings):
+def fold_sorted(t: np.ndarray, ids: np.ndarray, is_exit: np.ndarray, open_state, wm_ms: int,
+                s: Settings):
+    """Fold time-ordered events of one key into its open session.
+
+    ``open_state`` is ``(start, last, n, first_id)`` or ``None``. Returns the
+    finished sessions as ``(start, end, status, n, first_id)`` tuples, the
+    open session after the fold (or ``None``), and its timeout timer in ms.
+    """
     T = int(s.timeout_seconds)
-    drop_lone_exit = s.lone_exit == "drop"
+    out = []
+    if len(t) == 0:
+        return out, open_state, None
+    open_ = open_state is not None
+    if open_:
+        start0, last0, n0, id0 = open_state
+    brk = np.empty(len(t), dtype=bool)
+    brk[1:] = is_exit[:-1] | (np.diff(t) > T)
+    brk[0] = (not open_) or (t[0] - last0 > T)
+    bounds = np.flatnonzero(brk)
+    first_is_old = open_ and not brk[0]
+    if first_is_old:
+        bounds = np.r_[0, bounds]
+    ends = np.r_[bounds[1:], len(t)] - 1
+    starts_t, ends_t, first_ids = t[bounds], t[ends], ids[bounds]
+    counts = (ends - bounds + 1).astype("int64")
+    closed = is_exit[ends]
+    if first_is_old:
+        if (starts_t[0], first_ids[0]) > (start0, id0):
+            starts_t[0], first_ids[0] = start0, id0
+        ends_t[0] = max(ends_t[0], last0)
+        counts[0] += n0
+    lone = closed & (counts == 1)
+    if first_is_old:
+        lone[0] = False
+    keep = ~lone if s.lone_exit == "drop" else np.ones(len(bounds), dtype=bool)
+    status = np.where(closed, CLOSED, TIMEOUT).astype(object)
+    if open_ and not first_is_old:
+        # the stored session went silent for longer than the limit
+        out.append((start0, last0, TIMEOUT, n0, id0))
+    new_open, timer = None, None
+    if not closed[-1]:
+        timer = (int(ends_t[-1]) + T) * 1000
+        if wm_ms > 0 and timer < wm_ms:
+            timer = None  # already silent for longer than the limit
+        else:
+            keep[-1] = False
+            new_open = (int(starts_t[-1]), int(ends_t[-1]), int(counts[-1]), int(first_ids[-1]))
+    for i in np.flatnonzero(keep):
+        out.append((starts_t[i], ends_t[i], status[i], counts[i], first_ids[i]))
+    return out, new_open, timer
+
+
+def rows_frame(plate: str, loc: str, rows: list, s: Settings) -> pd.DataFrame:
+    return _frame(plate, loc, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows],
+                  [r[3] for r in rows], [r[4] for r in rows], s)
+
 
+def make_fold(s: Settings):
     def fold(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         plate, loc = key
         if state.hasTimedOut:
@@ -84,62 +138,18 @@ def make_fold(s: Settings):
         ids = pdf["event_id"].to_numpy(dtype="int64")
         codes = pdf["status_code"].to_numpy()
         order = np.lexsort((ids, t))
-        t, ids, codes = t[order], ids[order], codes[order]
-        is_exit = codes == EXITING
+        t, ids, is_exit = t[order], ids[order], codes[order] == EXITING
 
-        open_ = state.exists
-        if open_:
-            start0, last0, n0, id0 = state.get
-        # does event i start a new session?
-        brk = np.empty(len(t), dtype=bool)
-        brk[1:] = is_exit[:-1] | (np.diff(t) > T)
-        brk[0] = (not open_) or (t[0] - last0 > T)
-
-        # per session: first/last row index (rows are sorted)
-        bounds = np.flatnonzero(brk)
-        first_is_old = open_ and not brk[0]
-        if first_is_old:
-            bounds = np.r_[0, bounds]
-        ends = np.r_[bounds[1:], len(t)] - 1
-        starts_t, ends_t, first_ids = t[bounds], t[ends], ids[bounds]
-        counts = (ends - bounds + 1).astype("int64")
-        closed = is_exit[ends]
-        if first_is_old:
-            if (starts_t[0], first_ids[0]) > (start0, id0):
-                starts_t[0], first_ids[0] = start0, id0
-            ends_t[0] = max(ends_t[0], last0)
-            counts[0] += n0
-        lone = closed & (counts == 1)
-        if first_is_old:
-            lone[0] = False
-        keep = ~lone if drop_lone_exit else np.ones(len(bounds), dtype=bool)
-        status = np.where(closed, CLOSED, TIMEOUT).astype(object)
-
-        o_start, o_end, o_status, o_n, o_id = [], [], [], [], []
-        if open_ and not first_is_old:
-            # the stored session went silent for longer than the limit
-            o_start.append(start0); o_end.append(last0); o_status.append(TIMEOUT)
-            o_n.append(n0); o_id.append(id0)
-        if not closed[-1]:
-            wm = state.getCurrentWatermarkMs()
-            timer = (int(ends_t[-1]) + T) * 1000
-            if wm > 0 and timer < wm:
-                # already silent for longer than the limit at the watermark
-                state.remove()
-            else:
-                keep[-1] = False
-                status[-1] = ACTIVE
-                state.update((int(starts_t[-1]), int(ends_t[-1]), int(counts[-1]),
-                              int(first_ids[-1])))
-                state.setTimeoutTimestamp(timer)
-                o_start.append(starts_t[-1]); o_end.append(ends_t[-1]); o_status.append(ACTIVE)
-                o_n.append(counts[-1]); o_id.append(first_ids[-1])
-        else:
+        open_state = state.get if state.exists else None
+        out, new_open, timer = fold_sorted(t, ids, is_exit, open_state,
+                                           state.getCurrentWatermarkMs(), s)
+        if new_open is None:
             state.remove()
-        if keep.any():
-            o_start.extend(starts_t[keep]); o_end.extend(ends_t[keep])
-            o_status.extend(status[keep]); o_n.extend(counts[keep]); o_id.extend(first_ids[keep])
-        if o_start:
-            yield _frame(plate, loc, o_start, o_end, o_status, o_n, o_id, s)
+        else:
+            state.update(new_open)
+            state.setTimeoutTimestamp(timer)
+            out.append((new_open[0], new_open[1], ACTIVE, new_open[2], new_open[3]))
+        if out:
+            yield rows_frame(plate, loc, out, s)
 
     return fold

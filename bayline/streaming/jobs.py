@@ -113,13 +113,9 @@ def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame],
     equal time ranges (or at the given ``cuts`` times: slice ``k`` holds
     ``cuts[k-1] <= t < cuts[k]``), oldest first; returns the changelog path.
 
-    Slice ``k`` is appended to the input folder, then the query runs with
-    ``availableNow`` and stops; the next slice restarts it from the same
-    checkpoint. Files of one slice land after those of the previous one, so
-    no row is behind the watermark (delay 0).
+    Slices are fed by :func:`replay_slices`; files of one slice land after
+    those of the previous one, so no row is behind the watermark (delay 0).
     """
-    base = base or scratch_path(spark, "replay")
-    inp, ckpt, table = f"{base}/input", f"{base}/checkpoint", f"{base}/changelog"
     ev = valid_events(events)
     if cuts is not None:
         piece = F.lit(0)
@@ -129,12 +125,27 @@ def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame],
     else:
         lo, hi = ev.agg(F.min(T_COL), F.max(T_COL)).first()
         if lo is None:
-            return table
-        width = (hi - lo) // n_slices + 1
-        piece = F.floor((F.col(T_COL) - F.lit(lo)) / F.lit(width)).cast("long")
-    for k in range(n_slices):
-        ev.where(piece == k).write.mode("append").parquet(inp)
-        stream = spark.readStream.schema(ev.schema).parquet(inp)
+            n_slices, piece = 0, F.lit(0)
+        else:
+            width = (hi - lo) // n_slices + 1
+            piece = F.floor((F.col(T_COL) - F.lit(lo)) / F.lit(width)).cast("long")
+    slices = [ev.where(piece == k) for k in range(n_slices)]
+    return replay_slices(spark, slices, build, base=base, output_mode=output_mode,
+                         schema=ev.schema)
+
+
+def replay_slices(spark: SparkSession, slices: list[DataFrame],
+                  build: Callable[[DataFrame], DataFrame], base: str | None = None,
+                  output_mode: str = "update", schema=None) -> str:
+    """Append each slice to an input folder and run the query with
+    ``availableNow`` after each one, restarting on the same checkpoint (so
+    each slice after the first is also a restart). Returns the changelog path.
+    """
+    base = base or scratch_path(spark, "replay")
+    inp, ckpt, table = f"{base}/input", f"{base}/checkpoint", f"{base}/changelog"
+    for part in slices:
+        part.write.mode("append").parquet(inp)
+        stream = spark.readStream.schema(schema or part.schema).parquet(inp)
         q = start_changelog(build(stream), table, ckpt, available_now=True,
                             output_mode=output_mode)
         q.awaitTermination()
@@ -144,7 +155,8 @@ def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame],
 
 
 __all__ = ["sessionize_stream", "start_changelog", "sessions_from_changelog",
-           "gap_sessions_stream", "replay", "fan_out", "epoch_table_sink", "TIE_COL"]
+           "gap_sessions_stream", "replay", "replay_slices", "fan_out", "epoch_table_sink",
+           "TIE_COL"]
 
 
 def upsert_views(table: str, views_path: str, build_views) -> BatchSink:

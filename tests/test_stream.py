@@ -121,3 +121,43 @@ def test_live_job_over_raw_json_files(spark):
     assert [r.location for r in spark.read.parquet(f"{vpath}/busy").collect()] == ["B2"]
     bad = raw.bad_events(raw.read_raw(spark, "json", path=src, stream=False)).collect()
     assert [b.reason for b in bad] == ["unparseable"]
+
+
+def _batches(spark, batches, build):
+    from bayline.operators.sessionize import valid_events
+    frames = [valid_events(events(spark, b)) for b in batches]
+    table = jobs.replay_slices(spark, frames, build)
+    return sessions_list(jobs.sessions_from_changelog(spark.read.parquet(table)))
+
+
+def test_ordered_fold_handles_rows_out_of_order(spark):
+    from bayline.streaming.ordered import ordered_sessionize_stream
+    s = S.with_(watermark_delay="100 seconds")
+    b1 = [(0, "ENTERING"), (50, "EXITING")]
+    b2 = [(30, "PARKED")]                       # 20 s late, within the delay
+    b3 = [(10_000, "ENTERING", "Z9", "FLUSH")]  # moves the watermark past all
+    def mine(rows):
+        return [r for r in rows if r[0] == PLATE]
+
+    want = mine(sessions_list(sessionize.parking_sessions(events(spark, b1 + b2 + b3), s)))
+    assert want == [(PLATE, SPOT, 0, 50, 50, 10000, "CLOSED")]
+    got = _batches(spark, [b1, b2, b3], lambda st: ordered_sessionize_stream(st, s))
+    assert mine(got) == want
+    # the flush row itself stays pending: the watermark ends 100 s behind it
+    assert not [r for r in got if r[0] == "FLUSH"]
+    # the fold without buffering closes at 50 and opens a new session at 30
+    plain = _batches(spark, [b1, b2, b3], lambda st: jobs.sessionize_stream(st, s))
+    assert mine(plain) != want
+
+
+@pytest.mark.parametrize("cuts", [[], [700, 5000]])
+def test_ordered_fold_equals_batch_in_order(spark, cuts):
+    from bayline.streaming.ordered import ordered_sessionize_stream
+    rows = [(0, "ENTERING"), (5, "PARKED"), (700, "PARKED"), (701, "EXITING"), (702, "PARKED"),
+            (5000, "PARKED"), (5001, "MOVING"), (9000, "EXITING"), (9001, "EXITING"),
+            (20000, "ENTERING"), (3, "ENTERING", "B1"), (8, "EXITING", "B1")]
+    ev = events(spark, rows)
+    batch = sessions_list(sessionize.parking_sessions(ev, S))
+    table = jobs.replay(spark, ev, lambda st: ordered_sessionize_stream(st, S),
+                        cuts=[OFF + c for c in cuts])
+    assert sessions_list(jobs.sessions_from_changelog(spark.read.parquet(table))) == batch
