@@ -29,6 +29,7 @@ from bayline.params import Settings
 
 PIECE = ["bucket", "sub"]
 SAMPLE_ROWS_PER_LIMIT = 4000
+MEMO_SIZE = 64
 _HOT: dict = {}
 
 
@@ -47,6 +48,8 @@ def _hot_pieces(df: DataFrame, keys: list[str], limit: int) -> list[tuple]:
               .where(F.col("n") >= F.lit(need)))
     hot = [(*r[:-1], int(r[-1] / frac)) for r in counts.collect()]
     if memo is not None:
+        while len(_HOT) >= MEMO_SIZE:
+            _HOT.pop(next(iter(_HOT)))
         _HOT[memo] = hot
     return hot
 
