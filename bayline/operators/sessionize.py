@@ -62,10 +62,19 @@ def _running(w) -> Window:
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True) -> DataFrame:
+SEED_BUCKET = -(2 ** 62)
+
+
+def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True,
+                 seed: DataFrame | None = None) -> DataFrame:
     """Every valid event with ``session_no`` (1-based per key) and
     ``session_start`` (time of the session's first event).
 
+    ``seed`` (key, ``start_time``, ``last_time``, ``last_event_id``) gives
+    sessions still open from earlier input: each enters the carry as a piece
+    before all others, so it is session 1 of its key and later events extend
+    it or follow it by the same rules.
+
     Output: key, ``timestamp_unix``, ``event_id``, ``status_code``,
     ``is_exit``, ``starts`` (the event opens its session), ``session_no``,
     ``session_start``.
@@ -96,6 +105,16 @@ def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True) ->
         F.sum("inner_start").alias("inner_total"),
         F.max(F.when(F.col("inner_start") == 1, F.col(T_COL))).alias("inner_last_start_t"),
     )
+    if seed is not None:
+        summary = summary.unionByName(seed.select(
+            *KEY, F.lit(SEED_BUCKET).cast("long").alias("bucket"),
+            F.lit(-1).cast("int").alias("sub"),
+            F.col("last_time").cast("long").alias("first_t"),
+            F.struct(F.col("last_time").cast("long").alias("t"),
+                     F.col("last_event_id").cast("long").alias("id"),
+                     F.lit(False).alias("x")).alias("last"),
+            F.lit(0).cast("long").alias("inner_total"),
+            F.col("start_time").cast("long").alias("inner_last_start_t")))
     w_b = Window.partitionBy(*KEY).orderBy(*PIECE)
     before = w_b.rowsBetween(Window.unboundedPreceding, -1)
     prev_last = F.lag("last").over(w_b)

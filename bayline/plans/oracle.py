@@ -117,6 +117,7 @@ select event_id, "timestamp", timestamp_unix, license_plate, location, status_co
                          + "select * exclude (last_event_id) from sess")
     q["stream_sessions"] = _with(PE, S) + f"select {SESSION_FIELDS}, n_events from sess"
     q["stream_sessions_ordered"] = q["stream_sessions"]
+    q["stream_table_sessions"] = q["stream_sessions"]
     q["stream_gap_sessions"] = (_with(PE, _sessions_ctes(exit_rule=False)) + """
 select license_plate, location, start_time, end_time, duration, cost, n_events from sess
 where status = 'TIMEOUT'""")

@@ -191,6 +191,15 @@ def q_stream_sessions_ordered(spark, sf_dir):
         chg, ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
 
 
+def q_stream_table_sessions(spark, sf_dir):
+    from bayline.streaming.jobs import sessions_from_changelog
+    from bayline.streaming.tables import replay_table_sessions
+    s = fixture_settings()
+    chg = spark.read.parquet(replay_table_sessions(spark, _pe(spark, sf_dir), s))
+    return sessions_from_changelog(
+        chg, ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
+
+
 def q_stream_changelog(spark, sf_dir):
     from bayline.streaming.jobs import sessionize_stream
     s = fixture_settings()
@@ -207,6 +216,7 @@ def q_stream_gap_sessions(spark, sf_dir):
 QUERIES.update({
     "stream_sessions": q_stream_sessions,
     "stream_sessions_ordered": q_stream_sessions_ordered,
+    "stream_table_sessions": q_stream_table_sessions,
     "stream_changelog": q_stream_changelog,
     "stream_gap_sessions": q_stream_gap_sessions,
 })

@@ -161,3 +161,16 @@ def test_ordered_fold_equals_batch_in_order(spark, cuts):
     table = jobs.replay(spark, ev, lambda st: ordered_sessionize_stream(st, S),
                         cuts=[OFF + c for c in cuts])
     assert sessions_list(jobs.sessions_from_changelog(spark.read.parquet(table))) == batch
+
+
+@pytest.mark.parametrize("cuts", [[], [700], [5, 702, 9000], [1, 2, 3, 4, 5, 6, 7, 8]])
+def test_table_state_stream_equals_batch(spark, cuts):
+    from bayline.streaming.tables import replay_table_sessions
+    rows = [(0, "ENTERING"), (5, "PARKED"), (700, "PARKED"), (701, "EXITING"), (702, "PARKED"),
+            (5000, "PARKED"), (5001, "MOVING"), (9000, "EXITING"), (9001, "EXITING"),
+            (20000, "ENTERING"), (3, "ENTERING", "B1"), (8, "EXITING", "B1")]
+    ev = events(spark, rows)
+    batch = sessions_list(sessionize.parking_sessions(ev, S))
+    table = replay_table_sessions(spark, ev, S, cuts=[OFF + c for c in cuts])
+    got = jobs.sessions_from_changelog(spark.read.parquet(table))
+    assert sessions_list(got) == batch
