@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bayline.operators.dims import dim_for_join
 from bayline.operators.pieces import PIECE, with_pieces
 from bayline.operators.sessionize import KEY, with_previous
 from bayline.operators.views import busy_locations
@@ -117,6 +116,3 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
         F.col("start_b").alias("overlap_start"),
         F.least("end_a", "end_b").alias("overlap_end"))
 
-
-__all__ = ["transition_audit", "zone_occupancy", "plate_conflicts", "spot_conflicts",
-           "dim_for_join"]

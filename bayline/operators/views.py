@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from bayline.functions.pricing import block_cost, live_duration
 from bayline.operators.changelog import SESSION_FIELDS, change_order
-from bayline.operators.dims import dim_for_join
 from bayline.params import ACTIVE, CLOSED, TIMEOUT, Settings
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from bayline.functions.pricing import block_cost
-from bayline.operators.sessionize import KEY, T_COL, TIE_COL, valid_events
+from bayline.operators.sessionize import KEY, T_COL, valid_events
 from bayline.params import Settings
 from bayline.plans.runtime import scratch_path
 from bayline.streaming.fold import OUTPUT, STATE, make_fold
@@ -156,7 +156,7 @@ def replay_slices(spark: SparkSession, slices: list[DataFrame],
 
 __all__ = ["sessionize_stream", "start_changelog", "sessions_from_changelog",
            "gap_sessions_stream", "replay", "replay_slices", "fan_out", "epoch_table_sink",
-           "TIE_COL"]
+           "upsert_views", "live_job"]
 
 
 def upsert_views(table: str, views_path: str, build_views) -> BatchSink:

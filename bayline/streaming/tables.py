@@ -94,7 +94,8 @@ def micro_batch_sessions(batch: DataFrame, open_sessions: DataFrame, clock: int,
     d = (F.col("end_time") - F.col("start_time")).cast("long")
     changes = rows.where(F.col("touched") | (F.col("status") != ACTIVE)).select(
         *KEY, "start_time", "end_time", d.alias("duration"), block_cost(d, s).alias("cost"),
-        "status", F.col("end_time").alias("last_updated"), "n_events", "start_event_id")
+        "status", F.col("end_time").alias("last_updated"), "n_events", "start_event_id",
+    ).select(*CHANGE_FIELDS)
     open_after = rows.where(F.col("status") == ACTIVE).select(
         *KEY, "start_time", F.col("end_time").alias("last_time"), "last_event_id",
         "n_events", "start_event_id")
