@@ -69,9 +69,15 @@ def free_locations(dim: DataFrame, sessions: DataFrame, ordered: bool = False) -
     return df.orderBy("location") if ordered else df
 
 
-def location_info(dim: DataFrame, sessions: DataFrame, as_of: Column, s: Settings) -> DataFrame:
-    """Every spot: OCCUPIED with the earliest-started open session there, or
-    FREE with nulls."""
+def location_info(dim: DataFrame, sessions: DataFrame, as_of: Column, s: Settings,
+                  location_id: str | None = None) -> DataFrame:
+    """Every spot (or the one named by ``location_id``, any case): OCCUPIED
+    with the earliest-started open session there, or FREE with nulls. An id
+    outside the dimension gives no row (see :func:`valid_locations`)."""
+    if location_id is not None:
+        wanted = F.lit(location_id.upper())
+        dim = dim.where(F.col("location") == wanted)
+        sessions = sessions.where(F.col("location") == wanted)
     occ = (sessions.where(F.col("status") == ACTIVE)
            .groupBy("location")
            .agg(F.min(F.struct("start_time", "license_plate")).alias("o")))

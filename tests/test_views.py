@@ -85,3 +85,13 @@ def test_dimension_zones_follow_the_reference_split(spark):
     # 7 spots in 3 zones: 2, 2 and the remainder 3
     d7 = dims.location_dim(spark, Settings(rows="A", n_cols=7)).collect()
     assert [r.zone for r in sorted(d7, key=lambda r: r.idx)] == [0, 0, 1, 1, 2, 2, 2]
+
+
+def test_location_info_for_one_spot(spark):
+    rows = [(0, "ENTERING", "A1", "X")]
+    _, sess, _, at = _views(spark, rows)
+    dim = dims.location_dim(spark, S)
+    one = views.location_info(dim, sess, at, S, location_id="a1").collect()
+    assert [(r.location, r.status, r.license_plate) for r in one] == [("A1", "OCCUPIED", "X")]
+    assert views.location_info(dim, sess, at, S, location_id="b2").first().status == "FREE"
+    assert views.location_info(dim, sess, at, S, location_id="Z9").count() == 0
