@@ -12,7 +12,8 @@ start, last time, last event id, count, first event id) and
 Per batch ``n``:
 
 1. read ``open`` and ``clock`` of batch ``n - 1``; rows older than the clock
-   minus the allowed delay are late and left out (as a watermark would);
+   minus the allowed delay are late: they go to ``late/epoch_id=<n>`` and not
+   into the sessions (as behind a watermark);
 2. scan the batch with the open sessions as seeds: a seed is session 1 of its
    key, later events extend it or follow it by the usual rules;
 3. per session: CLOSED on an exit; TIMEOUT when a later session of the key
@@ -130,7 +131,10 @@ def table_state_sink(base: str, s: Settings):
             open_prev = spark.createDataFrame([], OPEN)
         ev = valid_events(batch)
         if prev_clock is not None:
-            ev = ev.where(F.col(T_COL) >= F.lit(prev_clock - delay))
+            behind = F.col(T_COL) < F.lit(prev_clock - delay)
+            # late rows are kept for audit, not silently lost
+            ev.where(behind).write.mode("overwrite").parquet(path("late", epoch_id))
+            ev = ev.where(~behind)
         batch_max = ev.agg(F.max(T_COL)).first()[0]
         clock = max(c for c in (prev_clock, batch_max) if c is not None) \
             if (prev_clock is not None or batch_max is not None) else 0

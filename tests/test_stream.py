@@ -174,3 +174,20 @@ def test_table_state_stream_equals_batch(spark, cuts):
     table = replay_table_sessions(spark, ev, S, cuts=[OFF + c for c in cuts])
     got = jobs.sessions_from_changelog(spark.read.parquet(table))
     assert sessions_list(got) == batch
+
+
+def test_table_state_keeps_late_rows_for_audit(spark):
+    from bayline.operators.sessionize import valid_events
+    from bayline.streaming.tables import start_table_sessions
+    b1 = [(0, "ENTERING"), (500, "PARKED")]
+    b2 = [(100, "PARKED"), (600, "EXITING")]  # 100 is behind the clock (500)
+    base, ckpt, inp = (scratch_path(spark, n) for n in ("tb", "ck", "in"))
+    for b in (b1, b2):
+        valid_events(events(spark, b)).write.mode("append").parquet(inp)
+        st = spark.readStream.schema(valid_events(events(spark, b1)).schema).parquet(inp)
+        q = start_table_sessions(st, S, base, ckpt, available_now=True)
+        q.awaitTermination()
+    late = spark.read.parquet(f"{base}/late").collect()
+    assert [r.timestamp_unix - OFF for r in late] == [100]
+    got = sessions_list(jobs.sessions_from_changelog(spark.read.parquet(f"{base}/changelog")))
+    assert got == [(PLATE, SPOT, 0, 600, 600, 10000, "CLOSED")]
