@@ -22,5 +22,14 @@ def as_of_column(events: DataFrame, as_of: int | Column | None = None,
 
 
 def now_seconds() -> Column:
-    """Wall clock in Unix seconds (the reference's live ``time.time()``)."""
+    """Wall clock in Unix seconds (for live durations instead of event time)."""
     return F.unix_timestamp()
+
+
+# Fixed value: the text form of an event time.
+TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
+
+
+def now_text() -> Column:
+    """Wall clock as ``yyyy-MM-dd HH:mm:ss`` in the session time zone."""
+    return F.date_format(F.current_timestamp(), TIME_TEXT)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bayline.functions.clock import TIME_TEXT
 from bayline.params import Settings
 
 # Inactivity limit for the fixture (two days) and the mapping
@@ -55,7 +56,7 @@ def parking_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     col = (F.floor(uid / 12) * 3 + F.col("event_id") % 3 + 1).cast("long")
     return events.select(
         F.col("event_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.date_format("ts", TIME_TEXT).alias("timestamp"),
         epoch_seconds_ntz(F.col("ts")).cast("long").alias("timestamp_unix"),
         F.concat(F.lit("P"), F.lpad(uid.cast("string"), 6, "0")).alias("license_plate"),
         F.concat(row, col.cast("string")).alias("location"),

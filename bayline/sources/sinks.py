@@ -14,6 +14,14 @@ def to_console(changes: DataFrame, trigger_seconds: int = 2, truncate: bool = Fa
             .outputMode("update").trigger(processingTime=f"{trigger_seconds} seconds").start())
 
 
+def console_batch_sink(rows: int = 20):
+    """A ``foreachBatch`` sink printing each micro-batch (for eyes only)."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        print(f"-- batch {epoch_id}")
+        batch.show(rows, truncate=False)
+    return write
+
+
 def kafka_batch_sink(servers: str, topic: str):
     """A ``foreachBatch`` sink writing session rows to a Kafka topic: key =
     plate, value = JSON of the session fields. Needs the Kafka connector."""

@@ -178,7 +178,8 @@ def upsert_views(table: str, views_path: str, build_views) -> BatchSink:
 
 def live_job(spark: SparkSession, raw_stream: DataFrame, s: Settings, table: str,
              checkpoint: str, *, extra_sinks: tuple[BatchSink, ...] = (),
-             trigger_seconds: int = 2, name: str = "parking-sessions"):
+             trigger_seconds: int = 2, name: str = "parking-sessions",
+             available_now: bool = False):
     """The whole live job: raw messages -> decode (bad rows left out; read
     them with :func:`bayline.sources.raw.bad_events`) -> keyed session fold
     -> one query writing the changelog table and fanning out to
@@ -187,4 +188,5 @@ def live_job(spark: SparkSession, raw_stream: DataFrame, s: Settings, table: str
     from bayline.sources.raw import decode_events
     changes = sessionize_stream(decode_events(raw_stream), s)
     return start_changelog(changes, table, checkpoint, extra_sinks=extra_sinks,
-                           trigger_seconds=trigger_seconds, name=name)
+                           trigger_seconds=trigger_seconds, name=name,
+                           available_now=available_now)

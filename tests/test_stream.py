@@ -111,10 +111,9 @@ def test_live_job_over_raw_json_files(spark):
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(src)
     stream = raw.read_raw(spark, "json", path=src, stream=True)
     table, ckpt, vpath = (scratch_path(spark, n) for n in ("tbl", "ck", "views"))
-    sink = jobs.upsert_views(table, vpath, lambda sess: {"busy": views.busy_locations(sess)})
-    changes = jobs.sessionize_stream(raw.decode_events(stream), S)
-    w = (changes.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    other = scratch_path(spark, "views-tbl")
+    sink = jobs.upsert_views(other, vpath, lambda sess: {"busy": views.busy_locations(sess)})
+    w = jobs.live_job(spark, stream, S, table, ckpt, extra_sinks=(sink,), available_now=True)
     w.awaitTermination()
     got = sorted((r.location, r.status) for r in spark.read.parquet(table).collect())
     assert got == [("A1", "CLOSED"), ("B2", "ACTIVE")]
