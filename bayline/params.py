@@ -45,6 +45,9 @@ class Settings:
     # largest dimension (rows x cols) that may be broadcast
     broadcast_max_rows: int = 2_000_000
     watermark_delay: str = "0 seconds"
+    # "event": timeouts on event time (replay = live); "processing": the timer
+    # is re-armed to now + limit on each trigger that touches the key
+    timeout_mode: str = "event"
 
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)

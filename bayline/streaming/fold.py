@@ -121,6 +121,8 @@ def rows_frame(plate: str, loc: str, rows: list, s: Settings) -> pd.DataFrame:
 
 
 def make_fold(s: Settings):
+    event_time = s.timeout_mode == "event"
+
     def fold(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         plate, loc = key
         if state.hasTimedOut:
@@ -141,13 +143,16 @@ def make_fold(s: Settings):
         t, ids, is_exit = t[order], ids[order], codes[order] == EXITING
 
         open_state = state.get if state.exists else None
-        out, new_open, timer = fold_sorted(t, ids, is_exit, open_state,
-                                           state.getCurrentWatermarkMs(), s)
+        wm = state.getCurrentWatermarkMs() if event_time else 0
+        out, new_open, timer = fold_sorted(t, ids, is_exit, open_state, wm, s)
         if new_open is None:
             state.remove()
         else:
             state.update(new_open)
-            state.setTimeoutTimestamp(timer)
+            if event_time:
+                state.setTimeoutTimestamp(timer)
+            else:
+                state.setTimeoutDuration(int(s.timeout_seconds) * 1000)
             out.append((new_open[0], new_open[1], ACTIVE, new_open[2], new_open[3]))
         if out:
             yield rows_frame(plate, loc, out, s)

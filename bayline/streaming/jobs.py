@@ -40,10 +40,19 @@ def with_event_time(events: DataFrame, s: Settings) -> DataFrame:
 
 
 def sessionize_stream(events: DataFrame, s: Settings) -> DataFrame:
-    """Session changes of a stream of decoded events (update semantics)."""
-    ev = with_event_time(valid_events(events), s)
-    return ev.groupBy(*KEY).applyInPandasWithState(
-        make_fold(s), OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    """Session changes of a stream of decoded events (update semantics).
+
+    ``s.timeout_mode``: ``"event"`` (default) fires a timeout when the
+    watermark passes ``last + limit``, so a replay gives the live answer;
+    ``"processing"`` re-arms a wall-clock timer on every trigger that touches
+    the key, as a live-only job would (gaps inside the data still split)."""
+    ev = valid_events(events)
+    if s.timeout_mode == "event":
+        ev = with_event_time(ev, s)
+        conf = GroupStateTimeout.EventTimeTimeout
+    else:
+        conf = GroupStateTimeout.ProcessingTimeTimeout
+    return ev.groupBy(*KEY).applyInPandasWithState(make_fold(s), OUTPUT, STATE, "update", conf)
 
 
 def epoch_table_sink(path: str) -> BatchSink:

@@ -190,3 +190,28 @@ def test_table_state_keeps_late_rows_for_audit(spark):
     assert [r.timestamp_unix - OFF for r in late] == [100]
     got = sessions_list(jobs.sessions_from_changelog(spark.read.parquet(f"{base}/changelog")))
     assert got == [(PLATE, SPOT, 0, 600, 600, 10000, "CLOSED")]
+
+
+def test_processing_time_timeout(spark):
+    """Wall-clock timeout: the session times out after the limit with no data."""
+    import time
+
+    from bayline.operators.sessionize import valid_events
+    s = S.with_(timeout_seconds=2, timeout_mode="processing")
+    inp, table, ckpt = (scratch_path(spark, n) for n in ("pin", "ptbl", "pck"))
+    ev = valid_events(events(spark, [(0, "ENTERING"), (1, "PARKED")]))
+    ev.write.parquet(inp)
+    st = spark.readStream.schema(ev.schema).parquet(inp)
+    q = jobs.start_changelog(jobs.sessionize_stream(st, s), table, ckpt, trigger_seconds=1)
+    try:
+        deadline = time.time() + 60
+        seen = set()
+        while time.time() < deadline and "TIMEOUT" not in seen:
+            time.sleep(1)
+            try:
+                seen = {r.status for r in spark.read.parquet(table).collect()}
+            except Exception:  # noqa: BLE001 - table not written yet
+                pass
+    finally:
+        q.stop()
+    assert {"ACTIVE", "TIMEOUT"} <= seen
