@@ -88,8 +88,11 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pts = pts.withColumn("starts_so_far",
                          F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).over(w_in))
-    per_bucket = pts.groupBy("location", *PIECE).agg(
-        F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).alias("n_starts"))
+    last_in_piece = F.lead("t").over(Window.partitionBy("location", *PIECE).orderBy(*order))
+    pts = pts.withColumn("piece_last", last_in_piece.isNull())
+    # a piece's last row holds its number of starts (a filter, no aggregation)
+    per_bucket = pts.where(F.col("piece_last")).select(
+        "location", *PIECE, F.col("starts_so_far").alias("n_starts"))
     w_b = (Window.partitionBy("location").orderBy(*PIECE)
            .rowsBetween(Window.unboundedPreceding, -1))
     per_bucket = per_bucket.select(

@@ -20,7 +20,8 @@ time buckets of ``bucket_seconds``, hot ones cut again by a range split):
 1. one shuffle on the piece; inside a piece ``lag`` and running sums
    find the session starts that do not depend on earlier pieces;
 2. each piece is reduced to one summary row (first time, last event, number
-   of starts, last start time), in the same partitioning, so no shuffle;
+   of starts, last start time): its last row, flagged by ``lead`` and kept
+   by a filter, in the same partitioning, so no aggregation and no shuffle;
 3. a window over the summaries of one key (one row per non-empty piece, not
    per event) decides whether a piece's first event starts a session and
    carries session number and session start forward;
@@ -96,14 +97,18 @@ def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True,
     inner = inner.withColumn(
         "inner_start_t",
         F.max(F.when(F.col("inner_start") == 1, F.col(T_COL))).over(_running(w_in)))
-
-    # one row per (key, bucket): same partitioning as the scan, no shuffle
-    summary = inner.groupBy(*KEY, *PIECE).agg(
-        F.min(T_COL).alias("first_t"),
-        F.max(F.struct(F.col(T_COL).alias("t"), F.col(TIE_COL).alias("id"),
-                       F.col("is_exit").alias("x"))).alias("last"),
-        F.sum("inner_start").alias("inner_total"),
-        F.max(F.when(F.col("inner_start") == 1, F.col(T_COL))).alias("inner_last_start_t"),
+    inner = inner.withColumn("piece_first_t", F.min(T_COL).over(_running(w_in)))
+    inner = inner.withColumn("piece_last", F.lead(T_COL).over(w_in).isNull())
+
+    # one row per piece: its last row carries the piece's totals (a filter in
+    # the same partitioning, no aggregation and no shuffle)
+    summary = inner.where(F.col("piece_last")).select(
+        *KEY, *PIECE,
+        F.col("piece_first_t").alias("first_t"),
+        F.struct(F.col(T_COL).alias("t"), F.col(TIE_COL).alias("id"),
+                 F.col("is_exit").alias("x")).alias("last"),
+        F.col("inner_no").cast("long").alias("inner_total"),
+        F.col("inner_start_t").alias("inner_last_start_t"),
     )
     if seed is not None:
         summary = summary.unionByName(seed.select(
@@ -197,10 +202,11 @@ def with_previous(events: DataFrame, s: Settings) -> DataFrame:
     w_in = Window.partitionBy(*KEY, *PIECE).orderBy(T_COL, TIE_COL)
     inner = ev.select(
         "*", F.lag(T_COL).over(w_in).isNotNull().alias("has_inner_prev"),
-        F.lag("status_code").over(w_in).alias("inner_prev_status"))
-    last = inner.groupBy(*KEY, *PIECE).agg(
-        F.max(F.struct(F.col(T_COL).alias("t"), F.col(TIE_COL).alias("id"),
-                       F.col("status_code").alias("status"))).alias("last"))
+        F.lag("status_code").over(w_in).alias("inner_prev_status"),
+        F.lead(T_COL).over(w_in).isNull().alias("piece_last"))
+    # a piece's last row is its summary (a filter, no aggregation)
+    last = inner.where(F.col("piece_last")).select(
+        *KEY, *PIECE, F.struct(F.col("status_code").alias("status")).alias("last"))
     w_b = Window.partitionBy(*KEY).orderBy(*PIECE)
     carried = last.select(*KEY, *PIECE, F.lag("last").over(w_b).alias("prev_piece_last"))
     out = inner.join(carried, [*KEY, *PIECE], "inner")
