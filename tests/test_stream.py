@@ -215,3 +215,21 @@ def test_processing_time_timeout(spark):
     finally:
         q.stop()
     assert {"ACTIVE", "TIMEOUT"} <= seen
+
+
+def test_lone_exit_drop_in_all_stream_forms(spark):
+    from bayline.streaming.ordered import ordered_sessionize_stream
+    from bayline.streaming.tables import replay_table_sessions
+    s = S.with_(lone_exit="drop")
+    rows = [(0, "ENTERING"), (100, "EXITING"), (105, "EXITING"), (200, "EXITING", "B1"),
+            (300, "PARKED", "B1"), (9000, "EXITING", "C1")]
+    ev = events(spark, rows)
+    batch = sessions_list(sessionize.parking_sessions(ev, s))
+    assert [r[2] - 0 for r in batch] == [0, 300]  # lone exits at 105, 200, 9000 are gone
+    cuts = [OFF + 103, OFF + 250]
+    keyed = jobs.replay(spark, ev, lambda st: jobs.sessionize_stream(st, s), cuts=cuts)
+    ordered = jobs.replay(spark, ev, lambda st: ordered_sessionize_stream(st, s), cuts=cuts)
+    tables = replay_table_sessions(spark, ev, s, cuts=cuts)
+    for path in (keyed, ordered, tables):
+        got = sessions_list(jobs.sessions_from_changelog(spark.read.parquet(path)))
+        assert got == batch, path
