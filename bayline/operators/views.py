@@ -123,3 +123,14 @@ def statistics(dim: DataFrame, sessions: DataFrame, s: Settings) -> DataFrame:
         counts["active"].alias("active_sessions"),
         counts["closed"].alias("closed_sessions_total"),
     )
+
+
+def snapshot(dim: DataFrame, sessions: DataFrame, as_of: Column, s: Settings) -> dict:
+    """The views a client gets on connect, all at one reading time: active
+    sessions, statistics, free and busy spots (sorted)."""
+    return {
+        "active_sessions": active_sessions(sessions, as_of, s),
+        "statistics": statistics(dim, sessions, s),
+        "free_locations": free_locations(dim, sessions, ordered=True),
+        "busy_locations": busy_locations(sessions, ordered=True),
+    }

@@ -95,3 +95,13 @@ def test_location_info_for_one_spot(spark):
     assert [(r.location, r.status, r.license_plate) for r in one] == [("A1", "OCCUPIED", "X")]
     assert views.location_info(dim, sess, at, S, location_id="b2").first().status == "FREE"
     assert views.location_info(dim, sess, at, S, location_id="Z9").count() == 0
+
+
+def test_snapshot_uses_one_reading_time(spark):
+    rows = [(0, "ENTERING", "A1", "X"), (30, "ENTERING", "B2", "Y"), (40, "EXITING", "B2", "Y")]
+    _, sess, _, _ = _views(spark, rows)
+    snap = views.snapshot(dims.location_dim(spark, S), sess, F.lit(100).cast("long"), S)
+    assert [(r.license_plate, r.duration) for r in snap["active_sessions"].collect()] == [("X", 100)]
+    assert [r.location for r in snap["busy_locations"].collect()] == ["A1"]
+    assert [r.location for r in snap["free_locations"].collect()] == ["A2", "B1", "B2"]
+    assert snap["statistics"].first().closed_sessions_total == 1
