@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bayline.operators.pieces import PIECE, with_pieces
+from bayline.operators.pieces import PIECE, split_hot_keys, with_pieces
 from bayline.operators.sessionize import KEY, with_previous
 from bayline.operators.views import busy_locations
 from bayline.params import ACTIVE, ALLOWED_TRANSITIONS, ENTERING, Settings
@@ -66,9 +66,10 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
     ranked in that order; a session ``a`` overlaps exactly the later sessions
     whose start lies in ``[a.start, a.end]``, i.e. ranks ``rank(a)+1 ..
     R(a)`` with ``R(a)`` = number of the spot's sessions starting at or
-    before ``a.end``. Ranks and ``R`` come from one piecewise scan over
-    bounded pieces of a spot's time line (:mod:`bayline.operators.pieces`)
-    with piece totals carried forward, so a busy spot is not one task. The rank range is exploded and joined to the ranked
+    before ``a.end``. Ranks and ``R`` come from one window per spot; a busy
+    spot (over ``max_piece_rows`` points) is scanned in bounded pieces
+    instead, piece totals carried forward (:mod:`bayline.operators.pieces`),
+    so it is not one task. The rank range is exploded and joined to the ranked
     sessions on ``(spot, rank)``, a key with one row per value.
     """
     sess = sessions.select("location", "license_plate", "session_no", "start_time", "end_time")
@@ -82,24 +83,21 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
     pts = sess.select("*", F.col("start_time").alias("t"), F.lit(0).alias("kind"))
     pts = pts.unionByName(sess.select("*", F.col("end_time").alias("t"), F.lit(1).alias("kind")))
     order = ["t", "kind", "license_plate", "session_no"]
-    pts = with_pieces(pts, ["location"], "t", order, s)
-    w_in = (Window.partitionBy("location", *PIECE)
-            .orderBy("t", "kind", "license_plate", "session_no")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    pts = pts.withColumn("starts_so_far",
-                         F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).over(w_in))
-    last_in_piece = F.lead("t").over(Window.partitionBy("location", *PIECE).orderBy(*order))
-    pts = pts.withColumn("piece_last", last_in_piece.isNull())
-    # a piece's last row holds its number of starts (a filter, no aggregation)
-    per_bucket = pts.where(F.col("piece_last")).select(
-        "location", *PIECE, F.col("starts_so_far").alias("n_starts"))
-    w_b = (Window.partitionBy("location").orderBy(*PIECE)
-           .rowsBetween(Window.unboundedPreceding, -1))
-    per_bucket = per_bucket.select(
-        "location", *PIECE,
-        F.coalesce(F.sum("n_starts").over(w_b), F.lit(0)).alias("starts_before"))
-    ranked_pts = pts.join(per_bucket, ["location", *PIECE]).withColumn(
-        "n", (F.col("starts_before") + F.col("starts_so_far")).cast("long"))
+    starts = F.sum(F.when(F.col("kind") == 0, 1).otherwise(0))
+    if s.max_piece_rows:
+        whole, hot = split_hot_keys(pts, ["location"], s)
+    else:
+        whole, hot = None, pts
+    parts = []
+    if whole is not None:
+        # a spot of at most about max_piece_rows points: one window, no carry
+        w = (Window.partitionBy("location").orderBy(*order)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        parts.append(whole.withColumn("n", starts.over(w).cast("long")))
+    if hot is not None:
+        parts.append(_ranks_in_pieces(hot, order, s))
+    ranked_pts = parts[0] if len(parts) == 1 else parts[0].unionByName(
+        parts[1].select(*parts[0].columns))
     ranked = ranked_pts.groupBy("location", "license_plate", "session_no").agg(
         F.first("start_time").alias("start_time"), F.first("end_time").alias("end_time"),
         F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("rank"),
@@ -119,3 +117,25 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
         F.col("start_b").alias("overlap_start"),
         F.least("end_a", "end_b").alias("overlap_end"))
 
+
+def _ranks_in_pieces(pts: DataFrame, order: list[str], s: Settings) -> DataFrame:
+    """Running number of starts per spot for busy spots: counted inside
+    bounded pieces, piece totals carried forward."""
+    pts = with_pieces(pts, ["location"], "t", order, s)
+    w_in = (Window.partitionBy("location", *PIECE).orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    pts = pts.withColumn("starts_so_far",
+                         F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).over(w_in))
+    last_in_piece = F.lead("t").over(Window.partitionBy("location", *PIECE).orderBy(*order))
+    pts = pts.withColumn("piece_last", last_in_piece.isNull())
+    # a piece's last row holds its number of starts (a filter, no aggregation)
+    per_piece = pts.where(F.col("piece_last")).select(
+        "location", *PIECE, F.col("starts_so_far").alias("n_starts"))
+    w_b = (Window.partitionBy("location").orderBy(*PIECE)
+           .rowsBetween(Window.unboundedPreceding, -1))
+    per_piece = per_piece.select(
+        "location", *PIECE,
+        F.coalesce(F.sum("n_starts").over(w_b), F.lit(0)).alias("starts_before"))
+    return pts.join(per_piece, ["location", *PIECE]).select(
+        "location", "license_plate", "session_no", "start_time", "end_time", "t", "kind",
+        (F.col("starts_before") + F.col("starts_so_far")).cast("long").alias("n"))

@@ -1,20 +1,22 @@
 """Cutting an ordered scan into bounded pieces.
 
 Several operators need, per key, a scan in time order (previous row, running
-count). A window over the whole key would put all of a key's rows into one
-task. Rows are therefore cut into pieces ``(key, bucket, sub)``: ``bucket``
+count). A window over the whole key puts all of a key's rows into one task:
+fine for a key of at most about ``max_piece_rows`` rows, which is scanned
+whole in one sorted pass (:func:`split_hot_keys`). The rows of a hot key are
+cut into pieces ``(key, bucket, sub)``: ``bucket``
 is a time bucket of ``bucket_seconds``; a piece holding more than
 ``max_piece_rows`` rows (a hot key in a busy hour, or even in one second) is
 cut again into ``sub`` ranges by a range repartitioning on the key and order
 columns, which samples the hot rows and makes contiguous, balanced ranges.
 Pieces of one key are ordered by ``(bucket, sub)``.
 
-Finding hot pieces is a seeded Bernoulli sample of about 4000 rows per
+Finding hot keys and hot pieces is a seeded Bernoulli sample of about 4000 rows per
 ``max_piece_rows`` rows, aggregated per piece (exact when the limit is
-small). A piece is hot when its sampled count reaches half of its expected
-share, so a piece over the limit is found with near certainty. Only the hot
-pieces' ids come back to the driver: at most ``2 * rows / max_piece_rows``
-of them. The answer is kept per input plan for the session. Piece boundaries
+small). A group is hot when its sampled count reaches half of its expected
+share, so a group over the limit is found with near certainty, and a group
+left whole holds at most about the limit. Only the hot groups' ids come back
+to the driver: at most ``2 * rows / max_piece_rows`` of them. The answer is kept per input plan for the session. Piece boundaries
 never change a result, only how the work is cut, so an estimate is safe.
 """
 
@@ -33,10 +35,11 @@ MEMO_SIZE = 64
 _HOT: dict = {}
 
 
-def _hot_pieces(df: DataFrame, keys: list[str], limit: int) -> list[tuple]:
-    """``(key..., bucket, estimated_rows)`` of pieces over ``limit`` rows."""
+def _heavy_groups(df: DataFrame, cols: list[str], limit: int) -> list[tuple]:
+    """``(col values..., estimated_rows)`` of groups of ``cols`` holding more
+    than ``limit`` rows, from a seeded sample; kept per input plan."""
     try:
-        memo = (df.semanticHash(), tuple(keys), limit)
+        memo = (df.semanticHash(), tuple(cols), limit)
     except Exception:  # noqa: BLE001 - plans without a semantic hash
         memo = None
     if memo is not None and memo in _HOT:
@@ -44,7 +47,7 @@ def _hot_pieces(df: DataFrame, keys: list[str], limit: int) -> list[tuple]:
     frac = min(1.0, SAMPLE_ROWS_PER_LIMIT / limit)
     src = df if frac >= 1.0 else df.sample(fraction=frac, seed=17)
     need = limit + 1 if frac >= 1.0 else max(1, int(limit * frac / 2))
-    counts = (src.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = (src.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= F.lit(need)))
     hot = [(*r[:-1], int(r[-1] / frac)) for r in counts.collect()]
     if memo is not None:
@@ -54,6 +57,24 @@ def _hot_pieces(df: DataFrame, keys: list[str], limit: int) -> list[tuple]:
     return hot
 
 
+def _ids_frame(df: DataFrame, cols: list[str], groups: list[tuple], s: Settings) -> DataFrame:
+    ids = df.sparkSession.createDataFrame([g[:-1] for g in groups], df.select(*cols).schema)
+    # the list was bounded above (at most 2 * rows / limit entries); checked
+    return F.broadcast(ids) if len(groups) <= s.broadcast_max_rows else ids
+
+
+def split_hot_keys(df: DataFrame, keys: list[str], s: Settings) -> tuple[DataFrame, DataFrame | None]:
+    """``(rows of keys with at most about max_piece_rows rows, rows of hot
+    keys or None)``. A key under the limit is scanned whole in one task; a hot
+    key is cut into pieces by :func:`with_pieces`."""
+    limit = s.max_piece_rows
+    hot = _heavy_groups(df, keys, limit) if limit else []
+    if not hot:
+        return df, None
+    ids = _ids_frame(df, keys, hot, s)
+    return df.join(ids, keys, "left_anti"), df.join(ids, keys, "left_semi")
+
+
 def with_pieces(df: DataFrame, keys: list[str], time_col: str, order_cols: list[str],
                 s: Settings) -> DataFrame:
     """``df`` with ``bucket`` and ``sub`` columns (see the module doc)."""
@@ -61,16 +82,11 @@ def with_pieces(df: DataFrame, keys: list[str], time_col: str, order_cols: list[
     # stated here so both uses of a scan stay one plan (shuffle reuse)
     df = df.where(F.col("bucket").isNotNull())
     limit = s.max_piece_rows
-    hot = _hot_pieces(df, keys, limit) if limit else []
+    hot = _heavy_groups(df, [*keys, "bucket"], limit) if limit else []
     if not hot:
         return df.withColumn("sub", F.lit(0).cast("int"))
-    spark = df.sparkSession
-    key_schema = df.select(*keys, "bucket").schema
-    hot_ids = spark.createDataFrame([h[:-1] for h in hot], key_schema)
-    # the list was bounded above (at most 2 * rows / limit entries); checked
-    if len(hot) <= s.broadcast_max_rows:
-        hot_ids = F.broadcast(hot_ids)
     on = [*keys, "bucket"]
+    hot_ids = _ids_frame(df, on, hot, s)
     cold = df.join(hot_ids, on, "left_anti").withColumn("sub", F.lit(0).cast("int"))
     n_ranges = max(2, math.ceil(sum(h[-1] for h in hot) / limit))
     split = (df.join(hot_ids, on, "left_semi")

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from bayline.functions.clock import as_of_column
 from bayline.functions.pricing import block_cost, session_status
-from bayline.operators.pieces import PIECE, with_pieces
+from bayline.operators.pieces import PIECE, split_hot_keys, with_pieces
 from bayline.params import EXITING, TIMEOUT, Settings
 
 KEY = ["license_plate", "location"]
@@ -66,23 +66,70 @@ def _running(w) -> Window:
 SEED_BUCKET = -(2 ** 62)
 
 
+SCAN_COLUMNS = [*KEY, T_COL, TIE_COL, "status_code", "is_exit", "starts", "session_no",
+                "session_start"]
+
+
 def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True,
                  seed: DataFrame | None = None) -> DataFrame:
     """Every valid event with ``session_no`` (1-based per key) and
     ``session_start`` (time of the session's first event).
 
+    Keys of at most about ``max_piece_rows`` rows (found by a sampled count,
+    :func:`bayline.operators.pieces.split_hot_keys`) are scanned whole: one
+    sorted window pass, no join. Hot keys take the piecewise scan described in
+    the module doc; the two parts are unioned.
+
     ``seed`` (key, ``start_time``, ``last_time``, ``last_event_id``) gives
     sessions still open from earlier input: each enters the carry as a piece
     before all others, so it is session 1 of its key and later events extend
-    it or follow it by the same rules.
+    it or follow it by the same rules (all keys take the piecewise scan then).
 
     Output: key, ``timestamp_unix``, ``event_id``, ``status_code``,
     ``is_exit``, ``starts`` (the event opens its session), ``session_no``,
     ``session_start``.
     """
+    ev = valid_events(events)
+    if seed is not None or not s.max_piece_rows:
+        return _piece_scan(ev, s, split_on_exit, seed)
+    whole, hot = split_hot_keys(ev, KEY, s)
+    out = _whole_key_scan(_with_exit(whole), s, split_on_exit)
+    if hot is not None:
+        out = out.unionByName(_piece_scan(hot, s, split_on_exit, None))
+    return out
+
+
+def _with_exit(ev: DataFrame) -> DataFrame:
+    return ev.withColumn("is_exit",
+                         F.coalesce(F.col("status_code") == F.lit(EXITING), F.lit(False)))
+
+
+def _ends_previous(w, s: Settings, split_on_exit: bool) -> tuple[Column, Column]:
+    prev_t = F.lag(T_COL).over(w)
+    ends = F.col(T_COL) - prev_t > F.lit(s.timeout_seconds)
+    if split_on_exit:
+        ends = F.lag("is_exit").over(w) | ends
+    return prev_t.isNotNull() & ends, prev_t
+
+
+def _whole_key_scan(ev: DataFrame, s: Settings, split_on_exit: bool) -> DataFrame:
+    """Session numbers with one window over the whole key (a key small enough
+    for one task)."""
+    w = Window.partitionBy(*KEY).orderBy(T_COL, TIE_COL)
+    inner_start, prev_t = _ends_previous(w, s, split_on_exit)
+    starts = prev_t.isNull() | inner_start
+    out = ev.withColumn("starts", starts)
+    out = out.withColumn("session_no", F.sum(F.col("starts").cast("long")).over(_running(w)))
+    out = out.withColumn(
+        "session_start", F.max(F.when(F.col("starts"), F.col(T_COL))).over(_running(w)))
+    return out.select(*SCAN_COLUMNS)
+
+
+def _piece_scan(ev: DataFrame, s: Settings, split_on_exit: bool,
+                seed: DataFrame | None) -> DataFrame:
+    """Session numbers for keys cut into pieces, carried across pieces."""
     T = F.lit(s.timeout_seconds)
-    ev = with_pieces(valid_events(events), KEY, T_COL, [T_COL, TIE_COL], s)
-    ev = ev.withColumn("is_exit", F.coalesce(F.col("status_code") == F.lit(EXITING), F.lit(False)))
+    ev = _with_exit(with_pieces(ev, KEY, T_COL, [T_COL, TIE_COL], s))
 
     w_in = Window.partitionBy(*KEY, *PIECE).orderBy(T_COL, TIE_COL)
     prev_t = F.lag(T_COL).over(w_in)
@@ -198,7 +245,22 @@ def with_previous(events: DataFrame, s: Settings) -> DataFrame:
     the key's previous event), computed piecewise like :func:`session_scan`:
     ``lag`` inside a piece, and for a piece's first event the
     last event of the key's previous non-empty piece."""
-    ev = with_pieces(valid_events(events), KEY, T_COL, [T_COL, TIE_COL], s)
+    ev = valid_events(events)
+    if not s.max_piece_rows:
+        return _previous_in_pieces(ev, s)
+    whole, hot = split_hot_keys(ev, KEY, s)
+    w = Window.partitionBy(*KEY).orderBy(T_COL, TIE_COL)
+    out = whole.select(
+        *KEY, T_COL, TIE_COL, "status_code",
+        F.lag(T_COL).over(w).isNotNull().alias("has_prev"),
+        F.lag("status_code").over(w).alias("prev_status"))
+    if hot is not None:
+        out = out.unionByName(_previous_in_pieces(hot, s))
+    return out
+
+
+def _previous_in_pieces(ev: DataFrame, s: Settings) -> DataFrame:
+    ev = with_pieces(ev, KEY, T_COL, [T_COL, TIE_COL], s)
     w_in = Window.partitionBy(*KEY, *PIECE).orderBy(T_COL, TIE_COL)
     inner = ev.select(
         "*", F.lag(T_COL).over(w_in).isNotNull().alias("has_inner_prev"),

@@ -30,22 +30,32 @@ def test_scan_reads_only_needed_columns(spark):
         assert "value" not in sch and "props" not in sch, sch
 
 
+def _final(df):
+    plan = _executed(df)
+    final = plan.split("\n+- == Initial Plan ==")[0]  # the top-level final plan
+    return final, "\n".join(x for x in final.split("\n") if "ReusedExchange" not in x)
+
+
 def test_events_are_shuffled_once(spark):
+    from bayline.operators.sessionize import parking_sessions
+    from bayline.sources.fixture import fixture_settings, parking_events
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _executed(QUERIES["parking_sessions"](spark, SF0001))
+        ev = parking_events(spark.read.parquet(f"{SF0001}/events.parquet"))
+        # no hot key: one shuffle on the key; windows and both aggregation
+        # phases run in the same stage, no join
+        final, own = _final(parking_sessions(ev, fixture_settings()))
+        assert len(re.findall(r"Exchange hashpartitioning\(license_plate", own)) == 1
+        assert "SortMergeJoin" not in final and "ReusedExchange" not in final
+        # the piecewise path (every key cut into pieces): the event shuffle on
+        # (key, bucket) is written once and reused by both branches
+        final, own = _final(parking_sessions(ev, fixture_settings(max_piece_rows=0)))
+        assert "ReusedExchange" in final
+        keyed = re.findall(
+            r"Exchange hashpartitioning\(license_plate#\d+, location#\d+, bucket#\d+L", own)
+        assert len(keyed) == 2  # events once, the small carried summaries once
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    final = plan.split("\n+- == Initial Plan ==")[0]  # the top-level final plan
-    assert "ReusedExchange" in final
-    # the event scan feeding the (key, bucket) shuffle appears once in the final plan
-    own = "\n".join(x for x in final.split("\n") if "ReusedExchange" not in x)
-    keyed = re.findall(r"Exchange hashpartitioning\(license_plate#\d+, location#\d+, bucket#\d+L",
-                       own)
-    assert len(keyed) == 2  # events once, the small carried summaries once
-    # no window is partitioned by the key alone over events: windows by key
-    # alone run on the per-bucket summaries
-    assert "windowspecdefinition(license_plate" in final
 
 
 def test_dimension_broadcast_only_under_bound(spark):
