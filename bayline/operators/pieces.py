@@ -63,15 +63,23 @@ def _ids_frame(df: DataFrame, cols: list[str], groups: list[tuple], s: Settings)
     return F.broadcast(ids) if len(groups) <= s.broadcast_max_rows else ids
 
 
-def split_hot_keys(df: DataFrame, keys: list[str], s: Settings) -> tuple[DataFrame, DataFrame | None]:
-    """``(rows of keys with at most about max_piece_rows rows, rows of hot
-    keys or None)``. A key under the limit is scanned whole in one task; a hot
-    key is cut into pieces by :func:`with_pieces`."""
+def hot_key_ids(df: DataFrame, keys: list[str], s: Settings) -> DataFrame | None:
+    """Ids of keys holding more than about ``max_piece_rows`` rows, or None."""
     limit = s.max_piece_rows
     hot = _heavy_groups(df, keys, limit) if limit else []
-    if not hot:
+    return _ids_frame(df, keys, hot, s) if hot else None
+
+
+def split_hot_keys(df: DataFrame, keys: list[str], s: Settings,
+                   ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """``(rows of keys with at most about max_piece_rows rows, rows of hot
+    keys or None)``. A key under the limit is scanned whole in one task; a hot
+    key is cut into pieces by :func:`with_pieces`. ``ids`` may be given (from
+    :func:`hot_key_ids`) to split several frames the same way."""
+    if ids is None:
+        ids = hot_key_ids(df, keys, s)
+    if ids is None:
         return df, None
-    ids = _ids_frame(df, keys, hot, s)
     return df.join(ids, keys, "left_anti"), df.join(ids, keys, "left_semi")
 
 

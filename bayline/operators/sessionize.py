@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from bayline.functions.clock import as_of_column
 from bayline.functions.pricing import block_cost, session_status
-from bayline.operators.pieces import PIECE, split_hot_keys, with_pieces
+from bayline.operators.pieces import PIECE, hot_key_ids, split_hot_keys, with_pieces
 from bayline.params import EXITING, TIMEOUT, Settings
 
 KEY = ["license_plate", "location"]
@@ -90,12 +90,15 @@ def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True,
     ``session_start``.
     """
     ev = valid_events(events)
-    if seed is not None or not s.max_piece_rows:
+    if not s.max_piece_rows:
         return _piece_scan(ev, s, split_on_exit, seed)
-    whole, hot = split_hot_keys(ev, KEY, s)
-    out = _whole_key_scan(_with_exit(whole), s, split_on_exit)
+    ids = hot_key_ids(ev, KEY, s)
+    whole, hot = split_hot_keys(ev, KEY, s, ids)
+    seed_whole, seed_hot = (split_hot_keys(seed, KEY, s, ids) if seed is not None and ids is not None
+                            else (seed, None))
+    out = _whole_key_scan(_with_exit(whole), s, split_on_exit, seed_whole)
     if hot is not None:
-        out = out.unionByName(_piece_scan(hot, s, split_on_exit, None))
+        out = out.unionByName(_piece_scan(hot, s, split_on_exit, seed_hot))
     return out
 
 
@@ -112,16 +115,28 @@ def _ends_previous(w, s: Settings, split_on_exit: bool) -> tuple[Column, Column]
     return prev_t.isNotNull() & ends, prev_t
 
 
-def _whole_key_scan(ev: DataFrame, s: Settings, split_on_exit: bool) -> DataFrame:
+def _whole_key_scan(ev: DataFrame, s: Settings, split_on_exit: bool,
+                    seed: DataFrame | None = None) -> DataFrame:
     """Session numbers with one window over the whole key (a key small enough
-    for one task)."""
-    w = Window.partitionBy(*KEY).orderBy(T_COL, TIE_COL)
+    for one task). A ``seed`` session enters as a leading row of its key (at
+    its last event, carrying its start) and is left out of the output."""
+    ev = ev.withColumn("seed_start", F.lit(None).cast("long"))
+    if seed is not None:
+        ev = ev.unionByName(seed.select(
+            *KEY, F.col("last_time").cast("long").alias(T_COL),
+            F.col("last_event_id").cast("long").alias(TIE_COL),
+            F.lit(None).cast("string").alias("status_code"), F.lit(False).alias("is_exit"),
+            F.col("start_time").cast("long").alias("seed_start")))
+    is_seed = F.col("seed_start").isNotNull()
+    w = Window.partitionBy(*KEY).orderBy((~is_seed).alias("o"), T_COL, TIE_COL)
     inner_start, prev_t = _ends_previous(w, s, split_on_exit)
-    starts = prev_t.isNull() | inner_start
-    out = ev.withColumn("starts", starts)
+    out = ev.withColumn("starts", prev_t.isNull() | inner_start)
     out = out.withColumn("session_no", F.sum(F.col("starts").cast("long")).over(_running(w)))
+    start_value = F.coalesce(F.col("seed_start"), F.col(T_COL))
     out = out.withColumn(
-        "session_start", F.max(F.when(F.col("starts"), F.col(T_COL))).over(_running(w)))
+        "session_start", F.max(F.when(F.col("starts"), start_value)).over(_running(w)))
+    if seed is not None:
+        out = out.where(~is_seed)
     return out.select(*SCAN_COLUMNS)
 
 

@@ -162,15 +162,20 @@ def test_ordered_fold_equals_batch_in_order(spark, cuts):
     assert sessions_list(jobs.sessions_from_changelog(spark.read.parquet(table))) == batch
 
 
-@pytest.mark.parametrize("cuts", [[], [700], [5, 702, 9000], [1, 2, 3, 4, 5, 6, 7, 8]])
-def test_table_state_stream_equals_batch(spark, cuts):
+@pytest.mark.parametrize("cuts,limit", [([], 4_000_000), ([700], 4_000_000),
+                                        ([5, 702, 9000], 4_000_000),
+                                        ([1, 2, 3, 4, 5, 6, 7, 8], 4_000_000),
+                                        ([700, 5001], 2), ([3, 9000], 1)])
+def test_table_state_stream_equals_batch(spark, cuts, limit):
+    """Also with tiny limits: seeded keys then take the piecewise path."""
     from bayline.streaming.tables import replay_table_sessions
     rows = [(0, "ENTERING"), (5, "PARKED"), (700, "PARKED"), (701, "EXITING"), (702, "PARKED"),
             (5000, "PARKED"), (5001, "MOVING"), (9000, "EXITING"), (9001, "EXITING"),
             (20000, "ENTERING"), (3, "ENTERING", "B1"), (8, "EXITING", "B1")]
     ev = events(spark, rows)
+    s = S.with_(max_piece_rows=limit)
     batch = sessions_list(sessionize.parking_sessions(ev, S))
-    table = replay_table_sessions(spark, ev, S, cuts=[OFF + c for c in cuts])
+    table = replay_table_sessions(spark, ev, s, cuts=[OFF + c for c in cuts])
     got = jobs.sessions_from_changelog(spark.read.parquet(table))
     assert sessions_list(got) == batch
 
