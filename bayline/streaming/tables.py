@@ -103,9 +103,25 @@ def micro_batch_sessions(batch: DataFrame, open_sessions: DataFrame, clock: int,
     return changes, open_after
 
 
-def table_state_sink(base: str, s: Settings):
+def _drop_state_epochs(spark: SparkSession, root: str, below: int) -> None:
+    """Delete ``root/epoch_id=<k>`` for ``k < below`` (state no batch needs
+    any more), through the Hadoop file system of the path."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if name.startswith("epoch_id=") and int(name.split("=", 1)[1]) < below:
+            fs.delete(st.getPath(), True)
+
+
+def table_state_sink(base: str, s: Settings, retain_epochs: int = 10):
     """``foreachBatch`` function running :func:`micro_batch_sessions`, with
-    ``open``, ``clock`` and ``changelog`` tables below ``base``."""
+    ``open``, ``clock`` and ``changelog`` tables below ``base``. State epochs
+    (``open``, ``clock``) older than the last ``retain_epochs`` are deleted;
+    the changelog is kept."""
     base = base.rstrip("/")
     delay = _delay_seconds(s)
 
@@ -143,13 +159,17 @@ def table_state_sink(base: str, s: Settings):
         open_after.write.mode("overwrite").parquet(path("open", epoch_id))
         spark.range(1).select(F.lit(clock).cast("long").alias("as_of")) \
             .write.mode("overwrite").parquet(path("clock", epoch_id))
+        if retain_epochs:
+            for name in ("open", "clock"):
+                _drop_state_epochs(spark, f"{base}/{name}", epoch_id - retain_epochs + 1)
     return write
 
 
 def start_table_sessions(events_stream: DataFrame, s: Settings, base: str, checkpoint: str,
-                         *, available_now: bool = False, trigger_seconds: int = 2):
+                         *, available_now: bool = False, trigger_seconds: int = 2,
+                         retain_epochs: int = 10):
     """Start the live job; the changelog is ``<base>/changelog``."""
-    w = (events_stream.writeStream.foreachBatch(table_state_sink(base, s))
+    w = (events_stream.writeStream.foreachBatch(table_state_sink(base, s, retain_epochs))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{trigger_seconds} seconds")

@@ -238,3 +238,22 @@ def test_lone_exit_drop_in_all_stream_forms(spark):
     for path in (keyed, ordered, tables):
         got = sessions_list(jobs.sessions_from_changelog(spark.read.parquet(path)))
         assert got == batch, path
+
+
+def test_table_state_keeps_only_recent_state_epochs(spark):
+    import os
+
+    from bayline.operators.sessionize import valid_events
+    from bayline.streaming.tables import start_table_sessions
+    base, ckpt, inp = (scratch_path(spark, n) for n in ("keep", "keepck", "keepin"))
+    schema = valid_events(events(spark, [(0, "ENTERING")])).schema
+    for t in (0, 100, 200, 300):
+        valid_events(events(spark, [(t, "PARKED")])).write.mode("append").parquet(inp)
+        q = start_table_sessions(spark.readStream.schema(schema).parquet(inp), S, base, ckpt,
+                                 available_now=True, retain_epochs=2)
+        q.awaitTermination()
+    local = base.replace("file:", "")
+    assert sorted(os.listdir(f"{local}/open")) == ["epoch_id=2", "epoch_id=3"]
+    assert len([d for d in os.listdir(f"{local}/changelog") if d.startswith("epoch_id=")]) == 4
+    got = sessions_list(jobs.sessions_from_changelog(spark.read.parquet(f"{base}/changelog")))
+    assert got == [(PLATE, SPOT, 0, 300, 300, 10000, "ACTIVE")]
