@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from bayline.functions.clock import as_of_column
 from bayline.functions.pricing import block_cost
+from bayline.operators.pieces import hot_key_ids, split_hot_keys
 from bayline.operators.sessionize import (
-    KEY, T_COL, TIE_COL, session_scan, sessions_from_scan, valid_events)
+    KEY, T_COL, TIE_COL, piece_scan, session_scan, sessions_from_scan, valid_events,
+    whole_key_scan)
 from bayline.params import ACTIVE, CLOSED, TIMEOUT, Settings
 
 CHANGELOG_COLUMNS = ["license_plate", "location", "session_no", "start_time", "end_time",
@@ -29,12 +31,31 @@ EXIT_MESSAGE = "Xe %s đã rời vị trí %s"
 
 def session_changelog(events: DataFrame, s: Settings,
                       as_of: int | Column | None = None) -> DataFrame:
-    scan = session_scan(events, s)
-    if s.lone_exit == "drop":
-        scan = scan.where(~(F.col("starts") & F.col("is_exit")))
+    """Changelog of all sessions (see the module doc).
+
+    Keys of at most about ``max_piece_rows`` rows take one sorted pass: the
+    window that numbers sessions also sees the next event (``lead``), so the
+    last event of a session that went silent emits its TIMEOUT row right
+    there, next to its own row (``explode`` of a two-element array, empty
+    slot dropped).
+    Hot keys use the piecewise scan and a session aggregate for the TIMEOUT
+    rows."""
+    ev = valid_events(events)
+    at = as_of_column(ev, as_of)
+    if not s.max_piece_rows:
+        return _changelog_of_scan(session_scan(ev, s), s, at)
+    ids = hot_key_ids(ev, KEY, s)
+    whole, hot = split_hot_keys(ev, KEY, s, ids)
+    out = _changelog_whole_keys(whole, s, at)
+    if hot is not None:
+        out = out.unionByName(_changelog_of_scan(piece_scan(hot, s), s, at))
+    return out
+
+
+def _event_row(s: Settings) -> Column:
     duration = (F.col(T_COL) - F.col("session_start")).cast("long")
-    event_rows = scan.select(
-        *KEY, "session_no",
+    return F.struct(
+        *[F.col(k) for k in KEY], F.col("session_no"),
         F.col("session_start").alias("start_time"),
         F.col(T_COL).alias("end_time"),
         duration.alias("duration"),
@@ -45,8 +66,42 @@ def session_changelog(events: DataFrame, s: Settings,
         F.lit(0).cast("long").alias("change_kind"),
         F.col(TIE_COL).alias("event_id"),
     )
-    sessions = sessions_from_scan(scan, s, as_of_column(valid_events(events), as_of),
-                                  last_event_id=True)
+
+
+def _changelog_whole_keys(ev: DataFrame, s: Settings, as_of: Column) -> DataFrame:
+    T = F.lit(s.timeout_seconds)
+    scan = whole_key_scan(ev, s, keep_next=True)
+    if s.lone_exit == "drop":
+        scan = scan.where(~(F.col("starts") & F.col("is_exit")))
+    nxt = F.col("next_t")
+    # the last event of a session that went silent: the next event comes after
+    # a gap, or none comes and the reading time is past the limit
+    scan = scan.withColumn(
+        "silent", ~F.col("is_exit") & F.when(nxt.isNull(), as_of - F.col(T_COL) > T)
+        .otherwise(nxt - F.col(T_COL) > T))
+    duration = (F.col(T_COL) - F.col("session_start")).cast("long")
+    timeout_row = F.when(F.col("silent"), F.struct(
+        *[F.col(k) for k in KEY], F.col("session_no"),
+        F.col("session_start").alias("start_time"),
+        F.col(T_COL).alias("end_time"),
+        duration.alias("duration"),
+        block_cost(duration, s).alias("cost"),
+        F.lit(TIMEOUT).alias("status"),
+        F.col(T_COL).alias("last_updated"),
+        (F.col(T_COL) + T).cast("long").alias("change_time"),
+        F.lit(1).cast("long").alias("change_kind"),
+        F.col(TIE_COL).alias("event_id"),
+    ))
+    rows = F.array(_event_row(s), timeout_row)
+    return (scan.select(F.explode(rows).alias("r"))
+            .where(F.col("r").isNotNull()).select("r.*"))
+
+
+def _changelog_of_scan(scan: DataFrame, s: Settings, as_of: Column) -> DataFrame:
+    if s.lone_exit == "drop":
+        scan = scan.where(~(F.col("starts") & F.col("is_exit")))
+    event_rows = scan.select(F.col("*"), _event_row(s).alias("r")).select("r.*")
+    sessions = sessions_from_scan(scan, s, as_of, last_event_id=True)
     timeout_rows = sessions.where(F.col("status") == TIMEOUT).select(
         *KEY, "session_no", "start_time", "end_time", "duration", "cost", "status",
         "last_updated",

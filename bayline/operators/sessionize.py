@@ -116,7 +116,7 @@ def _ends_previous(w, s: Settings, split_on_exit: bool) -> tuple[Column, Column]
 
 
 def _whole_key_scan(ev: DataFrame, s: Settings, split_on_exit: bool,
-                    seed: DataFrame | None = None) -> DataFrame:
+                    seed: DataFrame | None = None, keep_next: bool = False) -> DataFrame:
     """Session numbers with one window over the whole key (a key small enough
     for one task). A ``seed`` session enters as a leading row of its key (at
     its last event, carrying its start) and is left out of the output."""
@@ -128,16 +128,21 @@ def _whole_key_scan(ev: DataFrame, s: Settings, split_on_exit: bool,
             F.lit(None).cast("string").alias("status_code"), F.lit(False).alias("is_exit"),
             F.col("start_time").cast("long").alias("seed_start")))
     is_seed = F.col("seed_start").isNotNull()
-    w = Window.partitionBy(*KEY).orderBy((~is_seed).alias("o"), T_COL, TIE_COL)
+    order = [T_COL, TIE_COL] if seed is None else [(~is_seed).alias("o"), T_COL, TIE_COL]
+    w = Window.partitionBy(*KEY).orderBy(*order)
     inner_start, prev_t = _ends_previous(w, s, split_on_exit)
     out = ev.withColumn("starts", prev_t.isNull() | inner_start)
     out = out.withColumn("session_no", F.sum(F.col("starts").cast("long")).over(_running(w)))
     start_value = F.coalesce(F.col("seed_start"), F.col(T_COL))
     out = out.withColumn(
         "session_start", F.max(F.when(F.col("starts"), start_value)).over(_running(w)))
+    extra = []
+    if keep_next:
+        out = out.withColumn("next_t", F.lead(T_COL).over(w))
+        extra = ["next_t"]
     if seed is not None:
         out = out.where(~is_seed)
-    return out.select(*SCAN_COLUMNS)
+    return out.select(*SCAN_COLUMNS, *extra)
 
 
 def _piece_scan(ev: DataFrame, s: Settings, split_on_exit: bool,
@@ -293,3 +298,16 @@ def _previous_in_pieces(ev: DataFrame, s: Settings) -> DataFrame:
         F.when(F.col("has_inner_prev"), F.col("inner_prev_status"))
         .otherwise(F.col("prev_piece_last.status")).alias("prev_status"),
     )
+
+
+def whole_key_scan(ev: DataFrame, s: Settings, split_on_exit: bool = True,
+                   keep_next: bool = False) -> DataFrame:
+    """:func:`session_scan` for valid events of keys small enough for one task;
+    ``keep_next`` adds ``next_t``, the time of the key's next event."""
+    out = _whole_key_scan(_with_exit(ev), s, split_on_exit, keep_next=keep_next)
+    return out
+
+
+def piece_scan(ev: DataFrame, s: Settings, split_on_exit: bool = True) -> DataFrame:
+    """:func:`session_scan` for valid events of hot keys (piecewise)."""
+    return _piece_scan(ev, s, split_on_exit, None)

@@ -225,3 +225,21 @@ def test_spot_conflicts_split_pieces_equal_brute_force(spark):
         s = S.with_(bucket_seconds=300, max_piece_rows=limit)
         got = audit.spot_conflicts(sessionize.parking_sessions(spark.createDataFrame(rows, EV), s), s)
         assert {(r.plate_a, r.start_a, r.plate_b, r.start_b) for r in got.collect()} == want
+
+
+def test_changelog_same_on_every_path(spark):
+    from bayline.operators import changelog
+    rng = random.Random(23)
+    rows = gen_rows(rng, 120, keys=4, span=900)
+    ev = spark.createDataFrame(rows, EV)
+    cols = changelog.CHANGELOG_COLUMNS
+
+    def run(**kw):
+        return sorted(map(tuple, changelog.session_changelog(ev, S.with_(**kw)).select(*cols)
+                          .collect()), key=repr)
+
+    whole = run()
+    assert any(r[7] == "TIMEOUT" for r in whole) and any(r[7] == "CLOSED" for r in whole)
+    assert run(max_piece_rows=0, bucket_seconds=37) == whole
+    assert run(max_piece_rows=20, bucket_seconds=50) == whole
+    assert run(lone_exit="drop", max_piece_rows=20) == run(lone_exit="drop")
