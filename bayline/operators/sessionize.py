@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from bayline.functions.clock import as_of_column
 from bayline.functions.pricing import block_cost, session_status
 from bayline.operators.pieces import PIECE, hot_key_ids, split_hot_keys, with_pieces
-from bayline.params import EXITING, TIMEOUT, Settings
+from bayline.params import EXITING, Settings
 
 KEY = ["license_plate", "location"]
 T_COL, TIE_COL = "timestamp_unix", "event_id"
@@ -256,9 +256,6 @@ def gap_sessions(events: DataFrame, s: Settings, as_of: int | Column | None = No
                               split_on_exit=False)
 
 
-def timed_out(sessions: DataFrame) -> DataFrame:
-    return sessions.where(F.col("status") == F.lit(TIMEOUT))
-
 
 def with_previous(events: DataFrame, s: Settings) -> DataFrame:
     """Every valid event with ``has_prev`` and ``prev_status`` (the status of

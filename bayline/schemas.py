@@ -23,6 +23,4 @@ SESSION = StructType([
     StructField("last_updated", LongType(), True),
 ])
 
-# columns every operator expects of a parsed event frame
-EVENT_COLUMNS = ("event_id", "timestamp_unix", "license_plate", "location", "status_code")
 KEY = ("license_plate", "location")

@@ -1,9 +1,9 @@
-"""Sinks: console, Kafka, changelog table and view snapshots."""
+"""Sinks: console and Kafka (the changelog table and view upserts are in
+:mod:`bayline.streaming.jobs`)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from bayline.operators.changelog import SESSION_FIELDS, encode_changelog
 
@@ -46,18 +46,3 @@ def to_kafka(changes: DataFrame, servers: str, topic: str, checkpoint: str,
             .outputMode("update")
             .trigger(processingTime=f"{trigger_seconds} seconds")
             .start())
-
-
-def view_snapshot_sink(path: str, build_views):
-    """A ``foreachBatch`` sink that, after each batch, rewrites view tables
-    computed by ``build_views(spark) -> dict[name, DataFrame]`` from the
-    changelog table: ``<path>/<name>`` (overwrite: a retry replaces it)."""
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        for name, df in build_views(batch.sparkSession).items():
-            df.withColumn("epoch_id", F.lit(epoch_id)).write.mode("overwrite") \
-                .parquet(f"{path.rstrip('/')}/{name}")
-    return write
-
-
-def as_of_literal(seconds: int) -> Column:
-    return F.lit(int(seconds)).cast("long")

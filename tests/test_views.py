@@ -105,3 +105,12 @@ def test_snapshot_uses_one_reading_time(spark):
     assert [r.location for r in snap["busy_locations"].collect()] == ["A1"]
     assert [r.location for r in snap["free_locations"].collect()] == ["A2", "B1", "B2"]
     assert snap["statistics"].first().closed_sessions_total == 1
+
+
+def test_small_public_helpers(spark, capsys):
+    from bayline.functions.clock import now_seconds, now_text
+    from bayline.sources.sinks import console_batch_sink
+    row = spark.range(1).select(now_seconds().alias("n"), now_text().alias("t")).first()
+    assert row.n > 1_700_000_000 and len(row.t) == 19
+    console_batch_sink(5)(spark.range(3), 7)
+    assert "-- batch 7" in capsys.readouterr().out
