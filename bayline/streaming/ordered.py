@@ -45,6 +45,8 @@ PENDING = StructType([
     StructField("status", StringType()),
 ])
 HALF = 500
+PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EMPTY = (None, None, None, None, 0, None, None)
 
 
@@ -123,6 +125,11 @@ def ordered_sessionize_stream(events: DataFrame, s: Settings) -> DataFrame:
     """Like :func:`bayline.streaming.jobs.sessionize_stream`, but rows may
     arrive out of order within the watermark delay."""
     from bayline.streaming.jobs import with_event_time
+    # transformWithState keeps several state variables per key, which needs
+    # the RocksDB state store; the provider is read when the query starts
+    conf = events.sparkSession.conf
+    if "RocksDB" not in (conf.get(PROVIDER_KEY, None) or ""):
+        conf.set(PROVIDER_KEY, ROCKSDB_PROVIDER)
     ev = with_event_time(valid_events(events), s)
     return ev.groupBy(*KEY).transformWithStateInPandas(
         OrderedSessions(s), OUTPUT, "update", "EventTime")
