@@ -42,14 +42,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Only when it is unset (local tests) is a private folder made here.
     """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a session without a local SparkContext
+        sc = None
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="bayline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 

@@ -106,9 +106,13 @@ def micro_batch_sessions(batch: DataFrame, open_sessions: DataFrame, clock: int,
 def _drop_state_epochs(spark: SparkSession, root: str, below: int) -> None:
     """Delete ``root/epoch_id=<k>`` for ``k < below`` (state no batch needs
     any more), through the Hadoop file system of the path."""
-    jvm = spark.sparkContext._jvm
+    try:
+        jvm = spark.sparkContext._jvm
+        hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no JVM handle here: keep old epochs
+        return
     path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs = path.getFileSystem(hadoop_conf)
     if not fs.exists(path):
         return
     for st in fs.listStatus(path):
