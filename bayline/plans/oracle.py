@@ -117,6 +117,49 @@ select event_id, "timestamp", timestamp_unix, license_plate, location, status_co
                          + "select * exclude (last_event_id) from sess")
     q["stream_sessions"] = _with(PE, S) + f"select {SESSION_FIELDS}, n_events from sess"
     q["stream_sessions_ordered"] = q["stream_sessions"]
+    # the keyed-state changelog of a replay in 4 equal time slices, one trigger
+    # per slice: a session gives one ACTIVE row for each slice in which it has
+    # events and is still open at the slice's end, plus its final row
+    q["stream_changelog"] = _with(PE, S) + f"""
+, nb as (select min(timestamp_unix) as lo, (max(timestamp_unix) - min(timestamp_unix)) // 4 + 1
+                as width from pe),
+ev as (select n.*, cast(floor((timestamp_unix - lo) / cast(width as double)) as bigint) as slice
+       from n cross join nb),
+info as (
+  select license_plate, location, session_no, min(timestamp_unix) as s_start,
+         arg_min(event_id, (timestamp_unix, event_id)) as first_id,
+         max(slice) as last_slice
+  from ev group by license_plate, location, session_no),
+nxt as (
+  select *, lead(first_slice) over (partition by license_plate, location order by session_no)
+              as next_first_slice
+  from (select i.*, (select min(slice) from ev e where e.license_plate = i.license_plate
+                     and e.location = i.location and e.session_no = i.session_no) as first_slice
+        from info i)),
+per_slice as (
+  select license_plate, location, session_no, slice, max(timestamp_unix) as end_k,
+         count(*) as cnt_k
+  from ev group by license_plate, location, session_no, slice),
+cum as (
+  select p.*, sum(cnt_k) over (partition by license_plate, location, session_no
+                               order by slice) as n_k
+  from per_slice p),
+active_rows as (
+  select c.license_plate, c.location, x.s_start as start_time, c.end_k as end_time,
+         c.end_k - x.s_start as duration, {_cost('c.end_k - x.s_start')} as cost,
+         'ACTIVE' as status, c.end_k as last_updated, cast(c.n_k as bigint) as n_events,
+         x.first_id as start_event_id
+  from cum c
+  join nxt x using (license_plate, location, session_no)
+  join sess t using (license_plate, location, session_no)
+  where not (c.slice = x.last_slice
+             and (t.status = 'CLOSED' or coalesce(x.next_first_slice = c.slice, false)))),
+final_rows as (
+  select t.license_plate, t.location, t.start_time, t.end_time, t.duration, t.cost, t.status,
+         t.last_updated, t.n_events, x.first_id as start_event_id
+  from sess t join nxt x using (license_plate, location, session_no)
+  where t.status <> 'ACTIVE')
+select * from active_rows union all select * from final_rows"""
     q["stream_table_sessions"] = q["stream_sessions"]
     q["stream_gap_sessions"] = (_with(PE, _sessions_ctes(exit_rule=False)) + """
 select license_plate, location, start_time, end_time, duration, cost, n_events from sess
