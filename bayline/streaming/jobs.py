@@ -117,7 +117,7 @@ def gap_sessions_stream(events: DataFrame, s: Settings) -> DataFrame:
 
 def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame], DataFrame],
            n_slices: int = 4, base: str | None = None, output_mode: str = "update",
-           cuts: list[int] | None = None) -> str:
+           cuts: list[int] | None = None, extra_sinks: tuple[BatchSink, ...] = ()) -> str:
     """Run ``build(stream_of_events)`` over ``events`` cut into ``n_slices``
     equal time ranges (or at the given ``cuts`` times: slice ``k`` holds
     ``cuts[k-1] <= t < cuts[k]``), oldest first; returns the changelog path.
@@ -140,12 +140,13 @@ def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame],
             piece = F.floor((F.col(T_COL) - F.lit(lo)) / F.lit(width)).cast("long")
     slices = [ev.where(piece == k) for k in range(n_slices)]
     return replay_slices(spark, slices, build, base=base, output_mode=output_mode,
-                         schema=ev.schema)
+                         schema=ev.schema, extra_sinks=extra_sinks)
 
 
 def replay_slices(spark: SparkSession, slices: list[DataFrame],
                   build: Callable[[DataFrame], DataFrame], base: str | None = None,
-                  output_mode: str = "update", schema=None) -> str:
+                  output_mode: str = "update", schema=None,
+                  extra_sinks: tuple[BatchSink, ...] = ()) -> str:
     """Append each slice to an input folder and run the query with
     ``availableNow`` after each one, restarting on the same checkpoint (so
     each slice after the first is also a restart). Returns the changelog path.
@@ -156,7 +157,7 @@ def replay_slices(spark: SparkSession, slices: list[DataFrame],
         part.write.mode("append").parquet(inp)
         stream = spark.readStream.schema(schema or part.schema).parquet(inp)
         q = start_changelog(build(stream), table, ckpt, available_now=True,
-                            output_mode=output_mode)
+                            output_mode=output_mode, extra_sinks=extra_sinks)
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()

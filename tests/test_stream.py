@@ -257,3 +257,24 @@ def test_table_state_keeps_only_recent_state_epochs(spark):
     assert len([d for d in os.listdir(f"{local}/changelog") if d.startswith("epoch_id=")]) == 4
     got = sessions_list(jobs.sessions_from_changelog(spark.read.parquet(f"{base}/changelog")))
     assert got == [(PLATE, SPOT, 0, 300, 300, 10000, "ACTIVE")]
+
+
+def test_incremental_view_store_equals_batch_views(spark):
+    from conftest import SF0001
+
+    from bayline.operators import views
+    from bayline.sources.fixture import fixture_settings, parking_events
+    from bayline.streaming.live_views import latest_views_state, live_views_sink
+    s = fixture_settings(closed_retention=50)
+    ev = parking_events(spark.read.parquet(f"{SF0001}/events.parquet"))
+    base = scratch_path(spark, "liveviews")
+    jobs.replay(spark, ev, lambda st: jobs.sessionize_stream(st, s),
+                extra_sinks=(live_views_sink(base, s),))
+    open_now, closed_now, closed_total = latest_views_state(spark, base)
+    sess = sessionize.parking_sessions(ev, s)
+    cols = ["license_plate", "location", "start_time", "end_time", "n_events"]
+    want_open = sorted(map(tuple, sess.where("status = 'ACTIVE'").select(*cols).collect()))
+    assert sorted(map(tuple, open_now.select(*cols).collect())) == want_open
+    assert closed_total == sess.where("status = 'CLOSED'").count()
+    want_top = sorted(map(tuple, views.closed_history(sess, 50).select(*cols[:4]).collect()))
+    assert sorted(map(tuple, closed_now.select(*cols[:4]).collect())) == want_top
