@@ -105,23 +105,32 @@ def closed_history(sessions: DataFrame, limit: int, retention: int | None = None
 
 def statistics(dim: DataFrame, sessions: DataFrame, s: Settings) -> DataFrame:
     """One row: total_locations, busy_count, free_count, active_sessions,
-    closed_sessions_total. Two scalar aggregates (each partially aggregated
-    per task): one over the dimension joined with the busy spots, one over
-    the sessions."""
-    busy = busy_locations(sessions).withColumn("busy", F.lit(1))
-    spots = dim.select("location").join(busy, "location", "left").agg(F.struct(
-        F.count(F.lit(1)).cast("long").alias("total"),
-        F.count("busy").cast("long").alias("busy"))).scalar()
-    counts = sessions.agg(F.struct(
-        F.count(F.when(F.col("status") == ACTIVE, 1)).cast("long").alias("active"),
-        F.count(F.when(F.col("status") == CLOSED, 1)).cast("long").alias("closed"))).scalar()
-    # a one-row carrier for the two scalar subqueries
-    return dim.sparkSession.range(1).select(
-        spots["total"].alias("total_locations"),
-        spots["busy"].alias("busy_count"),
-        (spots["total"] - spots["busy"]).alias("free_count"),
-        counts["active"].alias("active_sessions"),
-        counts["closed"].alias("closed_sessions_total"),
+    closed_sessions_total.
+
+    The sessions are read once: their per-spot flags and the grid's spots are
+    unioned and counted per spot in one partially aggregated ``groupBy`` (a
+    session at a spot outside the grid still counts), then one aggregate gives
+    all five values.
+    """
+    flags = sessions.select(
+        "location", F.lit(0).alias("in_grid"),
+        (F.col("status") == ACTIVE).cast("long").alias("n_active"),
+        (F.col("status") == CLOSED).cast("long").alias("n_closed"))
+    grid = dim.select("location", F.lit(1).alias("in_grid"),
+                      F.lit(0).cast("long").alias("n_active"),
+                      F.lit(0).cast("long").alias("n_closed"))
+    per_spot = grid.unionByName(flags).groupBy("location").agg(
+        F.max("in_grid").alias("in_grid"), F.sum("n_active").alias("n_active"),
+        F.sum("n_closed").alias("n_closed"))
+    in_grid = F.col("in_grid") == 1
+    total = F.count(F.when(in_grid, 1)).cast("long")
+    n_busy = F.count(F.when(in_grid & (F.col("n_active") > 0), 1)).cast("long")
+    return per_spot.agg(
+        total.alias("total_locations"),
+        n_busy.alias("busy_count"),
+        (total - n_busy).alias("free_count"),
+        F.coalesce(F.sum("n_active"), F.lit(0)).cast("long").alias("active_sessions"),
+        F.coalesce(F.sum("n_closed"), F.lit(0)).cast("long").alias("closed_sessions_total"),
     )
 
 
