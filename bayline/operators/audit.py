@@ -107,7 +107,9 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
         F.col("license_plate").alias("plate_a"), F.col("start_time").alias("start_a"),
         F.col("end_time").alias("end_a"),
         F.explode(F.sequence(F.col("rank") + 1, F.col("reach"))).alias("rank"))
-    b = ranked.select(
+    # every session reaches at least its own rank, so this filter keeps all
+    # rows; it makes both sides read the same aggregate (one shared exchange)
+    b = ranked.where(F.col("reach") >= F.col("rank")).select(
         "location", "rank",
         F.col("license_plate").alias("plate_b"), F.col("start_time").alias("start_b"),
         F.col("end_time").alias("end_b"))
