@@ -16,7 +16,8 @@ Finding hot keys and hot pieces is a seeded Bernoulli sample of about 4000 rows
 small). A group is hot when its sampled count reaches half of its expected
 share, so a group over the limit is found with near certainty, and a group
 left whole holds at most about the limit. Only the hot groups' ids come back
-to the driver: at most ``2 * rows / max_piece_rows`` of them. The answer is kept per input plan for the session. Piece boundaries
+to the driver: at most ``2 * rows / max_piece_rows`` of them. The answer is
+kept for the session per input plan and input file list. Piece boundaries
 never change a result, only how the work is cut, so an estimate is safe.
 """
 
@@ -37,10 +38,12 @@ _HOT: dict = {}
 
 def _heavy_groups(df: DataFrame, cols: list[str], limit: int) -> list[tuple]:
     """``(col values..., estimated_rows)`` of groups of ``cols`` holding more
-    than ``limit`` rows, from a seeded sample; kept per input plan."""
+    than ``limit`` rows, from a seeded sample; kept per input plan and files."""
     try:
-        memo = (df.semanticHash(), tuple(cols), limit)
-    except Exception:  # noqa: BLE001 - plans without a semantic hash
+        # the plan and the files it reads: new files under a path mean a new check
+        files = hash(tuple(sorted(df.inputFiles())))
+        memo = (df.semanticHash(), files, tuple(cols), limit)
+    except Exception:  # noqa: BLE001 - plans without a semantic hash or file list
         memo = None
     if memo is not None and memo in _HOT:
         return _HOT[memo]
