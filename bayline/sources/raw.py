@@ -18,11 +18,13 @@ EVENT_FIELDS = [f.name for f in EVENT.fields]
 def read_raw(spark: SparkSession, fmt: str, *, path: str | None = None,
              servers: str | None = None, topic: str | None = None,
              starting_offsets: str = "earliest", stream: bool = True,
-             options: dict | None = None) -> DataFrame:
-    """Raw messages from Kafka (``fmt="kafka"``), or lines of JSON/text files.
+             options: dict | None = None, schema=None) -> DataFrame:
+    """Raw messages from Kafka (``fmt="kafka"``), lines of JSON/text files, or
+    parquet files of raw messages (``key``, ``value``, ``offset``, ...).
 
     Kafka needs the ``spark-sql-kafka`` connector on the class path. A new
-    checkpoint starts at ``earliest`` so no event is lost between restarts.
+    checkpoint starts at ``earliest`` so no event is lost between restarts. A
+    parquet stream takes ``schema``, or the one in the files' footers.
     """
     reader = spark.readStream if stream else spark.read
     opts = dict(options or {})
@@ -44,6 +46,8 @@ def read_raw(spark: SparkSession, fmt: str, *, path: str | None = None,
         r = reader.format("parquet")
         for k, v in opts.items():
             r = r.option(k, v)
+        if stream:
+            r = r.schema(schema or spark.read.parquet(path).schema)
         return r.load(path)
     raise ValueError(f"unknown raw format {fmt!r}")
 
