@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from bayline.llm.substring_dedup import remove_repeated_passages
-from bayline.sources.tables import table
+from bayline.sources.tables import read_table
 
 
 def op2_substring_dedup(spark, sf_dir):
     """Words left after removing every repeated 35-word passage."""
-    return remove_repeated_passages(table(spark, sf_dir, "documents"), k=35)
+    return remove_repeated_passages(read_table(spark, sf_dir, "documents"), k=35)
 
 
 QUERIES = {
