@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bayline.llm.minhash_dedup import near_duplicates
 from bayline.llm.substring_dedup import remove_repeated_passages
 from bayline.sources.tables import read_table
 
@@ -11,7 +12,13 @@ def op2_substring_dedup(spark, sf_dir):
     return remove_repeated_passages(read_table(spark, sf_dir, "documents"), k=35)
 
 
+def op6_minhash_dedup(spark, sf_dir):
+    """Near-duplicate components over 2-word shingles, Jaccard 0.8 or more."""
+    return near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=2)
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op6_minhash_dedup": op6_minhash_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
