@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from bayline.llm.minhash_dedup import near_duplicates
+from bayline.llm.mixing import mix
 from bayline.llm.substring_dedup import remove_repeated_passages
+from bayline.llm.toxicity import toxicity
 from bayline.sources.tables import read_table
 
 
@@ -17,8 +19,20 @@ def op6_minhash_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op9_mixing(spark, sf_dir):
+    """All documents mixed to weights 1, 2, 3 by source, three passes at most."""
+    return mix(read_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark, sf_dir):
+    """Scores of all documents, learnt from the training share of ``labels``."""
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
