@@ -10,7 +10,7 @@ removed; windows are judged on the input.
    a stream of sorted rows. The merged sketch overestimates counts, so a cell
    hit at most once proves that its window is unique.
 2. Only windows whose every cell was hit more than once are sent on. They are
-   counted exactly, by a 128-bit hash of the words, combined before the
+   counted exactly, by a 96-bit hash of the words, combined before the
    shuffle: a passage shared by a third of all texts is one row per task.
    Counts of 1 are the sketch's mistakes; each belongs to one text.
 3. Per text: windows that the sketch calls repeated, less the mistakes, are
@@ -37,7 +37,7 @@ from bayline.llm.staging import shuffle_partitions
 from bayline.llm.words import WordHasher, text_chunks
 
 SLICE_BITS = 20
-FLUSH_WINDOWS = 1 << 22
+FLUSH_WINDOWS = 1 << 23
 
 
 def _windows(hasher: WordHasher, data, offsets, k: int):
@@ -58,9 +58,22 @@ def _cells(a: np.ndarray, b: np.ndarray, row: int, bits: int) -> np.ndarray:
 
 
 def _packed(cells: np.ndarray) -> bytes:
+    """Sorted cells of one slice as gaps of one byte, 255 meaning "255 and the
+    next byte on top": about one byte a cell, less after compression."""
+    at = (cells & np.uint32((1 << SLICE_BITS) - 1)).astype(np.int64)
+    gaps = np.diff(at, prepend=0)
+    end = np.cumsum(gaps // 255 + 1)
+    out = np.full(end[-1], 255, np.uint8)
+    out[end - 1] = gaps % 255
+    return zstandard.compress(out.tobytes(), 3)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    """Bit map of a slice from :func:`_packed`."""
+    v = np.frombuffer(zstandard.decompress(data), np.uint8)
     bits = np.zeros(1 << SLICE_BITS, np.uint8)
-    bits[cells & np.uint32((1 << SLICE_BITS) - 1)] = 1
-    return zstandard.compress(np.packbits(bits).tobytes(), 1)
+    bits[np.cumsum(v, dtype=np.int64)[v < 255]] = 1
+    return np.packbits(bits)
 
 
 def _sketch_rows(cells: list[np.ndarray], row: int) -> Iterator[dict]:
@@ -126,7 +139,7 @@ def _merge_udf(batches):
                     yield result()
                 key = (x["row"], x["slice"])
                 once, twice = np.zeros(1 << SLICE_BITS - 3, np.uint8), np.zeros(1 << SLICE_BITS - 3, np.uint8)
-            hit = np.frombuffer(zstandard.decompress(x["bits"]), np.uint8)
+            hit = _unpacked(x["bits"])
             if x["kind"] == 2:
                 twice |= hit
             else:
@@ -177,11 +190,11 @@ def _suspects_udf(sketch, k: int, rows: int, bits: int):
                 if len(at):
                     r = row[at] + first
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(a[at].view(np.int64)), pa.array(b[at].view(np.int64)),
+                        [pa.array(a[at].view(np.int64)), pa.array((b[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                          pa.array(ids[r].astype(np.int64) if not null.any() else
                                   np.where(null[r], 0, ids[r]).astype(np.int64), mask=null[r]),
-                         pa.array(hashes[r]), pa.array(pos[at].astype(np.int32))],
-                        names=["a", "b", "doc_id", "text_hash", "pos"])
+                         pa.array((hashes[r].astype(np.int64) << 32) | pos[at])],
+                        names=["a", "b", "doc_id", "place"])
     return run
 
 
@@ -248,16 +261,17 @@ def remove_repeated_passages(docs: DataFrame, k: int = 35, rows: int = 3, max_bi
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max_bits, max(SLICE_BITS, math.ceil(math.log2(max(1.0, n_bytes / 7 * 2)))))
     sketch = spark.sparkContext.broadcast(repeated_cells(texts, k, rows, bits))
-    keyed = texts.withColumn("text_hash", F.xxhash64("text"))
+    keyed = texts.withColumn("text_hash", F.hash("text"))
     suspects = keyed.select("text", "doc_id", "text_hash").mapInArrow(
-        _suspects_udf(sketch, k, rows, bits), "a long, b long, doc_id long, text_hash long, pos int")
-    # a window counted once belongs to one row, so min() gives that row
+        _suspects_udf(sketch, k, rows, bits), "a long, b int, doc_id long, place long")
+    # a window counted once belongs to one row, so min() gives that row; place
+    # is the row's text hash and the window's position
     unique = (suspects.groupBy("a", "b")
               .agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"),
-                   F.min("text_hash").alias("text_hash"), F.min("pos").alias("pos"))
+                   F.min("place").alias("place"))
               .where("n = 1")
-              .groupBy(F.col("doc_id").alias("u_id"), F.col("text_hash").alias("u_hash"))
-              .agg(F.collect_list("pos").alias("unique_at")))
+              .groupBy(F.col("doc_id").alias("u_id"), F.shiftright("place", 32).cast("int").alias("u_hash"))
+              .agg(F.collect_list(F.col("place").bitwiseAND(0x7FFFFFFF).cast("int")).alias("unique_at")))
     joined = keyed.join(unique, F.col("doc_id").eqNullSafe(F.col("u_id"))
                         & (F.col("text_hash") == F.col("u_hash")), "left")
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string"

@@ -6,7 +6,7 @@ Arrow buffer in chunks of about ``CHUNK_BYTES`` (a longer text is one chunk),
 so memory is bounded by the chunk or by the longest text.
 
 Hashes are polynomials modulo 2**64 over random byte values, finished by a
-bijective mixer. Sequence identity is judged on two such hashes (128 bits).
+bijective mixer. Sequence identity is judged on two such hashes.
 """
 
 from __future__ import annotations
