@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bayline.llm.minhash_dedup import near_duplicates
 from bayline.llm.mixing import mix
+from bayline.llm.pii import find_pii, labelled_sequences, train
 from bayline.llm.substring_dedup import remove_repeated_passages
 from bayline.llm.toxicity import toxicity
 from bayline.sources.tables import read_table
@@ -14,6 +15,13 @@ def op2_substring_dedup(spark, sf_dir):
     return remove_repeated_passages(read_table(spark, sf_dir, "documents"), k=35)
 
 
+def op4_pii(spark, sf_dir):
+    """Personal data in all documents; the random field is trained on a small
+    table of labelled sequences from them."""
+    docs = read_table(spark, sf_dir, "documents")
+    return find_pii(docs, train(labelled_sequences(docs)))
+
+
 def op6_minhash_dedup(spark, sf_dir):
     """Near-duplicate components over 2-word shingles, Jaccard 0.8 or more."""
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=2)
@@ -31,6 +39,7 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_pii": op4_pii,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
