@@ -5,6 +5,7 @@ from __future__ import annotations
 from bayline.llm.minhash_dedup import near_duplicates
 from bayline.llm.mixing import mix
 from bayline.llm.pii import find_pii, labelled_sequences, train
+from bayline.llm.secret_scan import scan_secrets, scan_sql
 from bayline.llm.substring_dedup import remove_repeated_passages
 from bayline.llm.toxicity import toxicity
 from bayline.sources.tables import read_table
@@ -22,6 +23,11 @@ def op4_pii(spark, sf_dir):
     return find_pii(docs, train(labelled_sequences(docs)))
 
 
+def op5_secret_scan(spark, sf_dir):
+    """Secrets in all documents, found through a trigram index."""
+    return scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_dedup(spark, sf_dir):
     """Near-duplicate components over 2-word shingles, Jaccard 0.8 or more."""
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=2)
@@ -40,8 +46,11 @@ def op10_toxicity(spark, sf_dir):
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_pii": op4_pii,
+    "op5_secret_scan": op5_secret_scan,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_secret_scan": scan_sql(),
+}
