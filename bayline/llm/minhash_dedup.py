@@ -27,13 +27,12 @@ of its bucket.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bayline.llm.components import connected_components
-from bayline.llm.staging import staged
+from bayline.llm.staging import shuffle_partitions, staged
 from bayline.llm.words import WordHasher, mix64, text_chunks
 
 MAP_BITS = 1024
@@ -125,33 +124,55 @@ def _confirm_udf(k: int, percent: int):
     return run
 
 
-def _cross_pairs(percent: int):
-    """Pairs of a block whose members are in different components, that first
-    meet in this key and that the bit maps don't rule out."""
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        bi, bj = int(key[1]), int(key[2])
-        left, right = pdf[pdf.side == bi], pdf[pdf.side == bj]
-        out = []
-        cols = lambda p: (p.id.to_numpy(), p.comp.to_numpy(), p.n_shingles.to_numpy(),
-                          np.stack(p.left.to_numpy()), np.stack(p.right.to_numpy()),
-                          np.stack([np.frombuffer(x, np.uint64) for x in p.bits]))
-        if len(left) and len(right):
-            i1, c1, n1, l1, r1, b1 = cols(left)
-            i2, c2, n2, l2, r2, b2 = cols(right)
-            ki, kj = int(pdf.ki.iloc[0]), int(pdf.kj.iloc[0])
-            for x in range(len(i1)):
-                ok = (c2 != c1[x]) & (i2 > i1[x] if bi == bj else i2 != i1[x])
-                ok &= 100 * np.minimum(n2, n1[x]) >= percent * np.maximum(n2, n1[x])
-                at = np.flatnonzero(ok)
-                if not len(at):
-                    continue
-                apart = np.bitwise_count(b2[at] ^ b1[x]).sum(axis=1)
+def _cross_udf(percent: int, m: int):
+    """Pairs within a block, rows sorted by (key, bi, bj), whose members are in
+    different components, that first meet in this key and that the bit maps
+    don't rule out. All blocks of a batch are paired at once: row i with row
+    i + d for d = 1, 2, ... while both are in one block."""
+    def pairs(t: pa.Table):
+        col = lambda c: t.column(c).combine_chunks()
+        num = lambda c: col(c).to_numpy()
+        key, bi, bj, side, ids, comp, size = map(num, ("key", "bi", "bj", "side", "id", "comp", "n_shingles"))
+        ki, kj = num("ki"), num("kj")
+        left, right = (col(c).flatten().to_numpy().reshape(-1, m) for c in ("left", "right"))
+        maps = np.frombuffer(b"".join(col("bits").to_pylist()), np.uint64).reshape(-1, MAP_BITS // 64)
+        i, d, out = np.arange(len(key)), 1, []
+        while len(i := i[i + d < len(key)]):
+            j = i + d
+            same = (key[i] == key[j]) & (bi[i] == bi[j]) & (bj[i] == bj[j])
+            i, j = i[same], j[same]
+            ok = (comp[i] != comp[j]) & ((bi[i] == bj[i]) | (side[i] != side[j]))
+            ok &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
+            x, y = i[ok], j[ok]
+            if len(x):
+                same_l, same_r = left[x] == left[y], right[x] == right[y]
+                first = (same_l.argmax(1) == ki[x]) & (same_r.argmax(1) == kj[x])
+                x, y = x[first], y[first]
                 # similarity s needs |x delta y| <= (|x| + |y|) (1 - s) / (1 + s)
-                at = at[apart * (100 + percent) <= (n2[at] + n1[x]) * (100 - percent)]
-                same_l, same_r = l2[at] == l1[x], r2[at] == r1[x]
-                at = at[(same_l.argmax(1) == ki) & (same_r.argmax(1) == kj) & same_l.any(1) & same_r.any(1)]
-                out.append(pd.DataFrame({"a": np.minimum(i1[x], i2[at]), "b": np.maximum(i1[x], i2[at])}))
-        return pd.concat(out) if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+                apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1)
+                near = apart * (100 + percent) <= (size[x] + size[y]) * (100 - percent)
+                out.append((ids[x[near]], ids[y[near]]))
+            d += 1
+        a, b = (np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def run(batches):
+        held = None  # the last block of the rows so far: it may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t])
+            ends = [t.column(c)[-1].as_py() for c in ("key", "bi", "bj")]
+            last = np.ones(t.num_rows, bool)
+            for c, v in zip(("key", "bi", "bj"), ends):
+                last &= t.column(c).to_numpy() == v
+            cut = int(np.flatnonzero(last)[0])
+            held = t.slice(cut)
+            if cut:
+                yield pairs(t.slice(0, cut))
+        if held is not None:
+            yield pairs(held)
     return run
 
 
@@ -199,7 +220,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
 
     stars = buckets.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     links = staged(confirmed(stars), "minhash-stars")
-    comp = connected_components(links)
+    comp = staged(connected_components(links), "minhash-comp")
 
     member = buckets.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "comp", F.coalesce("component", "id")).drop("component", "hub")
@@ -210,9 +231,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     placed = placed.select("key", "ki", "kj", "id", "comp", "side", F.least("side", "o").alias("bi"),
                            F.greatest("side", "o").alias("bj"))
     placed = placed.join(reps, "id")
-    cross = (placed.groupBy("key", "bi", "bj").applyInPandas(_cross_pairs(percent), "a long, b long"))
+    cross = (placed.repartition(shuffle_partitions(docs), "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+             .mapInArrow(_cross_udf(percent, m), "a long, b long"))
     more = confirmed(cross.distinct())
-    final = connected_components(links.union(more))
+    final = connected_components(comp.union(more))
     same_set = nodes.join(classes, ["set_a", "set_b", "n_shingles"]).where("doc_id <> id")
     # a document's class representative, then the representative's component
     root = same_set.select("doc_id", "id").groupBy("doc_id").agg(F.min("id").alias("id"))
