@@ -8,6 +8,7 @@ from bayline.llm.pii import find_pii, labelled_sequences, train
 from bayline.llm.secret_scan import scan_secrets, scan_sql
 from bayline.llm.substring_dedup import remove_repeated_passages
 from bayline.llm.toxicity import toxicity
+from bayline.llm.warc import ROUND_TRIP_SQL, archive_round_trip
 from bayline.sources.tables import read_table
 
 
@@ -33,6 +34,11 @@ def op6_minhash_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op7_warc(spark, sf_dir):
+    """All pages written to compressed WARC archives and read back."""
+    return archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark, sf_dir):
     """All documents mixed to weights 1, 2, 3 by source, three passes at most."""
     return mix(read_table(spark, sf_dir, "documents"))
@@ -48,9 +54,11 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_secret_scan": op5_secret_scan,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_warc": op7_warc,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_secret_scan": scan_sql(),
+    "op7_warc": ROUND_TRIP_SQL,
 }
