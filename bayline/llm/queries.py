@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bayline.llm.embedding_dedup import near_duplicate_vectors
 from bayline.llm.minhash_dedup import near_duplicates
 from bayline.llm.mixing import mix
 from bayline.llm.pii import find_pii, labelled_sequences, train
@@ -12,6 +13,11 @@ from bayline.llm.warc import ROUND_TRIP_SQL, archive_round_trip
 from bayline.sources.tables import read_table
 
 
+def op1_embedding_dedup(spark, sf_dir):
+    """Near-duplicate vectors of cosine 0.9 or more, all rows of ``embeddings``."""
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_substring_dedup(spark, sf_dir):
     """Words left after removing every repeated 35-word passage."""
     return remove_repeated_passages(read_table(spark, sf_dir, "documents"), k=35)
@@ -50,6 +56,7 @@ def op10_toxicity(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_pii": op4_pii,
     "op5_secret_scan": op5_secret_scan,
