@@ -23,3 +23,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_batches(df: DataFrame, n_bytes: int = 8 << 20) -> DataFrame:
+    """``df``, its session sending rows to Python in Arrow batches of about
+    ``n_bytes``: a batch of long texts then fits in a task's memory. A limit
+    that is lower already stays; results don't depend on it."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(conf.get(key, "0") or 0)
+    if now <= 0 or now > n_bytes:
+        conf.set(key, str(n_bytes))
+    return df

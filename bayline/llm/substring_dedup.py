@@ -33,11 +33,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bayline.llm.staging import shuffle_partitions
+from bayline.llm.staging import shuffle_partitions, small_batches
 from bayline.llm.words import WordHasher, text_chunks
 
 SLICE_BITS = 20
-FLUSH_WINDOWS = 1 << 23
+FLUSH_WINDOWS = 1 << 22
 
 
 def _windows(hasher: WordHasher, data, offsets, k: int):
@@ -256,7 +256,7 @@ def remove_repeated_passages(docs: DataFrame, k: int = 35, rows: int = 3, max_bi
     an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max_bits, max(SLICE_BITS, math.ceil(math.log2(max(1.0, n_bytes / 7 * 2)))))
