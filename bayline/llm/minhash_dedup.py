@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bayline.llm.components import connected_components
-from bayline.llm.staging import shuffle_partitions, staged
+from bayline.llm.staging import shuffle_partitions, small_batches, staged
 from bayline.llm.words import WordHasher, mix64, text_chunks
 
 MAP_BITS = 1024
@@ -190,7 +190,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     nothing; its component and ``kept`` are null. Other columns are ignored;
     an empty table gives an empty result.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
     sig = staged(texts.mapInArrow(_signature_udf(shingle_words, m, t), SIGNATURE_TYPE), "minhash")
     nodes = sig.where("doc_id is not null and n_shingles > 0")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from bayline.llm.staging import staged
 
 WORD = "[^\\x20\\x09-\\x0D]+"
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4_000
 FINISH_BINS = 1 << 16
 
 

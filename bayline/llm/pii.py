@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bayline.llm.staging import small_batches
 from bayline.llm.words import text_chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -402,7 +403,7 @@ def find_pii(docs: DataFrame, model: Crf, margin: float = 2.0) -> DataFrame:
     points joined by commas, by kind as listed, then start. A null text is
     empty; a null ``doc_id`` and repeated rows are kept as they are; an empty
     table gives an empty result."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).mapInArrow(
         _spans_udf(model, margin), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, "
                                    "base_sha256 string, spans string")
@@ -435,4 +436,4 @@ def _redact_udf(model: Crf, margin: float, at: int):
 def redact(docs: DataFrame, model: Crf, margin: float = 2.0) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets;
     overlapping spans are replaced together. All columns are kept."""
-    return docs.mapInArrow(_redact_udf(model, margin, docs.columns.index("text")), docs.schema)
+    return small_batches(docs).mapInArrow(_redact_udf(model, margin, docs.columns.index("text")), docs.schema)

@@ -8,6 +8,8 @@ has been written.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
 from bayline.plans.runtime import scratch_path
@@ -30,7 +32,7 @@ def small_batches(df: DataFrame, n_bytes: int = 8 << 20) -> DataFrame:
     ``n_bytes``: a batch of long texts then fits in a task's memory. A limit
     that is lower already stays; results don't depend on it."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = int(conf.get(key, "0") or 0)
-    if now <= 0 or now > n_bytes:
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", conf.get(key).strip().lower()).groups()
+    if int(number) << 10 * " kmgt".index(unit or " ") > n_bytes:
         conf.set(key, str(n_bytes))
     return df

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bayline.llm.staging import small_batches, staged
 from bayline.llm.words import WordHasher, mix64, text_chunks
 
 # Signs read as letters.
@@ -266,7 +267,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 15_000, mi
     ``max_train`` of them (a fixed hash of ``doc_id`` decides). Labels other
     than 0 and 1 are left out; without toxic rows the lexicon is empty and
     every score is the smoothed share of toxic rows."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     log_p = letter_model(texts.select("text"))
     train = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .where(F.col("toxic").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1))
@@ -274,7 +275,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 15_000, mi
     n = train.count()
     if n > max_train:
         train = train.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(1_000_000 * max_train / n))
-    rows = texts.join(train, "doc_id").select("toxic", "text")
+    # about max_train pairs of numbers are broadcast: no text is shuffled
+    rows = staged(texts.join(F.broadcast(train), "doc_id").select("toxic", "text"), "toxic-train")
     kind = "toxic int, features array<long>"
     # at most max_train rows of whole-text features of toxic rows reach the driver
     toxic = [np.array(r.features, np.int64) for r in
@@ -283,7 +285,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 15_000, mi
     seen, times_seen = np.unique(np.concatenate([np.zeros(0, np.int64), *toxic]), return_counts=True)
     frequent = np.sort(seen[times_seen >= min_gain].view(np.uint64))
     empty = ToxicityModel(log_p, np.zeros(0, np.uint64), np.zeros(0), 0.0)
-    n_clean = train.where("toxic = 0").count()
+    n_clean = rows.where("toxic = 0").count()
     if not len(frequent):
         empty.bias = math.log((len(toxic) + 0.5) / (n_clean + 0.5))
         return empty
