@@ -12,7 +12,8 @@ Texts are cut into blocks of ``BLOCK`` words; a passage is two blocks, so any
 2. Passages and benchmark passages are projected on the singular vectors, each
    direction scaled to equal weight. Every passage meets every benchmark
    passage as a matrix product; those of cosine ``min_cosine`` or more are
-   candidates.
+   candidates, if their words in the item weigh ``min_weight`` of what a whole
+   passage of the item weighs (which a leak by rule 3 does).
 3. A candidate's surroundings are compared with the whole item by the longest
    common subsequence of words. ``exact`` of the item's words in order make a
    leak; from ``paraphrase`` on it is one if ``answer_share`` of the words of
@@ -30,6 +31,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +42,8 @@ BLOCK, RANK, EXTRA, TERM_ROWS = 16, 64, 16, 64
 
 
 def _hasher() -> WordHasher:
-    """Words of letters and digits, A-Z folded."""
-    h = WordHasher(lower=True)
+    """Words of letters and digits (texts are lower-cased before)."""
+    h = WordHasher()
     word = np.zeros(256, bool)
     word[48:58] = word[65:91] = word[97:123] = word[128:] = True
     h.space = ~word
@@ -49,7 +51,7 @@ def _hasher() -> WordHasher:
 
 
 def _hashes(hasher: WordHasher, text: str) -> np.ndarray:
-    data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+    data = np.frombuffer(pc.utf8_lower(pa.scalar(text)).as_py().encode("utf-8", "replace"), np.uint8)
     return hasher.words(data, np.array([0, len(data)]))[0]
 
 
@@ -104,15 +106,28 @@ def _blocks(rows: np.ndarray, n_rows: int):
     return block, first, first_block
 
 
-def _sum_rows(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Sums of ``values`` rows by sorted positions ``at``, for n positions."""
-    out = np.zeros((n, values.shape[1]), values.dtype)
-    if len(at):
-        begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        out[at[begin]] = np.add.reduceat(values, begin, axis=0)
+def _block_terms(term: np.ndarray, block: np.ndarray, n_blocks: int, none: int) -> np.ndarray:
+    """Terms of each block, ``none`` where a word is no term."""
+    out = np.full((n_blocks, BLOCK), none, np.int32)
+    if len(term):
+        first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        at = np.arange(len(term)) - np.repeat(first, np.diff(np.append(first, len(term))))
+        out[block, at] = np.where(term < 0, none, term)
     return out
 
 
+def _block_sums(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sum of ``table`` rows of each block's terms; its last row is zero."""
+    out = table[rows[:, 0]]
+    for j in range(1, rows.shape[1]):
+        out += table[rows[:, j]]
+    return out
+
+
+def _with_zero(table: np.ndarray) -> np.ndarray:
+    return np.vstack([table, np.zeros((1, table.shape[1]), table.dtype)])
+
+
 def _random(n: int, width: int) -> np.ndarray:
     return np.random.default_rng(29).standard_normal((n, width), np.float32)
 
@@ -121,19 +136,20 @@ def _sketch_udf(items: Items, width: int):
     """Per task and range of terms: blocks that hold each, and the sketch."""
     def run(batches):
         hasher, n = _hasher(), len(items.terms)
-        omega, total, n_blocks = _random(n, width), np.zeros((n, width + 1)), 0
+        omega, total, n_blocks = _with_zero(_random(n, width)), np.zeros((n, width + 1)), 0
         for batch in batches:
-            for _, data, offsets in text_chunks(batch.column(0)):
+            for _, data, offsets in text_chunks(pc.utf8_lower(batch.column(0))):
                 h, rows, *_ = hasher.words(data, offsets)
                 block, _, first_block = _blocks(rows, len(offsets) - 1)
                 n_blocks += int(first_block[-1])
                 term = items.term_numbers(h)
+                z = _block_sums(_block_terms(term, block, int(first_block[-1]), n), omega)
                 at = np.flatnonzero(term >= 0)
-                t, b = term[at], block[at]
-                z = _sum_rows(omega[t], b, int(first_block[-1]))
-                order = np.argsort(t, kind="stable")
-                t, b = t[order], b[order]
-                total[:, :width] += _sum_rows(z[b], t, n)
+                order = at[np.argsort(term[at], kind="stable")]
+                t, b = term[order], block[order]
+                if len(t):
+                    begin = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+                    total[t[begin], :width] += np.add.reduceat(z[b], begin, axis=0)
                 once = np.ones(len(t), bool)
                 once[1:] = (t[1:] != t[:-1]) | (b[1:] != b[:-1])
                 total[:, width] += np.bincount(t[once], minlength=n)
@@ -166,9 +182,10 @@ def _add_udf(batches):
 class LatentSpace:
     """Term weights on the scaled singular vectors, and the query passages."""
 
-    project: np.ndarray  # (terms, rank): a passage's vector is the sum of its words' rows
+    project: np.ndarray  # (terms + 1, rank): a passage's vector is the sum of its words' rows
     queries: np.ndarray  # unit rows
     owner: np.ndarray  # item of each query passage
+    weight: np.ndarray  # (items, terms): a term's weight if the item has it
 
 
 def fit_latent(texts: DataFrame, items: Items, rank: int = RANK) -> LatentSpace:
@@ -206,7 +223,12 @@ def latent_space(items: Items, total: np.ndarray, n_blocks: int, rank: int = RAN
             queries.append(project[w[at:at + 2 * BLOCK]].sum(0))
             owner.append(i)
     q = np.array(queries)
-    return LatentSpace(project, q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-30), np.array(owner))
+    weight = np.zeros((len(items.words), n + 1), np.float32)
+    for i, w in enumerate(items.words):
+        # a whole passage of the item weighs 1
+        weight[i, w] = idf[w] / (idf[w].sum() * min(1.0, 2 * BLOCK / len(w)))
+    return LatentSpace(_with_zero(project), q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-30),
+                       np.array(owner), weight)
 
 
 def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
@@ -224,7 +246,8 @@ def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
 
 @dataclass
 class Rules:
-    min_cosine: float = 0.45
+    min_cosine: float = 0.3
+    min_weight: float = 0.35
     exact: float = 0.8
     paraphrase: float = 0.6
     answer_share: float = 0.8
@@ -244,18 +267,27 @@ class Finder:
             return {}
         block, first, first_block = _blocks(rows, len(offsets) - 1)
         term = items.term_numbers(h)
-        at = np.flatnonzero(term >= 0)
-        n = int(first_block[-1])
-        v = _sum_rows(space.project[term[at]], block[at], n)
+        n, none = int(first_block[-1]), len(items.terms)
+        words = _block_terms(term, block, n, none)
+        v = _block_sums(words, space.project)
         row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(first_block))
-        v[:-1] += v[1:] * (row_of[1:] == row_of[:-1])[:, None]
-        norm = np.sqrt(np.einsum("ij,ij->i", v, v))
+        joined = row_of[1:] == row_of[:-1]
+        v[:-1] += v[1:] * joined[:, None]
+        words = np.hstack([words, np.full_like(words, none)])
+        words[:-1, BLOCK:][joined] = words[1:, :BLOCK][joined]
+        norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-30)
+        v /= norm[:, None]
         out: dict[tuple[int, int], tuple[int, bool]] = {}
         tried: dict[tuple[int, int], int] = {}
-        for lo in range(0, n, 4096):
-            cos = v[lo:lo + 4096] @ space.queries.T
-            b, q = np.nonzero(cos >= rules.min_cosine * np.maximum(norm[lo:lo + 4096, None], 1e-30))
-            for b, item in sorted(set(zip((b + lo).tolist(), space.owner[q].tolist()))):
+        for lo in range(0, n, 2048):
+            near = v[lo:lo + 2048] @ space.queries.T >= rules.min_cosine
+            b, q = np.nonzero(near)
+            b, i = b + lo, space.owner[q]
+            heavy = np.zeros(len(b), np.float32)
+            for j in range(2 * BLOCK):
+                heavy += space.weight[i, words[b, j]]
+            ok = heavy >= rules.min_weight
+            for b, item in sorted(set(zip(b[ok].tolist(), i[ok].tolist()))):
                 row, w = int(row_of[b]), items.words[item]
                 if tried.get((row, item), -2) == b - 1 and (row, item) in out and not out[row, item][1]:
                     continue
@@ -279,7 +311,7 @@ def _pairs_udf(items: Items, space: LatentSpace, rules: Rules):
     def run(batches):
         find = Finder(items, space, rules)
         for batch in batches:
-            for first, data, offsets in text_chunks(batch.column(1)):
+            for first, data, offsets in text_chunks(pc.utf8_lower(batch.column(1))):
                 found = sorted(find.leaks(data, offsets).items())
                 if found:
                     yield pa.RecordBatch.from_arrays(
@@ -297,7 +329,7 @@ def _clean_udf(items: Items, space: LatentSpace, rules: Rules, at: int):
         find = Finder(items, space, rules)
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
-            for first, data, offsets in text_chunks(batch.column(at)):
+            for first, data, offsets in text_chunks(pc.utf8_lower(batch.column(at))):
                 keep[[first + r for r, _ in find.leaks(data, offsets)]] = False
             yield batch.filter(pa.array(keep))
     return run
@@ -320,7 +352,7 @@ def _item_blocks(benchmark: DataFrame, item_block: int):
 PAIRS = "doc_id long, item_id long, item_words long, common_words long, paraphrase boolean"
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None, item_block: int = 2_000) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None, item_block: int = 500) -> DataFrame:
     """One row for each document and benchmark item that it holds: ``doc_id``,
     ``item_id``, ``item_words``, ``common_words`` (longest common subsequence),
     ``paraphrase`` (accepted by its answer). ``docs`` has ``doc_id``, ``text``;
@@ -338,7 +370,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None
     return out if out is not None else docs.sparkSession.createDataFrame([], PAIRS)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None, item_block: int = 2_000) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules | None = None, item_block: int = 500) -> DataFrame:
     """``docs`` less the rows that :func:`find_leaks` would report, all columns
     kept and no row moved."""
     rules, out = rules or Rules(), small_batches(docs)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bayline.llm.decontaminate import find_leaks
 from bayline.llm.embedding_dedup import near_duplicate_vectors
 from bayline.llm.minhash_dedup import near_duplicates
 from bayline.llm.mixing import mix
@@ -23,6 +24,11 @@ def op2_substring_dedup(spark, sf_dir):
     return remove_repeated_passages(read_table(spark, sf_dir, "documents"), k=35)
 
 
+def op3_decontamination(spark, sf_dir):
+    """Benchmark items found in all documents."""
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_pii(spark, sf_dir):
     """Personal data in all documents; the random field is trained on a small
     table of labelled sequences from them."""
@@ -58,6 +64,7 @@ def op10_toxicity(spark, sf_dir):
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_pii": op4_pii,
     "op5_secret_scan": op5_secret_scan,
     "op6_minhash_dedup": op6_minhash_dedup,
