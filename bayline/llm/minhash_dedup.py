@@ -244,3 +244,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     component = F.coalesce("component", "node").alias("component_id")
     return out.select("doc_id", "n_shingles", component,
                       (F.col("doc_id") == F.coalesce("component", "node")).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, **how) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, that of the
+    smallest ``doc_id``; all columns kept. Rows equal in ``doc_id`` and text
+    are one. Rows with a null ``doc_id`` stay, equal texts among them once."""
+    gone = (near_duplicates(docs, shingle_words, percent, **how).where("not kept")
+            .select(F.col("doc_id").alias("gone_id")).distinct())
+    left = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    # hashed, so that sorting and comparing don't read the texts
+    mark = "text_mark_of_near_duplicates"
+    return left.withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark]).drop(mark)

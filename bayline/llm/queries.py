@@ -9,6 +9,7 @@ from bayline.llm.mixing import mix
 from bayline.llm.pii import find_pii, labelled_sequences, train
 from bayline.llm.secret_scan import scan_secrets, scan_sql
 from bayline.llm.substring_dedup import remove_repeated_passages
+from bayline.llm.token_counts import count_after_edits, revision_edits
 from bayline.llm.toxicity import toxicity
 from bayline.llm.warc import ROUND_TRIP_SQL, archive_round_trip
 from bayline.sources.tables import read_table
@@ -51,6 +52,12 @@ def op7_warc(spark, sf_dir):
     return archive_round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op8_token_counts(spark, sf_dir):
+    """Token counts of all documents before and after a derived revision."""
+    docs = read_table(spark, sf_dir, "documents")
+    return count_after_edits(docs, revision_edits(docs))
+
+
 def op9_mixing(spark, sf_dir):
     """All documents mixed to weights 1, 2, 3 by source, three passes at most."""
     return mix(read_table(spark, sf_dir, "documents"))
@@ -69,6 +76,7 @@ QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_warc": op7_warc,
+    "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
 }

@@ -368,3 +368,22 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def _filter_udf(model: ToxicityModel, threshold: float, at: int):
+    score = _score_udf(model)
+
+    def run(batches):
+        for batch in batches:
+            pair = pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(batch.num_rows)), batch.column(at)], names=["row", "text"])
+            kept = [np.asarray(b.column(1)) < threshold for b in score(iter([pair]))]
+            if kept:
+                yield batch.filter(pa.array(np.concatenate(kept)))
+    return run
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
+    """``docs`` less the rows scored ``threshold`` or more, all columns kept
+    and no row moved."""
+    return small_batches(docs).mapInArrow(_filter_udf(model, threshold, docs.columns.index("text")), docs.schema)
