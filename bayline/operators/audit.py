@@ -9,7 +9,9 @@ from bayline.operators.pieces import PIECE, split_hot_keys, with_pieces
 from bayline.operators.sessionize import KEY, with_previous
 from bayline.operators.views import busy_locations
 from bayline.params import ACTIVE, ALLOWED_TRANSITIONS, ENTERING, Settings
-from bayline.plans.runtime import ensure_checkpoint_dir
+
+
+RANK_BLOCK = 4096
 
 
 def _allowed(prev: F.Column, cur: F.Column, has_prev: F.Column) -> F.Column:
@@ -62,7 +64,8 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
     ``[start_time, end_time]`` overlap; one row per pair, ``a`` being the
     earlier one in ``(start_time, license_plate, session_no)`` order.
 
-    No pair is formed that is not in the answer. Sessions of a spot are
+    No pair is formed that doesn't overlap (pairs of one car with itself are
+    then left out). Sessions of a spot are
     ranked in that order; a session ``a`` overlaps exactly the later sessions
     whose start lies in ``[a.start, a.end]``, i.e. ranks ``rank(a)+1 ..
     R(a)`` with ``R(a)`` = number of the spot's sessions starting at or
@@ -73,11 +76,6 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
     sessions on ``(spot, rank)``, a key with one row per value.
     """
     sess = sessions.select("location", "license_plate", "session_no", "start_time", "end_time")
-    if s.max_piece_rows:
-        # the piece-size check and the scan both read the sessions: write them
-        # once to the shared checkpoint folder instead of computing them twice
-        ensure_checkpoint_dir(sess.sparkSession)
-        sess = sess.checkpoint(eager=True)
     # start points (kind 0) and end queries (kind 1) on one time line per spot;
     # both carry the session, so no join back to the sessions is needed
     pts = sess.select("*", F.col("start_time").alias("t"), F.lit(0).alias("kind"))
@@ -102,11 +100,16 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
         F.first("start_time").alias("start_time"), F.first("end_time").alias("end_time"),
         F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("rank"),
         F.max(F.when(F.col("kind") == 1, F.col("n"))).alias("reach"))
+    # the range in blocks, so that no array is longer than a block or the
+    # number of blocks
     a = ranked.where(F.col("reach") > F.col("rank")).select(
         "location",
         F.col("license_plate").alias("plate_a"), F.col("start_time").alias("start_a"),
-        F.col("end_time").alias("end_a"),
-        F.explode(F.sequence(F.col("rank") + 1, F.col("reach"))).alias("rank"))
+        F.col("end_time").alias("end_a"), "reach",
+        F.explode(F.sequence(F.col("rank") + 1, F.col("reach"), F.lit(RANK_BLOCK).cast("long"))).alias("from_rank"))
+    a = a.select(
+        "location", "plate_a", "start_a", "end_a",
+        F.explode(F.sequence("from_rank", F.least(F.col("from_rank") + F.lit(RANK_BLOCK - 1), F.col("reach")))).alias("rank"))
     # every session reaches at least its own rank, so this filter keeps all
     # rows; it makes both sides read the same aggregate (one shared exchange)
     b = ranked.where(F.col("reach") >= F.col("rank")).select(

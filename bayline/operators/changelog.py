@@ -121,6 +121,19 @@ def change_order(*payload: str) -> Column:
         *[F.col(p) for p in payload])
 
 
+def with_change_order(rows: DataFrame, s: Settings) -> DataFrame:
+    """Session rows of a live changelog (table or wire) with the columns that
+    order changes: a row changes its session at its last event, a TIMEOUT row
+    at ``end_time + limit``; within one second the last event's id decides, or
+    what stands for it (``start_event_id``, the message's ``offset``)."""
+    silent = F.col("status") == F.lit(TIMEOUT)
+    ids = [F.col(c) for c in ("last_event_id", "start_event_id", "offset") if c in rows.columns]
+    return rows.withColumns({
+        "change_time": (F.col("end_time") + F.when(silent, F.lit(s.timeout_seconds)).otherwise(0)).cast("long"),
+        "change_kind": silent.cast("long"),
+        "event_id": F.coalesce(*ids, F.lit(0)).cast("long") if ids else F.lit(0).cast("long")})
+
+
 def exit_notifications(sessions: DataFrame, include_timeouts: bool = False,
                        message: str = EXIT_MESSAGE) -> DataFrame:
     """One notification per ended session (CLOSED; TIMEOUT too on request)."""

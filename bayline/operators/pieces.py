@@ -4,60 +4,48 @@ Several operators need, per key, a scan in time order (previous row, running
 count). A window over the whole key puts all of a key's rows into one task:
 fine for a key of at most about ``max_piece_rows`` rows, which is scanned
 whole in one sorted pass (:func:`split_hot_keys`). The rows of a hot key are
-cut into pieces ``(key, bucket, sub)``: ``bucket``
-is a time bucket of ``bucket_seconds``; a piece holding more than
-``max_piece_rows`` rows (a hot key in a busy hour, or even in one second) is
-cut again into ``sub`` ranges by a range repartitioning on the key and order
-columns, which samples the hot rows and makes contiguous, balanced ranges.
-Pieces of one key are ordered by ``(bucket, sub)``.
-
-Finding hot keys and hot pieces is a seeded Bernoulli sample of about 4000 rows per
-``max_piece_rows`` rows, aggregated per piece (exact when the limit is
+cut into pieces ``(key, bucket, sub)``: ``bucket`` is a time bucket of
+``bucket_seconds``; a bucket holding more than ``max_piece_rows`` rows (a hot
+key in a busy hour, or even in one second) is cut again. Pieces of one key are
+ordered by ``(bucket, sub)``.
+
+``sub`` is a function of the row alone: a row is a boundary when a hash of its
+key and order columns says so (one row in ``max_piece_rows / 2`` on average),
+and a row's ``sub`` is the number of its bucket's boundaries at or before it,
+found by binary search. Any two evaluations of a plan cut alike, whatever
+exchanges they share, so summaries and rows always meet. Rows equal in all
+order columns stay together.
+
+Finding hot keys and hot buckets is a seeded Bernoulli sample of about 4000 rows per
+``max_piece_rows`` rows, aggregated per group (exact when the limit is
 small). A group is hot when its sampled count reaches half of its expected
 share, so a group over the limit is found with near certainty, and a group
 left whole holds at most about the limit. Only the hot groups' ids come back
-to the driver: at most ``2 * rows / max_piece_rows`` of them. The answer is
-kept for the session per input plan and input file list. Piece boundaries
-never change a result, only how the work is cut, so an estimate is safe.
+to the driver: at most ``2 * rows / max_piece_rows`` of them. They are looked
+up once while a query is built, and may be given instead.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bayline.params import Settings
 
 PIECE = ["bucket", "sub"]
 SAMPLE_ROWS_PER_LIMIT = 4000
-MEMO_SIZE = 64
-_HOT: dict = {}
+BOUNDARIES_PER_LIMIT = 2
 
 
 def _heavy_groups(df: DataFrame, cols: list[str], limit: int) -> list[tuple]:
     """``(col values..., estimated_rows)`` of groups of ``cols`` holding more
-    than ``limit`` rows, from a seeded sample; kept per input plan and files."""
-    try:
-        # the plan and the files it reads: new files under a path mean a new check
-        files = hash(tuple(sorted(df.inputFiles())))
-        memo = (df.semanticHash(), files, tuple(cols), limit)
-    except Exception:  # noqa: BLE001 - plans without a semantic hash or file list
-        memo = None
-    if memo is not None and memo in _HOT:
-        return _HOT[memo]
+    than ``limit`` rows, from a seeded sample."""
     frac = min(1.0, SAMPLE_ROWS_PER_LIMIT / limit)
     src = df if frac >= 1.0 else df.sample(fraction=frac, seed=17)
     need = limit + 1 if frac >= 1.0 else max(1, int(limit * frac / 2))
     counts = (src.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= F.lit(need)))
-    hot = [(*r[:-1], int(r[-1] / frac)) for r in counts.collect()]
-    if memo is not None:
-        while len(_HOT) >= MEMO_SIZE:
-            _HOT.pop(next(iter(_HOT)))
-        _HOT[memo] = hot
-    return hot
+    return [(*r[:-1], int(r[-1] / frac)) for r in counts.collect()]
 
 
 def _ids_frame(df: DataFrame, cols: list[str], groups: list[tuple], s: Settings) -> DataFrame:
@@ -99,8 +87,28 @@ def with_pieces(df: DataFrame, keys: list[str], time_col: str, order_cols: list[
     on = [*keys, "bucket"]
     hot_ids = _ids_frame(df, on, hot, s)
     cold = df.join(hot_ids, on, "left_anti").withColumn("sub", F.lit(0).cast("int"))
-    n_ranges = max(2, math.ceil(sum(h[-1] for h in hot) / limit))
-    split = (df.join(hot_ids, on, "left_semi")
-             .repartitionByRange(n_ranges, *keys, *order_cols)
-             .withColumn("sub", F.spark_partition_id()))
+    rows = df.join(hot_ids, on, "left_semi")
+    place = F.struct(*order_cols)
+    every = max(1, limit // BOUNDARIES_PER_LIMIT)
+    bounds = (rows.where(F.pmod(F.xxhash64(*keys, *order_cols), F.lit(every)) == 0)
+              .groupBy(*on).agg(F.array_sort(F.collect_set(place)).alias("bounds")))
+    if sum(h[-1] for h in hot) / every <= s.broadcast_max_rows:
+        # about one boundary for every max_piece_rows / 2 hot rows, checked
+        bounds = F.broadcast(bounds)
+    split = rows.join(bounds, on, "left").withColumn("sub", _at_or_before("bounds", place)).drop("bounds")
     return cold.unionByName(split)
+
+
+def _at_or_before(bounds: str, place: Column) -> Column:
+    """Number of entries of the sorted array ``bounds`` at or before ``place``,
+    by binary search; 0 for a null array."""
+    b = F.coalesce(F.size(F.col(bounds)), F.lit(0))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(b, F.lit(0)) + F.lit(1))).cast("int"))
+    mid = lambda r: F.floor((r["lo"] + r["hi"]) / 2).cast("int")
+    low = lambda r: F.element_at(F.col(bounds), mid(r) + F.lit(1)) <= place
+    return F.aggregate(
+        steps, F.struct(F.lit(0).alias("lo"), F.greatest(b, F.lit(0)).alias("hi")),
+        lambda r, _: F.when(r["lo"] < r["hi"], F.struct(
+            F.when(low(r), mid(r) + F.lit(1)).otherwise(r["lo"]).alias("lo"),
+            F.when(low(r), r["hi"]).otherwise(mid(r)).alias("hi"))).otherwise(r),
+        lambda r: r["lo"])

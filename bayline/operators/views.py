@@ -91,8 +91,9 @@ def location_info(dim: DataFrame, sessions: DataFrame, as_of: Column, s: Setting
 
 def closed_history(sessions: DataFrame, limit: int, retention: int | None = None) -> DataFrame:
     """The ``limit`` most recent closed sessions, newest first (top-k per
-    task, then a final top-k of those: no full sort). ``retention`` caps the
-    history a reader may ask for, as a bounded view store would."""
+    task, then a final top-k of those: no full sort). ``retention``, if given,
+    is the number of sessions a bounded view store holds: a reader gets no
+    more than that, whatever they ask for. There is no cap without it."""
     if limit < 0:
         raise ValueError("limit must be >= 0")
     if retention is not None:

@@ -200,6 +200,42 @@ def q_stream_table_sessions(spark, sf_dir):
         chg, ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
 
 
+def _table_changelog(spark, sf_dir, s):
+    from bayline.streaming.tables import replay_table_sessions
+    return changelog.with_change_order(
+        spark.read.parquet(replay_table_sessions(spark, _pe(spark, sf_dir), s)), s)
+
+
+def q_stream_active_by_plate(spark, sf_dir):
+    """The last-value view per plate, read from the live changelog."""
+    s = fixture_settings()
+    return views.active_by_plate(_table_changelog(spark, sf_dir, s), _as_of(spark, sf_dir), s)
+
+
+def q_stream_occupancy(spark, sf_dir):
+    """The last-value view per spot, read from the live changelog."""
+    s = fixture_settings()
+    return views.occupancy(_table_changelog(spark, sf_dir, s), s)
+
+
+def q_stream_unordered(spark, sf_dir):
+    """Rows arriving up to an hour late and out of order, with a delay that
+    allows for it: the sessions of the table in time order."""
+    from bayline.streaming.jobs import sessions_from_changelog
+    from bayline.streaming.tables import replay_table_sessions
+    s = fixture_settings(watermark_delay="1 hours")
+    arrival = F.col("timestamp_unix") + F.pmod(F.xxhash64("event_id"), F.lit(3600))
+    chg = spark.read.parquet(replay_table_sessions(spark, _pe(spark, sf_dir), s, arrival=arrival))
+    return sessions_from_changelog(
+        chg, ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
+
+
+def q_changelog_round_trip(spark, sf_dir):
+    """Session rows sent over the wire and decoded again."""
+    sent = changelog.encode_changelog(_sessions(spark, sf_dir, fixture_settings()))
+    return raw.decode_changelog(sent).drop("offset")
+
+
 def q_stream_changelog(spark, sf_dir):
     """Every change the keyed-state stream emitted over a replay in four time
     slices (the ``epoch_id`` column is left out: which trigger carries a
@@ -220,6 +256,10 @@ QUERIES.update({
     "stream_sessions": q_stream_sessions,
     "stream_sessions_ordered": q_stream_sessions_ordered,
     "stream_table_sessions": q_stream_table_sessions,
+    "stream_active_by_plate": q_stream_active_by_plate,
+    "stream_occupancy": q_stream_occupancy,
+    "stream_unordered": q_stream_unordered,
+    "changelog_round_trip": q_changelog_round_trip,
     "stream_changelog": q_stream_changelog,
     "stream_gap_sessions": q_stream_gap_sessions,
 })

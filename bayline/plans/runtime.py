@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -40,7 +39,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) is a private folder made here.
+    Unset, a local session gets a private folder; on a cluster that is an
+    error, as executors don't share the driver's folders.
     """
     try:
         sc = spark.sparkContext
@@ -50,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="bayline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():
@@ -62,11 +65,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme so a local path can be listed by Python."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_dir(path))

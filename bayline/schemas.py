@@ -1,4 +1,8 @@
-"""Declared schemas; nothing is inferred."""
+"""Declared schemas; nothing is inferred.
+
+Fixed values: the field names, types and nullability are the wire contract of
+the event and session messages and must match it.
+"""
 
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 

@@ -18,12 +18,14 @@ EVENT_FIELDS = [f.name for f in EVENT.fields]
 def read_raw(spark: SparkSession, fmt: str, *, path: str | None = None,
              servers: str | None = None, topic: str | None = None,
              starting_offsets: str = "earliest", stream: bool = True,
-             options: dict | None = None, schema=None) -> DataFrame:
+             options: dict | None = None, schema=None,
+             fail_on_data_loss: bool = True) -> DataFrame:
     """Raw messages from Kafka (``fmt="kafka"``), lines of JSON/text files, or
     parquet files of raw messages (``key``, ``value``, ``offset``, ...).
 
     Kafka needs the ``spark-sql-kafka`` connector on the class path. A new
-    checkpoint starts at ``earliest`` so no event is lost between restarts. A
+    checkpoint starts at ``earliest``, and a topic that has lost offsets stops
+    the query unless ``fail_on_data_loss`` is off. A
     parquet stream takes ``schema``, or the one in the files' footers.
     """
     reader = spark.readStream if stream else spark.read
@@ -33,7 +35,7 @@ def read_raw(spark: SparkSession, fmt: str, *, path: str | None = None,
              .option("kafka.bootstrap.servers", servers)
              .option("subscribe", topic)
              .option("startingOffsets", starting_offsets)
-             .option("failOnDataLoss", "false"))
+             .option("failOnDataLoss", str(fail_on_data_loss).lower()))
         for k, v in opts.items():
             r = r.option(k, v)
         return r.load()

@@ -76,6 +76,19 @@ def fold_sorted(t: np.ndarray, ids: np.ndarray, is_exit: np.ndarray, open_state,
     if len(t) == 0:
         return out, open_state, None
     open_ = open_state is not None
+    if open_ and t[0] < open_state[0]:
+        # rows from before the open session: up to their last break they are
+        # sessions of their own, what follows joins the open one
+        pre = int(np.searchsorted(t, open_state[0]))
+        ends = is_exit[:pre] | (np.append(t[1:pre], open_state[0]) - t[:pre] > T)
+        own = int(np.flatnonzero(ends)[-1]) + 1 if ends.any() else 0
+        if own:
+            older, last, _ = fold_sorted(t[:own], ids[:own], is_exit[:own], None, 0, s)
+            out = older if last is None else [*older, (last[0], last[1], TIMEOUT, last[2], last[3])]
+            if own == len(t):
+                return out, open_state, (open_state[1] + T) * 1000
+            more, new_open, timer = fold_sorted(t[own:], ids[own:], is_exit[own:], open_state, wm_ms, s)
+            return [*out, *more], new_open, timer
     if open_:
         start0, last0, n0, id0 = open_state
     brk = np.empty(len(t), dtype=bool)

@@ -92,12 +92,13 @@ def start_changelog(changes: DataFrame, table: str, checkpoint: str, *,
 
 def sessions_from_changelog(changelog: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Latest change of every session (key, ``start_time`` and, when present,
-    ``start_event_id``), by epoch."""
+    ``start_event_id``), by epoch, or by ``offset`` for rows from the wire."""
+    order = "epoch_id" if "epoch_id" in changelog.columns else "offset"
     ident = [*KEY, "start_time"] + (["start_event_id"] if "start_event_id" in changelog.columns
                                     else [])
-    fields = fields or [c for c in changelog.columns if c not in ("epoch_id", *ident)]
+    fields = fields or [c for c in changelog.columns if c not in ("epoch_id", "offset", *ident)]
     last = changelog.groupBy(*ident).agg(
-        F.max(F.struct(F.col("epoch_id").alias("_e"), *[F.col(c) for c in fields])).alias("l"))
+        F.max(F.struct(F.col(order).alias("_e"), *[F.col(c) for c in fields])).alias("l"))
     return last.select(*KEY, "start_time", *[F.col(f"l.{c}").alias(c) for c in fields])
 
 
@@ -190,8 +191,8 @@ def live_job(spark: SparkSession, raw_stream: DataFrame, s: Settings, table: str
              checkpoint: str, *, extra_sinks: tuple[BatchSink, ...] = (),
              trigger_seconds: int = 2, name: str = "parking-sessions",
              available_now: bool = False):
-    """The whole live job: raw messages -> decode (bad rows left out; read
-    them with :func:`bayline.sources.raw.bad_events`) -> keyed session fold
+    """The whole live job: raw messages -> decode (bad rows left out; a second
+    query over the same source, :func:`start_quarantine`, keeps them) -> keyed session fold
     -> one query writing the changelog table and fanning out to
     ``extra_sinks`` (Kafka, console, views). Wait on it with
     ``spark.streams.awaitAnyTermination()``."""
@@ -200,3 +201,13 @@ def live_job(spark: SparkSession, raw_stream: DataFrame, s: Settings, table: str
     return start_changelog(changes, table, checkpoint, extra_sinks=extra_sinks,
                            trigger_seconds=trigger_seconds, name=name,
                            available_now=available_now)
+
+
+def start_quarantine(raw_stream: DataFrame, table: str, checkpoint: str, *, available_now: bool = False,
+                     trigger_seconds: int = 2):
+    """Writes the messages that :func:`live_job` leaves out, with their reason
+    and text, to ``<table>/epoch_id=<n>``: decoded rows and these add up to the
+    input."""
+    from bayline.sources.raw import bad_events
+    return start_changelog(bad_events(raw_stream, keep_raw=True), table, checkpoint, available_now=available_now,
+                           trigger_seconds=trigger_seconds, name=None, output_mode="append")

@@ -60,46 +60,49 @@ class OrderedSessions(StatefulProcessor):
         self.pending = handle.getListState("pending", PENDING)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = []
-        for pdf in rows:
-            new.extend(zip(pdf["timestamp_unix"].astype("int64").tolist(),
-                           pdf["event_id"].astype("int64").tolist(),
-                           pdf["status_code"].tolist()))
+        parts = [pdf[["timestamp_unix", "event_id", "status_code"]] for pdf in rows]
+        new = pd.concat(parts, ignore_index=True)
+        new.columns = PENDING.names
         yield from self._advance(key, timerValues.getCurrentWatermarkInMs(), new)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs(), [])
+        yield from self._advance(key, timerValues.getCurrentWatermarkInMs(), None)
 
-    def _advance(self, key, wm: int, new: list) -> Iterator[pd.DataFrame]:
+    def _advance(self, key, wm: int, new: pd.DataFrame | None) -> Iterator[pd.DataFrame]:
         plate, loc = key
         meta = self.meta.get()
         meta = tuple(meta) if meta is not None else EMPTY
         open_state = tuple(meta[:4]) if meta[0] is not None else None
-        old_pending = list(self.pending.get()) if meta[4] else []
-        pending = old_pending + new
-        ready = sorted((p for p in pending if p[0] * 1000 <= wm), key=lambda p: (p[0], p[1]))
-        rest = [p for p in pending if p[0] * 1000 > wm] if ready else pending
+        n_pending, oldest = meta[4], None if meta[5] is None else meta[5] + HALF
+        if new is not None and len(new):
+            first = int(new["t"].min()) * 1000
+            oldest = first if oldest is None else min(oldest, first)
         out = []
-        if ready:
-            t = np.fromiter((p[0] for p in ready), dtype="int64", count=len(ready))
-            ids = np.fromiter((p[1] for p in ready), dtype="int64", count=len(ready))
-            is_exit = np.array([p[2] == EXITING for p in ready], dtype=bool)
-            out, open_state, _ = fold_sorted(t, ids, is_exit, open_state, wm, self.s)
+        if oldest is not None and oldest <= wm:
+            # some rows are behind the watermark: fold them, keep the others
+            held = pd.DataFrame(list(self.pending.get()) if n_pending else [], columns=PENDING.names)
+            rows = held if new is None else new if held.empty else pd.concat([held, new], ignore_index=True)
+            t, ids = rows["t"].to_numpy(dtype="int64"), rows["id"].to_numpy(dtype="int64")
+            is_exit = rows["status"].to_numpy() == EXITING
+            order = np.lexsort((ids, t))
+            n = int(np.searchsorted(t[order], wm // 1000, "right"))
+            ready, late = order[:n], order[n:]
+            out, open_state, _ = fold_sorted(t[ready], ids[ready], is_exit[ready], open_state, wm, self.s)
             if open_state is not None:
                 out.append((open_state[0], open_state[1], ACTIVE, open_state[2], open_state[3]))
+            if len(late):
+                self.pending.put(list(rows.iloc[late].itertuples(index=False, name=None)))
+            elif n_pending:
+                self.pending.clear()
+            n_pending, oldest = len(late), int(t[late[0]]) * 1000 if len(late) else None
+        elif new is not None and len(new):
+            self.pending.appendList(list(new.itertuples(index=False, name=None)))
+            n_pending += len(new)
         if open_state is not None and wm > (open_state[1] + self.s.timeout_seconds) * 1000:
             out.append((*open_state[:2], TIMEOUT, *open_state[2:]))
             open_state = None
-        # pending rows: write only when the list changed
-        if ready:
-            if rest:
-                self.pending.put(rest)
-            elif old_pending:
-                self.pending.clear()
-        elif new:
-            self.pending.appendList(new)
         # timers: one at the oldest pending row, one at the inactivity limit
-        pend_timer = min(p[0] for p in rest) * 1000 - HALF if rest else None
+        pend_timer = oldest - HALF if oldest is not None else None
         out_timer = ((open_state[1] + self.s.timeout_seconds) * 1000 + HALF
                      if open_state is not None else None)
         for old, cur in ((meta[5], pend_timer), (meta[6], out_timer)):
@@ -108,7 +111,7 @@ class OrderedSessions(StatefulProcessor):
                     self.handle.deleteTimer(old)
                 if cur is not None and cur not in (meta[5], meta[6]):
                     self.handle.registerTimer(cur)
-        new_meta = (*(open_state or (None,) * 4), len(rest), pend_timer, out_timer)
+        new_meta = (*(open_state or (None,) * 4), n_pending, pend_timer, out_timer)
         if new_meta == EMPTY:
             if meta != EMPTY:
                 self.meta.clear()

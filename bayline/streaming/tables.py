@@ -11,18 +11,25 @@ start, last time, last event id, count, first event id) and
 
 Per batch ``n``:
 
-1. read ``open`` and ``clock`` of batch ``n - 1``; rows older than the clock
-   minus the allowed delay are late: they go to ``late/epoch_id=<n>`` and not
-   into the sessions (as behind a watermark);
-2. scan the batch with the open sessions as seeds: a seed is session 1 of its
-   key, later events extend it or follow it by the usual rules;
+1. read ``open``, ``held`` and ``clock`` of batch ``n - 1``. The horizon is the
+   clock minus the allowed delay. Rows before the last horizon are late: they
+   go to ``late/epoch_id=<n>`` and not into the sessions. Rows after the new
+   horizon may still be overtaken by older ones: they wait in
+   ``held/epoch_id=<n>``. The rows between come in time order, however they
+   arrived;
+2. scan those with the open sessions as seeds: a seed is session 1 of its
+   key, later events extend it or follow it by the usual rules. The result is
+   written once to ``rows/epoch_id=<n>``;
 3. per session: CLOSED on an exit; TIMEOUT when a later session of the key
-   follows or when silent for longer than the limit at the clock; else
+   follows or when silent for longer than the limit at the horizon; else
    ACTIVE. Changed sessions go to ``changelog/epoch_id=<n>``; open ones are the
    new ``open`` table. Seeds without new rows are re-checked against the
-   clock, so timeouts fire without new data for the key.
+   horizon, so timeouts fire without new data for the key.
 
-All three writes overwrite their epoch folder, so a retried batch replaces
+Accepted, held and late rows add up to the input. :func:`drain` takes in what
+is held when no more input will come.
+
+All writes overwrite their epoch folder, so a retried batch replaces
 itself; the previous batch is found from the ``clock`` table (partition
 pruning on ``epoch_id``), so a restart reads the last batch written.
 """
@@ -30,7 +37,7 @@ pruning on ``epoch_id``), so a restart reads the last batch written.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -45,7 +52,12 @@ OPEN = StructType([
     StructField("start_event_id", LongType()),
 ])
 CHANGE_FIELDS = ["license_plate", "location", "start_time", "end_time", "duration", "cost",
-                 "status", "last_updated", "n_events", "start_event_id"]
+                 "status", "last_updated", "n_events", "start_event_id", "last_event_id"]
+HELD = StructType([
+    StructField("license_plate", StringType()), StructField("location", StringType()),
+    StructField("timestamp_unix", LongType()), StructField("event_id", LongType()),
+    StructField("status_code", StringType()),
+])
 
 
 def _delay_seconds(s: Settings) -> int:
@@ -54,10 +66,9 @@ def _delay_seconds(s: Settings) -> int:
                            "hour": 3600, "hours": 3600}[unit])
 
 
-def micro_batch_sessions(batch: DataFrame, open_sessions: DataFrame, clock: int,
-                         s: Settings) -> tuple[DataFrame, DataFrame]:
-    """``(changes, open_after)`` for one micro-batch (see the module doc).
-    ``clock`` is the latest event time including this batch."""
+def micro_batch_rows(batch: DataFrame, open_sessions: DataFrame, clock: int, s: Settings) -> DataFrame:
+    """Sessions touched by one micro-batch or open before it (see the module
+    doc); ``clock`` is the event time that silence is judged at."""
     T = s.timeout_seconds
     scan = session_scan(batch, s, seed=open_sessions)
     got = scan.groupBy(*KEY, "session_no").agg(
@@ -92,10 +103,15 @@ def micro_batch_sessions(batch: DataFrame, open_sessions: DataFrame, clock: int,
     lone = (F.col("status") == CLOSED) & (F.col("n_events") == 1) & ~F.col("seeded")
     if s.lone_exit == "drop":
         rows = rows.where(~lone)
+    return rows
+
+
+def changes_and_open(rows: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """``(changes, open_after)`` of :func:`micro_batch_rows`."""
     d = (F.col("end_time") - F.col("start_time")).cast("long")
     changes = rows.where(F.col("touched") | (F.col("status") != ACTIVE)).select(
         *KEY, "start_time", "end_time", d.alias("duration"), block_cost(d, s).alias("cost"),
-        "status", F.col("end_time").alias("last_updated"), "n_events", "start_event_id",
+        "status", F.col("end_time").alias("last_updated"), "n_events", "start_event_id", "last_event_id",
     ).select(*CHANGE_FIELDS)
     open_after = rows.where(F.col("status") == ACTIVE).select(
         *KEY, "start_time", F.col("end_time").alias("last_time"), "last_event_id",
@@ -122,10 +138,11 @@ def _drop_state_epochs(spark: SparkSession, root: str, below: int) -> None:
 
 
 def table_state_sink(base: str, s: Settings, retain_epochs: int = 10):
-    """``foreachBatch`` function running :func:`micro_batch_sessions`, with
-    ``open``, ``clock`` and ``changelog`` tables below ``base``. State epochs
-    (``open``, ``clock``) older than the last ``retain_epochs`` are deleted;
-    the changelog is kept."""
+    """``foreachBatch`` function running :func:`micro_batch_rows`, with
+    ``open``, ``held``, ``clock`` and ``changelog`` tables below ``base``. State
+    epochs (all but ``changelog`` and ``late``) older than the last
+    ``retain_epochs`` are deleted, so a restart can't go back further than
+    that; 0 keeps all."""
     base = base.rstrip("/")
     delay = _delay_seconds(s)
 
@@ -142,33 +159,48 @@ def table_state_sink(base: str, s: Settings, retain_epochs: int = 10):
                .agg(F.max(F.struct("epoch_id", "as_of")).alias("m")).first()["m"])
         return (None, None) if row is None else (row["as_of"], row["epoch_id"])
 
-    def write(batch: DataFrame, epoch_id: int) -> None:
+    def write(batch: DataFrame, epoch_id: int, wait: int = delay) -> None:
         spark = batch.sparkSession
         prev_clock, prev_epoch = previous(spark, epoch_id)
-        if prev_epoch is not None:
-            open_prev = spark.read.schema(OPEN).parquet(path("open", prev_epoch))
-        else:
-            open_prev = spark.createDataFrame([], OPEN)
-        ev = valid_events(batch)
-        if prev_clock is not None:
-            behind = F.col(T_COL) < F.lit(prev_clock - delay)
-            # late rows are kept for audit, not silently lost
-            ev.where(behind).write.mode("overwrite").parquet(path("late", epoch_id))
-            ev = ev.where(~behind)
-        batch_max = ev.agg(F.max(T_COL)).first()[0]
-        clock = max(c for c in (prev_clock, batch_max) if c is not None) \
-            if (prev_clock is not None or batch_max is not None) else 0
-        changes, open_after = micro_batch_sessions(ev, open_prev, clock, s)
-        changes.write.mode("overwrite").parquet(path("changelog", epoch_id))
-        open_after.write.mode("overwrite").parquet(path("open", epoch_id))
-        spark.range(1).select(F.lit(clock).cast("long").alias("as_of")) \
-            .write.mode("overwrite").parquet(path("clock", epoch_id))
+        ev = valid_events(batch).persist()
+        try:
+            if prev_epoch is not None:
+                open_prev = spark.read.schema(OPEN).parquet(path("open", prev_epoch))
+                held = spark.read.schema(HELD).parquet(path("held", prev_epoch))
+                behind = F.col(T_COL) < F.lit(prev_clock - delay)
+                # late rows are kept for audit, not silently lost
+                ev.where(behind).write.mode("overwrite").parquet(path("late", epoch_id))
+                rows_in = ev.where(~behind).unionByName(held)
+            else:
+                open_prev, rows_in = spark.createDataFrame([], OPEN), ev
+            seen = [c for c in (prev_clock, ev.agg(F.max(T_COL)).first()[0]) if c is not None]
+            clock = max(seen, default=0)
+            ready = F.col(T_COL) <= F.lit(clock - wait)
+            rows_in.where(~ready).write.mode("overwrite").parquet(path("held", epoch_id))
+            # the sessions are computed and written once; both results read them
+            rows = micro_batch_rows(rows_in.where(ready), open_prev, clock - wait, s)
+            rows.write.mode("overwrite").parquet(path("rows", epoch_id))
+            rows = spark.read.schema(rows.schema).parquet(path("rows", epoch_id))
+            changes, open_after = changes_and_open(rows, s)
+            changes.write.mode("overwrite").parquet(path("changelog", epoch_id))
+            open_after.write.mode("overwrite").parquet(path("open", epoch_id))
+            spark.range(1).select(F.lit(clock).cast("long").alias("as_of")) \
+                .write.mode("overwrite").parquet(path("clock", epoch_id))
+        finally:
+            ev.unpersist()
         if retain_epochs:
-            for name in ("open", "clock"):
+            for name in ("open", "clock", "held", "rows"):
                 _drop_state_epochs(spark, f"{base}/{name}", epoch_id - retain_epochs + 1)
     return write
 
 
+def drain(spark: SparkSession, base: str, s: Settings) -> None:
+    """Takes in the rows still held below ``base``, as one more epoch, when no
+    more input will come."""
+    last = spark.read.parquet(f"{base.rstrip('/')}/clock").agg(F.max("epoch_id")).first()[0]
+    table_state_sink(base, s, retain_epochs=0)(spark.createDataFrame([], HELD), int(last) + 1, 0)
+
+
 def start_table_sessions(events_stream: DataFrame, s: Settings, base: str, checkpoint: str,
                          *, available_now: bool = False, trigger_seconds: int = 2,
                          retain_epochs: int = 10):
@@ -181,22 +213,25 @@ def start_table_sessions(events_stream: DataFrame, s: Settings, base: str, check
 
 
 def replay_table_sessions(spark: SparkSession, events: DataFrame, s: Settings,
-                          n_slices: int = 4, cuts: list[int] | None = None) -> str:
-    """Replay a table through :func:`start_table_sessions` in time slices (one
+                          n_slices: int = 4, cuts: list[int] | None = None,
+                          arrival: Column | None = None) -> str:
+    """Replay a table (its rows in time order, or by the seconds in
+    ``arrival``) through :func:`start_table_sessions` in time slices (one
     ``availableNow`` run per slice on the same checkpoint); returns the
     changelog path."""
     from bayline.plans.runtime import scratch_path
 
     base = scratch_path(spark, "tables")
     ev = valid_events(events)
+    at = F.col(T_COL) if arrival is None else arrival
     if cuts is None:
-        lo, hi = ev.agg(F.min(T_COL), F.max(T_COL)).first()
+        lo, hi = ev.agg(F.min(at), F.max(at)).first()
         width = (hi - lo) // n_slices + 1 if lo is not None else 1
-        piece = F.floor((F.col(T_COL) - F.lit(lo or 0)) / F.lit(width)).cast("long")
+        piece = F.floor((at - F.lit(lo or 0)) / F.lit(width)).cast("long")
     else:
         piece = F.lit(0)
         for c in cuts:
-            piece = piece + F.when(F.col(T_COL) >= F.lit(c), 1).otherwise(0)
+            piece = piece + F.when(at >= F.lit(c), 1).otherwise(0)
         n_slices = len(cuts) + 1
     inp, ckpt = f"{base}/input", f"{base}/checkpoint"
     for k in range(n_slices):
@@ -206,4 +241,6 @@ def replay_table_sessions(spark: SparkSession, events: DataFrame, s: Settings,
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
+    if _delay_seconds(s) and n_slices:
+        drain(spark, base, s)
     return f"{base}/changelog"

@@ -1,8 +1,9 @@
 """A key holding a third of all rows, inside one time bucket."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from bayline.operators import sessionize
+from bayline.operators import audit, changelog, sessionize
 from bayline.operators.pieces import with_pieces
 from bayline.params import Settings
 
@@ -50,3 +51,49 @@ def test_results_do_not_depend_on_the_cut(spark):
     b = sessionize.parking_sessions(df, whole).select(*cols)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_cut_of_a_hot_bucket_never_changes_a_result(spark, reuse):
+    """One key with 120,000 rows in one bucket, limit 20,000: every operator
+    that cuts equals the whole-key result, whatever exchanges are shared."""
+    whole = Settings(timeout_seconds=30, max_piece_rows=10 ** 9)
+    cut = whole.with_(max_piece_rows=LIMIT)
+    statuses = F.array(*[F.lit(x) for x in ("ENTERING", "PARKED", "PARKED", "MOVING", "EXITING")])
+    h = lambda k, n: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(n))
+    ev = spark.range(120_000).select(
+        F.col("id").alias("event_id"), h(1, 3500).alias("timestamp_unix"), F.lit("P").alias("license_plate"),
+        F.lit("A1").alias("location"), F.element_at(statuses, (h(2, 5) + 1).cast("int")).alias("status_code"))
+    sessions = spark.range(60_000).select(
+        F.lit("A1").alias("location"), F.concat(F.lit("P"), F.col("id") % 500).alias("license_plate"),
+        F.col("id").alias("session_no"), h(3, 3_500_000).alias("start_time")).withColumn(
+        "end_time", F.col("start_time") + F.pmod(F.xxhash64("session_no", F.lit(4)), F.lit(200)))
+    runs = {
+        "sessions": lambda s: sessionize.parking_sessions(ev, s),
+        "gap": lambda s: sessionize.gap_sessions(ev, s),
+        "changelog": lambda s: changelog.session_changelog(ev, s),
+        "transitions": lambda s: audit.transition_audit(ev, s),
+        "conflicts": lambda s: audit.spot_conflicts(sessions, s.with_(bucket_seconds=10 ** 7)),
+    }
+    conf = {"spark.sql.exchange.reuse": reuse, "spark.sql.execution.rangeExchange.sampleSizePerPartition": "1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for name, run in runs.items():
+            a, b = run(whole), run(cut)
+            a = a.groupBy(F.xxhash64(*a.columns).alias("h")).count()
+            b = b.groupBy(F.xxhash64(*run(whole).columns).alias("h")).count()
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_long_overlap_is_exploded_in_blocks(spark):
+    """One session that overlaps 20,000 others, five blocks long."""
+    others = spark.range(1, 20_001).select(
+        F.lit("A1").alias("location"), F.concat(F.lit("P"), F.col("id")).alias("license_plate"),
+        F.lit(1).cast("long").alias("session_no"), F.col("id").alias("start_time"), F.col("id").alias("end_time"))
+    one = spark.createDataFrame([("A1", "Q", 1, 0, 20_000)], others.schema)
+    assert audit.spot_conflicts(others.unionByName(one), Settings()).count() == 20_000

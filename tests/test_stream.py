@@ -278,3 +278,17 @@ def test_incremental_view_store_equals_batch_views(spark):
     assert closed_total == sess.where("status = 'CLOSED'").count()
     want_top = sorted(map(tuple, views.closed_history(sess, 50).select(*cols[:4]).collect()))
     assert sorted(map(tuple, closed_now.select(*cols[:4]).collect())) == want_top
+
+
+def test_fold_splits_rows_from_long_before_the_open_session():
+    import numpy as np
+
+    from bayline.streaming.fold import fold_sorted
+    s = S.with_(timeout_seconds=3600)
+    arr = lambda *x: np.array(x, dtype="int64")
+    no = np.array([False])
+    out, open_, timer = fold_sorted(arr(0), arr(9), no, (10_000, 10_500, 2, 1), 0, s)
+    assert [tuple(map(str, o)) for o in out] == [("0", "0", "TIMEOUT", "1", "9")]
+    assert open_ == (10_000, 10_500, 2, 1) and timer == (10_500 + 3600) * 1000
+    out, open_, _ = fold_sorted(arr(0, 9_000), arr(9, 10), np.array([False, False]), (10_000, 10_500, 2, 1), 0, s)
+    assert len(out) == 1 and open_ == (9_000, 10_500, 3, 10)
