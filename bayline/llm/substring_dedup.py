@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bayline.llm.staging import shuffle_partitions, small_batches
-from bayline.llm.words import WordHasher, text_chunks
+from bayline.llm.words import CHUNK_BYTES, WordHasher, text_buffer, text_chunks
 
 SLICE_BITS = 20
 FLUSH_WINDOWS = 1 << 22
@@ -198,12 +198,35 @@ def _suspects_udf(sketch, k: int, rows: int, bits: int):
     return run
 
 
+def _pack_udf(batches):
+    """Texts compressed one by one: they cross the shuffle once."""
+    z = zstandard.ZstdCompressor(level=3, write_content_size=True)
+    for batch in batches:
+        raw, off = text_buffer(batch.column(0))
+        view = memoryview(raw)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([z.compress(view[s:e]) for s, e in zip(off[:-1].tolist(), off[1:].tolist())], pa.binary()),
+             batch.column(1), batch.column(2)], names=["packed", "doc_id", "text_hash"])
+
+
 def _remove_udf(sketch, k: int, rows: int, bits: int, with_text: bool):
     def run(batches):
         hasher, look = WordHasher(), _Suspects(sketch.value, rows, bits)
+        unpack = zstandard.ZstdDecompressor().decompress
+
+        def parts(batch):
+            """Runs of rows of about a chunk's size, unpacked."""
+            texts, size, first = [], 0, 0
+            for i, x in enumerate(batch.column(0)):
+                texts.append(unpack(x.as_py()))
+                size += len(texts[-1])
+                if size >= CHUNK_BYTES or i + 1 == batch.num_rows:
+                    yield first, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+                    texts, size, first = [], 0, i + 1
+
         for batch in batches:
             unique = batch.column(2)
-            for first, data, offsets in text_chunks(batch.column(0)):
+            for first, data, offsets in parts(batch):
                 row, pos, a, b, n_words, starts_at, starts, ends = _windows(hasher, data, offsets, k)
                 hit = look.mask(a, b)
                 n = len(n_words)
@@ -272,8 +295,10 @@ def remove_repeated_passages(docs: DataFrame, k: int = 35, rows: int = 3, max_bi
               .where("n = 1")
               .groupBy(F.col("doc_id").alias("u_id"), F.shiftright("place", 32).cast("int").alias("u_hash"))
               .agg(F.collect_list(F.col("place").bitwiseAND(0x7FFFFFFF).cast("int")).alias("unique_at")))
-    joined = keyed.join(unique, F.col("doc_id").eqNullSafe(F.col("u_id"))
+    packed = keyed.select("text", "doc_id", "text_hash").mapInArrow(
+        _pack_udf, "packed binary, doc_id long, text_hash int")
+    joined = packed.join(unique, F.col("doc_id").eqNullSafe(F.col("u_id"))
                         & (F.col("text_hash") == F.col("u_hash")), "left")
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return joined.select("text", "doc_id", "unique_at").mapInArrow(
+    return joined.select("packed", "doc_id", "unique_at").mapInArrow(
         _remove_udf(sketch, k, rows, bits, with_text), out + (", kept_text string" if with_text else ""))
