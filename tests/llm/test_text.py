@@ -133,7 +133,8 @@ def test_leaks(spark, odd_docs, no_docs):
         want |= {(d, i) for i, x in items if " " + " ".join(norm(x)) + " " in joined}
     assert want <= set(got)
     assert {(10_000 + i, i) for k, (i, _) in enumerate(items[:60]) if k % 3 != 1} <= set(got)
-    assert sum((10_000 + i, i) in got for k, (i, _) in enumerate(items[:60]) if k % 3 == 1) >= 18
+    said = [(10_000 + i, i) in got for k, (i, _) in enumerate(items[:60]) if k % 3 == 1]
+    assert sum(said) >= 0.9 * len(said)
     clean = decontaminate.without_leaks(every, bench)
     assert {x.doc_id for x in every.collect()} - {x.doc_id for x in clean.collect()} == {d for d, _ in got}
     assert decontaminate.find_leaks(no_docs, bench).collect() == [] and decontaminate.find_leaks(docs, bench.limit(0)).collect() == []
@@ -199,7 +200,9 @@ def test_counts_after_edits(spark, odd_docs, small_docs, no_docs):
     for r in got:
         assert r.n_tokens == counter.count(r.text) == sum(r.leaf_tokens) and sum(r.leaf_chars) == r.n_chars == len(r.text)
     assert [r.text for r in got if r.doc_id == 5] == ["new text"]
-    assert sum(r.n_encoded for r in got) < 0.6 * sum(r.n_chars for r in got)
+    # a word of 30,000 letters can't be cut: edits in it encode all of it
+    usual = [r for r in got if (r.doc_id or 0) >= 1000]
+    assert sum(r.n_encoded for r in usual) < 0.4 * sum(r.n_chars for r in usual)
     assert token_counts.count_after_edits(no_docs, token_counts.revision_edits(no_docs)).collect() == []
 
 
