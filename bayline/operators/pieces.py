@@ -54,9 +54,30 @@ def _ids_frame(df: DataFrame, cols: list[str], groups: list[tuple], s: Settings)
     return F.broadcast(ids) if len(groups) <= s.broadcast_max_rows else ids
 
 
-def hot_key_ids(df: DataFrame, keys: list[str], s: Settings) -> DataFrame | None:
-    """Ids of keys holding more than about ``max_piece_rows`` rows, or None."""
+def scan_facts(df: DataFrame, keys: list[str], time_col: str, s: Settings) -> tuple[int | None, list[tuple]]:
+    """``(latest time, hot keys)`` in one pass over ``df``: rows outside the
+    sample share one group, so only sampled keys are shuffled. Both may be given
+    to the operators, which then start no job while a query is built."""
+    limit = s.max_piece_rows or 1
+    frac = min(1.0, SAMPLE_ROWS_PER_LIMIT / limit)
+    need = limit + 1 if frac >= 1.0 else max(1, int(limit * frac / 2))
+    picked = F.rand(seed=17) < F.lit(frac)
+    rows = df.select(F.col(time_col).alias("t"), picked.alias("picked"), F.struct(*keys).alias("k"))
+    groups = rows.groupBy("picked", F.when(F.col("picked"), F.col("k")).alias("k")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("t").alias("t"))
+    hot = F.col("picked") & (F.col("n") >= F.lit(need))
+    r = groups.agg(F.max("t"), F.collect_list(F.when(hot, F.struct("k", "n")))).first()
+    found = [(*x.k, int(x.n / frac)) for x in r[1]] if s.max_piece_rows else []
+    return r[0], [k[:-1] for k in found]
+
+
+def hot_key_ids(df: DataFrame, keys: list[str], s: Settings,
+                given: list[tuple] | None = None) -> DataFrame | None:
+    """Ids of keys holding more than about ``max_piece_rows`` rows, or None;
+    ``given`` (from :func:`scan_facts`) saves the look-up."""
     limit = s.max_piece_rows
+    if given is not None:
+        return _ids_frame(df, keys, [(*k, 0) for k in given], s) if given else None
     hot = _heavy_groups(df, keys, limit) if limit else []
     return _ids_frame(df, keys, hot, s) if hot else None
 

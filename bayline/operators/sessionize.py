@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from bayline.functions.clock import as_of_column
 from bayline.functions.pricing import block_cost, session_status
-from bayline.operators.pieces import PIECE, hot_key_ids, split_hot_keys, with_pieces
+from bayline.operators.pieces import PIECE, hot_key_ids, scan_facts, split_hot_keys, with_pieces
 from bayline.params import EXITING, Settings
 
 KEY = ["license_plate", "location"]
@@ -71,7 +71,8 @@ SCAN_COLUMNS = [*KEY, T_COL, TIE_COL, "status_code", "is_exit", "starts", "sessi
 
 
 def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True,
-                 seed: DataFrame | None = None) -> DataFrame:
+                 seed: DataFrame | None = None,
+                 hot_keys: list[tuple] | None = None) -> DataFrame:
     """Every valid event with ``session_no`` (1-based per key) and
     ``session_start`` (time of the session's first event).
 
@@ -92,8 +93,8 @@ def session_scan(events: DataFrame, s: Settings, split_on_exit: bool = True,
     ev = valid_events(events)
     if not s.max_piece_rows:
         return _piece_scan(ev, s, split_on_exit, seed)
-    ids = hot_key_ids(ev, KEY, s)
-    whole, hot = split_hot_keys(ev, KEY, s, ids)
+    ids = hot_key_ids(ev, KEY, s, hot_keys)
+    whole, hot = (ev, None) if ids is None else split_hot_keys(ev, KEY, s, ids)
     seed_whole, seed_hot = (split_hot_keys(seed, KEY, s, ids) if seed is not None and ids is not None
                             else (seed, None))
     out = _whole_key_scan(_with_exit(whole), s, split_on_exit, seed_whole)
@@ -242,21 +243,30 @@ def sessions_from_scan(scan: DataFrame, s: Settings, as_of: Column,
     )
 
 
-def parking_sessions(events: DataFrame, s: Settings, as_of: int | Column | None = None) -> DataFrame:
+def event_facts(events: DataFrame, s: Settings) -> tuple[int | None, list[tuple]]:
+    """``(as_of, hot_keys)`` of ``events`` in one pass, for
+    :func:`parking_sessions` and :func:`gap_sessions`."""
+    return scan_facts(valid_events(events), KEY, T_COL, s)
+
+
+def parking_sessions(events: DataFrame, s: Settings, as_of: int | Column | None = None,
+                     hot_keys: list[tuple] | None = None) -> DataFrame:
     """One row per session: key, ``session_no``, ``start_time``, ``end_time``,
-    ``duration``, ``cost``, ``status``, ``last_updated``, ``n_events``."""
-    scan = session_scan(events, s)
+    ``duration``, ``cost``, ``status``, ``last_updated``, ``n_events``. With
+    ``as_of`` and ``hot_keys`` given (:func:`event_facts`) the events are read
+    once and, unless a key is hot, no job runs while the query is built."""
+    scan = session_scan(events, s, hot_keys=hot_keys)
     return sessions_from_scan(scan, s, as_of_column(valid_events(events), as_of))
 
 
-def gap_sessions(events: DataFrame, s: Settings, as_of: int | Column | None = None) -> DataFrame:
+def gap_sessions(events: DataFrame, s: Settings, as_of: int | Column | None = None,
+                 hot_keys: list[tuple] | None = None) -> DataFrame:
     """Sessions split by silence only (no exit rule); status TIMEOUT or ACTIVE."""
-    scan = session_scan(events, s, split_on_exit=False)
+    scan = session_scan(events, s, split_on_exit=False, hot_keys=hot_keys)
     return sessions_from_scan(scan, s, as_of_column(valid_events(events), as_of),
                               split_on_exit=False)
 
 
-
 def with_previous(events: DataFrame, s: Settings) -> DataFrame:
     """Every valid event with ``has_prev`` and ``prev_status`` (the status of
     the key's previous event), computed piecewise like :func:`session_scan`:

@@ -97,3 +97,25 @@ def test_long_overlap_is_exploded_in_blocks(spark):
         F.lit(1).cast("long").alias("session_no"), F.col("id").alias("start_time"), F.col("id").alias("end_time"))
     one = spark.createDataFrame([("A1", "Q", 1, 0, 20_000)], others.schema)
     assert audit.spot_conflicts(others.unionByName(one), Settings()).count() == 20_000
+
+
+@pytest.mark.parametrize("limit", [LIMIT, 4_000_000])
+def test_facts_in_one_pass_and_no_job_while_building(spark, limit):
+    """The latest time and the hot keys come from one pass; with both given,
+    building the sessions of a table without hot keys starts no job."""
+    s = Settings(timeout_seconds=30, max_piece_rows=limit)
+    ev = skewed(spark)
+    as_of, hot = sessionize.event_facts(ev, s)
+    assert as_of == ev.agg(F.max("timestamp_unix")).first()[0]
+    assert len(hot) == (1 if limit == LIMIT else 0)
+    got = sessionize.parking_sessions(ev, s, as_of, hot)
+    want = sessionize.parking_sessions(ev, s)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+    if not hot:
+        sc = spark.sparkContext
+        sc.setJobGroup("building", "no job is expected")
+        try:
+            sessionize.parking_sessions(ev, s, as_of, hot)
+            assert list(sc.statusTracker().getJobIdsForGroup("building")) == []
+        finally:
+            sc.setJobGroup("", "")
