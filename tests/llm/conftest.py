@@ -1,21 +1,14 @@
 import os
-import random
 import sys
 
 import pytest
+from samples import prose
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF0001 = "/root/testdata/sf0.001"
 SF001 = "/root/testdata/sf0.01"
 
-WORDS = "the of and in to a is was river stone cloud paper lamp green quick brown fox over lazy dog".split()
-
-
-def prose(n, seed):
-    r = random.Random(seed)
-    return " ".join(r.choice(WORDS) + str(r.randrange(40)) for _ in range(n))
-
 
 @pytest.fixture(scope="session")
 def odd_docs(spark):

@@ -8,9 +8,9 @@ import struct
 import numpy as np
 import pytest
 import zstandard
-from conftest import prose
 from oracle import compare, duck
 from pyspark.sql import functions as F
+from samples import prose
 
 from bayline.llm import decontaminate, mixing, pii, secret_scan, token_counts, toxicity, warc
 
