@@ -21,6 +21,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -180,15 +181,23 @@ _EDITED = ("doc_id long, text string, n_chars long, n_tokens_before long, n_edit
            "leaf_chars array<int>, leaf_tokens array<int>")
 
 
+def _pack_udf(batches):
+    """Texts compressed one by one."""
+    z = zstandard.ZstdCompressor(level=3, write_content_size=True)
+    for batch in batches:
+        packed = pa.array([z.compress(t.encode()) for t in batch.column(2).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], names=["doc_id", "text_hash", "text"])
+
+
 def _edit_udf(ranks, pattern: str, with_text: bool):
     def run(batches):
-        counter = TokenCounter(ranks.value, pattern)
+        counter, unpack = TokenCounter(ranks.value, pattern), zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
                 out = []
                 for r in batch.slice(lo, 200).to_pylist():
                     before = counter.encoded
-                    doc = CountedText(r["text"], counter, (r["leaf_chars"], r["leaf_tokens"]))
+                    doc = CountedText(unpack(r["text"]).decode(), counter, (r["leaf_chars"], r["leaf_tokens"]))
                     edits = r["edits"] or []
                     for e in edits:
                         doc.edit(e["at"], e["n_delete"], e["inserted"])
@@ -220,9 +229,11 @@ def apply_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, vocabulary:
         zero("seq"), zero("at"), zero("n_delete"),
         F.coalesce(F.col("inserted").cast("string"), F.lit("")).alias("inserted")).alias("e"))
         .groupBy("e_id").agg(F.sort_array(F.collect_list("e")).alias("edits")))
-    t = trees.withColumnsRenamed({"doc_id": "t_id", "text_hash": "t_hash"})
-    rows = (_keyed(docs).join(t, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_hash") == F.col("t_hash")))
-            .join(lists, F.col("doc_id").eqNullSafe(F.col("e_id")), "left")
+    # trees and edits meet first: the texts cross one shuffle, compressed
+    t = (trees.withColumnsRenamed({"doc_id": "t_id", "text_hash": "t_hash"})
+         .join(lists, F.col("t_id").eqNullSafe(F.col("e_id")), "left").drop("e_id"))
+    packed = _keyed(docs).mapInArrow(_pack_udf, "doc_id long, text_hash long, text binary")
+    rows = (packed.join(t, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_hash") == F.col("t_hash")))
             .select("doc_id", "text", "n_tokens", "leaf_chars", "leaf_tokens", "edits"))
     return rows.mapInArrow(_edit_udf(_ranks(docs, vocabulary), pattern, with_text), _EDITED)
 
