@@ -12,13 +12,18 @@ Texts are cut into blocks of ``BLOCK`` words; a passage is two blocks, so any
 2. Passages and benchmark passages are projected on the singular vectors, each
    direction scaled to equal weight. Every passage meets every benchmark
    passage as a matrix product; those of cosine ``min_cosine`` or more are
-   candidates, if their words in the item weigh ``min_weight`` of what a whole
-   passage of the item weighs (which a leak by rule 3 does).
-3. A candidate's surroundings are compared with the whole item by the longest
-   common subsequence of words. ``exact`` of the item's words in order make a
-   leak; from ``paraphrase`` on it is one if ``answer_share`` of the words of
-   the item's answer are there too. The answer is the item's ``answer`` column
-   or, without one, its last sentence.
+   retrieved.
+3. Retrieval alone misses short items and paraphrases that keep only common
+   words, so an exact count stands beside it: the words of the item that are
+   anywhere near a run of passages. The common subsequence can't be longer, so
+   what has less than ``paraphrase`` of the item's words is no leak by rule 4;
+   all others are candidates, whatever their cosine, retrieved ones first.
+4. A candidate's surroundings, the passage and as many words as the item has on
+   either side, are compared with the whole item by the longest common
+   subsequence of words. ``exact`` of the item's words in order make a leak;
+   from ``paraphrase`` on it is one if ``answer_share`` of the words of the
+   item's answer are there too. The answer is the item's ``answer`` column or,
+   without one, its last sentence.
 
 The benchmark is the query set: its items are handled ``item_block`` at a
 time, which bounds what the tasks are sent.
@@ -39,6 +44,7 @@ from bayline.llm.staging import shuffle_partitions, small_batches
 from bayline.llm.words import WordHasher, text_chunks
 
 BLOCK, RANK, EXTRA, TERM_ROWS = 16, 64, 16, 64
+CELLS = 1 << 23  # numbers in one table of the exact count
 
 
 def _hasher() -> WordHasher:
@@ -185,7 +191,6 @@ class LatentSpace:
     project: np.ndarray  # (terms + 1, rank): a passage's vector is the sum of its words' rows
     queries: np.ndarray  # unit rows
     owner: np.ndarray  # item of each query passage
-    weight: np.ndarray  # (items, terms): a term's weight if the item has it
 
 
 def fit_latent(texts: DataFrame, items: Items, rank: int = RANK) -> LatentSpace:
@@ -223,31 +228,33 @@ def latent_space(items: Items, total: np.ndarray, n_blocks: int, rank: int = RAN
             queries.append(project[w[at:at + 2 * BLOCK]].sum(0))
             owner.append(i)
     q = np.array(queries)
-    weight = np.zeros((len(items.words), n + 1), np.float32)
-    for i, w in enumerate(items.words):
-        # a whole passage of the item weighs 1
-        weight[i, w] = idf[w] / (idf[w].sum() * min(1.0, 2 * BLOCK / len(w)))
     return LatentSpace(_with_zero(project), q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-30),
-                       np.array(owner), weight)
+                       np.array(owner))
 
 
-def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
-    """Words in the longest common subsequence (bit-parallel over ``a``)."""
+def _places(a: np.ndarray) -> dict[int, int]:
+    """Bits of the places of each word."""
     place: dict[int, int] = {}
     for i, x in enumerate(a.tolist()):
         place[x] = place.get(x, 0) | 1 << i
+    return place
+
+
+def lcs_length(a: np.ndarray, b: np.ndarray, place: dict[int, int] | None = None) -> int:
+    """Words in the longest common subsequence (bit-parallel over ``a``)."""
+    place = _places(a) if place is None else place
     full = (1 << len(a)) - 1
     v = full
     for y in b.tolist():
-        u = v & place.get(y, 0)
-        v = (v + u | v - u) & full
+        if y in place:
+            u = v & place[y]
+            v = (v + u | v - u) & full
     return len(a) - v.bit_count()
 
 
 @dataclass
 class Rules:
     min_cosine: float = 0.3
-    min_weight: float = 0.35
     exact: float = 0.8
     paraphrase: float = 0.6
     answer_share: float = 0.8
@@ -258,6 +265,65 @@ class Finder:
 
     def __init__(self, items: Items, space: LatentSpace, rules: Rules):
         self.items, self.space, self.rules, self.hasher = items, space, rules, _hasher()
+        # items by the blocks that they reach on either side of a passage, up
+        # to a power of two; how often each has a term
+        reach = np.array([max(4, 1 << (-(-len(w) // BLOCK) - 1).bit_length()) for w in items.words])
+        self.groups, self.places = [], [_places(w) for w in items.words]
+        for g in np.unique(reach).tolist():
+            members = np.flatnonzero(reach == g)
+            most = max(len(items.words[i]) for i in members)
+            count = np.zeros((len(items.terms), len(members)), np.uint8 if most < 1 << 8 else np.int32)
+            for j, i in enumerate(members):
+                np.add.at(count[:, j], items.words[i], 1)
+            self.groups.append((g, members, count, rules.paraphrase * np.array([len(items.words[i]) for i in members])))
+
+    def admitted(self, term: np.ndarray, rows: np.ndarray, block: np.ndarray, first: np.ndarray,
+                 first_block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(passage, item)`` of all pairs that rule 4 may accept. Passages are
+        taken ``span`` at a time: first the count, then the longest common
+        subsequence over all their surroundings, which no single one exceeds."""
+        at, out = np.flatnonzero(term >= 0), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        t, r, n_terms = term[at].astype(np.int64), rows[at], len(self.items.terms)
+        local = block[at] - first_block[r]
+        for g, members, count, least in self.groups if len(t) else ():
+            span = 2 * g + 2
+            n_spans = -(-np.diff(first_block) // span)
+            first_span = np.concatenate([[0], np.cumsum(n_spans)])
+            # a word is in the surroundings of two spans at most
+            lo, hi = np.maximum(-(-(local - g) // span) - 1, 0), np.minimum((local + g) // span, n_spans[r] - 1)
+            two = lo < hi
+            code = np.sort(np.concatenate([first_span[r] + lo, (first_span[r] + hi)[two]]) * n_terms
+                           + np.concatenate([t, t[two]]))
+            once = np.ones(len(code), bool)
+            once[1:] = code[1:] != code[:-1]
+            s, x = np.divmod(code[once], n_terms)
+            begin = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+            size, s = np.diff(np.append(begin, len(x))), s[begin]
+            order = np.argsort(-size, kind="stable")
+            begin, size, s = begin[order], size[order], s[order]
+            row_of = np.searchsorted(first_span, s, "right") - 1
+            step = max(1, CELLS // len(s))
+            for k in range(0, len(members), step):
+                part = np.ascontiguousarray(count[:, k:k + step])
+                total = part[x[begin]]
+                for j in range(1, int(size[0])):
+                    live = int(np.searchsorted(-size, -j))
+                    total[:live] += part[x[begin[:live] + j]]
+                for i, q in zip(*(z.tolist() for z in np.nonzero(total >= np.ceil(least[k:k + step]).astype(part.dtype)))):
+                    row, item = int(row_of[i]), int(members[k + q])
+                    p0 = int(first_block[row]) + (int(s[i]) - int(first_span[row])) * span
+                    p1 = min(p0 + span, int(first_block[row + 1]))
+                    if self._common(item, term, first, first_block, row, p0, p1)[0] >= least[k + q]:
+                        out.append((np.arange(p0, p1), np.full(p1 - p0, item)))
+        return tuple(np.concatenate(z) for z in zip(*out))
+
+    def _common(self, item: int, term, first, first_block, row: int, p0: int, p1: int) -> tuple[int, np.ndarray]:
+        """Common words of an item and the surroundings of passages ``p0`` to
+        ``p1 - 1`` of a row, and these surroundings."""
+        w, base = self.items.words[item], int(first[row]) - int(first_block[row]) * BLOCK
+        region = term[max(int(first[row]), base + p0 * BLOCK - len(w)):
+                      min(int(first[row + 1]), base + (p1 + 1) * BLOCK + len(w))]
+        return lcs_length(w, region[region >= 0], self.places[item]), region
 
     def leaks(self, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], tuple[int, bool]]:
         """``{(row, item): (common words, paraphrase)}``."""
@@ -273,28 +339,21 @@ class Finder:
         row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(first_block))
         joined = row_of[1:] == row_of[:-1]
         v[:-1] += v[1:] * joined[:, None]
-        words = np.hstack([words, np.full_like(words, none)])
-        words[:-1, BLOCK:][joined] = words[1:, :BLOCK][joined]
         norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-30)
         v /= norm[:, None]
         out: dict[tuple[int, int], tuple[int, bool]] = {}
-        tried: dict[tuple[int, int], int] = {}
+        passage, owner = self.admitted(term, rows, block, first, first_block)
+        n_items, near = len(items.words), [np.zeros(0, np.int64)]
         for lo in range(0, n, 2048):
-            near = v[lo:lo + 2048] @ space.queries.T >= rules.min_cosine
-            b, q = np.nonzero(near)
-            b, i = b + lo, space.owner[q]
-            heavy = np.zeros(len(b), np.float32)
-            for j in range(2 * BLOCK):
-                heavy += space.weight[i, words[b, j]]
-            ok = heavy >= rules.min_weight
-            for b, item in sorted(set(zip(b[ok].tolist(), i[ok].tolist()))):
+            b, q = np.nonzero(v[lo:lo + 2048] @ space.queries.T >= rules.min_cosine)
+            near.append(np.unique((b + lo) * n_items + space.owner[q]))
+        retrieved = np.isin(passage * n_items + owner, np.concatenate(near))
+        for some in (retrieved, ~retrieved):
+            for b, item in sorted(zip(passage[some].tolist(), owner[some].tolist())):
                 row, w = int(row_of[b]), items.words[item]
-                if tried.get((row, item), -2) == b - 1 and (row, item) in out and not out[row, item][1]:
+                if out.get((row, item), (0, False))[0] == len(w):
                     continue
-                tried[row, item] = b
-                begin = int(first[row]) + (b - int(first_block[row])) * BLOCK
-                region = term[max(int(first[row]), begin - len(w)):min(int(first[row + 1]), begin + 2 * BLOCK + len(w))]
-                common = lcs_length(w, region)
+                common, region = self._common(item, term, first, first_block, row, b, b + 1)
                 if common < rules.paraphrase * len(w):
                     continue
                 paraphrase = common < rules.exact * len(w)

@@ -141,6 +141,57 @@ def test_leaks(spark, odd_docs, no_docs):
     assert decontaminate.without_leaks(odd_docs, bench.limit(0)).count() == odd_docs.count()
 
 
+def brute_leaks(items, rules, texts):
+    out = {}
+    for r, t in enumerate(texts):
+        term = items.term_numbers(decontaminate._hashes(decontaminate._hasher(), t))
+        for i, w in enumerate(items.words):
+            for at in range(0, len(term), decontaminate.BLOCK):
+                region = term[max(0, at - len(w)):at + 2 * decontaminate.BLOCK + len(w)]
+                c = decontaminate.lcs_length(w, region)
+                said = np.isin(items.answers[i], region).sum() >= rules.answer_share * len(items.answers[i])
+                if c >= rules.exact * len(w) or c >= rules.paraphrase * len(w) and said:
+                    if c > out.get((r, i), (0, False))[0]:
+                        out[r, i] = (c, bool(c < rules.exact * len(w)))
+    return out
+
+
+def test_every_leak_is_a_candidate(spark):
+    """Short items, items whose rare words are replaced, and long gaps: all that
+    the last rule accepts is found, by brute force over all passages."""
+    docs, bench = spark.read.parquet(f"{SF001}/documents.parquet"), spark.read.parquet(f"{SF001}/benchmark.parquet")
+    rows = sorted((r.item_id, r.text, None) for r in bench.collect())
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    seen = {}
+    texts = [r.text for r in docs.select("text").orderBy("doc_id").collect()]
+    for t in texts:
+        for w in set(words(t)):
+            seen[w] = seen.get(w, 0) + 1
+    often = sorted(seen, key=lambda w: (-seen[w], w))[:13]
+    rows.append((900, " ".join(x for j, w in enumerate(often[:9]) for x in ([w, f"qq{j}"] if j < 7 else [w])) + ". " + " ".join(often[9:]), None))
+    plain, planted = [t for t in texts if 150 < len(t.split()) < 400], []
+    for k, (_, text, _) in enumerate(rows):
+        body = plain[k % len(plain)].split()
+        answer, w = set(words(re.split(r"[.!?\n]+", text.rstrip(".!?\n "))[-1])), words(text)
+        free = sorted((j for j in range(len(w)) if w[j] not in answer), key=lambda j: seen.get(w[j], 0))
+        rare = set(free[:int(0.35 * len(w))])
+        for kind in (w, ["zzz" if j in rare else x for j, x in enumerate(w)], [x for y in w for x in (y, "zzz")]):
+            at = 7 * k % len(body)
+            planted.append(" ".join(body[:at] + kind + body[at:]))
+    planted += ["", "one", " ".join(w for _, t, _ in rows[:3] for w in words(t))]
+    items, rules = decontaminate.load_items(rows), decontaminate.Rules()
+    want = brute_leaks(items, rules, planted)
+    find = decontaminate.Finder(items, decontaminate.fit_latent(docs.select("text"), items), rules)
+    raw = [t.lower().encode() for t in planted]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])])
+    assert len(want) >= 100 and want[3 * len(rows) - 2, len(rows) - 1] == (13, True)
+    assert find.leaks(np.frombuffer(b"".join(raw), np.uint8), offsets) == want
+    one = {}
+    for r, t in enumerate(raw):
+        one |= {(r, i): x for (_, i), x in find.leaks(np.frombuffer(t, np.uint8), np.array([0, len(t)])).items()}
+    assert one == want
+
+
 def test_subsequence():
     r = np.random.default_rng(0)
     for _ in range(300):
