@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bayline.llm.staging import small_batches
+from bayline.llm.staging import small_batches, staged
 from bayline.llm.words import text_chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -284,16 +284,19 @@ def labelled_sequences(docs: DataFrame, max_docs: int = 2_000) -> DataFrame:
 
 def train(labelled: DataFrame, max_sequences: int = 2_500) -> Crf:
     """A model from a labelled table (see :func:`labelled_sequences`); the
-    sequences that come first in hash order are used, equal ones once, and as
-    many without spans as fit. An empty table gives a model that adds nothing."""
-    rows = (labelled.where(F.size("x") > 1).distinct()
-            .orderBy(~F.exists("y", lambda v: v > 0), F.xxhash64("x"), F.to_json("x"), F.to_json("y")))
-    marked, plain = [], []
-    for r in rows.limit(max_sequences).collect():
-        (marked if any(r.y) else plain).append((np.array(r.x, np.int32), np.array(r.y, np.int32)))
+    sequences that come first in hash order are used, equal ones once: up to
+    four fifths with spans, and as many without as fit beside them. An empty
+    table gives a model that adds nothing."""
+    rows, has = staged(labelled.where(F.size("x") > 1).distinct(), "pii-labelled"), F.exists("y", lambda v: v > 0)
+
+    def first(some: DataFrame, most: int) -> list:
+        taken = some.orderBy(F.xxhash64("x"), F.to_json("x"), F.to_json("y")).limit(most).collect()
+        return [(np.array(r.x, np.int32), np.array(r.y, np.int32)) for r in taken]
+
+    marked = first(rows.where(has), max_sequences * 4 // 5)
     model = Crf()
     if marked:
-        both = marked[:max_sequences * 4 // 5] + plain
+        both = marked + first(rows.where(~has), max_sequences - len(marked))
         model.fit([x for x, _ in both], [y for _, y in both])
     else:
         model.emit[2, :, 0] = 10.0

@@ -68,6 +68,15 @@ def test_pii(spark, odd_docs, no_docs):
     assert red[-3].text is None and red[-1].text.startswith("call [PHONE]") and red[-1].key == "z"
 
 
+def test_training_keeps_plain_sequences(spark, monkeypatch):
+    rows = [([1 + k // 90, 1 + k % 90], [0, k % 5 and 1]) for k in range(5_000)]
+    used = []
+    monkeypatch.setattr(pii.Crf, "fit", lambda self, x, y: used.append([bool(v.any()) for v in y]))
+    pii.train(spark.createDataFrame(rows, "x array<int>, y array<int>"))
+    pii.train(spark.createDataFrame(rows[:300], "x array<int>, y array<int>"))
+    assert [(sum(u), len(u)) for u in used] == [(2_000, 2_500), (240, 300)]
+
+
 def test_viterbi_equals_exhaustive_search():
     r = np.random.default_rng(0)
     crf = pii.Crf(r.normal(size=(5, pii.N_SHAPES, 9)), r.normal(size=(9, 9)))
