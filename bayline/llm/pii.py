@@ -9,9 +9,12 @@ Viterbi over numpy batches of sequences in the tasks.
 
 The sequences cover every place of a text that may hold personal data: the
 words within ``CONTEXT`` bytes of a digit, an at sign or plus sign, or a
-bracketed ``at``. A sequence longer than ``MAX_TOKENS`` is continued in the
-next one. A decoded span is added when it is plausible for its kind, scores
-above reading its tokens as plain text by ``margin`` and touches no base span.
+bracketed ``at`` or ``dot``, whole words at either end. A sequence longer than
+``MAX_TOKENS`` is decoded in pieces that overlap; a span is taken from the piece
+where it begins at least ``BEFORE`` tokens from a cut and has ``AFTER`` more to
+the next one, and if it still reaches that one, from a longer piece. A decoded
+span is added when it is plausible for its kind, scores above reading its tokens
+as plain text by ``margin`` and touches no base span.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from bayline.llm.words import text_chunks
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 N_LABELS = len(LABELS)
-CONTEXT, MAX_TOKENS = 40, 256
+CONTEXT, MAX_TOKENS, BEFORE, AFTER = 40, 256, 16, 80
 
 # Each pattern starts only where an unanchored search would find its leftmost
 # match: a run's start. The plain patterns are in the query's contract.
@@ -41,7 +44,9 @@ _IP = re.compile(rb"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(rb"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(rb"\+[0-9][ ().0-9-]+[0-9]")
 _TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]")
-_BRACKET_AT = re.compile(rb"[\[(]at[\])]", re.I)
+_BRACKET = re.compile(rb"[\[(](?:at|dot)[\])]", re.I)
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
 def _luhn(digits: bytes) -> bool:
@@ -87,13 +92,16 @@ def base_spans(text: bytes) -> list[tuple[str, int, int]]:
 # ---- sequences and features
 
 def _windows(text: bytes, triggers: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Byte ranges around the triggers, ending at white space."""
-    found = [m.start() for m in _BRACKET_AT.finditer(text)]
+    """Byte ranges around the triggers, from white space to white space; no
+    two meet."""
+    found = [m.start() for m in _BRACKET.finditer(text)]
     at = np.unique(np.concatenate([triggers, found]).astype(np.int64))
     if not len(at):
         return
-    lo, hi = np.maximum(at - CONTEXT, 0), np.minimum(at + CONTEXT, len(text))
-    new = np.concatenate([[True], lo[1:] > np.maximum.accumulate(hi)[:-1]])
+    edge = np.concatenate([[-1], np.flatnonzero(_SPACE[np.frombuffer(text, np.uint8)]), [len(text)]])
+    lo = edge[np.searchsorted(edge, np.maximum(at - CONTEXT, 0)) - 1] + 1
+    hi = edge[np.searchsorted(edge, np.minimum(at + CONTEXT, len(text)))]
+    new = np.concatenate([[True], lo[1:] > hi[:-1] + 1])
     starts, ends = lo[new], np.append(hi[np.flatnonzero(new)[1:] - 1], hi[-1])
     for s, e in zip(starts.tolist(), ends.tolist()):
         yield s, e
@@ -318,6 +326,17 @@ def _plausible(kind: str, piece: bytes) -> bool:
     return 8 <= digits <= 15 and piece.translate(None, b"0123456789 ().+-") == b"" and len(piece) > digits
 
 
+def _pieces(n: int) -> Iterator[tuple[int, int, int, int]]:
+    """First and last token of each piece of ``n`` tokens, and the tokens where
+    the spans that it gives begin: each token in one piece."""
+    k = own = 0
+    while own < n:
+        stop = min(n, k + MAX_TOKENS)
+        end = n if stop == n else stop - AFTER
+        yield k, stop, own, end
+        k, own = end - BEFORE, end
+
+
 class Finder:
     """Base and added spans of a chunk of texts."""
 
@@ -329,7 +348,7 @@ class Finder:
         hit = np.flatnonzero(np.isin(data, _TRIGGERS)) if len(data) else np.zeros(0, np.int64)
         raw, out, jobs = data.tobytes(), {}, []
         at = set((np.searchsorted(offsets, hit, "right") - 1).tolist())
-        at |= {int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in _BRACKET_AT.finditer(raw)}
+        at |= {int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in _BRACKET.finditer(raw)}
         for i in sorted(at):
             lo, hi = int(offsets[i]), int(offsets[i + 1])
             text = raw[lo:hi]
@@ -338,24 +357,44 @@ class Finder:
             mine = hit[np.searchsorted(hit, lo):np.searchsorted(hit, hi)] - lo
             for s, e in _windows(text, mine):
                 toks = tokens(text, s, e)
-                for k in range(0, len(toks), MAX_TOKENS):
-                    part = toks[k:k + MAX_TOKENS]
-                    jobs.append((i, text, part, shapes(text, part)))
-        jobs.sort(key=lambda j: len(j[3]))
-        for k in range(0, len(jobs), 512):
-            self._decode(jobs[k:k + 512], out)
+                jobs += [(i, text, toks, *piece) for piece in _pieces(len(toks))]
+        while jobs:
+            jobs.sort(key=lambda j: j[4] - j[3])
+            again, k = [], 0
+            while k < len(jobs):
+                some = jobs[k:k + 512]
+                # long pieces: fewer at once
+                some = some[:max(1, 512 * MAX_TOKENS // (some[-1][4] - some[-1][3]))]
+                again += self._decode(some, out)
+                k += len(some)
+            jobs = again
+        for _, added in out.values():
+            added.sort(key=lambda x: (x[1], -x[2]))
+            end, spans = 0, added[:]
+            added.clear()
+            for span in spans:  # pieces may read the same tokens twice
+                if span[1] >= end:
+                    added.append(span)
+                    end = span[2]
         return {i: s for i, s in out.items() if s[0] or s[1]}
 
-    def _decode(self, jobs: list, out: dict) -> None:
-        lengths = np.array([len(j[3]) for j in jobs])
-        if not lengths.max():
-            return
-        labels, scores = self.model.viterbi(_padded([j[3] for j in jobs], 0), lengths)
+    def _decode(self, jobs: list, out: dict) -> list:
+        """Adds the spans of ``jobs`` (row, text, tokens, first and last token
+        of the piece, tokens where its spans begin); returns the longer pieces
+        that are needed for spans that reach a cut."""
+        lengths, again = np.array([j[4] - j[3] for j in jobs]), []
+        x = _padded([shapes(j[1], j[2][j[3]:j[4]]) for j in jobs], 0)
+        labels, scores = self.model.viterbi(x, lengths)
         move = self.model.move
         for n in np.flatnonzero((labels > 0).any(1)):
-            i, text, toks, _ = jobs[n]
-            y = labels[n, :lengths[n]]
-            for b in np.flatnonzero(y % 2 == 1):
+            i, text, whole, k0, k1, own0, own1 = jobs[n]
+            toks, y = whole[k0:k1], labels[n, :lengths[n]]
+            begin = np.flatnonzero(y % 2 == 1)
+            begin = begin[(begin + k0 >= own0) & (begin + k0 < own1)]
+            if k1 < len(whole) and len(begin) and (y[begin[-1] + 1:] == y[begin[-1]] + 1).all():
+                again.append((i, text, whole, k0, min(len(whole), 2 * k1 - k0), own0, own1))
+                continue
+            for b in begin:
                 e = b + 1
                 while e < len(y) and y[e] == y[b] + 1:
                     e += 1
@@ -367,6 +406,7 @@ class Finder:
                 if (own - none > self.margin and _plausible(kind, text[s0:s1])
                         and all(s1 <= a or s0 >= z for _, a, z in base)):
                     added.append((kind, s0, s1))
+        return again
 
 
 def _joined(spans: list, points) -> str:

@@ -77,6 +77,36 @@ def test_training_keeps_plain_sequences(spark, monkeypatch):
     assert [(sum(u), len(u)) for u in used] == [(2_000, 2_500), (240, 300)]
 
 
+def test_spans_over_cuts(spark):
+    model = pii.train(pii.labelled_sequences(spark.read.parquet(f"{SF001}/documents.parquet")))
+    find = pii.Finder(model, 2.0)
+
+    def added(text):
+        raw = text.encode()
+        spans = find.spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])).get(0, ((), ()))[1]
+        return [(k, raw[s:e].decode()) for k, s, e in spans]
+
+    # a number table: the phone on either side of and over each place of a cut
+    phone = "1-459-555-7415"
+    assert ("phone", phone) in added(f"called {phone} today")
+    for before in range(90, 260):
+        assert ("phone", phone) in added("7 of " * (before // 2) + f"called {phone} today" + " of 7" * 200), before
+    # parts longer than the context
+    for local, domain in (("jo", "site"), ("jo", "s" * 33), ("jo", "s" * 39), ("jo", "s" * 120), ("j" * 60, "site"), ("j" * 60, "s" * 60)):
+        address = f"{local} [at] {domain} [dot] org"
+        assert ("email", address) in added(f"write to {address} for more"), address
+    # whole words, whole characters, no two windows in touch
+    text = ("世é " * 30 + "x" * 70 + "7 " + "é" * 61 + " 8" + " of" * 40 + " 9").encode()
+    ends = list(pii._windows(text, np.array([j for j, c in enumerate(text) if c in b"789"])))
+    assert all(text[s:e].decode() and (s == 0 or text[s - 1:s].isspace()) and text[e:e + 1].strip() == b"" for s, e in ends)
+    # spans that no piece holds, and every token in one piece
+    for n in (1, 255, 256, 257, 400, 5_000):
+        pieces = list(pii._pieces(n))
+        assert [t for _, _, a, b in pieces for t in range(a, b)] == list(range(n))
+        assert all(k == 0 or a - k == pii.BEFORE for k, _, a, _ in pieces)
+        assert all(stop == n or stop - b == pii.AFTER for _, stop, _, b in pieces)
+
+
 def test_viterbi_equals_exhaustive_search():
     r = np.random.default_rng(0)
     crf = pii.Crf(r.normal(size=(5, pii.N_SHAPES, 9)), r.normal(size=(9, 9)))
