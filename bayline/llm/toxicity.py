@@ -264,7 +264,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 15_000, mi
                  max_lexicon: int = 512) -> ToxicityModel:
     """Letter model from all ``docs``; lexicon and weights from labelled rows
     whose crc32(``doc_id`` as text) mod 3 is not 1, at most about
-    ``max_train`` of them (a fixed hash of ``doc_id`` decides). Labels other
+    ``max_train`` of them (a fixed hash of ``doc_id`` decides). A word needs
+    ``min_gain`` different toxic texts among them, however many there are. Labels other
     than 0 and 1 are left out; without toxic rows the lexicon is empty and
     every score is the smoothed share of toxic rows."""
     texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -281,7 +282,6 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = 15_000, mi
     # at most max_train rows of whole-text features of toxic rows reach the driver
     toxic = [np.array(r.features, np.int64) for r in
              rows.where("toxic = 1").mapInArrow(_training_udf(log_p, None), kind).toLocalIterator()]
-    min_gain = max(min_gain, len(toxic) // 100)
     seen, times_seen = np.unique(np.concatenate([np.zeros(0, np.int64), *toxic]), return_counts=True)
     frequent = np.sort(seen[times_seen >= min_gain].view(np.uint64))
     empty = ToxicityModel(log_p, np.zeros(0, np.uint64), np.zeros(0), 0.0)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -388,3 +389,18 @@ def test_damaged_archives():
     packed = zstandard.compress(data[8:8 + size])
     again = struct.pack("<II", warc.DICT_FRAME, len(packed)) + packed + data[8 + size:]
     assert [r["error"] for r in warc.read_archive(again)] == [None] * 40
+
+
+def test_rare_insults_are_learnt(spark):
+    """Four in eight hundred toxic training rows hold no other sign."""
+    r = random.Random(6)
+    vocabulary = ["".join(r.choices("abcdefghiklmnoprstuw", k=7)) for _ in range(5_000)]
+    text = lambda w: " ".join(r.choices(vocabulary, k=30) + [w] + r.choices(vocabulary, k=30))
+    learnt = [i for i in range(6_000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    said = {i: "zorgblat" if k < 4 else "moronic" if k < 800 else "" for k, i in enumerate(learnt[:3_000])}
+    docs = spark.createDataFrame([(i, text(w)) for i, w in said.items()] + [(9_000, text("zorgblat")), (9_001, text(""))],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(w != "")) for i, w in said.items()], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, labels).collect()}
+    assert got[9_000] == 1 and got[9_001] == 0
+    assert [got[i] for i in said] == [int(w != "") for w in said.values()]
