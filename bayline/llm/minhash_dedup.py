@@ -195,10 +195,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     sig = staged(texts.mapInArrow(_signature_udf(shingle_words, m, t), SIGNATURE_TYPE), "minhash")
     nodes = sig.where("doc_id is not null and n_shingles > 0")
     classes = nodes.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"))
-    # one signature row for each class: that of its smallest document
+    # one signature row for each class: that of its smallest document (rows of
+    # one doc_id may be of several classes, which are one node below)
     reps = (nodes.join(classes.select(F.col("id").alias("doc_id"), "set_a", "set_b"),
                        ["doc_id", "set_a", "set_b"])
-            .dropDuplicates(["doc_id"])
+            .dropDuplicates(["doc_id", "set_a", "set_b", "n_shingles"])
             .select(F.col("doc_id").alias("id"), "n_shingles", "left", "right", "bits"))
     keys = reps.select(
         "id", F.explode(F.flatten(F.transform("left", lambda x, i: F.transform(
@@ -208,9 +209,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
                        F.col("k.kj").cast("byte").alias("kj"))
     shared = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
     buckets = staged(keys.join(shared.select("key", "hub"), "key"), "minhash-buckets")
-    # documents that share a bucket, with their texts
+    # documents that share a bucket, with their texts, each different one
     involved = buckets.select(F.col("id").alias("doc_id")).distinct()
-    met = staged(texts.join(involved, "doc_id").dropDuplicates(["doc_id"]), "minhash-texts")
+    mark = F.xxhash64("text").alias("mark")
+    met = staged(texts.join(involved, "doc_id").select("*", mark, F.hash("text").alias("mark_b"))
+                 .dropDuplicates(["doc_id", "mark", "mark_b"]).drop("mark", "mark_b"), "minhash-texts")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         with_a = pairs.join(met.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -234,10 +237,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     cross = (placed.repartition(shuffle_partitions(docs), "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
              .mapInArrow(_cross_udf(percent, m), "a long, b long"))
     more = confirmed(cross.distinct())
-    final = connected_components(comp.union(more))
-    same_set = nodes.join(classes, ["set_a", "set_b", "n_shingles"]).where("doc_id <> id")
-    # a document's class representative, then the representative's component
-    root = same_set.select("doc_id", "id").groupBy("doc_id").agg(F.min("id").alias("id"))
+    in_class = nodes.join(classes, ["set_a", "set_b", "n_shingles"]).select("doc_id", "id")
+    # a document's class representative, then the representative's component;
+    # a document of several classes links their representatives
+    ends = in_class.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    root = ends.where("doc_id <> lo").select("doc_id", F.col("lo").alias("id"))
+    joins = in_class.join(ends.where("lo < hi"), "doc_id").where("lo < id").select("lo", "id").distinct()
+    final = connected_components(comp.union(more).union(joins))
     out = (sig.select("doc_id", "n_shingles").join(root, "doc_id", "left")
            .withColumn("node", F.coalesce("id", "doc_id"))
            .join(final, "node", "left"))

@@ -107,6 +107,20 @@ def test_groups_around_the_threshold(spark, block):
     assert all(got[i] >= root[i] for i in root) and same >= 0.99 * len(root)
 
 
+def test_different_texts_of_one_document(spark):
+    """Rows that share a doc_id link through each of their texts."""
+    t = [[f"{c}{j}" for j in range(60)] for c in "abcdef"]
+    near = lambda w: " ".join([*w[:-1], "zz"])
+    a, b, c, d, e, f = map(" ".join, t)
+    rows = [(10, a), (10, b), (11, near(t[0])), (12, near(t[1])),  # near, through either text
+            (20, c), (30, c), (30, d), (31, d),  # equal, through classes of two smallest ids
+            (40, e), (40, e), (41, f), (41, None)]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got} == {10: 10, 11: 10, 12: 10, 20: 20, 30: 20, 31: 20, 40: 40, 41: 41}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
 def test_no_documents(no_docs, odd_docs):
     assert minhash_dedup.near_duplicates(no_docs).collect() == []
     left = minhash_dedup.without_near_duplicates(odd_docs)
