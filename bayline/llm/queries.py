@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bayline.llm.decontaminate import find_leaks
 from bayline.llm.embedding_dedup import near_duplicate_vectors
+from bayline.llm.fill_in_middle import fill_in_middle_digests, fill_in_middle_sql
 from bayline.llm.minhash_dedup import near_duplicates
 from bayline.llm.mixing import mix
 from bayline.llm.pii import find_pii, labelled_sequences, train
@@ -68,6 +69,11 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op12_fill_in_middle(spark, sf_dir):
+    """Fill-in-middle samples of all documents, and the texts rebuilt from them."""
+    return fill_in_middle_digests(read_table(spark, sf_dir, "documents"), seed=42)
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -79,8 +85,10 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_secret_scan": scan_sql(),
     "op7_warc": ROUND_TRIP_SQL,
+    "op12_fill_in_middle": fill_in_middle_sql(),
 }
