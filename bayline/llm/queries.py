@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bayline.llm.bpe_stream import encode_and_decode
 from bayline.llm.decontaminate import find_leaks
 from bayline.llm.embedding_dedup import near_duplicate_vectors
 from bayline.llm.fill_in_middle import fill_in_middle_digests, fill_in_middle_sql
@@ -69,6 +70,11 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_bpe_stream(spark, sf_dir):
+    """All documents encoded by the byte-level vocabulary and decoded again."""
+    return encode_and_decode(read_table(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark, sf_dir):
     """Fill-in-middle samples of all documents, and the texts rebuilt from them."""
     return fill_in_middle_digests(read_table(spark, sf_dir, "documents"), seed=42)
@@ -85,6 +91,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_bpe_stream": op11_bpe_stream,
     "op12_fill_in_middle": op12_fill_in_middle,
 }
 ORACLE_SQL: dict[str, str] = {
