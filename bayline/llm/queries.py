@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bayline.llm.bpe_stream import encode_and_decode
+from bayline.llm.collocations import collocations, collocations_sql
 from bayline.llm.decontaminate import find_leaks
 from bayline.llm.embedding_dedup import near_duplicate_vectors
 from bayline.llm.fill_in_middle import fill_in_middle_digests, fill_in_middle_sql
@@ -80,6 +81,11 @@ def op12_fill_in_middle(spark, sf_dir):
     return fill_in_middle_digests(read_table(spark, sf_dir, "documents"), seed=42)
 
 
+def op13_collocations(spark, sf_dir):
+    """The 2000 best phrases of two or three words in each language."""
+    return collocations(read_table(spark, sf_dir, "documents"), top=2000)
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -93,9 +99,11 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_bpe_stream": op11_bpe_stream,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_collocations": op13_collocations,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_secret_scan": scan_sql(),
     "op7_warc": ROUND_TRIP_SQL,
     "op12_fill_in_middle": fill_in_middle_sql(),
+    "op13_collocations": collocations_sql(),
 }
