@@ -29,12 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bayline.llm.staging import shuffle_partitions, staged
+from bayline.llm.staging import shuffle_partitions, staged, within_small_batches
 from bayline.llm.words import WordHasher, mix64, text_buffer
 
 GROUP_BYTES, HELD_BYTES = 8 << 20, 32 << 20  # text of one language, of all, held by a task
-PART_BYTES = 16 << 20
-MERGE_ROWS = 2 << 20  # entries of a part held before they are added up
+PART_BYTES = 4 << 20
+MERGE_ROWS = 1 << 19  # entries of a part held before they are added up
 BITS = 21  # three places below 2**21 fit one key
 NO_LANG = "und"
 # A word's bytes are neither blanks nor breaks; A-Z are folded.
@@ -76,7 +76,9 @@ def words_of(texts: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
 def add_up(a, b, c, n):
     """Entries (prefix ``a b``, next ``c``, count) with equal ones added, sorted."""
     if len(a) and max(x.max() for x in (a, b, c)) < 1 << BITS:
-        key = a.astype(np.int64) << 2 * BITS | b.astype(np.int64) << BITS | c
+        key = a.astype(np.int64) << 2 * BITS
+        key |= b.astype(np.int64) << BITS
+        key |= c
         order = np.argsort(key, kind="stable")
         key = key[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
@@ -221,14 +223,17 @@ class Stripes:
 
     def merge(self) -> None:
         coded = pa.concat_arrays(self.words).dictionary_encode()
-        place = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        columns, at = [], 0
-        for words, (a, b, c, n) in zip(self.words, self.entries):
-            own = np.append(0, place[at:at + len(words)])
+        place = coded.indices.to_numpy(zero_copy_only=False) + np.int32(1)
+        columns, at = ([], [], [], []), 0
+        for words, entry in zip(self.words, self.entries):
+            own = np.append(np.int32(0), place[at:at + len(words)])
             at += len(words)
-            columns.append((own[a], own[b], own[c], n.astype(np.int64)))
-        merged = add_up(*(np.concatenate(x) for x in zip(*columns)))
-        self.words, self.entries, self.size = [coded.dictionary], [merged], len(merged[0])
+            for held, x in zip(columns, entry[:3]):
+                held.append(own[x])
+            columns[3].append(entry[3])
+        self.words, self.entries = [coded.dictionary], []
+        merged = add_up(*(np.concatenate(x) for x in columns[:3]), np.concatenate(columns[3], dtype=np.int64))
+        self.entries, self.size = [merged], len(merged[0])
 
     def phrases(self, lang: str, least: int) -> pa.RecordBatch:
         """Words, two-word prefixes (with the count of their most frequent
@@ -336,7 +341,8 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, subsumed_per
     repeated rows count each time. Equal scores are ordered by ``a``, then by the
     phrase's bytes: no ties. Other columns aren't read; an empty table gives no
     rows. Counts are staged in the shared folder, as several joins read them."""
-    counts = staged(count_phrases(docs, least), "phrase-counts")
+    with within_small_batches(docs.sparkSession):
+        counts = staged(count_phrases(docs, least), "phrase-counts")
     scored = scored_phrases(counts, least, subsumed_percent)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # a language's phrases are ranked in shares first, so that none is one task's

@@ -9,8 +9,10 @@ has been written.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from bayline.plans.runtime import scratch_path
 
@@ -36,3 +38,16 @@ def small_batches(df: DataFrame, n_bytes: int = 8 << 20) -> DataFrame:
     if int(number) << 10 * " kmgt".index(unit or " ") > n_bytes:
         conf.set(key, str(n_bytes))
     return df
+
+
+@contextmanager
+def within_small_batches(spark: SparkSession, n_bytes: int = 8 << 20) -> Iterator[None]:
+    """Jobs run inside send rows to Python in Arrow batches of about ``n_bytes``;
+    the session's own setting is put back at the end."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    small_batches(spark.range(0), n_bytes)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
