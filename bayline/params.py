@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, replace
 
 # Fixed values (must equal the reference's example configuration):
@@ -22,6 +23,8 @@ ALLOWED_TRANSITIONS = (
     (EXITING, ENTERING),
 )
 
+UNIT_SECONDS = {"second": 1, "sec": 1, "minute": 60, "min": 60, "hour": 3600, "day": 86400, "week": 604800}
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -44,7 +47,9 @@ class Settings:
     closed_retention: int = 1000
     # largest dimension (rows x cols) that may be broadcast
     broadcast_max_rows: int = 2_000_000
-    watermark_delay: str = "0 seconds"
+    # how far behind the newest event a row may come; a stream has no default,
+    # as what comes later leaves for the late table
+    watermark_delay: str | None = None
     # "event": timeouts on event time (replay = live); "processing": the timer
     # is re-armed to now + limit on each trigger that touches the key
     timeout_mode: str = "event"
@@ -52,6 +57,26 @@ class Settings:
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)
 
+    @property
+    def stream_delay(self) -> str:
+        if self.watermark_delay is None:
+            raise ValueError("a stream needs watermark_delay, e.g. '10 minutes' or '0 seconds'")
+        return self.watermark_delay
+
+    @property
+    def delay_seconds(self) -> int:
+        """The delay in whole seconds, from the forms of an interval text."""
+        text = re.sub(r"^\s*interval\b", "", self.stream_delay.lower())
+        parts = re.findall(r"\s*(\d+)\s*([a-z]+)", text)
+        if not parts or re.sub(r"\s*(\d+)\s*([a-z]+)", "", text).strip():
+            raise ValueError(f"not a delay: {self.watermark_delay!r}")
+        total = 0
+        for n, unit in parts:
+            if unit.rstrip("s") not in UNIT_SECONDS:
+                raise ValueError(f"not a delay: {self.watermark_delay!r}")
+            total += int(n) * UNIT_SECONDS[unit.rstrip("s")]
+        return total
+
     @property
     def n_locations(self) -> int:
         return len(self.rows) * self.n_cols

@@ -268,5 +268,44 @@ where x.license_plate <> y.license_plate"""
     q["stream_active_by_plate"] = q["active_by_plate"]
     q["stream_occupancy"] = q["occupancy"]
     q["stream_unordered"] = q["stream_table_sessions"]
+    q["stream_sessions_salted"] = q["stream_sessions"]
+    q["state_active_sessions"] = q["active_sessions"]
+    # arrival in three slices; a row is late when it lies at or before the
+    # newest readable event of earlier slices less six hours
+    q["stream_late_events"] = _with(PE) + """
+, arr as (select *, timestamp_unix + (event_id * 7919) % 172800 as arrival from pe),
+nb as (select min(arrival) as lo, (max(arrival) - min(arrival)) // 3 + 1 as width from arr),
+sl as (select arr.*, (arrival - lo) // width as slice,
+              case when value < 0.5 then 'unparseable' when value < 1.0 then 'missing_plate'
+                   when value < 1.5 then 'missing_time' end as reason
+       from arr cross join nb),
+clock as (select s.slice, max(e.timestamp_unix) as newest
+          from (select distinct slice from sl) s join sl e on e.slice < s.slice and e.reason is null
+          group by s.slice),
+rows as (
+  select event_id, coalesce(reason, status_code) as detail,
+         case when reason is not null then 'bad'
+              when timestamp_unix <= newest - 21600 then 'late' else 'accepted' end as outcome
+  from sl left join clock using (slice)),
+counted as (
+  select 'accepted' as outcome, cast(null as bigint) as event_id, cast(null as varchar) as detail,
+         count(*) filter (outcome = 'accepted') as n from rows
+  union all
+  select outcome, event_id, detail, 1 from rows where outcome <> 'accepted')
+select form, outcome, event_id, detail, cast(n as bigint) as n
+from counted cross join (select unnest(['keyed', 'ordered', 'table']) as form)"""
+    q["stream_live_gap_sessions"] = (_with(PE, _sessions_ctes(exit_rule=False))
+                                     + f"select {SESSION_FIELDS}, n_events from sess")
+    q["stream_compacted_changelog"] = q["stream_sessions"]
+    q["stream_fan_out"] = _with(PE, S) + f"""
+select sink, {SESSION_FIELDS} from sess cross join (select unnest(['table', 'wire']) as sink)"""
+    row = "license_plate, location, start_time, end_time, duration, cost, status, n_events"
+    q["stream_live_views"] = _with(PE, S) + f"""
+, latest as (
+  select {row} from sess where status = 'CLOSED'
+  order by end_time desc, license_plate, location, start_time limit {CLOSED_LIMIT})
+select 'active' as view, {row} from sess where status = 'ACTIVE'
+union all select 'closed', {row} from latest
+union all select 'closed_total', null, null, null, null, null, null, null, count(*) from sess where status = 'CLOSED'"""
     q["changelog_round_trip"] = _with(PE, S) + f"select {SESSION_FIELDS} from sess"
     return q

@@ -10,7 +10,7 @@ from bayline.functions.clock import as_of_column
 from bayline.operators import audit, changelog, dims, sessionize, views
 from bayline.params import Settings
 from bayline.sources import raw
-from bayline.sources.fixture import fixture_n_cols, fixture_settings, parking_events
+from bayline.sources.fixture import epoch_seconds_ntz, fixture_n_cols, fixture_settings, parking_events
 from bayline.sources.fixture_raw import raw_messages
 from bayline.sources.tables import read_table
 
@@ -230,6 +230,142 @@ def q_stream_unordered(spark, sf_dir):
         chg, ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
 
 
+# Fixed values of the disordered replay: rows come up to two days late, six
+# hours are waited for.
+DISORDER_SECONDS, DISORDER_STEP, DISORDER_DELAY, DISORDER_SLICES = 172800, 7919, "6 hours", 3
+
+
+def _disordered_messages(spark, sf_dir) -> list[DataFrame]:
+    """The table as raw messages, some damaged, in slices by an arrival time
+    that lags the event's by a part of two days."""
+    ev = _events(spark, sf_dir)
+    arrival = epoch_seconds_ntz(F.col("ts")) + F.pmod(F.col("event_id") * DISORDER_STEP, F.lit(DISORDER_SECONDS))
+    lo, hi = ev.agg(F.min(arrival), F.max(arrival)).first()
+    width = ((hi or 0) - (lo or 0)) // DISORDER_SLICES + 1
+    piece = F.floor((arrival - F.lit(lo or 0)) / F.lit(width))
+    return [raw_messages(ev.where(piece == k)) for k in range(DISORDER_SLICES)]
+
+
+def q_stream_late_events(spark, sf_dir):
+    """Every message of a disordered replay accounted for, by each streaming
+    form: late rows and bad messages one by one, accepted rows by their number
+    (``event_id`` null). ``n`` adds up to the table's rows in each form."""
+    from bayline.plans.runtime import scratch_path
+    from bayline.streaming import jobs, state_views, tables
+    from bayline.streaming.ordered import ordered_sessionize_stream
+    s = fixture_settings(watermark_delay=DISORDER_DELAY)
+    slices = _disordered_messages(spark, sf_dir)
+    forms = {}
+    for name, build in (("keyed", jobs.sessionize_stream), ("ordered", ordered_sessionize_stream)):
+        base, ordered = scratch_path(spark, f"late-{name}"), name == "ordered"
+        chg = jobs.replay_slices(spark, slices, lambda st, build=build: jobs.with_bad_messages(
+            build(raw.decode_events(st), s), st), base=base)
+        ckpt = f"{base}/checkpoint"
+        accepted = state_views.accepted_events(
+            spark.read.parquet(chg), state_views.open_sessions(spark, ckpt, ordered),
+            state_views.waiting_rows(spark, ckpt) if ordered else None)
+        forms[name] = accepted, spark.read.parquet(f"{chg}-late"), spark.read.parquet(f"{chg}-bad")
+    base = scratch_path(spark, "late-table")
+    tables.replay_table_slices(spark, slices, s, base, raw=True)
+    chg, clock = spark.read.parquet(f"{base}/changelog"), spark.read.parquet(f"{base}/clock")
+    open_now = spark.read.parquet(f"{base}/open").where(F.col("epoch_id") == clock.agg(F.max("epoch_id")).scalar())
+    forms["table"] = (state_views.accepted_events(chg, open_now), spark.read.parquet(f"{base}/late"),
+                      spark.read.parquet(f"{base}/bad"))
+    out = None
+    for name, (accepted, late, bad) in forms.items():
+        one = F.lit(1).cast("long")
+        rows = (accepted.select(F.lit("accepted").alias("outcome"), F.lit(None).cast("long").alias("event_id"),
+                                F.lit(None).cast("string").alias("detail"), F.col("n").cast("long").alias("n"))
+                .unionByName(late.select(F.lit("late").alias("outcome"), "event_id", F.col("status_code").alias("detail"), one.alias("n")))
+                .unionByName(bad.select(F.lit("bad").alias("outcome"), "event_id", F.col("reason").alias("detail"), one.alias("n")))
+                .select(F.lit(name).alias("form"), "*"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_stream_sessions_salted(spark, sf_dir):
+    """The keyed fold with rows folded to runs before the state."""
+    from bayline.streaming.jobs import sessions_from_changelog
+    from bayline.streaming.salted import salted_sessionize_stream
+    s = fixture_settings(bucket_seconds=86_400)
+    chg = _replayed(spark, sf_dir, lambda st: salted_sessionize_stream(st, s))
+    return sessions_from_changelog(
+        chg, ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
+
+
+def q_state_active_sessions(spark, sf_dir):
+    """The live view of open sessions, read from a replay's keyed state."""
+    from bayline.streaming import state_views
+    s = fixture_settings(bucket_seconds=86_400)
+    base = _salted_replay(spark, sf_dir, s, 2)
+    return state_views.active_sessions_from_state(spark, f"{base}/checkpoint", _as_of(spark, sf_dir), s)
+
+
+def _salted_replay(spark, sf_dir, s, n_slices, *sinks) -> str:
+    """The events replayed through the salted fold into ``sinks``; the base folder."""
+    from bayline.plans.runtime import scratch_path
+    from bayline.streaming.jobs import replay
+    from bayline.streaming.salted import salted_sessionize_stream
+    base = scratch_path(spark, "salted")
+    replay(spark, _pe(spark, sf_dir), lambda st: salted_sessionize_stream(st, s), n_slices=n_slices, base=base,
+           extra_sinks=sinks)
+    return base
+
+
+def q_stream_live_gap_sessions(spark, sf_dir):
+    """Sessions split by silence from the live stream, open ones included."""
+    from bayline.streaming.jobs import live_gap_sessions_stream, sessions_from_changelog
+    s = fixture_settings(bucket_seconds=86_400)
+    chg = _replayed(spark, sf_dir, lambda st: live_gap_sessions_stream(st, s))
+    return sessions_from_changelog(
+        chg, ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
+
+
+def q_stream_live_views(spark, sf_dir):
+    """The view store after a replay of six batches, merged every second one:
+    open sessions, the latest closed ones up to a retention below their number,
+    and how many closed (``n_events``)."""
+    from bayline.plans.runtime import scratch_path
+    from bayline.streaming.live_views import latest_views_state, live_views_sink
+    s = fixture_settings(bucket_seconds=86_400, closed_retention=50)
+    store = scratch_path(spark, "views")
+    _salted_replay(spark, sf_dir, s, 6, live_views_sink(store, s, merge_every=2))
+    open_now, closed_now, total = latest_views_state(spark, store, s.closed_retention)
+    cols = ["license_plate", "location", "start_time", "end_time", "duration", "cost", "status", "n_events"]
+    count = spark.range(1).select(F.lit("closed_total").alias("view"), *[
+        F.lit(total if c == "n_events" else None).cast(closed_now.schema[c].dataType).alias(c) for c in cols])
+    return (open_now.select(F.lit("active").alias("view"), *cols)
+            .unionByName(closed_now.select(F.lit("closed").alias("view"), *cols)).unionByName(count))
+
+
+def q_stream_compacted_changelog(spark, sf_dir):
+    """Sessions folded from a changelog whose epochs have been merged."""
+    from bayline.plans.runtime import scratch_path
+    from bayline.streaming.compaction import compacted_sink, read_compacted
+    from bayline.streaming.jobs import sessions_from_changelog
+    table = scratch_path(spark, "compacted")
+    _salted_replay(spark, sf_dir, fixture_settings(bucket_seconds=86_400), 6, compacted_sink(table, fan_in=2))
+    return sessions_from_changelog(
+        read_compacted(spark, table), ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
+
+
+def q_stream_fan_out(spark, sf_dir):
+    """One replay into two sinks under the ledger, the changelog table and its
+    wire form: the sessions that a reader of each gets."""
+    from bayline.plans.runtime import scratch_path
+    from bayline.sources.sinks import wire_table_sink
+    from bayline.streaming.jobs import epoch_table_sink, sessions_from_changelog
+    from bayline.streaming.ledger import ledgered
+    base = scratch_path(spark, "fan-out")
+    _salted_replay(spark, sf_dir, fixture_settings(bucket_seconds=86_400), 3, ledgered(
+        f"{base}/ledger", table=epoch_table_sink(f"{base}/table"), wire=wire_table_sink(f"{base}/wire")))
+    fields = ["end_time", "duration", "cost", "status", "last_updated"]
+    wire = spark.read.parquet(f"{base}/wire")
+    sent = raw.decode_changelog(wire.select("value", F.col("epoch_id").cast("long").alias("offset")))
+    return (sessions_from_changelog(spark.read.parquet(f"{base}/table"), fields).select(F.lit("table").alias("sink"), "*")
+            .unionByName(sessions_from_changelog(sent, fields).select(F.lit("wire").alias("sink"), "*")))
+
+
 def q_changelog_round_trip(spark, sf_dir):
     """Session rows sent over the wire and decoded again."""
     sent = changelog.encode_changelog(_sessions(spark, sf_dir, fixture_settings()))
@@ -262,4 +398,11 @@ QUERIES.update({
     "changelog_round_trip": q_changelog_round_trip,
     "stream_changelog": q_stream_changelog,
     "stream_gap_sessions": q_stream_gap_sessions,
+    "stream_late_events": q_stream_late_events,
+    "stream_sessions_salted": q_stream_sessions_salted,
+    "state_active_sessions": q_state_active_sessions,
+    "stream_live_gap_sessions": q_stream_live_gap_sessions,
+    "stream_live_views": q_stream_live_views,
+    "stream_compacted_changelog": q_stream_compacted_changelog,
+    "stream_fan_out": q_stream_fan_out,
 })

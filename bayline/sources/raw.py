@@ -66,7 +66,7 @@ def _reason():
             .when(d["timestamp_unix"].isNull(), F.lit("missing_time")))
 
 
-def _classified(raw: DataFrame, keep_raw: bool = False) -> DataFrame:
+def classified(raw: DataFrame, keep_raw: bool = False) -> DataFrame:
     """Each message parsed once, with its fields and quarantine reason.
 
     The fields and the reason leave through ``inline`` of a one-element
@@ -90,14 +90,14 @@ def decode_events(raw: DataFrame) -> DataFrame:
     """Valid events: ``event_id`` (offset, or a hash of the message) and the
     five event fields. Rows that cannot be keyed or placed in time are left
     out here and reported by :func:`bad_events`."""
-    return _classified(raw).where(F.col("reason").isNull()).drop("reason")
+    return classified(raw).where(F.col("reason").isNull()).drop("reason")
 
 
 def bad_events(raw: DataFrame, keep_raw: bool = False) -> DataFrame:
     """Quarantined messages with a reason: ``null_value``, ``unparseable``,
     ``missing_plate``, ``missing_location``, ``missing_time``."""
     cols = ["event_id", "reason"] + (["raw"] if keep_raw else [])
-    return _classified(raw, keep_raw).where(F.col("reason").isNotNull()).select(*cols)
+    return classified(raw, keep_raw).where(F.col("reason").isNotNull()).select(*cols)
 
 
 def encode_for_wire(events: DataFrame) -> DataFrame:

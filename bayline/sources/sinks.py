@@ -34,6 +34,15 @@ def kafka_batch_sink(servers: str, topic: str):
     return write
 
 
+def wire_table_sink(path: str):
+    """The rows of :func:`kafka_batch_sink` in a table instead of a topic:
+    ``<path>/epoch_id=<n>`` with ``key`` and ``value``."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        (encode_changelog(batch.select(*SESSION_FIELDS))
+         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch_id={epoch_id}"))
+    return write
+
+
 def to_kafka(changes: DataFrame, servers: str, topic: str, checkpoint: str,
              trigger_seconds: int = 2):
     """Streaming Kafka sink of session changes (update mode, stable

@@ -14,6 +14,16 @@ a gap longer than the limit or an EXITING splits; an EXITING closes (CLOSED);
 a session followed by a long gap is TIMEOUT at its last event. Timeouts run
 on event time: the timer is ``(last + limit)`` seconds and fires when the
 watermark passes it, so a replay gives the same answer as the live run.
+
+No row is dropped: a row at or behind the watermark doesn't touch the state but
+leaves as a row of its own (``side`` is ``late``, ``note`` its status), which
+:func:`bayline.streaming.jobs.start_changelog` writes to the late table.
+
+What is folded are runs: pieces of one session (start, end, number of events,
+first id, whether an EXITING ends it) in time order. An event is a run of one;
+:mod:`bayline.streaming.salted` folds rows to longer runs before the state.
+Runs of adjacent pieces join by the same two rules as events do, so folding is
+associative: any cut into pieces gives the same sessions.
 """
 
 from __future__ import annotations
@@ -39,6 +49,11 @@ OUTPUT = StructType([
     StructField("n_events", LongType()),
     StructField("start_event_id", LongType()),
 ])
+# a row that is no session: "late" (``note``: the event's status) or "bad"
+# (``note``: the reason, ``raw``: the message)
+SIDE = [StructField("side", StringType()), StructField("note", StringType()), StructField("raw", StringType())]
+FOLD_OUTPUT = StructType([*OUTPUT.fields, *SIDE])
+LATE, BAD = "late", "bad"
 STATE = StructType([
     StructField("start_time", LongType()),
     StructField("last_time", LongType()),
@@ -60,12 +75,26 @@ def _frame(plate: str, loc: str, start, end, status, n, first_id, s: Settings) -
         "status": status, "last_updated": end,
         "n_events": np.asarray(n, dtype="int64"),
         "start_event_id": np.asarray(first_id, dtype="int64"),
-    }, columns=OUT_COLS, copy=False)
+        "side": None, "note": None, "raw": None,
+    }, columns=FOLD_OUTPUT.names, copy=False)
+
+
+def late_frame(plate: str, loc: str, t, ids, notes, s: Settings, end=None, n=None) -> pd.DataFrame:
+    """Rows (or runs) that came behind the watermark."""
+    out = _frame(plate, loc, t, t if end is None else end, None, np.ones(len(t)) if n is None else n, ids, s)
+    out["side"], out["note"] = LATE, notes
+    return out
 
 
 def fold_sorted(t: np.ndarray, ids: np.ndarray, is_exit: np.ndarray, open_state, wm_ms: int,
                 s: Settings):
-    """Fold time-ordered events of one key into its open session.
+    """:func:`fold_runs` of time-ordered events."""
+    return fold_runs(t, t, np.ones(len(t), dtype="int64"), ids, is_exit, open_state, wm_ms, s)
+
+
+def fold_runs(start: np.ndarray, end: np.ndarray, n: np.ndarray, ids: np.ndarray, is_exit: np.ndarray,
+              open_state, wm_ms: int, s: Settings):
+    """Fold time-ordered runs of one key into its open session.
 
     ``open_state`` is ``(start, last, n, first_id)`` or ``None``. Returns the
     finished sessions as ``(start, end, status, n, first_id)`` tuples, the
@@ -73,34 +102,34 @@ def fold_sorted(t: np.ndarray, ids: np.ndarray, is_exit: np.ndarray, open_state,
     """
     T = int(s.timeout_seconds)
     out = []
-    if len(t) == 0:
+    if len(start) == 0:
         return out, open_state, None
     open_ = open_state is not None
-    if open_ and t[0] < open_state[0]:
-        # rows from before the open session: up to their last break they are
+    if open_ and start[0] < open_state[0]:
+        # runs from before the open session: up to their last break they are
         # sessions of their own, what follows joins the open one
-        pre = int(np.searchsorted(t, open_state[0]))
-        ends = is_exit[:pre] | (np.append(t[1:pre], open_state[0]) - t[:pre] > T)
+        pre = int(np.searchsorted(start, open_state[0]))
+        ends = is_exit[:pre] | (np.append(start[1:pre], open_state[0]) - end[:pre] > T)
         own = int(np.flatnonzero(ends)[-1]) + 1 if ends.any() else 0
         if own:
-            older, last, _ = fold_sorted(t[:own], ids[:own], is_exit[:own], None, 0, s)
+            older, last, _ = fold_runs(*(x[:own] for x in (start, end, n, ids, is_exit)), None, 0, s)
             out = older if last is None else [*older, (last[0], last[1], TIMEOUT, last[2], last[3])]
-            if own == len(t):
+            if own == len(start):
                 return out, open_state, (open_state[1] + T) * 1000
-            more, new_open, timer = fold_sorted(t[own:], ids[own:], is_exit[own:], open_state, wm_ms, s)
+            more, new_open, timer = fold_runs(*(x[own:] for x in (start, end, n, ids, is_exit)), open_state, wm_ms, s)
             return [*out, *more], new_open, timer
     if open_:
         start0, last0, n0, id0 = open_state
-    brk = np.empty(len(t), dtype=bool)
-    brk[1:] = is_exit[:-1] | (np.diff(t) > T)
-    brk[0] = (not open_) or (t[0] - last0 > T)
+    brk = np.empty(len(start), dtype=bool)
+    brk[1:] = is_exit[:-1] | (start[1:] - end[:-1] > T)
+    brk[0] = (not open_) or (start[0] - last0 > T)
     bounds = np.flatnonzero(brk)
     first_is_old = open_ and not brk[0]
     if first_is_old:
         bounds = np.r_[0, bounds]
-    ends = np.r_[bounds[1:], len(t)] - 1
-    starts_t, ends_t, first_ids = t[bounds], t[ends], ids[bounds]
-    counts = (ends - bounds + 1).astype("int64")
+    ends = np.r_[bounds[1:], len(start)] - 1
+    starts_t, ends_t, first_ids = start[bounds], end[ends], ids[bounds]
+    counts = np.add.reduceat(n, bounds)
     closed = is_exit[ends]
     if first_is_old:
         if (starts_t[0], first_ids[0]) > (start0, id0):
@@ -157,6 +186,16 @@ def make_fold(s: Settings):
 
         open_state = state.get if state.exists else None
         wm = state.getCurrentWatermarkMs() if event_time else 0
+        n_late = int(np.searchsorted(t * 1000, wm, "right")) if wm > 0 else 0
+        if n_late:
+            yield late_frame(plate, loc, t[:n_late], ids[:n_late], codes[order][:n_late], s)
+            t, ids, is_exit = t[n_late:], ids[n_late:], is_exit[n_late:]
+            if len(t) == 0:
+                if open_state is not None:
+                    # the timer must be set again in each call
+                    state.update(open_state)
+                    state.setTimeoutTimestamp((open_state[1] + int(s.timeout_seconds)) * 1000)
+                return
         out, new_open, timer = fold_sorted(t, ids, is_exit, open_state, wm, s)
         if new_open is None:
             state.remove()

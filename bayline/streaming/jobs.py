@@ -28,7 +28,8 @@ from bayline.functions.pricing import block_cost
 from bayline.operators.sessionize import KEY, T_COL, valid_events
 from bayline.params import Settings
 from bayline.plans.runtime import scratch_path
-from bayline.streaming.fold import OUTPUT, STATE, make_fold
+from bayline.sources.raw import classified
+from bayline.streaming.fold import BAD, FOLD_OUTPUT, LATE, OUT_COLS, STATE, make_fold
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -36,23 +37,69 @@ BatchSink = Callable[[DataFrame, int], None]
 def with_event_time(events: DataFrame, s: Settings) -> DataFrame:
     """``event_time`` (TIMESTAMP, whole seconds) and its watermark."""
     return (events.withColumn("event_time", F.timestamp_seconds(F.col(T_COL)))
-            .withWatermark("event_time", s.watermark_delay))
+            .withWatermark("event_time", s.stream_delay))
+
+
+def with_clock(events: DataFrame, s: Settings) -> DataFrame:
+    """The same watermark for timers and for the fold to judge rows by, but no
+    row is filtered by it: behind the watermark's definition ``event_time`` is
+    null, and a row without a time is never behind. A filter in front of the
+    state would drop late rows without a trace."""
+    tag = {"spark.watermarkDelayMs": s.delay_seconds * 1000}
+    timed = with_event_time(events, s)
+    return timed.select(*events.columns, F.lit(None).cast("timestamp").alias("event_time", metadata=tag))
 
 
 def sessionize_stream(events: DataFrame, s: Settings) -> DataFrame:
-    """Session changes of a stream of decoded events (update semantics).
+    """Session changes of a stream of decoded events (update semantics), and
+    its late rows (``side``), which the sinks of :func:`start_changelog` keep
+    apart.
 
     ``s.timeout_mode``: ``"event"`` (default) fires a timeout when the
     watermark passes ``last + limit``, so a replay gives the live answer;
     ``"processing"`` re-arms a wall-clock timer on every trigger that touches
-    the key, as a live-only job would (gaps inside the data still split)."""
+    the key, as a live-only job would (gaps inside the data still split; no row
+    is late)."""
     ev = valid_events(events)
     if s.timeout_mode == "event":
-        ev = with_event_time(ev, s)
+        ev = with_clock(ev, s)
         conf = GroupStateTimeout.EventTimeTimeout
     else:
         conf = GroupStateTimeout.ProcessingTimeTimeout
-    return ev.groupBy(*KEY).applyInPandasWithState(make_fold(s), OUTPUT, STATE, "update", conf)
+    return ev.groupBy(*KEY).applyInPandasWithState(make_fold(s), FOLD_OUTPUT, STATE, "update", conf)
+
+
+def with_bad_messages(changes: DataFrame, raw_stream: DataFrame) -> DataFrame:
+    """``changes`` and the messages of the same source that can't be read, as
+    rows of ``side`` bad: one query, one checkpoint, each message accounted for."""
+    bad = classified(raw_stream, keep_raw=True).where(F.col("reason").isNotNull())
+    own = {"start_event_id": F.col("event_id"), "side": F.lit(BAD), "note": F.col("reason"), "raw": F.col("raw")}
+    return changes.unionByName(bad.select(*[
+        own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in FOLD_OUTPUT.fields]))
+
+
+def split_sides(batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(sessions, late, bad)`` of a micro-batch of session changes."""
+    side = F.col("side")
+    late = batch.where(side == LATE).select(
+        *KEY, F.col("start_time").alias(T_COL), F.col("end_time").alias("last_time"), "n_events",
+        F.col("start_event_id").alias("event_id"), F.col("note").alias("status_code"))
+    bad = batch.where(side == BAD).select(F.col("start_event_id").alias("event_id"), F.col("note").alias("reason"), "raw")
+    return batch.where(side.isNull()).select(*OUT_COLS), late, bad
+
+
+def sides_sink(table: str, *sinks: BatchSink) -> BatchSink:
+    """``sinks`` get the sessions of each micro-batch; late rows and bad
+    messages go to ``<table>-late`` and ``<table>-bad`` (the first epoch and
+    those that hold any)."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        sessions, late, bad = split_sides(batch)
+        for sink in sinks:
+            sink(sessions, epoch_id)
+        if epoch_id == 0 or batch.agg(F.max("side")).first()[0] is not None:
+            epoch_table_sink(f"{table}-late")(late, epoch_id)
+            epoch_table_sink(f"{table}-bad")(bad, epoch_id)
+    return write
 
 
 def epoch_table_sink(path: str) -> BatchSink:
@@ -64,9 +111,6 @@ def epoch_table_sink(path: str) -> BatchSink:
 def fan_out(*sinks: BatchSink) -> BatchSink:
     """Several sinks fed from one computed micro-batch (the fold runs once)."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        if len(sinks) == 1:
-            sinks[0](batch, epoch_id)
-            return
         batch.persist()
         try:
             for sink in sinks:
@@ -80,8 +124,15 @@ def start_changelog(changes: DataFrame, table: str, checkpoint: str, *,
                     extra_sinks: tuple[BatchSink, ...] = (), available_now: bool = False,
                     trigger_seconds: int = 2, name: str | None = None,
                     output_mode: str = "update"):
-    w = (changes.writeStream.outputMode(output_mode)
-         .foreachBatch(fan_out(epoch_table_sink(table), *extra_sinks))
+    """One query that writes each micro-batch to ``<table>/epoch_id=<n>`` and
+    the other sinks; late rows and bad messages, where the changes hold them,
+    to ``<table>-late`` and ``<table>-bad``."""
+    sinks = (epoch_table_sink(table), *extra_sinks)
+    if "side" in changes.columns:
+        sinks = (sides_sink(table, *sinks),)
+    # read once by one sink, a batch needn't be kept
+    alone = len(sinks) == 1 and "side" not in changes.columns
+    w = (changes.writeStream.outputMode(output_mode).foreachBatch(sinks[0] if alone else fan_out(*sinks))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -116,6 +167,15 @@ def gap_sessions_stream(events: DataFrame, s: Settings) -> DataFrame:
                     block_cost(d, s).alias("cost"), "n_events")
 
 
+def live_gap_sessions_stream(events: DataFrame, s: Settings) -> DataFrame:
+    """Sessions split by silence only, as changes (update mode): open ones are
+    ACTIVE rows at each touch, ended ones TIMEOUT, late rows kept. Where
+    :func:`gap_sessions_stream` waits for a session's end and drops late rows,
+    as the built-in window does, this keeps a merging window of its own."""
+    from bayline.streaming.salted import salted_sessionize_stream
+    return salted_sessionize_stream(events, s, split_on_exit=False)
+
+
 def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame], DataFrame],
            n_slices: int = 4, base: str | None = None, output_mode: str = "update",
            cuts: list[int] | None = None, extra_sinks: tuple[BatchSink, ...] = ()) -> str:
@@ -124,7 +184,7 @@ def replay(spark: SparkSession, events: DataFrame, build: Callable[[DataFrame],
     ``cuts[k-1] <= t < cuts[k]``), oldest first; returns the changelog path.
 
     Slices are fed by :func:`replay_slices`; files of one slice land after
-    those of the previous one, so no row is behind the watermark (delay 0).
+    those of the previous one, so no row is late (delay 0).
     """
     ev = valid_events(events)
     if cuts is not None:
@@ -166,7 +226,7 @@ def replay_slices(spark: SparkSession, slices: list[DataFrame],
 
 
 __all__ = ["sessionize_stream", "start_changelog", "sessions_from_changelog",
-           "gap_sessions_stream", "replay", "replay_slices", "fan_out", "epoch_table_sink",
+           "gap_sessions_stream", "live_gap_sessions_stream", "replay", "replay_slices", "fan_out", "epoch_table_sink",
            "upsert_views", "live_job"]
 
 
@@ -191,13 +251,13 @@ def live_job(spark: SparkSession, raw_stream: DataFrame, s: Settings, table: str
              checkpoint: str, *, extra_sinks: tuple[BatchSink, ...] = (),
              trigger_seconds: int = 2, name: str = "parking-sessions",
              available_now: bool = False):
-    """The whole live job: raw messages -> decode (bad rows left out; a second
-    query over the same source, :func:`start_quarantine`, keeps them) -> keyed session fold
-    -> one query writing the changelog table and fanning out to
-    ``extra_sinks`` (Kafka, console, views). Wait on it with
+    """The whole live job: raw messages -> decode -> keyed session fold -> one
+    query writing the changelog table and fanning out to ``extra_sinks`` (Kafka,
+    console, views), with late rows in ``<table>-late`` and messages that can't
+    be read in ``<table>-bad``. Wait on it with
     ``spark.streams.awaitAnyTermination()``."""
     from bayline.sources.raw import decode_events
-    changes = sessionize_stream(decode_events(raw_stream), s)
+    changes = with_bad_messages(sessionize_stream(decode_events(raw_stream), s), raw_stream)
     return start_changelog(changes, table, checkpoint, extra_sinks=extra_sinks,
                            trigger_seconds=trigger_seconds, name=name,
                            available_now=available_now)
@@ -205,9 +265,8 @@ def live_job(spark: SparkSession, raw_stream: DataFrame, s: Settings, table: str
 
 def start_quarantine(raw_stream: DataFrame, table: str, checkpoint: str, *, available_now: bool = False,
                      trigger_seconds: int = 2):
-    """Writes the messages that :func:`live_job` leaves out, with their reason
-    and text, to ``<table>/epoch_id=<n>``: decoded rows and these add up to the
-    input."""
+    """Writes the messages that can't be read, with their reason and text, to
+    ``<table>/epoch_id=<n>``, for a job whose own query doesn't keep them."""
     from bayline.sources.raw import bad_events
     return start_changelog(bad_events(raw_stream, keep_raw=True), table, checkpoint, available_now=available_now,
                            trigger_seconds=trigger_seconds, name=None, output_mode="append")

@@ -3,9 +3,9 @@
 ``applyInPandasWithState`` folds each trigger's rows at once, so a row that
 arrives in a later trigger but is older than rows already folded (allowed
 within the watermark delay) cannot be put back in place. This variant keeps
-such rows in a per-key list state until the watermark has passed them: from
-then on no older row can arrive (Spark drops rows at or behind the
-watermark), so they are sorted and folded in order into the open session.
+such rows in a per-key list state until the watermark has reached them: a row
+that comes at or behind the watermark is set aside as late (``side``), so what
+waited is sorted and folded in order into the open session.
 
 State per key: ``meta`` (value: the open session's start, last, count and
 first id, plus the number of pending rows and the two registered timers, so
@@ -30,7 +30,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from bayline.operators.sessionize import KEY, valid_events
 from bayline.params import ACTIVE, EXITING, TIMEOUT, Settings
-from bayline.streaming.fold import OUTPUT, fold_sorted, rows_frame
+from bayline.streaming.fold import FOLD_OUTPUT, fold_sorted, late_frame, rows_frame
 
 META = StructType([
     # the open session (nulls when none)
@@ -63,7 +63,12 @@ class OrderedSessions(StatefulProcessor):
         parts = [pdf[["timestamp_unix", "event_id", "status_code"]] for pdf in rows]
         new = pd.concat(parts, ignore_index=True)
         new.columns = PENDING.names
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs(), new)
+        wm = timerValues.getCurrentWatermarkInMs()
+        behind = (new["t"] * 1000 <= wm) & (wm > 0)
+        if behind.any():
+            late, new = new[behind], new[~behind].reset_index(drop=True)
+            yield late_frame(*key, late["t"], late["id"], late["status"].to_numpy(), self.s)
+        yield from self._advance(key, wm, new)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._advance(key, timerValues.getCurrentWatermarkInMs(), None)
@@ -127,12 +132,12 @@ class OrderedSessions(StatefulProcessor):
 def ordered_sessionize_stream(events: DataFrame, s: Settings) -> DataFrame:
     """Like :func:`bayline.streaming.jobs.sessionize_stream`, but rows may
     arrive out of order within the watermark delay."""
-    from bayline.streaming.jobs import with_event_time
+    from bayline.streaming.jobs import with_clock
     # transformWithState keeps several state variables per key, which needs
     # the RocksDB state store; the provider is read when the query starts
     conf = events.sparkSession.conf
     if "RocksDB" not in (conf.get(PROVIDER_KEY, None) or ""):
         conf.set(PROVIDER_KEY, ROCKSDB_PROVIDER)
-    ev = with_event_time(valid_events(events), s)
+    ev = with_clock(valid_events(events), s)
     return ev.groupBy(*KEY).transformWithStateInPandas(
-        OrderedSessions(s), OUTPUT, "update", "EventTime")
+        OrderedSessions(s), FOLD_OUTPUT, "update", "EventTime")

@@ -12,8 +12,8 @@ start, last time, last event id, count, first event id) and
 Per batch ``n``:
 
 1. read ``open``, ``held`` and ``clock`` of batch ``n - 1``. The horizon is the
-   clock minus the allowed delay. Rows before the last horizon are late: they
-   go to ``late/epoch_id=<n>`` and not into the sessions. Rows after the new
+   clock minus the allowed delay. Rows at or before the last horizon are late:
+   they go to ``late/epoch_id=<n>`` and not into the sessions. Rows after the new
    horizon may still be overtaken by older ones: they wait in
    ``held/epoch_id=<n>``. The rows between come in time order, however they
    arrived;
@@ -26,7 +26,8 @@ Per batch ``n``:
    new ``open`` table. Seeds without new rows are re-checked against the
    horizon, so timeouts fire without new data for the key.
 
-Accepted, held and late rows add up to the input. :func:`drain` takes in what
+Accepted, held and late rows add up to the input; given raw messages, so do
+those that can't be read, in ``bad/epoch_id=<n>`` with their reason. :func:`drain` takes in what
 is held when no more input will come.
 
 All writes overwrite their epoch folder, so a retried batch replaces
@@ -44,6 +45,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from bayline.functions.pricing import block_cost
 from bayline.operators.sessionize import KEY, T_COL, TIE_COL, session_scan, valid_events
 from bayline.params import ACTIVE, CLOSED, TIMEOUT, Settings
+from bayline.sources.raw import classified
+from bayline.streaming.epochs import drop_epochs
 
 OPEN = StructType([
     StructField("license_plate", StringType()), StructField("location", StringType()),
@@ -60,12 +63,6 @@ HELD = StructType([
 ])
 
 
-def _delay_seconds(s: Settings) -> int:
-    n, unit = s.watermark_delay.split()[:2]
-    return int(float(n) * {"second": 1, "seconds": 1, "minute": 60, "minutes": 60,
-                           "hour": 3600, "hours": 3600}[unit])
-
-
 def micro_batch_rows(batch: DataFrame, open_sessions: DataFrame, clock: int, s: Settings) -> DataFrame:
     """Sessions touched by one micro-batch or open before it (see the module
     doc); ``clock`` is the event time that silence is judged at."""
@@ -119,32 +116,15 @@ def changes_and_open(rows: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame
     return changes, open_after
 
 
-def _drop_state_epochs(spark: SparkSession, root: str, below: int) -> None:
-    """Delete ``root/epoch_id=<k>`` for ``k < below`` (state no batch needs
-    any more), through the Hadoop file system of the path."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # noqa: BLE001 - no JVM handle here: keep old epochs
-        return
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(hadoop_conf)
-    if not fs.exists(path):
-        return
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("epoch_id=") and int(name.split("=", 1)[1]) < below:
-            fs.delete(st.getPath(), True)
-
-
-def table_state_sink(base: str, s: Settings, retain_epochs: int = 10):
+def table_state_sink(base: str, s: Settings, retain_epochs: int = 10, raw: bool = False):
     """``foreachBatch`` function running :func:`micro_batch_rows`, with
-    ``open``, ``held``, ``clock`` and ``changelog`` tables below ``base``. State
+    ``open``, ``held``, ``clock`` and ``changelog`` tables below ``base``. With
+    ``raw`` the batches are messages, parsed once for both outcomes. State
     epochs (all but ``changelog`` and ``late``) older than the last
     ``retain_epochs`` are deleted, so a restart can't go back further than
     that; 0 keeps all."""
     base = base.rstrip("/")
-    delay = _delay_seconds(s)
+    delay = s.delay_seconds
 
     def path(name: str, epoch: int) -> str:
         return f"{base}/{name}/epoch_id={epoch}"
@@ -162,12 +142,17 @@ def table_state_sink(base: str, s: Settings, retain_epochs: int = 10):
     def write(batch: DataFrame, epoch_id: int, wait: int = delay) -> None:
         spark = batch.sparkSession
         prev_clock, prev_epoch = previous(spark, epoch_id)
-        ev = valid_events(batch).persist()
+        source = classified(batch, keep_raw=True).persist() if raw else None
+        ev = valid_events(batch if source is None else source.where("reason is null"))
+        ev = ev.persist() if source is None else ev
         try:
+            if source is not None:
+                (source.where("reason is not null").select("event_id", "reason", "raw")
+                 .write.mode("overwrite").parquet(path("bad", epoch_id)))
             if prev_epoch is not None:
                 open_prev = spark.read.schema(OPEN).parquet(path("open", prev_epoch))
                 held = spark.read.schema(HELD).parquet(path("held", prev_epoch))
-                behind = F.col(T_COL) < F.lit(prev_clock - delay)
+                behind = F.col(T_COL) <= F.lit(prev_clock - delay)
                 # late rows are kept for audit, not silently lost
                 ev.where(behind).write.mode("overwrite").parquet(path("late", epoch_id))
                 rows_in = ev.where(~behind).unionByName(held)
@@ -187,10 +172,10 @@ def table_state_sink(base: str, s: Settings, retain_epochs: int = 10):
             spark.range(1).select(F.lit(clock).cast("long").alias("as_of")) \
                 .write.mode("overwrite").parquet(path("clock", epoch_id))
         finally:
-            ev.unpersist()
+            (ev if source is None else source).unpersist()
         if retain_epochs:
             for name in ("open", "clock", "held", "rows"):
-                _drop_state_epochs(spark, f"{base}/{name}", epoch_id - retain_epochs + 1)
+                drop_epochs(spark, f"{base}/{name}", lambda e: e <= epoch_id - retain_epochs)
     return write
 
 
@@ -198,14 +183,16 @@ def drain(spark: SparkSession, base: str, s: Settings) -> None:
     """Takes in the rows still held below ``base``, as one more epoch, when no
     more input will come."""
     last = spark.read.parquet(f"{base.rstrip('/')}/clock").agg(F.max("epoch_id")).first()[0]
-    table_state_sink(base, s, retain_epochs=0)(spark.createDataFrame([], HELD), int(last) + 1, 0)
+    no_rows = spark.createDataFrame([], HELD)
+    table_state_sink(base, s, retain_epochs=0)(no_rows, int(last) + 1, 0)
 
 
 def start_table_sessions(events_stream: DataFrame, s: Settings, base: str, checkpoint: str,
                          *, available_now: bool = False, trigger_seconds: int = 2,
-                         retain_epochs: int = 10):
-    """Start the live job; the changelog is ``<base>/changelog``."""
-    w = (events_stream.writeStream.foreachBatch(table_state_sink(base, s, retain_epochs))
+                         retain_epochs: int = 10, raw: bool = False):
+    """Start the live job over events, or over messages if ``raw``; the
+    changelog is ``<base>/changelog``."""
+    w = (events_stream.writeStream.foreachBatch(table_state_sink(base, s, retain_epochs, raw))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{trigger_seconds} seconds")
@@ -233,14 +220,21 @@ def replay_table_sessions(spark: SparkSession, events: DataFrame, s: Settings,
         for c in cuts:
             piece = piece + F.when(at >= F.lit(c), 1).otherwise(0)
         n_slices = len(cuts) + 1
+    replay_table_slices(spark, [ev.where(piece == k) for k in range(n_slices)], s, base)
+    return f"{base}/changelog"
+
+
+def replay_table_slices(spark: SparkSession, slices: list[DataFrame], s: Settings, base: str, raw: bool = False) -> None:
+    """Each slice (events, or messages if ``raw``) appended to an input folder
+    and taken in by one ``availableNow`` run on the same checkpoint; what is
+    held at the end is drained."""
     inp, ckpt = f"{base}/input", f"{base}/checkpoint"
-    for k in range(n_slices):
-        ev.where(piece == k).write.mode("append").parquet(inp)
-        stream = spark.readStream.schema(ev.schema).parquet(inp)
-        q = start_table_sessions(stream, s, base, ckpt, available_now=True)
+    for part in slices:
+        part.write.mode("append").parquet(inp)
+        stream = spark.readStream.schema(part.schema).parquet(inp)
+        q = start_table_sessions(stream, s, base, ckpt, available_now=True, raw=raw)
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
-    if _delay_seconds(s) and n_slices:
+    if s.delay_seconds and slices:
         drain(spark, base, s)
-    return f"{base}/changelog"

@@ -12,7 +12,7 @@ from bayline.params import Settings
 from bayline.plans.runtime import scratch_path
 from bayline.streaming import jobs
 
-S = Settings(timeout_seconds=3600, bucket_seconds=600)
+S = Settings(timeout_seconds=3600, bucket_seconds=600, watermark_delay="0 seconds")
 # a stream drops rows at or before the watermark, which starts at 0: keep
 # test times away from the epoch
 OFF = 1_000_000
