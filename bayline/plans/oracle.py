@@ -225,6 +225,25 @@ select d.location, case when o.location is null then 'FREE' else 'OCCUPIED' end
        {_cost('as_of - o.start_time')} as cost
 from dim d left join (select * from occ where rn = 1) o on d.location = o.location
 cross join a"""
+    q["location_info_at"] = _with(PE, S, CHG) + f"""
+, scan as (
+  select location, change_time as t, 0 as is_request, change_kind, coalesce(event_id, 0) as id, license_plate,
+         status, null as request_id, {{'status': status, 'plate': license_plate, 'start': start_time}} as held
+  from chg
+  union all
+  select location, timestamp_unix + 3600, 1, 0, 0, '', '', event_id, null from pe),
+seen as (
+  select *, last_value(held ignore nulls) over (partition by location
+              order by t, is_request, change_kind, id, license_plate, status
+              rows between unbounded preceding and current row) as h
+  from scan)
+select request_id, location, t as "at",
+       case when h.status = 'ACTIVE' then 'OCCUPIED' else 'FREE' end as status,
+       case when h.status = 'ACTIVE' then h.plate end as license_plate,
+       case when h.status = 'ACTIVE' then h.start end as start_time,
+       case when h.status = 'ACTIVE' then t - h.start end as duration,
+       case when h.status = 'ACTIVE' then {_cost('t - h.start')} end as cost
+from seen where is_request = 1"""
     q["closed_history"] = _with(PE, S) + f"""
 select {SESSION_FIELDS} from sess where status = 'CLOSED'
 order by end_time desc, license_plate, location, start_time limit {CLOSED_LIMIT}"""

@@ -115,6 +115,15 @@ def q_location_info(spark, sf_dir):
                                _as_of(spark, sf_dir), s)
 
 
+def q_location_info_at(spark, sf_dir):
+    """What each event's spot holds an hour after the event."""
+    from bayline.operators.as_of import location_info_at
+    s = fixture_settings()
+    pe = _pe(spark, sf_dir)
+    requests = pe.select(F.col("event_id").alias("request_id"), "location", (F.col("timestamp_unix") + 3600).alias("at"))
+    return location_info_at(requests, changelog.session_changelog(pe, s), s)
+
+
 def q_closed_history(spark, sf_dir):
     s = fixture_settings()
     return views.closed_history(_sessions(spark, sf_dir, s), s.closed_limit, s.closed_retention)
@@ -160,6 +169,7 @@ QUERIES: dict[str, Query] = {
     "busy_locations": q_busy_locations,
     "free_locations": q_free_locations,
     "location_info": q_location_info,
+    "location_info_at": q_location_info_at,
     "closed_history": q_closed_history,
     "statistics": q_statistics,
     "transition_audit": q_transition_audit,
