@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bayline.operators.pieces import PIECE, split_hot_keys, with_pieces
-from bayline.operators.sessionize import KEY, with_previous
+from bayline.operators.pieces import PIECE, hot_key_ids, scan_facts, split_hot_keys, with_pieces
+from bayline.operators.sessionize import KEY, T_COL, valid_events, with_previous
 from bayline.operators.views import busy_locations
 from bayline.params import ACTIVE, ALLOWED_TRANSITIONS, ENTERING, Settings
 
@@ -59,7 +59,7 @@ def plate_conflicts(sessions: DataFrame) -> DataFrame:
             .where(F.col("n_locations") > 1))
 
 
-def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
+def spot_conflicts(sessions: DataFrame, s: Settings, hot_spots: list[tuple] | None = None) -> DataFrame:
     """Pairs of sessions of different cars on one spot whose closed intervals
     ``[start_time, end_time]`` overlap; one row per pair, ``a`` being the
     earlier one in ``(start_time, license_plate, session_no)`` order.
@@ -74,16 +74,21 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
     instead, piece totals carried forward (:mod:`bayline.operators.pieces`),
     so it is not one task. The rank range is exploded and joined to the ranked
     sessions on ``(spot, rank)``, a key with one row per value.
+
+    ``hot_spots`` names the busy spots (:func:`hot_spots_of_events`); without it
+    they are looked up over the sessions, which computes these once more.
     """
     sess = sessions.select("location", "license_plate", "session_no", "start_time", "end_time")
-    # start points (kind 0) and end queries (kind 1) on one time line per spot;
+    # start points (kind 0) and end queries (kind 1) on one time line per spot,
+    # both from the one row of a session, so the sessions are computed once;
     # both carry the session, so no join back to the sessions is needed
-    pts = sess.select("*", F.col("start_time").alias("t"), F.lit(0).alias("kind"))
-    pts = pts.unionByName(sess.select("*", F.col("end_time").alias("t"), F.lit(1).alias("kind")))
+    point = lambda t, kind: F.struct(F.col(t).alias("t"), F.lit(kind).alias("kind"))
+    pts = sess.select("*", F.inline(F.array(point("start_time", 0), point("end_time", 1))))
     order = ["t", "kind", "license_plate", "session_no"]
     starts = F.sum(F.when(F.col("kind") == 0, 1).otherwise(0))
     if s.max_piece_rows:
-        whole, hot = split_hot_keys(pts, ["location"], s)
+        ids = hot_key_ids(pts, ["location"], s, hot_spots)
+        whole, hot = (pts, None) if ids is None else split_hot_keys(pts, ["location"], s, ids)
     else:
         whole, hot = None, pts
     parts = []
@@ -123,6 +128,15 @@ def spot_conflicts(sessions: DataFrame, s: Settings) -> DataFrame:
         F.least("end_a", "end_b").alias("overlap_end"))
 
 
+def hot_spots_of_events(events: DataFrame, s: Settings) -> list[tuple]:
+    """Spots that may have more than ``max_piece_rows`` points, from a sampled
+    count of their events: a session has two points and an event at least."""
+    if not s.max_piece_rows:
+        return []
+    half = s.with_(max_piece_rows=max(1, s.max_piece_rows // 2))
+    return scan_facts(valid_events(events), ["location"], T_COL, half)[1]
+
+
 def _ranks_in_pieces(pts: DataFrame, order: list[str], s: Settings) -> DataFrame:
     """Running number of starts per spot for busy spots: counted inside
     bounded pieces, piece totals carried forward."""

@@ -149,7 +149,9 @@ def q_plate_conflicts(spark, sf_dir):
 
 def q_spot_conflicts(spark, sf_dir):
     s = fixture_settings()
-    return audit.spot_conflicts(_sessions(spark, sf_dir, s), s)
+    pe = _pe(spark, sf_dir)
+    as_of, hot = sessionize.event_facts(pe, s)
+    return audit.spot_conflicts(sessionize.parking_sessions(pe, s, as_of, hot), s, audit.hot_spots_of_events(pe, s))
 
 
 QUERIES: dict[str, Query] = {

@@ -57,6 +57,14 @@ def test_events_are_shuffled_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_spot_conflicts_compute_sessions_once(spark):
+    """One scan of the events and one shuffle of them by key feed both sides of
+    the overlap join."""
+    final, own = _final(QUERIES["spot_conflicts"](spark, SF0001))
+    assert own.count("FileScan") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(license_plate", own)) == 1
+
+
 def test_dimension_broadcast_only_under_bound(spark):
     from bayline.operators import dims
     from bayline.params import Settings
