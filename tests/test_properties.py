@@ -14,7 +14,7 @@ from bayline.params import Settings
 from bayline.streaming.fold import make_fold
 
 T = 100
-S = Settings(timeout_seconds=T, block_seconds=60, block_price=7)
+S = Settings(timeout_seconds=T, block_seconds=60, block_price=7, watermark_delay="0 seconds")
 STATUSES = ["ENTERING", "PARKED", "MOVING", "EXITING", None, "FOO"]
 
 
