@@ -334,14 +334,14 @@ def q_stream_live_gap_sessions(spark, sf_dir):
 
 
 def q_stream_live_views(spark, sf_dir):
-    """The view store after a replay of six batches, merged every second one:
+    """The view store after a replay of four slices, merged every second batch:
     open sessions, the latest closed ones up to a retention below their number,
     and how many closed (``n_events``)."""
     from bayline.plans.runtime import scratch_path
     from bayline.streaming.live_views import latest_views_state, live_views_sink
     s = fixture_settings(bucket_seconds=86_400, closed_retention=50)
     store = scratch_path(spark, "views")
-    _salted_replay(spark, sf_dir, s, 6, live_views_sink(store, s, merge_every=2))
+    _salted_replay(spark, sf_dir, s, 4, live_views_sink(store, s, merge_every=2))
     open_now, closed_now, total = latest_views_state(spark, store, s.closed_retention)
     cols = ["license_plate", "location", "start_time", "end_time", "duration", "cost", "status", "n_events"]
     count = spark.range(1).select(F.lit("closed_total").alias("view"), *[
@@ -356,7 +356,7 @@ def q_stream_compacted_changelog(spark, sf_dir):
     from bayline.streaming.compaction import compacted_sink, read_compacted
     from bayline.streaming.jobs import sessions_from_changelog
     table = scratch_path(spark, "compacted")
-    _salted_replay(spark, sf_dir, fixture_settings(bucket_seconds=86_400), 6, compacted_sink(table, fan_in=2))
+    _salted_replay(spark, sf_dir, fixture_settings(bucket_seconds=86_400), 4, compacted_sink(table, fan_in=2))
     return sessions_from_changelog(
         read_compacted(spark, table), ["end_time", "duration", "cost", "status", "last_updated", "n_events"])
 
