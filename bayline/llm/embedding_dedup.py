@@ -199,10 +199,11 @@ def _links(classes: DataFrame, dim: int, threshold: float, target_recall: float)
     """``(id, links, root)`` rows for classes (``id``, ``vector``, ``size``) of
     one dimension."""
     n = classes.count()
-    share = F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, SAMPLE / max(1, n))) + 1
-    some = [r.vector for r in classes.where(share).orderBy("id").limit(2 * SAMPLE).collect()]
+    share = F.pmod(F.xxhash64("vector", F.lit(17)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, SAMPLE / max(1, n))) + 1
+    first = [F.col("vec_id"), F.xxhash64("vector")]
+    some = [r.vector for r in classes.where(share).orderBy(*first).limit(2 * SAMPLE).collect()]
     if not some:
-        some = [r.vector for r in classes.orderBy("id").limit(1).collect()]
+        some = [r.vector for r in classes.orderBy(*first).limit(1).collect()]
     grid = fit_grid(_unit(np.array(some, np.float64)), n, threshold, target_recall)
     # cells and ids first: the vectors join the blocks that they are in
     rows = classes.mapInArrow(_visits_udf(grid, dim), "cell int, own int, kind byte, id long, size long")
@@ -232,7 +233,8 @@ def near_duplicate_vectors(embeddings: DataFrame, threshold: float = 0.9, target
     Vectors link when their cosine is ``threshold`` or more. Null, empty and
     zero vectors and those with null or non-finite parts link with nothing, nor
     do vectors of different lengths. Repeated rows are vectors of their own
-    that link with each other. A null ``vec_id`` links with nothing; its
+    that link with each other; rows that share a ``vec_id`` but not their
+    vector are too, each with its own links and component. A null ``vec_id`` links with nothing; its
     component and ``kept`` are null. Other columns are ignored; an empty table
     gives an empty result.
     """
@@ -242,8 +244,10 @@ def near_duplicate_vectors(embeddings: DataFrame, threshold: float = 0.9, target
              & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
              & F.exists("vector", lambda x: x != 0))
     v = v.withColumn("vector", F.when(F.coalesce(sound, F.lit(False)), F.col("vector")))
+    # classes have numbers of their own, fixed by the write: two may share a vec_id
     classes = staged(v.where("vector is not null").groupBy("vector")
-                     .agg(F.min("vec_id").alias("id"), F.count("*").alias("size")), "imi-classes")
+                     .agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("size"))
+                     .withColumn("id", F.monotonically_increasing_id()), "imi-classes")
     found = None
     # one index for each length of vectors; a table has one as a rule
     for (dim,) in classes.select(F.size("vector")).distinct().orderBy(F.size("vector")).collect():
@@ -254,10 +258,13 @@ def near_duplicate_vectors(embeddings: DataFrame, threshold: float = 0.9, target
                         F.when(F.col("vec_id").isNotNull(), True).alias("kept"))
     found = staged(found, "imi-links")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    comp = connected_components(found.select("id", "root"))
-    facts = (classes.join(counts, "id", "left").join(comp.withColumnRenamed("node", "id"), "id", "left")
+    comp = (connected_components(found.select("id", "root")).withColumnRenamed("node", "id")
+            .join(classes.select("id", "vec_id"), "id"))
+    least = comp.groupBy("component").agg(F.min("vec_id").alias("least"))
+    comp = comp.join(least, "component").select("id", "least")
+    facts = (classes.join(counts, "id", "left").join(comp, "id", "left")
              .select("vector", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-                     F.coalesce("component", "id").alias("component_id")))
+                     F.coalesce("least", "vec_id").alias("component_id")))
     out = v.where("vector is not null").join(facts, "vector").select("vec_id", "n_links", "component_id")
     rest = v.where("vector is null").select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                             F.col("vec_id").alias("component_id"))

@@ -172,6 +172,27 @@ def test_vectors(spark):
     assert embedding_dedup.near_duplicate_vectors(df.limit(0)).collect() == []
 
 
+def test_vectors_that_share_an_id(spark):
+    """One id on several vectors: each row has the links of its own vector."""
+    r = np.random.default_rng(8)
+    base = r.normal(size=(40, 24))
+    near = lambda i: base[i] + 0.02 * r.normal(size=24)
+    rows = [(5, base[0]), (5, base[1]), (6, near(0)), (7, near(1)), (5, base[1]), (2, near(1)), (9, base[2]), (9, near(3)), (8, base[3])]
+    rows += [(int(i) % 7, near(int(i) % 20)) for i in range(4, 200)]
+    rows = [(i, [float(y) for y in x]) for i, x in rows]
+    unit = embedding_dedup._unit(np.array([x for _, x in rows]))
+    a, b = np.nonzero(np.triu(unit @ unit.T >= 0.9, 1))
+    root = roots(range(len(rows)), list(zip(a.tolist(), b.tolist())))
+    links = np.bincount(np.concatenate([a, b]), minlength=len(rows))
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[root[k]] = min(i, least.get(root[k], i))
+    want = sorted((i, int(links[k]), least[root[k]], i == least[root[k]]) for k, (i, _) in enumerate(rows))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = embedding_dedup.near_duplicate_vectors(df, target_recall=0.9999)
+    assert sorted(tuple(x) for x in got.select("vec_id", "n_links", "component_id", "kept").collect()) == want
+
+
 def test_visits_and_blocks_are_symmetric():
     r = np.random.default_rng(2)
     x = embedding_dedup._unit(r.normal(size=(3_000, 16)))
