@@ -8,11 +8,14 @@ targets, and the mix is the front of that order: it stops at the total budget.
 
 No source is one task: running sums are taken inside bounded ``(source,
 bucket)`` pieces of the shuffle, bucket totals are carried forward, and the
-global order is a histogram of finish times whose one boundary bin is sorted.
+global order is a histogram of finish times whose one boundary bin is cut again
+in the same way until it is small, and then sorted.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +24,7 @@ from bayline.llm.staging import staged
 WORD = "[^\\x20\\x09-\\x0D]+"
 ROWS_PER_BUCKET = 4_000
 FINISH_BINS = 1 << 16
+EDGE_ROWS = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -36,16 +40,27 @@ def source_targets(sizes: dict, weights: tuple[int, ...] = (1, 2, 3), max_repeat
     order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s])
     order += [None] if None in sizes else []
     weight = {s: float(weights[i % len(weights)]) for i, s in enumerate(order)}
-    total, full, open_ = float(sum(sizes.values())), {}, [s for s in order if sizes[s] > 0]
-    while open_:
-        left = total - sum(full.values())
-        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
-        over = [s for s in open_ if share[s] > max_repeats * sizes[s]]
-        if not over:
-            return {**dict.fromkeys(order, 0.0), **full, **share}
-        full.update({s: float(max_repeats * sizes[s]) for s in over})
-        open_ = [s for s in open_ if s not in full]
-    return {**dict.fromkeys(order, 0.0), **full}
+    # the sources that stop are those of the smallest limit for their weight
+    open_ = sorted((s for s in order if sizes[s] > 0), key=lambda s: max_repeats * sizes[s] / weight[s])
+    left, wide, full = float(sum(sizes.values())), float(sum(weight[s] for s in open_)), 0
+    for s in open_:
+        if left * weight[s] / wide <= max_repeats * sizes[s]:
+            break
+        left, wide, full = left - max_repeats * sizes[s], wide - weight[s], full + 1
+    return {**dict.fromkeys(order, 0.0), **{s: float(max_repeats * sizes[s]) for s in open_[:full]},
+            **{s: left * weight[s] / wide for s in open_[full:]}}
+
+
+def _boundary(bins: DataFrame, budget: int) -> tuple[int, int, int]:
+    """``(bin, words of the bins before it, rows in it)`` of the bin in which
+    the budget ends; the one after the last if it doesn't."""
+    sums = bins.groupBy("bin").agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+    edge, used = 0, 0
+    for b, words, n in sorted(map(tuple, sums.collect())):  # 2 * FINISH_BINS rows at most
+        if used + words > budget:
+            return b, used, n
+        edge, used = b + 1, used + words
+    return edge, used, 0
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, seed: int = 13,
@@ -64,8 +79,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int
     """
     keep = [F.col(c).alias(f"in_{c}") for c in columns]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                       word_count(F.col("text").cast("string")).alias("size"), *keep)
-    rows = staged(rows.withColumn("h", F.xxhash64("doc_id", "source", "size", F.lit(seed))), "mix")
+                       word_count(F.col("text").cast("string")).alias("size"), F.col("text").cast("string").alias("body"), *keep)
+    # rows without an id are told apart by their texts
+    name = F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("body"))).otherwise(F.col("doc_id"))
+    rows = staged(rows.withColumn("h", F.xxhash64(name, "source", "size", F.lit(seed))).drop("body"), "mix")
     per_source = {r.source: (r.size, r.n) for r in  # one row for each source
                   rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()}
     targets = source_targets({s: x[0] for s, x in per_source.items()}, weights, max_repeats)
@@ -96,20 +113,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int
     budget = sum(x[0] for x in per_source.values())
     # finish times up to the latest that can matter (all targets met is 1)
     bins = passes.withColumn("bin", F.floor(F.least("finish", F.lit(2.0)) * FINISH_BINS).cast("int"))
-    hist = sorted((r.bin, r.words) for r in bins.groupBy("bin").agg(F.sum("size").alias("words")).collect())  # 2 * FINISH_BINS rows at most
-    edge, used = 0, 0
-    for b, words in hist:
-        edge = b
-        if used + words > budget:
+    edge, used, at_edge = _boundary(bins, budget)
+    # the boundary bin is cut again until it is small, then taken in finish order
+    whole, last, scaled = [bins.where(F.col("bin") < edge)], bins.where(F.col("bin") == edge), F.col("finish") * FINISH_BINS
+    for _ in range(2):
+        if at_edge <= EDGE_ROWS:
             break
-        used += words
-    else:
-        edge += 1
-    # the boundary bin in finish order, up to the budget
+        last = staged(last.withColumn("part", scaled - F.floor(scaled)), "mix-edge")
+        scaled = F.col("part") * FINISH_BINS
+        last = last.withColumn("bin", F.floor(scaled).cast("int"))
+        edge, more, at_edge = _boundary(last, budget - used)
+        whole.append(last.where(F.col("bin") < edge))
+        last, used = last.where(F.col("bin") == edge), used + more
     run = Window.orderBy("finish", "source_no", "turn", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = bins.where(F.col("bin") == edge).withColumn("run", F.sum("size").over(run)).where(F.col("run") <= budget - used)
-    taken = (bins.where(F.col("bin") < edge).select("row", "size").union(last.select("row", "size"))
-             .groupBy("row").agg(F.sum("size").alias("taken")))
+    whole.append(last.withColumn("run", F.sum("size").over(run)).where(F.col("run") <= budget - used))
+    taken = reduce(DataFrame.union, [x.select("row", "size") for x in whole])
+    taken = taken.groupBy("row").agg(F.sum("size").alias("taken"))
     return ordered.join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
         *(F.col(f"in_{c}").alias(c) for c in columns))

@@ -354,6 +354,40 @@ def test_mix(spark, odd_docs, no_docs):
     assert mixing.mix(no_docs).collect() == []
 
 
+def test_boundary_is_cut_again(spark, small_docs, monkeypatch):
+    """However small the bins at the boundary, the mix is the same."""
+    def taken():
+        return sorted((r.doc_id, r.taken) for r in mixing.mix(small_docs).collect())
+    want = taken()
+    for bins, rows in ((4, 10), (3, 1), (1, 0)):
+        monkeypatch.setattr(mixing, "FINISH_BINS", bins)
+        monkeypatch.setattr(mixing, "EDGE_ROWS", rows)
+        assert taken() == want
+
+
+def test_targets_of_many_sources():
+    """100,000 sources, against sharing again round by round."""
+    r = random.Random(4)
+    sizes = {f"s{i:06d}": r.choice([0, 1, 5, 1_000, r.randrange(10_000)]) for i in range(100_000)}
+    got, total = mixing.source_targets(sizes), sum(sizes.values())
+    weight = {s: 1 + i % 3 for i, s in enumerate(sorted(sizes))}
+    full = set()
+    while True:
+        wide = sum(weight[s] for s in sizes if sizes[s] and s not in full)
+        share = (total - sum(3 * sizes[s] for s in full)) / wide
+        over = {s for s in sizes if sizes[s] and s not in full and share * weight[s] > 3 * sizes[s]}
+        if not over:
+            break
+        full |= over
+    assert full and all(got[s] == (3 * sizes[s] if s in full or not sizes[s] else pytest.approx(share * weight[s])) for s in sizes)
+
+
+def test_rows_without_ids_spread(spark):
+    docs = spark.range(60_000).selectExpr("cast(null as long) as doc_id", "concat('word ', id) as text", "'s' as source")
+    got = mixing.mix(docs.union(docs.selectExpr("1L", "text", "'t'").limit(10)))
+    assert got.count() == 60_010 and got.agg(F.sum("taken")).first()[0] == pytest.approx(120_020, abs=2)
+
+
 def key_of(r):
     return (r.doc_id if r.doc_id is not None else -1, r.size, r.taken)
 
