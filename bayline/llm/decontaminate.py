@@ -9,20 +9,22 @@ Texts are cut into blocks of ``BLOCK`` words; a passage is two blocks, so any
    sketch of a randomised SVD (the single-pass form for symmetric products),
    which gives the leading right singular vectors and values of the TF-IDF
    matrix; the sketch is as large as the vocabulary, not as the corpus.
-2. Passages and benchmark passages are projected on the singular vectors, each
-   direction scaled to equal weight. Every passage meets every benchmark
-   passage as a matrix product; those of cosine ``min_cosine`` or more are
-   retrieved.
-3. Retrieval alone misses short items and paraphrases that keep only common
-   words, so an exact count stands beside it: the words of the item that are
-   anywhere near a run of passages. The common subsequence can't be longer, so
-   what has less than ``paraphrase`` of the item's words is no leak by rule 4;
-   all others are candidates, whatever their cosine, retrieved ones first.
+2. A word's latent vector is its row of the singular vectors, each direction
+   scaled to equal weight, at unit length: common words, which rule 4 counts
+   like any other, then weigh as much as rare ones. An item's vector is the sum
+   of its words'.
+3. Retrieval is local to the item: of a run of passages only the words of the
+   item are added up, and the run is a candidate if that vector's part along
+   the item's is ``min_share`` of the item's and its cosine ``min_cosine`` or
+   more. The text around a short item doesn't blur it. Nothing else is compared.
 4. A candidate's surroundings, the passage and as many words as the item has on
    either side, are compared with the whole item by the longest common
    subsequence of words. ``exact`` of the item's words in order make a leak;
    from ``paraphrase`` on it is one if ``answer_share`` of the words of the
-   item's answer are there too. The answer is the item's ``answer`` column or,
+   item's answer are there too; and from ``loose`` on, with the answer, if some
+   stretch as long as the item reaches ``same_sense``, in cosine and in length
+   along the item's vector, over all terms of the benchmark: words replaced by
+   others of the same use. The answer is the item's ``answer`` column or,
    without one, its last sentence.
 
 The benchmark is the query set: its items are handled ``item_block`` at a
@@ -186,11 +188,10 @@ def _add_udf(batches):
 
 @dataclass
 class LatentSpace:
-    """Term weights on the scaled singular vectors, and the query passages."""
+    """Unit vectors of the terms, and the items' vectors."""
 
-    project: np.ndarray  # (terms + 1, rank): a passage's vector is the sum of its words' rows
-    queries: np.ndarray  # unit rows
-    owner: np.ndarray  # item of each query passage
+    words: np.ndarray  # (terms, rank)
+    items: np.ndarray  # (items, rank)
 
 
 def fit_latent(texts: DataFrame, items: Items, rank: int = RANK) -> LatentSpace:
@@ -221,15 +222,16 @@ def latent_space(items: Items, total: np.ndarray, n_blocks: int, rank: int = RAN
     good = val > 1e-9 * max(val.max(), 1e-300)
     u, s, _ = np.linalg.svd(y @ (vec[:, good] / np.sqrt(val[good])), full_matrices=False)
     u, s = u[:, :rank], np.maximum(s[:rank], 1e-12)
-    project = (idf[:, None] * u / s).astype(np.float32)
-    queries, owner = [], []
-    for i, w in enumerate(items.words):
-        for at in sorted({*range(0, max(1, len(w) - 2 * BLOCK + 1), BLOCK), max(0, len(w) - 2 * BLOCK)}):
-            queries.append(project[w[at:at + 2 * BLOCK]].sum(0))
-            owner.append(i)
-    q = np.array(queries)
-    return LatentSpace(_with_zero(project), q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-30),
-                       np.array(owner))
+    words = idf[:, None] * u / s
+    norm = np.linalg.norm(words, axis=1, keepdims=True)
+    words = np.divide(words, norm, out=np.zeros_like(words), where=norm > 1e-12).astype(np.float32)
+    # a term that no text holds has no direction of its own: a random one, so
+    # that its absence counts
+    lost = np.flatnonzero(norm[:, 0] <= 1e-12)
+    if len(lost):
+        far = _random(n, words.shape[1])[lost]
+        words[lost] = far / np.linalg.norm(far, axis=1, keepdims=True)
+    return LatentSpace(words, np.array([words[w].sum(0) for w in items.words]))
 
 
 def _places(a: np.ndarray) -> dict[int, int]:
@@ -254,9 +256,12 @@ def lcs_length(a: np.ndarray, b: np.ndarray, place: dict[int, int] | None = None
 
 @dataclass
 class Rules:
-    min_cosine: float = 0.3
+    min_share: float = 0.3
+    min_cosine: float = 0.5
     exact: float = 0.8
     paraphrase: float = 0.6
+    loose: float = 0.4
+    same_sense: float = 0.7
     answer_share: float = 0.8
 
 
@@ -266,26 +271,30 @@ class Finder:
     def __init__(self, items: Items, space: LatentSpace, rules: Rules):
         self.items, self.space, self.rules, self.hasher = items, space, rules, _hasher()
         # items by the blocks that they reach on either side of a passage, up
-        # to a power of two; how often each has a term
+        # to a power of two; each term's part along the vectors of the items
+        # that hold it, as a share of the item's own
         reach = np.array([max(4, 1 << (-(-len(w) // BLOCK) - 1).bit_length()) for w in items.words])
-        self.groups, self.places = [], [_places(w) for w in items.words]
+        square = np.maximum((space.items ** 2).sum(1), 1e-30)
+        self.groups, self.places, self.own = [], [_places(w) for w in items.words], []
+        for w in items.words:
+            uniq, times = np.unique(w, return_counts=True)
+            self.own.append((uniq, times, times[:, None] * space.words[uniq]))
         for g in np.unique(reach).tolist():
             members = np.flatnonzero(reach == g)
-            most = max(len(items.words[i]) for i in members)
-            count = np.zeros((len(items.terms), len(members)), np.uint8 if most < 1 << 8 else np.int32)
+            share = np.zeros((len(items.terms), len(members)), np.float32)
             for j, i in enumerate(members):
-                np.add.at(count[:, j], items.words[i], 1)
-            self.groups.append((g, members, count, rules.paraphrase * np.array([len(items.words[i]) for i in members])))
-
-    def admitted(self, term: np.ndarray, rows: np.ndarray, block: np.ndarray, first: np.ndarray,
-                 first_block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(passage, item)`` of all pairs that rule 4 may accept. Passages are
-        taken ``span`` at a time: first the count, then the longest common
-        subsequence over all their surroundings, which no single one exceeds."""
-        at, out = np.flatnonzero(term >= 0), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+                uniq, _, vectors = self.own[i]
+                share[uniq, j] = vectors @ space.items[i] / square[i]
+            self.groups.append((g, members, share))
+
+    def retrieved(self, term: np.ndarray, rows: np.ndarray, block: np.ndarray, first: np.ndarray,
+                  first_block: np.ndarray) -> list[tuple[int, int]]:
+        """``(passage, item)`` of all candidates. Passages are taken ``span`` at
+        a time with all their surroundings, which no single one exceeds."""
+        at, out = np.flatnonzero(term >= 0), []
         t, r, n_terms = term[at].astype(np.int64), rows[at], len(self.items.terms)
         local = block[at] - first_block[r]
-        for g, members, count, least in self.groups if len(t) else ():
+        for g, members, share in self.groups if len(t) else ():
             span = 2 * g + 2
             n_spans = -(-np.diff(first_block) // span)
             first_span = np.concatenate([[0], np.cumsum(n_spans)])
@@ -304,18 +313,47 @@ class Finder:
             row_of = np.searchsorted(first_span, s, "right") - 1
             step = max(1, CELLS // len(s))
             for k in range(0, len(members), step):
-                part = np.ascontiguousarray(count[:, k:k + step])
+                part = np.ascontiguousarray(share[:, k:k + step])
                 total = part[x[begin]]
                 for j in range(1, int(size[0])):
                     live = int(np.searchsorted(-size, -j))
                     total[:live] += part[x[begin[:live] + j]]
-                for i, q in zip(*(z.tolist() for z in np.nonzero(total >= np.ceil(least[k:k + step]).astype(part.dtype)))):
+                mark, last = np.zeros(n_terms, bool), -1
+                for i, q in zip(*(z.tolist() for z in np.nonzero(total >= self.rules.min_share))):
+                    if i != last:
+                        mark[:] = False
+                        mark[x[begin[i]:begin[i] + size[i]]] = True
+                        last = i
                     row, item = int(row_of[i]), int(members[k + q])
+                    if not self.near(item, mark):
+                        continue
                     p0 = int(first_block[row]) + (int(s[i]) - int(first_span[row])) * span
                     p1 = min(p0 + span, int(first_block[row + 1]))
-                    if self._common(item, term, first, first_block, row, p0, p1)[0] >= least[k + q]:
-                        out.append((np.arange(p0, p1), np.full(p1 - p0, item)))
-        return tuple(np.concatenate(z) for z in zip(*out))
+                    if self._common(item, term, first, first_block, row, p0, p1)[0] >= self.rules.loose * len(self.items.words[item]):
+                        out += [(p, item) for p in range(p0, p1)]
+        return sorted(out)
+
+    def near(self, item: int, mark: np.ndarray) -> bool:
+        """Whether the item and those of its words that are marked have cosine
+        ``min_cosine``, and are enough for rule 4 in any order."""
+        (uniq, times, vectors), to, rules = self.own[item], self.space.items[item], self.rules
+        here, answer = mark[uniq], self.items.answers[item]
+        n, total = int(times[here].sum()), len(self.items.words[item])
+        if n < rules.loose * total or n < rules.exact * total and mark[answer].sum() < rules.answer_share * len(answer):
+            return False
+        v = vectors[here].sum(0)
+        return bool(v @ to >= rules.min_cosine * max(np.linalg.norm(v) * np.linalg.norm(to), 1e-30))
+
+    def sense(self, item: int, region: np.ndarray) -> float:
+        """How far a stretch of the item's length says the same, by all terms of
+        the benchmark: the smaller of its cosine with the item and its part along
+        the item's vector, as a share of that; words of no item say nothing."""
+        n, to = len(self.items.words[item]), self.space.items[item]
+        v = np.where((region >= 0)[:, None], self.space.words[region], 0).astype(np.float64)
+        total = np.vstack([np.zeros(v.shape[1]), np.cumsum(v, 0)])
+        part = total[n:] - total[:-n] if len(region) > n else total[-1:]
+        along, size = part @ to, max(np.linalg.norm(to), 1e-30)
+        return float((along / size / np.maximum(np.linalg.norm(part, axis=1), size)).max())
 
     def _common(self, item: int, term, first, first_block, row: int, p0: int, p1: int) -> tuple[int, np.ndarray]:
         """Common words of an item and the surroundings of passages ``p0`` to
@@ -327,42 +365,29 @@ class Finder:
 
     def leaks(self, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], tuple[int, bool]]:
         """``{(row, item): (common words, paraphrase)}``."""
-        items, space, rules = self.items, self.space, self.rules
+        items, rules = self.items, self.rules
         h, rows, *_ = self.hasher.words(data, offsets)
         if not len(h):
             return {}
         block, first, first_block = _blocks(rows, len(offsets) - 1)
         term = items.term_numbers(h)
-        n, none = int(first_block[-1]), len(items.terms)
-        words = _block_terms(term, block, n, none)
-        v = _block_sums(words, space.project)
         row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(first_block))
-        joined = row_of[1:] == row_of[:-1]
-        v[:-1] += v[1:] * joined[:, None]
-        norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-30)
-        v /= norm[:, None]
         out: dict[tuple[int, int], tuple[int, bool]] = {}
-        passage, owner = self.admitted(term, rows, block, first, first_block)
-        n_items, near = len(items.words), [np.zeros(0, np.int64)]
-        for lo in range(0, n, 2048):
-            b, q = np.nonzero(v[lo:lo + 2048] @ space.queries.T >= rules.min_cosine)
-            near.append(np.unique((b + lo) * n_items + space.owner[q]))
-        retrieved = np.isin(passage * n_items + owner, np.concatenate(near))
-        for some in (retrieved, ~retrieved):
-            for b, item in sorted(zip(passage[some].tolist(), owner[some].tolist())):
-                row, w = int(row_of[b]), items.words[item]
-                if out.get((row, item), (0, False))[0] == len(w):
+        for b, item in self.retrieved(term, rows, block, first, first_block):
+            row, w = int(row_of[b]), items.words[item]
+            if out.get((row, item), (0, False))[0] == len(w):
+                continue
+            common, region = self._common(item, term, first, first_block, row, b, b + 1)
+            if common < rules.loose * len(w) or common <= out.get((row, item), (0, False))[0]:
+                continue
+            paraphrase = common < rules.exact * len(w)
+            if paraphrase:
+                answer = items.answers[item]
+                if np.isin(answer, region).sum() < rules.answer_share * len(answer):
                     continue
-                common, region = self._common(item, term, first, first_block, row, b, b + 1)
-                if common < rules.paraphrase * len(w):
+                if common < rules.paraphrase * len(w) and self.sense(item, region) < rules.same_sense:
                     continue
-                paraphrase = common < rules.exact * len(w)
-                if paraphrase:
-                    answer = items.answers[item]
-                    if np.isin(answer, region).sum() < rules.answer_share * len(answer):
-                        continue
-                if common > out.get((row, item), (0, False))[0]:
-                    out[row, item] = (common, paraphrase)
+            out[row, item] = (common, paraphrase)
         return out
 
 

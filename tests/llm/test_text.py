@@ -219,9 +219,11 @@ def test_every_leak_is_a_candidate(spark):
             at = 7 * k % len(body)
             planted.append(" ".join(body[:at] + kind + body[at:]))
     planted += ["", "one", " ".join(w for _, t, _ in rows[:3] for w in words(t))]
-    items, rules = decontaminate.load_items(rows), decontaminate.Rules()
+    # only what rule 4 accepts without the latent space, so that brute force can tell
+    items, rules = decontaminate.load_items(rows), decontaminate.Rules(loose=0.6)
     want = brute_leaks(items, rules, planted)
-    find = decontaminate.Finder(items, decontaminate.fit_latent(docs.select("text"), items), rules)
+    space = decontaminate.fit_latent(docs.select("text"), items)
+    find = decontaminate.Finder(items, space, rules)
     raw = [t.lower().encode() for t in planted]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])])
     assert len(want) >= 100 and want[3 * len(rows) - 2, len(rows) - 1] == (13, True)
@@ -230,6 +232,35 @@ def test_every_leak_is_a_candidate(spark):
     for r, t in enumerate(raw):
         one |= {(r, i): x for (_, i), x in find.leaks(np.frombuffer(t, np.uint8), np.array([0, len(t)])).items()}
     assert one == want
+    # the retrieval decides: without the latent space nothing is compared
+    nothing = decontaminate.LatentSpace(space.words * 0, space.items * 0)
+    assert decontaminate.Finder(items, nothing, rules).leaks(np.frombuffer(b"".join(raw), np.uint8), offsets) == {}
+
+
+def test_other_words_of_the_same_use(spark):
+    """Half an item's words replaced by others of the same topic: a leak by the
+    latent space alone. The same places filled from other topics: none."""
+    r = random.Random(6)
+    topics = [[f"t{k}w{j}" for j in range(16)] for k in range(64)]
+    texts = [" ".join(r.choice(topics[k % 64]) for _ in range(160)) for k in range(1_280)]
+    rows = [(2 * k + h, " ".join(r.sample(t, 16) if h else t) + ". " + " ".join(t[:3]), None) for k, t in enumerate(topics) for h in (0, 1)]
+    alike, unlike = [], []
+    for k, t in enumerate(topics):
+        places = set(r.sample(range(3, 16), 9))
+        alike.append(" ".join(t[(j + 5) % 16] if j in places else w for j, w in enumerate(t)) + " " + " ".join(t[:3]))
+        unlike.append(" ".join(topics[(k + 7 * j + 1) % 64][j] if j in places else w for j, w in enumerate(t)) + " " + " ".join(t[:3]))
+    items, rules = decontaminate.load_items(rows), decontaminate.Rules()
+    space = decontaminate.fit_latent(spark.createDataFrame([(t,) for t in texts], "text string"), items)
+    find = decontaminate.Finder(items, space, rules)
+
+    def found(some, finder):
+        raw = [("zz " * 40 + t + " zz" * 40).encode() for t in some]
+        got = finder.leaks(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in raw])]))
+        return {i for i in range(64) if (i, 2 * i) in got}
+    assert len(found(alike, find)) >= 60
+    assert len(found(unlike, find)) <= 3
+    strict = decontaminate.Finder(items, space, decontaminate.Rules(loose=0.6))
+    assert len(found(alike, strict)) < 60 - len(found(unlike, find))
 
 
 def test_subsequence():
