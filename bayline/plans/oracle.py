@@ -284,6 +284,7 @@ from sess x join sess y
  and (x.start_time, x.license_plate, x.session_no) < (y.start_time, y.license_plate, y.session_no)
  and y.start_time <= x.end_time
 where x.license_plate <> y.license_plate"""
+    q["stream_spot_conflicts"] = q["spot_conflicts"]
     q["stream_active_by_plate"] = q["active_by_plate"]
     q["stream_occupancy"] = q["occupancy"]
     q["stream_unordered"] = q["stream_table_sessions"]

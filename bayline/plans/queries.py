@@ -378,6 +378,26 @@ def q_stream_fan_out(spark, sf_dir):
             .unionByName(sessions_from_changelog(sent, fields).select(F.lit("wire").alias("sink"), "*")))
 
 
+# Fixed value of the conflict replay: how long a session may take, in all, for
+# the join's state (12 days; longer ones are joined when read).
+CONFLICT_HORIZON = 1036800
+
+
+def q_stream_spot_conflicts(spark, sf_dir):
+    """Spot conflicts found as sessions end, by a stream-stream interval join
+    over a replay, with those of long and of open sessions."""
+    from bayline.streaming import conflicts, state_views
+    from bayline.plans.runtime import scratch_path
+    s = fixture_settings(bucket_seconds=86_400)
+    base = scratch_path(spark, "conflicts")
+    table, pairs = f"{base}/ended", f"{base}/pairs"
+    live = _salted_replay(spark, sf_dir, s, 4, conflicts.ended_sink(table, CONFLICT_HORIZON))
+    q = conflicts.start_conflicts(spark, table, s, CONFLICT_HORIZON, pairs, f"{base}/checkpoint",
+                                  max_files=20, available_now=True)
+    q.awaitTermination()
+    return conflicts.conflicts(spark, table, pairs, state_views.open_sessions(spark, f"{live}/checkpoint"), s)
+
+
 def q_changelog_round_trip(spark, sf_dir):
     """Session rows sent over the wire and decoded again."""
     sent = changelog.encode_changelog(_sessions(spark, sf_dir, fixture_settings()))
@@ -417,4 +437,5 @@ QUERIES.update({
     "stream_live_views": q_stream_live_views,
     "stream_compacted_changelog": q_stream_compacted_changelog,
     "stream_fan_out": q_stream_fan_out,
+    "stream_spot_conflicts": q_stream_spot_conflicts,
 })
