@@ -4,12 +4,13 @@ Base spans come from four patterns (email, ip, card, phone). A linear-chain
 conditional random field over word-shape features adds spans that the patterns
 miss, such as a phone number without its plus sign or an address written with
 ``[at]``. It is trained on the driver from a small labelled table (token
-sequences whose spans are known, at most ``max_sequences``) and decoded by
-Viterbi over numpy batches of sequences in the tasks.
+sequences whose spans are known, at most ``max_sequences``, and the rule-made
+ones of :mod:`bayline.llm.pii_variants`) and decoded by Viterbi over numpy
+batches of sequences in the tasks.
 
 The sequences cover every place of a text that may hold personal data: the
-words within ``CONTEXT`` bytes of a digit, an at sign or plus sign, or a
-bracketed ``at`` or ``dot``, whole words at either end. A sequence longer than
+words within ``CONTEXT`` bytes of a digit, an at sign or plus sign, a bracketed
+``at`` or the word ``dot``, whole words at either end. A sequence longer than
 ``MAX_TOKENS`` is decoded in pieces that overlap; a span is taken from the piece
 where it begins at least ``BEFORE`` tokens from a cut and has ``AFTER`` more to
 the next one, and if it still reaches that one, from a longer piece. A decoded
@@ -28,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bayline.llm.pii_variants import sentences
 from bayline.llm.staging import small_batches, staged
 from bayline.llm.words import text_chunks
 
@@ -35,6 +37,7 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 N_LABELS = len(LABELS)
 CONTEXT, MAX_TOKENS, BEFORE, AFTER = 40, 256, 16, 80
+TRAIN_TOKENS = 64  # longer training sequences are taken in pieces
 
 # Each pattern starts only where an unanchored search would find its leftmost
 # match: a run's start. The plain patterns are in the query's contract.
@@ -45,6 +48,7 @@ _CARD = re.compile(rb"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(rb"\+[0-9][ ().0-9-]+[0-9]")
 _TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]")
 _BRACKET = re.compile(rb"[\[(](?:at|dot)[\])]", re.I)
+_LETTER = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -91,11 +95,22 @@ def base_spans(text: bytes) -> list[tuple[str, int, int]]:
 
 # ---- sequences and features
 
+def _marks(text: bytes) -> list[int]:
+    """Places of bracketed ``at`` and ``dot``, and of the word ``dot``."""
+    out = [m.start() for m in _BRACKET.finditer(text)]
+    low = text.lower()
+    at = low.find(b"dot")
+    while at >= 0:
+        if (at == 0 or low[at - 1] not in _LETTER) and (at + 3 == len(low) or low[at + 3] not in _LETTER):
+            out.append(at)
+        at = low.find(b"dot", at + 3)
+    return out
+
+
 def _windows(text: bytes, triggers: np.ndarray) -> Iterator[tuple[int, int]]:
     """Byte ranges around the triggers, from white space to white space; no
     two meet."""
-    found = [m.start() for m in _BRACKET.finditer(text)]
-    at = np.unique(np.concatenate([triggers, found]).astype(np.int64))
+    at = np.unique(np.concatenate([triggers, _marks(text)]).astype(np.int64))
     if not len(at):
         return
     edge = np.concatenate([[-1], np.flatnonzero(_SPACE[np.frombuffer(text, np.uint8)]), [len(text)]])
@@ -184,43 +199,43 @@ class Crf:
 
     def fit(self, seqs: list[np.ndarray], labels: list[np.ndarray], steps: int = 120, rate: float = 0.15,
             l2: float = 1e-4) -> Crf:
-        """Maximum likelihood by Adam on the whole (small) table."""
-        x, y = _padded(seqs, 0), _padded(labels, 0)
-        lengths = np.array([len(s) for s in seqs])
+        """Maximum likelihood by Adam on the whole (small) table, longest
+        sequences first: a step over tokens meets only those that go on."""
+        order = sorted(range(len(seqs)), key=lambda k: -len(seqs[k]))
+        x, y = _padded([seqs[k] for k in order], 0), _padded([labels[k] for k in order], 0)
+        lengths = np.array([len(seqs[k]) for k in order])
         n, t = x.shape
         live = np.arange(t) < lengths[:, None]
+        going = live.sum(0)
         wide = np.pad(x, ((0, 0), (2, 2)))
-        shifted = [wide[:, 2 + o:2 + o + t] for o in OFFSETS]
+        around = [wide[:, 2 + o:2 + o + t][live] for o in OFFSETS]
         state = [[np.zeros_like(w), np.zeros_like(w)] for w in (self.emit, self.move)]
         gold_move = np.zeros((N_LABELS, N_LABELS))
         both = live[:, 1:]
         np.add.at(gold_move, (y[:, :-1][both], y[:, 1:][both]), 1)
-        gold = np.eye(N_LABELS)[y] * live[..., None]
+        gold = np.eye(N_LABELS)[y[live]]
+        e, alpha, beta, scale = (np.ones((n, t, N_LABELS)) for _ in range(4))
         for step in range(1, steps + 1):
-            s, move = self.scores(x), self.move + self.banned
-            em = np.exp(move)
-            alpha, scale = np.zeros((n, t, N_LABELS)), np.ones((n, t))
-            e = np.exp(s - s.max(2, keepdims=True))
+            s = sum(self.emit[k][around[k]] for k in range(len(OFFSETS)))
+            em = np.exp(self.move + self.banned)
+            e[live] = np.exp(s - s.max(1, keepdims=True))
             a = e[:, 0] * np.exp(self.first)
-            for i in range(t):
-                if i:
-                    a = np.where(live[:, i, None], (a @ em) * e[:, i], a)
-                scale[:, i] = a.sum(1)
-                a = a / scale[:, i, None]
-                alpha[:, i] = a
-            beta, b = np.ones((n, t, N_LABELS)), np.ones((n, N_LABELS))
-            pair = np.zeros((N_LABELS, N_LABELS))
+            for i, m in enumerate(going):
+                a = (a[:m] @ em) * e[:m, i] if i else a
+                scale[:m, i] = a.sum(1, keepdims=True)
+                a = a / scale[:m, i]
+                alpha[:m, i] = a
+            b, pair = np.ones((n, N_LABELS)), np.zeros((N_LABELS, N_LABELS))
+            beta[...] = 1.0
             for i in range(t - 1, 0, -1):
-                on = live[:, i]
-                eb = e[:, i] * b / scale[:, i, None]
-                pair += em * (alpha[on, i - 1].T @ eb[on])
-                b = np.where(on[:, None], eb @ em.T, b)
-                beta[:, i - 1] = b
-            p = alpha * beta
-            p = p / p.sum(2, keepdims=True) * live[..., None]
-            diff = (gold - p) / n
-            grad = np.stack([np.stack([np.bincount(sh.ravel(), diff[..., c].ravel(), N_SHAPES)
-                                       for c in range(N_LABELS)], 1) for sh in shifted])
+                m = going[i]
+                eb = e[:m, i] * b[:m] / scale[:m, i]
+                pair += em * (alpha[:m, i - 1].T @ eb)
+                b[:m] = eb @ em.T
+                beta[:m, i - 1] = b[:m]
+            p = (alpha * beta)[live]
+            diff = (gold - p / p.sum(1, keepdims=True)) / n
+            grad = np.stack([np.stack([np.bincount(sh, diff[:, c], N_SHAPES) for c in range(N_LABELS)], 1) for sh in around])
             for w, g, m in ((self.emit, grad, state[0]), (self.move, (gold_move - pair) / n, state[1])):
                 g = g - l2 * w
                 m[0][...] = 0.9 * m[0] + 0.1 * g
@@ -241,6 +256,19 @@ def _label_tokens(spans: list[tuple[int, int]], found: list[tuple[str, int, int]
     return y
 
 
+def _training(text: bytes, found: list[tuple[str, int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The whole text as labelled pieces of about ``TRAIN_TOKENS``; no span is cut."""
+    toks = tokens(text, 0, len(text))
+    x, y = shapes(text, toks), _label_tokens(toks, found)
+    k = 0
+    while k < len(x):
+        end = min(len(x), k + TRAIN_TOKENS)
+        while end < len(x) and y[end] and y[end] % 2 == 0:
+            end += 1
+        yield x[k:end], y[k:end]
+        k = end
+
+
 def _variants(text: bytes, found: list[tuple[str, int, int]]) -> Iterator[tuple[bytes, list]]:
     """The sequence as it stands, and with its spans written another way."""
     yield text, found
@@ -271,8 +299,7 @@ def _sequences_udf(batches):
             for s, e in _windows(raw, triggers):
                 mine = [(k, a - s, b - s) for k, a, b in found if a >= s and b <= e]
                 for piece, spans in _variants(raw[s:e], mine):
-                    toks = tokens(piece, 0, len(piece))[:64]
-                    out.append({"x": shapes(piece, toks).tolist(), "y": _label_tokens(toks, spans).tolist()})
+                    out += [{"x": x.tolist(), "y": y.tolist()} for x, y in _training(piece, spans)]
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("x", pa.list_(pa.int32())), ("y", pa.list_(pa.int32()))]))
 
 
@@ -290,11 +317,23 @@ def labelled_sequences(docs: DataFrame, max_docs: int = 2_000) -> DataFrame:
     return some.select("text").mapInArrow(_sequences_udf, "x array<int>, y array<int>")
 
 
-def train(labelled: DataFrame, max_sequences: int = 2_500) -> Crf:
+def variant_sequences(n: int = 2_500, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The labelled table of :mod:`bayline.llm.pii_variants` as sequences; it is
+    the same at every size of the corpus."""
+    return [s for text, spans in sentences(n, seed) for s in _training(text.encode(), spans)]
+
+
+def fit_pii(docs: DataFrame, max_sequences: int = 1_000) -> Crf:
+    """A model from the variants and at most ``max_sequences`` sequences of
+    ``docs``."""
+    return train(labelled_sequences(docs), max_sequences, variant_sequences())
+
+
+def train(labelled: DataFrame, max_sequences: int = 2_500, more: list | tuple = ()) -> Crf:
     """A model from a labelled table (see :func:`labelled_sequences`); the
     sequences that come first in hash order are used, equal ones once: up to
-    four fifths with spans, and as many without as fit beside them. An empty
-    table gives a model that adds nothing."""
+    four fifths with spans, and as many without as fit beside them, and with
+    them the sequences ``more``. Without any of either, the model adds nothing."""
     rows, has = staged(labelled.where(F.size("x") > 1).distinct(), "pii-labelled"), F.exists("y", lambda v: v > 0)
 
     def first(some: DataFrame, most: int) -> list:
@@ -303,8 +342,8 @@ def train(labelled: DataFrame, max_sequences: int = 2_500) -> Crf:
 
     marked = first(rows.where(has), max_sequences * 4 // 5)
     model = Crf()
-    if marked:
-        both = marked + first(rows.where(~has), max_sequences - len(marked))
+    if marked or more:
+        both = marked + first(rows.where(~has), max_sequences - len(marked)) + list(more)
         model.fit([x for x, _ in both], [y for _, y in both])
     else:
         model.emit[2, :, 0] = 10.0
@@ -313,17 +352,35 @@ def train(labelled: DataFrame, max_sequences: int = 2_500) -> Crf:
 
 # ---- spans of whole texts
 
+_AT = rb"(?:\s?@\s?|\s?[\[(]at[\])]\s?)"
+_DOT_SIGN = rb"\s?[\[(](?:dot|\.)[\])]\s?|\s+dot\s+"
+_ADDRESS = re.compile(
+    rb"[A-Z0-9._%+-]+(?:" + _AT + rb"[A-Z0-9-]+(?:(?:\.|" + _DOT_SIGN + rb")[A-Z0-9-]+)+"
+    # a bare "at" only where the dots are words too
+    rb"|\s+at\s+[A-Z0-9-]+(?:(?:" + _DOT_SIGN + rb")[A-Z0-9-]+)+)", re.I)
+_NUMBERS = re.compile(rb"[0-9]{1,3}(?:(?:\.|\s\.\s|" + _DOT_SIGN + rb")[0-9]{1,3}){3}", re.I)
+_GROUPS = re.compile(rb"[0-9]{4}(?:(?:[ ._/-]{1,3}[0-9]{4}){3}(?:[ ._/-]{1,3}[0-9]{1,3})?"
+                     rb"|[ ._/-]{1,3}[0-9]{6}[ ._/-]{1,3}[0-9]{4,5})|[0-9]{14,19}|[0-9](?:[ -]?[0-9]){15,18}")
+_CALL = re.compile(
+    rb"(?:\+|00|011[ .-])[ .-]?[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}|(?:(?:1|001)[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}"
+    rb"|(?:(?:1|001)[ .-])?[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}|0[0-9]{2,4}[ /-][0-9]{5,8}")
+
+
 def _plausible(kind: str, piece: bytes) -> bool:
-    digits = sum(48 <= c <= 57 for c in piece)
+    """Whether a decoded span has a form that its kind can have."""
+    only = bytes(c for c in piece if 48 <= c <= 57)
     if kind == "email":
-        return bool(re.search(rb"@|[\[(]at[\])]", piece, re.I)) and bool(re.search(rb"\.|dot", piece, re.I))
+        return _ADDRESS.fullmatch(piece) is not None
     if kind == "ip":
-        parts = re.findall(rb"[0-9]+", piece)
-        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+        return _NUMBERS.fullmatch(piece) is not None and all(int(p) <= 255 for p in re.findall(rb"[0-9]+", piece))
     if kind == "card":
-        only = bytes(c for c in piece if 48 <= c <= 57)
-        return 13 <= digits <= 19 and _luhn(only)
-    return 8 <= digits <= 15 and piece.translate(None, b"0123456789 ().+-") == b"" and len(piece) > digits
+        known = 16 <= len(only) <= 19 or only[:2] in _SHORT_CARDS.get(len(only), ())
+        return known and _luhn(only) and _GROUPS.fullmatch(piece) is not None
+    return 8 <= len(only) <= 15 and _CALL.fullmatch(piece) is not None
+
+
+# fixed values: first digits of card numbers of 14 and 15 digits
+_SHORT_CARDS = {14: (b"30", b"36", b"38"), 15: (b"34", b"37")}
 
 
 def _pieces(n: int) -> Iterator[tuple[int, int, int, int]]:
@@ -348,7 +405,7 @@ class Finder:
         hit = np.flatnonzero(np.isin(data, _TRIGGERS)) if len(data) else np.zeros(0, np.int64)
         raw, out, jobs = data.tobytes(), {}, []
         at = set((np.searchsorted(offsets, hit, "right") - 1).tolist())
-        at |= {int(np.searchsorted(offsets, m.start(), "right")) - 1 for m in _BRACKET.finditer(raw)}
+        at |= {int(np.searchsorted(offsets, m, "right")) - 1 for m in _marks(raw)}
         for i in sorted(at):
             lo, hi = int(offsets[i]), int(offsets[i + 1])
             text = raw[lo:hi]

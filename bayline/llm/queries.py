@@ -9,7 +9,7 @@ from bayline.llm.embedding_dedup import near_duplicate_vectors
 from bayline.llm.fill_in_middle import fill_in_middle_digests, fill_in_middle_sql
 from bayline.llm.minhash_dedup import near_duplicates
 from bayline.llm.mixing import mix
-from bayline.llm.pii import find_pii, labelled_sequences, train
+from bayline.llm.pii import find_pii, fit_pii
 from bayline.llm.secret_scan import scan_secrets, scan_sql
 from bayline.llm.substring_dedup import remove_repeated_passages
 from bayline.llm.token_counts import count_after_edits, revision_edits
@@ -35,9 +35,9 @@ def op3_decontamination(spark, sf_dir):
 
 def op4_pii(spark, sf_dir):
     """Personal data in all documents; the random field is trained on a small
-    table of labelled sequences from them."""
+    table of labelled sequences, made by rule and from them."""
     docs = read_table(spark, sf_dir, "documents")
-    return find_pii(docs, train(labelled_sequences(docs)))
+    return find_pii(docs, fit_pii(docs))
 
 
 def op5_secret_scan(spark, sf_dir):

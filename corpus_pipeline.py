@@ -43,7 +43,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = pii.redact(docs, pii.train(pii.labelled_sequences(docs)))
+    out = pii.redact(docs, pii.fit_pii(docs))
     if "n_chars" in out.columns:
         n = F.length("text").cast(out.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.coalesce(n, F.col("n_chars")))
