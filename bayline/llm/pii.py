@@ -142,12 +142,23 @@ def _shape(token: bytes, spaced: bool) -> int:
 
 
 _SIGNS = b"@.+-()[],:;/%_#=&?!*\"'"
-N_SHAPES = 2 * (40 + len(_SIGNS) + 1)
+AT_BEFORE_DOT = 40 + len(_SIGNS) + 1  # the word "at" and, near after it, "dot"
+N_SHAPES = 2 * (AT_BEFORE_DOT + 2)
+NEAR = 6
 OFFSETS = (-2, -1, 0, 1, 2)
 
 
 def shapes(text: bytes, spans: list[tuple[int, int]]) -> np.ndarray:
-    return np.array([_shape(text[s:e], i == 0 or spans[i - 1][1] < s) for i, (s, e) in enumerate(spans)], np.int32)
+    out = np.array([_shape(text[s:e], i == 0 or spans[i - 1][1] < s) for i, (s, e) in enumerate(spans)], np.int32)
+    at, dot = np.flatnonzero(out // 2 == 37), np.flatnonzero(out // 2 == 38)
+    if len(at) and len(dot):
+        # either word alone is text, both close together are an address
+        after, before = np.searchsorted(dot, at), np.searchsorted(at, dot) - 1
+        paired = (after < len(dot)) & (dot[np.minimum(after, len(dot) - 1)] - at <= NEAR)
+        out[at[paired]] += 2 * (AT_BEFORE_DOT - 37)
+        paired = (before >= 0) & (dot - at[np.maximum(before, 0)] <= NEAR)
+        out[dot[paired]] += 2 * (AT_BEFORE_DOT + 1 - 38)
+    return out
 
 
 def _padded(seqs: list[np.ndarray], fill: int) -> np.ndarray:

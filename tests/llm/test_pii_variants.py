@@ -47,8 +47,7 @@ def test_held_out_variants(find):
     ("phone", "(459) 555-7415"), ("phone", "001 459 555 7415"), ("phone", "459-555-7415"), ("phone", "1 (459) 555-7415"),
 ])
 def test_known_variants(find, kind, variant):
-    alone = [("", "")] if variant != "jo at site dot com" else []  # that one alone is missed (README)
-    for before, after in (("please write to ", " for more about it"), *alone, ("Reach us: ", ". Thank you."), ("世é, ", " é")):
+    for before, after in (("please write to ", " for more about it"), ("", ""), ("Reach us: ", ". Thank you."), ("世é, ", " é")):
         text = before + variant + after
         raw, (_, added) = text.encode(), spans_of(find, [text])[0]
         assert [(k, raw[a:b].decode()) for k, a, b in added] == [(kind, variant)], text
