@@ -9,15 +9,17 @@ from its block headers, decodes one frame at a time and checks headers,
 lengths and digests.
 
 Archives go to the given folder through pyarrow's file systems, so any store
-that they reach can be named by URI. A task writes under a name of its own and
-moves the finished file to a fixed one: a task that runs again replaces its
-file and leaves no half of one.
+that they reach can be named by URI. A task writes under a hidden name and moves
+the finished file to one that no other run of the task shares. The list that
+:func:`write_archives` returns names the archives that count: what a lost task
+left behind is no part of it, and :func:`read_listed` reads no other file.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -170,9 +172,14 @@ def read_archive(content: bytes) -> Iterator[dict]:
 
 # ---- Spark jobs
 
+def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and path of a URI, of one with Hadoop's names of S3 too."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+
+
 def _write_udf(out_dir: str):
     def run(batches):
-        fs, root = pafs.FileSystem.from_uri(out_dir)
+        fs, root = _file_system(out_dir)
         fs.create_dir(root, recursive=True)
         part, number, pending = TaskContext.get().partitionId(), 0, None
 
@@ -197,14 +204,15 @@ def _write_udf(out_dir: str):
                 yield r
 
         while (pending := next(source, None)) is not None:
-            temp, final = f"{root}/.{uuid.uuid4().hex}", f"{root}/part-{part:05d}-{number:05d}.warc.zst"
+            name = f"part-{part:05d}-{number:05d}-{uuid.uuid4().hex}.warc.zst"
+            temp, final = f"{root}/.{name}", f"{root}/{name}"
             n = 0
             with fs.open_output_stream(temp, compression=None) as f:
                 for frame in archive(some()):
                     f.write(frame)
                     n += 1
             fs.move(temp, final)
-            yield pa.RecordBatch.from_pydict({"archive": [final], "n_records": [n - 1]},
+            yield pa.RecordBatch.from_pydict({"archive": [name], "n_records": [n - 1]},
                                              schema=pa.schema([("archive", pa.string()), ("n_records", pa.int64())]))
             number += 1
     return run
@@ -212,7 +220,8 @@ def _write_udf(out_dir: str):
 
 def write_archives(pages: DataFrame, out_dir: str, min_revisit: int = 0) -> DataFrame:
     """Writes a record for each row of ``pages`` (``page_id``, ``url``,
-    ``html``) below ``out_dir`` and returns the list of archives.
+    ``html``) below ``out_dir`` and returns the list of archives: ``archive``
+    (file name), ``n_records``.
 
     A null ``html`` is an empty payload. Of rows with equal payloads of at
     least ``min_revisit`` bytes all with the largest ``page_id`` are responses
@@ -233,16 +242,25 @@ RECORD_TYPE = ("page_id long, url string, record_type string, refers_to long, pa
                "payload_digest string, error string, offset long")
 
 
-def _read_udf(with_payload: bool):
+def _read_udf(with_payload: bool, folder: str | None = None):
+    """Records of archives given by content or, below ``folder``, by name."""
     names = [x.split()[0] for x in RECORD_TYPE.split(", ")]
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     schema = pa.schema([(n, kinds[x.split()[1]]) for n, x in zip(names, RECORD_TYPE.split(", "))])
 
     def run(batches):
+        fs, root = _file_system(folder) if folder else (None, None)
+
+        def content(given) -> bytes:
+            if fs is None:
+                return given
+            with fs.open_input_stream(f"{root}/{given}", compression=None) as f:
+                return f.read()
+
         for batch in batches:
-            for content in batch.column(0):
+            for given in batch.column(0):
                 out, size = [], 0
-                for r in read_archive(content.as_py()):
+                for r in read_archive(content(given.as_py())):
                     size += len(r["payload"] or b"")
                     out.append(r if with_payload else r | {"payload": None})
                     if size > 4 << 20 or len(out) >= 1000:
@@ -255,12 +273,20 @@ def _read_udf(with_payload: bool):
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """Records of every ``*.warc.zst`` below ``path``; ``error`` is null for a
-    valid record. A folder without archives gives an empty result."""
+    valid record. A folder without archives gives an empty result. For a folder
+    that :func:`write_archives` filled see :func:`read_listed`."""
     files = (spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
              .option("pathGlobFilter", "*.warc.zst").load(path))
     return files.select("content").mapInArrow(_read_udf(with_payload), RECORD_TYPE)
 
 
+def read_listed(archives: DataFrame, folder: str, n_archives: int, with_payload: bool = True) -> DataFrame:
+    """Records of the archives that the list ``archives`` names below
+    ``folder``, and of no other file there; about four archives a task."""
+    return (archives.select("archive").repartition(max(1, -(-n_archives // 4)), "archive")
+            .mapInArrow(_read_udf(with_payload, folder), RECORD_TYPE))
+
+
 def archive_round_trip(pages: DataFrame) -> DataFrame:
     """Writes ``pages`` to archives in the shared folder and reads them back:
     per record ``page_id``, ``payload_bytes``, ``payload_digest`` (both of the
@@ -268,11 +294,12 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     stops the query."""
     spark = pages.sparkSession
     out_dir = scratch_path(spark, "warc")
-    n = write_archives(pages, out_dir).agg(F.sum("n_records")).first()[0]
+    archives = write_archives(pages, out_dir)
+    n = archives.count()
     if not n:
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, "
                                          "record_type string, refers_to long")
-    rows = read_archives(spark, out_dir, with_payload=False)
+    rows = read_listed(archives, out_dir, n, with_payload=False)
     checked = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("bad WARC record: "), "error"))
                      .cast("string")).otherwise(F.col("record_type"))
     return rows.select("page_id", "payload_bytes", "payload_digest", checked.alias("record_type"), "refers_to")

@@ -440,6 +440,18 @@ def test_archives(spark, tmp_path):
     assert {r.record_type for r in full} == {"response"} and {bytes(r.payload) for r in full} >= {b"", b"<p>x</p>"}
 
 
+def test_only_listed_archives_are_read(spark, tmp_path):
+    """What a lost run of a task left behind is not read, though it is whole."""
+    out = f"file://{tmp_path}/w"
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"<p>{i}</p>") for i in range(20)], "page_id long, url string, html string")
+    archives = warc.write_archives(pages, out)
+    left = [f for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")][0]
+    left.with_name("part-00099-00000-lost.warc.zst").write_bytes(left.read_bytes())
+    got = [r.page_id for r in warc.read_listed(archives, out, archives.count()).collect()]
+    assert sorted(got) == list(range(20)) and warc.read_archives(spark, out).count() > 20
+    assert archives.agg(F.sum("n_records")).first()[0] == 20
+
+
 def test_damaged_archives():
     records = [warc.record(i, f"http://x/{i}", (f"<p>{i}</p>" * 50).encode()) for i in range(40)]
     data = b"".join(warc.archive(iter(records)))
