@@ -34,6 +34,9 @@ class Settings:
     timeout_seconds: int = 30
     # width of the time buckets used to scan one key in parallel pieces
     bucket_seconds: int = 3600
+    # keys of a keyed stream share this many state rows, folded together by
+    # numpy; fixed for the life of a checkpoint, like its shuffle partitions
+    state_groups: int = 512
     # a piece with more rows is cut again by a range split (0: no check)
     max_piece_rows: int = 4_000_000
     # "emit": an EXITING with no open session is a CLOSED 0 s row; "drop": none

@@ -1,143 +1,33 @@
 """Session fold that waits for the watermark before folding (out-of-order input).
 
-``applyInPandasWithState`` folds each trigger's rows at once, so a row that
+The plain keyed form folds each trigger's rows at once, so a row that
 arrives in a later trigger but is older than rows already folded (allowed
 within the watermark delay) cannot be put back in place. This variant keeps
-such rows in a per-key list state until the watermark has reached them: a row
+such rows in the state until the watermark has reached them: a row
 that comes at or behind the watermark is set aside as late (``side``), so what
 waited is sorted and folded in order into the open session.
 
-State per key: ``meta`` (value: the open session's start, last, count and
-first id, plus the number of pending rows and the two registered timers, so
-no state call is spent on bookkeeping) and ``pending`` (list: rows not yet
-behind the watermark, bounded by the delay times the key's rate). Timers:
-one at the oldest pending row, one at the open session's inactivity limit.
-Event times are whole seconds, so the watermark
-moves in whole seconds; timers sit half a second off the instants they guard,
-which makes "fires when the watermark passes" exact whether the engine
-compares strictly or not.
+State per group of keys (:mod:`bayline.streaming.fold`): the open sessions and
+the waiting rows (not yet behind the watermark, bounded by the delay times the
+group's rate), each as arrays of one state row, so a call reads and writes its
+state once; list state and timers of each key cost a round trip to the JVM a
+call. The group's timer is the earliest of its oldest waiting row and of its
+open sessions' inactivity limits. Event times are whole seconds, so the
+watermark moves in whole seconds; the timer of a waiting row sits half a second
+ahead of it, as timers fire strictly behind the watermark.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
-
-from bayline.operators.sessionize import KEY, valid_events
-from bayline.params import ACTIVE, EXITING, TIMEOUT, Settings
-from bayline.streaming.fold import FOLD_OUTPUT, fold_sorted, late_frame, rows_frame
-
-META = StructType([
-    # the open session (nulls when none)
-    StructField("start_time", LongType()), StructField("last_time", LongType()),
-    StructField("n_events", LongType()), StructField("start_event_id", LongType()),
-    # bookkeeping kept here so no extra state calls are needed
-    StructField("n_pending", LongType()),
-    StructField("pending_timer", LongType()), StructField("timeout_timer", LongType()),
-])
-PENDING = StructType([
-    StructField("t", LongType()), StructField("id", LongType()),
-    StructField("status", StringType()),
-])
-HALF = 500
-PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-EMPTY = (None, None, None, None, 0, None, None)
-
-
-class OrderedSessions(StatefulProcessor):
-    def __init__(self, s: Settings):
-        self.s = s
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.meta = handle.getValueState("meta", META)
-        self.pending = handle.getListState("pending", PENDING)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        parts = [pdf[["timestamp_unix", "event_id", "status_code"]] for pdf in rows]
-        new = pd.concat(parts, ignore_index=True)
-        new.columns = PENDING.names
-        wm = timerValues.getCurrentWatermarkInMs()
-        behind = (new["t"] * 1000 <= wm) & (wm > 0)
-        if behind.any():
-            late, new = new[behind], new[~behind].reset_index(drop=True)
-            yield late_frame(*key, late["t"], late["id"], late["status"].to_numpy(), self.s)
-        yield from self._advance(key, wm, new)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs(), None)
-
-    def _advance(self, key, wm: int, new: pd.DataFrame | None) -> Iterator[pd.DataFrame]:
-        plate, loc = key
-        meta = self.meta.get()
-        meta = tuple(meta) if meta is not None else EMPTY
-        open_state = tuple(meta[:4]) if meta[0] is not None else None
-        n_pending, oldest = meta[4], None if meta[5] is None else meta[5] + HALF
-        if new is not None and len(new):
-            first = int(new["t"].min()) * 1000
-            oldest = first if oldest is None else min(oldest, first)
-        out = []
-        if oldest is not None and oldest <= wm:
-            # some rows are behind the watermark: fold them, keep the others
-            held = pd.DataFrame(list(self.pending.get()) if n_pending else [], columns=PENDING.names)
-            rows = held if new is None else new if held.empty else pd.concat([held, new], ignore_index=True)
-            t, ids = rows["t"].to_numpy(dtype="int64"), rows["id"].to_numpy(dtype="int64")
-            is_exit = rows["status"].to_numpy() == EXITING
-            order = np.lexsort((ids, t))
-            n = int(np.searchsorted(t[order], wm // 1000, "right"))
-            ready, late = order[:n], order[n:]
-            out, open_state, _ = fold_sorted(t[ready], ids[ready], is_exit[ready], open_state, wm, self.s)
-            if open_state is not None:
-                out.append((open_state[0], open_state[1], ACTIVE, open_state[2], open_state[3]))
-            if len(late):
-                self.pending.put(list(rows.iloc[late].itertuples(index=False, name=None)))
-            elif n_pending:
-                self.pending.clear()
-            n_pending, oldest = len(late), int(t[late[0]]) * 1000 if len(late) else None
-        elif new is not None and len(new):
-            self.pending.appendList(list(new.itertuples(index=False, name=None)))
-            n_pending += len(new)
-        if open_state is not None and wm > (open_state[1] + self.s.timeout_seconds) * 1000:
-            out.append((*open_state[:2], TIMEOUT, *open_state[2:]))
-            open_state = None
-        # timers: one at the oldest pending row, one at the inactivity limit
-        pend_timer = oldest - HALF if oldest is not None else None
-        out_timer = ((open_state[1] + self.s.timeout_seconds) * 1000 + HALF
-                     if open_state is not None else None)
-        for old, cur in ((meta[5], pend_timer), (meta[6], out_timer)):
-            if old != cur:
-                if old is not None and old not in (pend_timer, out_timer):
-                    self.handle.deleteTimer(old)
-                if cur is not None and cur not in (meta[5], meta[6]):
-                    self.handle.registerTimer(cur)
-        new_meta = (*(open_state or (None,) * 4), n_pending, pend_timer, out_timer)
-        if new_meta == EMPTY:
-            if meta != EMPTY:
-                self.meta.clear()
-        elif new_meta != meta:
-            self.meta.update(new_meta)
-        if out:
-            yield rows_frame(plate, loc, out, self.s)
 
-    def close(self) -> None:
-        pass
+from bayline.operators.sessionize import valid_events
+from bayline.params import Settings
+from bayline.streaming.fold import fold_groups
 
 
 def ordered_sessionize_stream(events: DataFrame, s: Settings) -> DataFrame:
     """Like :func:`bayline.streaming.jobs.sessionize_stream`, but rows may
     arrive out of order within the watermark delay."""
     from bayline.streaming.jobs import with_clock
-    # transformWithState keeps several state variables per key, which needs
-    # the RocksDB state store; the provider is read when the query starts
-    conf = events.sparkSession.conf
-    if "RocksDB" not in (conf.get(PROVIDER_KEY, None) or ""):
-        conf.set(PROVIDER_KEY, ROCKSDB_PROVIDER)
-    ev = with_clock(valid_events(events), s)
-    return ev.groupBy(*KEY).transformWithStateInPandas(
-        OrderedSessions(s), FOLD_OUTPUT, "update", "EventTime")
+    return fold_groups(with_clock(valid_events(events), s), s, ordered=True)

@@ -9,7 +9,7 @@ rows that a key has in a trigger. Here they take two steps:
    of one session, cut where an EXITING or a silence ends it and at the
    bucket's edge. No state takes part;
 2. the keyed state joins a key's runs, some for each bucket, into its open
-   session (:func:`bayline.streaming.fold.fold_runs`).
+   session (:func:`bayline.streaming.fold.fold_groups`).
 
 Runs of adjacent buckets join by the rules that events follow, so the sessions
 are those of the plain fold. A run is late as a whole, when its newest event is
@@ -21,15 +21,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from bayline.operators.sessionize import KEY, T_COL, TIE_COL, valid_events
-from bayline.params import ACTIVE, EXITING, TIMEOUT, Settings
-from bayline.streaming.fold import FOLD_OUTPUT, STATE, fold_runs, late_frame, rows_frame
+from bayline.params import EXITING, Settings
+from bayline.streaming.fold import fold_groups
 
 RUN = ("license_plate string, location string, start_time long, end_time long, n_events long, "
        "start_event_id long, is_exit boolean")
@@ -66,38 +64,6 @@ def _fold_parts(s: Settings):
     return run
 
 
-def make_run_fold(s: Settings):
-    T = int(s.timeout_seconds)
-
-    def fold(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        plate, loc = key
-        if state.hasTimedOut:
-            start0, last0, n0, id0 = state.get
-            state.remove()
-            yield rows_frame(plate, loc, [(start0, last0, TIMEOUT, n0, id0)], s)
-            return
-        runs = pd.concat(list(chunks), ignore_index=True).sort_values(["start_time", "start_event_id"])
-        start, end, n, ids = (runs[c].to_numpy(dtype="int64") for c in ("start_time", "end_time", "n_events", "start_event_id"))
-        is_exit = runs["is_exit"].to_numpy(dtype=bool)
-        wm = state.getCurrentWatermarkMs()
-        late = (end * 1000 <= wm) & (wm > 0)
-        if late.any():
-            yield late_frame(plate, loc, start[late], ids[late], np.where(is_exit[late], EXITING, None), s, end[late], n[late])
-            start, end, n, ids, is_exit = (x[~late] for x in (start, end, n, ids, is_exit))
-        open_state = state.get if state.exists else None
-        out, new_open, timer = fold_runs(start, end, n, ids, is_exit, open_state, wm, s)
-        if new_open is None:
-            state.remove()
-        else:
-            state.update(new_open)
-            state.setTimeoutTimestamp(timer if timer is not None else (new_open[1] + T) * 1000)
-            if len(start):
-                out.append((new_open[0], new_open[1], ACTIVE, new_open[2], new_open[3]))
-        if out:
-            yield rows_frame(plate, loc, out, s)
-    return fold
-
-
 def salted_sessionize_stream(events: DataFrame, s: Settings, split_on_exit: bool = True) -> DataFrame:
     """Like :func:`bayline.streaming.jobs.sessionize_stream` (event time), with
     each task's rows bounded by its share of the time buckets, not by a key.
@@ -111,5 +77,4 @@ def salted_sessionize_stream(events: DataFrame, s: Settings, split_on_exit: bool
     # the clock runs on the events above; no run is filtered by it
     tag = {"spark.watermarkDelayMs": s.delay_seconds * 1000}
     runs = runs.withColumn("event_time", F.lit(None).cast("timestamp").alias("event_time", metadata=tag))
-    return runs.groupBy(*KEY).applyInPandasWithState(
-        make_run_fold(s), FOLD_OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    return fold_groups(runs, s)

@@ -14,38 +14,39 @@ from pyspark.sql import functions as F
 from bayline.operators import views
 from bayline.operators.sessionize import KEY
 from bayline.params import ACTIVE, CLOSED, TIMEOUT, Settings
+from bayline.streaming.fold import GROUP_OPEN, WAITING
 
 
-def _state(spark: SparkSession, checkpoint: str, **options) -> DataFrame:
-    r = spark.read.format("statestore")
-    for k, v in options.items():
-        r = r.option(k, v)
-    return r.load(checkpoint)
+def _state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    return spark.read.format("statestore").load(checkpoint)
 
 
 def open_sessions(spark: SparkSession, checkpoint: str, ordered: bool = False) -> DataFrame:
     """Open sessions of a keyed job's last batch: key, ``start_time``,
     ``end_time`` (the last event), ``n_events``, ``start_event_id``, ``status``.
     ``ordered``: the checkpoint is one of
-    :func:`bayline.streaming.ordered.ordered_sessionize_stream`; sessions whose
-    rows all still wait aren't open yet."""
-    if ordered:
-        rows, held = _state(spark, checkpoint, stateVarName="meta"), "value"
+    :func:`bayline.streaming.ordered.ordered_sessionize_stream`, which holds
+    them in the same form; sessions whose rows all still wait aren't open yet."""
+    rows = _state(spark, checkpoint)
+    if KEY[0] in rows.schema["key"].dataType.names:  # a state of its own for each key
+        rows = rows.select(*[F.col(f"key.{k}").alias(k) for k in KEY], "value.groupState.*")
     else:
-        rows, held = _state(spark, checkpoint), "value.groupState"
-    last = f"{held}.last_time"
-    return rows.where(F.col(f"{held}.start_time").isNotNull()).select(
-        *[F.col(f"key.{k}").alias(k) for k in KEY], F.col(f"{held}.start_time").alias("start_time"),
-        F.col(last).alias("end_time"), F.col(f"{held}.n_events").alias("n_events"),
-        F.col(f"{held}.start_event_id").alias("start_event_id"), F.lit(ACTIVE).alias("status"))
+        rows = _entries(rows, GROUP_OPEN.names)
+    return rows.where(F.col("start_time").isNotNull()).select(
+        *KEY, "start_time", F.col("last_time").alias("end_time"), "n_events", "start_event_id",
+        F.lit(ACTIVE).alias("status"))
+
+
+def _entries(rows: DataFrame, arrays: list[str]) -> DataFrame:
+    """A row for each entry of a group's arrays."""
+    of_group = F.arrays_zip(*[F.col(f"value.groupState.{c}").alias(c) for c in arrays])
+    return rows.select(F.inline(of_group)).toDF(*arrays)
 
 
 def waiting_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Rows that the ordered form still holds back: key, ``timestamp_unix``,
     ``event_id``, ``status_code``."""
-    rows = _state(spark, checkpoint, stateVarName="pending")
-    return rows.select(*[F.col(f"key.{k}").alias(k) for k in KEY], F.col("list_element.t").alias("timestamp_unix"),
-                       F.col("list_element.id").alias("event_id"), F.col("list_element.status").alias("status_code"))
+    return _entries(_state(spark, checkpoint), list(WAITING)).toDF(*KEY, "timestamp_unix", "event_id", "status_code")
 
 
 def active_sessions_from_state(spark: SparkSession, checkpoint: str, as_of: Column, s: Settings,
