@@ -32,20 +32,24 @@ from bayline.streaming.jobs import BatchSink, start_changelog
 SESSION = ["location", "license_plate", "start_event_id", "start_time", "end_time"]
 ENDED = ("location string, license_plate string, start_event_id long, start_time long, end_time long, "
          "left_at timestamp")
+# rows of a batch for each file of the sessions that ended in it
+FILE_ROWS = 250_000
 PAIR = ["location", "plate_a", "id_a", "start_a", "end_a", "plate_b", "id_b", "start_b", "end_b"]
 
 
 def ended_sink(table: str, horizon_seconds: int) -> BatchSink:
     """``foreachBatch`` sink of session changes: the sessions that ended, in
     ``<table>/short`` and ``<table>/long``. A retried batch replaces its own
-    folders; the clock of the batch before is one row."""
+    folders; the clock of the batch before is one row. The number of files goes
+    by the rows, not by the partitions of the job's state: a reader that takes
+    some files a trigger would else run a batch of the join for a few rows."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        newest = batch.agg(F.max("end_time")).first()[0]
+        newest, n = batch.agg(F.max("end_time"), F.count(F.lit(1))).first()
         before = _clock(spark, table, epoch_id - 1)
         now = max((t for t in (newest, before) if t is not None), default=None)
         ended = batch.where(F.col("status").isin(CLOSED, TIMEOUT)).select(
-            *SESSION, F.timestamp_seconds(F.lit(now).cast("long")).alias("left_at"))
+            *SESSION, F.timestamp_seconds(F.lit(now).cast("long")).alias("left_at")).coalesce(n // FILE_ROWS + 1)
         is_long = F.lit(now).cast("long") - F.col("start_time") > F.lit(horizon_seconds)
         ended.where(~is_long).write.mode("overwrite").parquet(epoch_path(table, "short", epoch_id))
         ended.where(is_long).write.mode("overwrite").parquet(epoch_path(table, "long", epoch_id))

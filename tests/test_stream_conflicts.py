@@ -73,3 +73,12 @@ def test_no_sessions(spark):
     q = conflicts.start_conflicts(spark, f"{base}/ended", S, HORIZON, f"{base}/pairs", f"{base}/checkpoint", available_now=True)
     q.awaitTermination()
     assert conflicts.conflicts(spark, f"{base}/ended", f"{base}/pairs", none, S).collect() == []
+
+
+def test_files_go_by_rows_not_by_partitions(spark):
+    """A batch in many partitions leaves a file or two to read, and all its rows."""
+    base, ident = scratch_path(spark, "conflicts-files"), iter(range(10**6))
+    rows = [r for epoch in range(9) for r in epoch_rows(epoch, ident)]
+    conflicts.ended_sink(f"{base}/ended", HORIZON)(spark.createDataFrame(rows, OUTPUT).repartition(40), 0)
+    read = [spark.read.parquet(f"{base}/ended/{t}") for t in ("short", "long")]
+    assert sum(r.count() for r in read) == len(rows) and all(len(r.inputFiles()) == 1 for r in read)
