@@ -17,6 +17,8 @@ Texts are cut into blocks of ``BLOCK`` words; a passage is two blocks, so any
    item are added up, and the run is a candidate if that vector's part along
    the item's is ``min_share`` of the item's and its cosine ``min_cosine`` or
    more. The text around a short item doesn't blur it. Nothing else is compared.
+   The words are counted first, for all items at once: where they are too few
+   for rule 4 in any order, nothing is weighed.
 4. A candidate's surroundings, the passage and as many words as the item has on
    either side, are compared with the whole item by the longest common
    subsequence of words. ``exact`` of the item's words in order make a leak;
@@ -271,21 +273,29 @@ class Finder:
     def __init__(self, items: Items, space: LatentSpace, rules: Rules):
         self.items, self.space, self.rules, self.hasher = items, space, rules, _hasher()
         # items by the blocks that they reach on either side of a passage, up
-        # to a power of two; each term's part along the vectors of the items
-        # that hold it, as a share of the item's own
+        # to a power of two; by term what an item holds of it: the times it is
+        # there, and in the bits above whether its answer has it
         reach = np.array([max(4, 1 << (-(-len(w) // BLOCK) - 1).bit_length()) for w in items.words])
-        square = np.maximum((space.items ** 2).sum(1), 1e-30)
+        self.square = np.maximum((space.items ** 2).sum(1), 1e-30)
         self.groups, self.places, self.own = [], [_places(w) for w in items.words], []
         for w in items.words:
             uniq, times = np.unique(w, return_counts=True)
-            self.own.append((uniq, times, times[:, None] * space.words[uniq]))
+            self.own.append((uniq, times[:, None] * space.words[uniq]))
+        self.size = np.array([len(w) for w in items.words])
+        self.answer_size = np.array([len(a) for a in items.answers])
+        most = max(self.size.max(initial=0), self.answer_size.max(initial=0))
+        self.bits, kind = (16, np.int32) if most < 1 << 15 else (32, np.int64)
         for g in np.unique(reach).tolist():
             members = np.flatnonzero(reach == g)
-            share = np.zeros((len(items.terms), len(members)), np.float32)
+            held = np.zeros((len(items.terms), len(members)), kind)
             for j, i in enumerate(members):
-                uniq, _, vectors = self.own[i]
-                share[uniq, j] = vectors @ space.items[i] / square[i]
-            self.groups.append((g, members, share))
+                held[:, j] = np.bincount(items.words[i], minlength=len(items.terms))
+                held[items.answers[i], j] += 1 << self.bits
+            self.groups.append((g, members, held))
+        # of each item its terms, with a place for words of no item
+        self.of_item = np.zeros((len(items.words), len(items.terms) + 1), bool)
+        for i, w in enumerate(items.words):
+            self.of_item[i, w] = True
 
     def retrieved(self, term: np.ndarray, rows: np.ndarray, block: np.ndarray, first: np.ndarray,
                   first_block: np.ndarray) -> list[tuple[int, int]]:
@@ -294,7 +304,7 @@ class Finder:
         at, out = np.flatnonzero(term >= 0), []
         t, r, n_terms = term[at].astype(np.int64), rows[at], len(self.items.terms)
         local = block[at] - first_block[r]
-        for g, members, share in self.groups if len(t) else ():
+        for g, members, held in self.groups if len(t) else ():
             span = 2 * g + 2
             n_spans = -(-np.diff(first_block) // span)
             first_span = np.concatenate([[0], np.cumsum(n_spans)])
@@ -313,13 +323,13 @@ class Finder:
             row_of = np.searchsorted(first_span, s, "right") - 1
             step = max(1, CELLS // len(s))
             for k in range(0, len(members), step):
-                part = np.ascontiguousarray(share[:, k:k + step])
+                part = np.ascontiguousarray(held[:, k:k + step])
                 total = part[x[begin]]
                 for j in range(1, int(size[0])):
                     live = int(np.searchsorted(-size, -j))
                     total[:live] += part[x[begin[:live] + j]]
                 mark, last = np.zeros(n_terms, bool), -1
-                for i, q in zip(*(z.tolist() for z in np.nonzero(total >= self.rules.min_share))):
+                for i, q in zip(*(z.tolist() for z in np.nonzero(self.enough(total, members[k:k + step])))):
                     if i != last:
                         mark[:] = False
                         mark[x[begin[i]:begin[i] + size[i]]] = True
@@ -333,16 +343,23 @@ class Finder:
                         out += [(p, item) for p in range(p0, p1)]
         return sorted(out)
 
+    def enough(self, held: np.ndarray, members: np.ndarray) -> np.ndarray:
+        """Whether of the items ``members`` so many words are held as rule 4
+        asks for, in any order."""
+        n, answer, rules = held & ((1 << self.bits) - 1), held >> self.bits, self.rules
+        size = self.size[members]
+        return (n >= rules.loose * size) & ((n >= rules.exact * size)
+                                            | (answer >= rules.answer_share * self.answer_size[members]))
+
     def near(self, item: int, mark: np.ndarray) -> bool:
-        """Whether the item and those of its words that are marked have cosine
-        ``min_cosine``, and are enough for rule 4 in any order."""
-        (uniq, times, vectors), to, rules = self.own[item], self.space.items[item], self.rules
-        here, answer = mark[uniq], self.items.answers[item]
-        n, total = int(times[here].sum()), len(self.items.words[item])
-        if n < rules.loose * total or n < rules.exact * total and mark[answer].sum() < rules.answer_share * len(answer):
-            return False
-        v = vectors[here].sum(0)
-        return bool(v @ to >= rules.min_cosine * max(np.linalg.norm(v) * np.linalg.norm(to), 1e-30))
+        """Whether the sum of those of the item's words that are marked has
+        cosine ``min_cosine`` with the item's vector and a part along it of
+        ``min_share``."""
+        (uniq, vectors), to, rules = self.own[item], self.space.items[item], self.rules
+        v = vectors[mark[uniq]].sum(0)
+        along = v @ to
+        return bool(along >= rules.min_share * self.square[item]
+                    and along >= rules.min_cosine * max(np.linalg.norm(v) * np.linalg.norm(to), 1e-30))
 
     def sense(self, item: int, region: np.ndarray) -> float:
         """How far a stretch of the item's length says the same, by all terms of
@@ -361,7 +378,7 @@ class Finder:
         w, base = self.items.words[item], int(first[row]) - int(first_block[row]) * BLOCK
         region = term[max(int(first[row]), base + p0 * BLOCK - len(w)):
                       min(int(first[row + 1]), base + (p1 + 1) * BLOCK + len(w))]
-        return lcs_length(w, region[region >= 0], self.places[item]), region
+        return lcs_length(w, region[self.of_item[item][region]], self.places[item]), region
 
     def leaks(self, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], tuple[int, bool]]:
         """``{(row, item): (common words, paraphrase)}``."""

@@ -274,6 +274,27 @@ def test_subsequence():
         assert decontaminate.lcs_length(a, b) == t[-1, -1]
 
 
+def test_items_of_too_few_words_are_not_weighed(monkeypatch):
+    """A third of the words of every item is too few for rule 4: none of them
+    gets as far as its vector. A whole item does, also one of 40,000 words."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(30)), None) for i in range(40)]
+    rows.append((40, " ".join(f"v{j}" for j in range(40_000)), None))
+    third = " ".join(" ".join(t.split()[:10]) for _, t, _ in rows)
+
+    def leaks(rows, text):
+        items, data = decontaminate.load_items(rows), text.encode()
+        words = np.random.default_rng(5).standard_normal((len(items.terms), 256), np.float32)
+        words /= np.linalg.norm(words, axis=1, keepdims=True)
+        space = decontaminate.LatentSpace(words, np.array([words[w].sum(0) for w in items.words]))
+        find, weighed = decontaminate.Finder(items, space, decontaminate.Rules()), []
+        near = find.near
+        monkeypatch.setattr(find, "near", lambda item, mark: weighed.append(item) or near(item, mark))
+        return find.leaks(np.frombuffer(data, np.uint8), np.array([0, len(data)])), set(weighed)
+    for some in (rows[:40], rows):
+        assert leaks(some, third) == ({}, set())
+        assert leaks(some, third + " " + some[-1][1]) == ({(0, len(some) - 1): (len(some[-1][1].split()), False)}, {len(some) - 1})
+
+
 def test_toxicity(spark, odd_docs, no_docs):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     odd = odd_docs.select("doc_id", "text").withColumn("doc_id", F.col("doc_id") + 10_000_000)
