@@ -1,9 +1,11 @@
 """Passages, near-duplicate documents and vectors against brute force."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -203,3 +205,68 @@ def test_visits_and_blocks_are_symmetric():
     told = set(zip(row.tolist(), cell.tolist()))
     cells = own[r.integers(0, 3_000, 5_000)]
     assert [(int(a), int(b)) in told for a, b in zip(some, cells)] == grid.visited(x[some], cells).tolist()
+
+
+def test_block_of_near_copies_takes_little_memory():
+    """All pairs of a block link: they aren't held with their vectors."""
+    r, n, dim = np.random.default_rng(4), 1_000, 64
+    x = embedding_dedup._unit(r.normal(size=dim) + 0.1 * r.normal(size=(n, dim)))
+    grid = embedding_dedup.fit_grid(x, n, 0.9, 0.97)
+    own = grid.visits(x)[0]
+    two = lambda c: np.concatenate([c, c])
+    zero = np.zeros(2 * n, np.int32)
+    vectors = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * n * dim + 1, dim, dtype=np.int32)), pa.array(two(x).ravel()))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(c) for c in (zero, zero, zero, np.repeat(np.array([0, 1], np.int8), n), two(own).astype(np.int32),
+                               two(np.arange(n)), np.ones(2 * n, np.int64))] + [vectors],
+        names=["cell", "ib", "pb", "kind", "own", "id", "size", "vector"])
+    tracemalloc.start()
+    out = pa.Table.from_batches(list(embedding_dedup._block_udf(grid, dim, 0.9)(iter([batch]))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    got = Counter()
+    for i, k in zip(out["id"].to_pylist(), out["links"].to_pylist()):
+        got[i] += k
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    back = np.stack([grid.visited(x, np.full(n, c)) for c in own], 1)  # does i visit the visitor's cell
+    want = near.sum(1) + (near & ~back).sum(1)
+    assert near.mean() > 0.9 and [got[i] for i in range(n)] == want.tolist() and set(out["root"].to_pylist()) == {0}
+
+
+@pytest.mark.parametrize("dim,bits", [(1, 4), (3, 4), (7, 8), (64, 4), (64, 8), (300, 4)])
+def test_codes_bound_the_cosine(dim, bits):
+    r = np.random.default_rng(dim)
+    x = r.normal(size=(300, dim))
+    x[:50, 0] *= 50
+    x[50:150] = x[:100] + 0.05 * r.normal(size=(100, dim))
+    x[150:160] = -x[:10]
+    x = embedding_dedup._unit(x)
+    code = embedding_dedup.fit_code(x, 0.9)
+    code = embedding_dedup.Code(code.order, code.turns, (0.335 if bits == 4 else 0.031) / np.sqrt(dim), bits)
+    packed = code.encode(x)
+    assert packed.shape[1] == -(-dim * bits // 8) + 2
+    visitor, index = code.decode(packed)
+    assert (visitor @ index.T >= x @ x.T - code.slack()).all()
+
+
+@pytest.mark.parametrize("kind,clash", [("float", False), ("double", True)])
+def test_vectors_in_many_blocks(spark, monkeypatch, kind, clash):
+    """Cells split in blocks and tiles, one large group of near copies, equal
+    vectors but for the sign of zero, keys of vectors that clash."""
+    for name, value in (("BLOCK", 16), ("VISITORS", 2), ("TILE", 100), ("PACK", 3_000), ("CELL_ROWS", 20)):
+        monkeypatch.setattr(embedding_dedup, name, value, raising=False)
+    if clash:
+        monkeypatch.setattr(embedding_dedup, "_mark", lambda vector: F.size(vector).cast("long"))
+    r = np.random.default_rng(9)
+    base = r.normal(size=(60, 20))
+    x = np.concatenate([base[r.integers(0, 60, 250)] + 0.05 * r.normal(size=(250, 20)), base[0] + 0.05 * r.normal(size=(120, 20))])
+    x[:, 7] = 0.0
+    x = np.concatenate([x, x[:30], x[:30]]).astype(np.float32)
+    x[-30:, 7] = -0.0
+    rows = [(int(i), [float(y) for y in v]) for i, v in zip(r.permutation(len(x)), x)]
+    n, root = brute_vectors(rows, 0.9)
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+    got = embedding_dedup.near_duplicate_vectors(df, target_recall=0.9999).collect()
+    assert sorted(map(tuple, got)) == sorted((i, n[i], root[i], root[i] == i) for i, _ in rows)
